@@ -84,3 +84,12 @@ def encode_messages(df: DataFrame, key: str | None = None,
         value = F.col(cols[0]).cast("string")
     key_col = F.col(key).cast("string") if key else F.lit(None).cast("string")
     return df.select(key_col.cast("binary").alias("key"), value.cast("binary").alias("value"))
+
+
+def encode_lookup_messages(posts: DataFrame, key: str | None = "id") -> DataFrame:
+    """Posts → lookup-response messages in list form, ``{"data": [{post}]}`` (what the hydration
+    step publishes and ``decode_list_posts`` reads back)."""
+    item = F.struct(*[F.col(c) for c in ("author_id", "created_at", "id", "text")])
+    value = F.to_json(F.struct(F.array(item).alias("data")))
+    key_col = F.col(key).cast("string") if key else F.lit(None).cast("string")
+    return posts.select(key_col.cast("binary").alias("key"), value.cast("binary").alias("value"))

@@ -104,37 +104,37 @@ def as_rules(rules: DataFrame | Iterable) -> list[Rule]:
     return out
 
 
-def rule_condition(rule: Rule, text: Column, lang: Column) -> Column:
-    """The boolean for one rule; NULL text or NULL language never matches."""
-    lowered = F.lower(text)
+def rule_condition(rule: Rule, lowered: Column, retweet: Column, lang: Column) -> Column:
+    """The boolean for one rule over the lower-cased text; NULL text or language never matches."""
     keywords = sorted({k.lower() for k in rule.any_of})
     cond = reduce(lambda a, b: a | b, [lowered.contains(F.lit(k)) for k in keywords], F.lit(False))
     if rule.exclude_retweets:
-        cond = cond & ~text.startswith(RETWEET_PREFIX)
+        cond = cond & ~retweet
     if rule.lang is not None:
         cond = cond & (lang == F.lit(rule.lang))
     return cond
 
 
-def matching_rules(rules: Sequence[Rule], text: str = "text", lang: str = "lang") -> Column:
-    """``array<struct<rule_id int, tag string>>`` of the rules a row matches (output shape of the
-    service's ``matching_rules``)."""
-    t, lg = F.col(text), F.col(lang)
-    hits = [F.when(rule_condition(r, t, lg),
-                   F.struct(F.lit(r.rule_id).cast("int").alias("rule_id"), F.lit(r.tag).alias("tag")))
-            for r in rules]
-    if not hits:
-        return F.array().cast("array<struct<rule_id:int,tag:string>>")
-    return F.filter(F.array(*hits), lambda m: m.isNotNull())
-
-
 def tag_by_rules(posts: DataFrame, rules: DataFrame | Iterable, text: str = "text",
                  lang: str = "lang", keys: Sequence[str] = ("id",)) -> DataFrame:
     """RUL-1: one row per (post, matched rule): ``keys…, rule_id, tag``.
 
-    A narrow stage over the posts: each rule is a built-in expression (``lower``, ``contains``,
-    ``startswith``), no Python and no join, so the posts are never shuffled.
+    A narrow stage over the posts: the text is lower-cased once, each rule is a ``CASE WHEN`` of
+    built-in ``contains``/``startswith`` tests giving its ``(rule_id, tag)`` or NULL, the array of
+    them is exploded and NULLs dropped. No Python, no join: the posts are never shuffled.
     """
     compiled = as_rules(rules)
-    return (posts.select(*keys, F.explode(matching_rules(compiled, text, lang)).alias("_m"))
-                 .select(*keys, "_m.rule_id", "_m.tag"))
+    if not compiled:
+        return posts.select(*keys, F.lit(None).cast("int").alias("rule_id"),
+                            F.lit(None).cast("string").alias("tag")).where(F.lit(False))
+    prepared = posts.select(*keys, F.lower(F.col(text)).alias("_lowered"),
+                            F.col(text).startswith(RETWEET_PREFIX).alias("_retweet"),
+                            F.col(lang).alias("_lang"))
+    low, rt, lg = F.col("_lowered"), F.col("_retweet"), F.col("_lang")
+    hits = [F.when(rule_condition(r, low, rt, lg),
+                   F.struct(F.lit(r.rule_id).cast("int").alias("rule_id"),
+                            F.lit(r.tag).alias("tag")))
+            for r in compiled]
+    return (prepared.select(*keys, F.explode(F.array(*hits)).alias("_m"))
+                    .where(F.col("_m").isNotNull())
+                    .select(*keys, "_m.rule_id", "_m.tag"))
