@@ -1,0 +1,109 @@
+"""Streaming queries (STM-1 … STM-7) with the file source and availableNow triggers."""
+
+import os
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from postflow import fs
+from postflow.functions.messages import encode_messages
+from postflow.sinks import keyed as kt
+from postflow.sources.messages import read_messages
+from postflow.streaming import queries as sq
+
+NOW = {"availableNow": True}
+COLS = "id string, author_id string, created_at string, text string"
+
+
+def _messages(spark, rows):
+    """Object-form messages ``{"data": {post}}``, as the live stream sends them."""
+    posts = spark.createDataFrame([Row(id=i, author_id=a, created_at="t", text=x)
+                                   for i, a, x in rows], COLS)
+    wrapped = posts.select("id", F.struct("id", "author_id", "created_at", "text").alias("data"))
+    return encode_messages(wrapped, key="id", cols=["data"])
+
+
+def _drop(spark, rows, folder):
+    _messages(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_posts_append_in_several_micro_batches(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    _drop(spark, [("1", "a", "#x one")], inbox)
+    _drop(spark, [("2", "b", "#y two")], inbox)
+    _drop(spark, [("1", "a", "#x edited")], inbox)
+    src = read_messages(spark, "files", path=inbox, options={"maxFilesPerTrigger": 1})
+    q = sq.start_posts(src, base=tmp_base, checkpoint=f"{tmp_base}/cp/posts", trigger=NOW)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    rows = sorted(tuple(r) for r in kt.read_table(spark, kt.STREAM_POSTS, tmp_base).collect())
+    assert [r[0] for r in rows] == ["1", "2"]
+    assert dict((r[0], r[3]) for r in rows)["1"] in ("#x one", "#x edited")
+
+
+def test_hashtags_complete_mode_and_restart(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    cp = f"{tmp_base}/cp/tags"
+    _drop(spark, [("1", "a", "#x #y"), ("2", "b", "#x")], inbox)
+    src = read_messages(spark, "files", path=inbox)
+    sq.start_hashtags(src, base=tmp_base, checkpoint=cp, trigger=NOW,
+                      partitions=4).awaitTermination()
+    got = dict(tuple(r) for r in kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).collect())
+    assert got == {"#x": 2, "#y": 1}
+    _drop(spark, [("3", "c", "#y #z")], inbox)
+    src = read_messages(spark, "files", path=inbox)
+    sq.start_hashtags(src, base=tmp_base, checkpoint=cp, trigger=NOW).awaitTermination()
+    got = dict(tuple(r) for r in kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).collect())
+    assert got == {"#x": 2, "#y": 2, "#z": 1}
+
+
+def test_reset_checkpoint_recounts_without_clobbering(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    cp = f"{tmp_base}/cp/posts"
+    _drop(spark, [("1", "a", "x")], inbox)
+    sq.start_posts(read_messages(spark, "files", path=inbox), base=tmp_base, checkpoint=cp,
+                   trigger=NOW).awaitTermination()
+    assert sq.reset_checkpoint(spark, cp, tmp_base)
+    _drop(spark, [("2", "b", "y")], inbox)
+    sq.start_posts(read_messages(spark, "files", path=inbox), base=tmp_base, checkpoint=cp,
+                   trigger=NOW).awaitTermination()
+    names = fs.list_names(spark, kt.STREAM_POSTS.path(tmp_base))
+    assert "batch_id=0" in names and "batch_id=1" in names
+    assert kt.read_table(spark, kt.STREAM_POSTS, tmp_base).count() == 2
+
+
+def test_reset_refuses_paths_outside_base(spark, tmp_base):
+    with pytest.raises(ValueError):
+        sq.reset_checkpoint(spark, "/", tmp_base)
+    with pytest.raises(ValueError):
+        sq.reset_checkpoint(spark, tmp_base, tmp_base)
+    assert not sq.reset_checkpoint(spark, f"{tmp_base}/cp/none", tmp_base)
+
+
+def test_text_payload_counts_a_line_feed(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    lines = spark.createDataFrame([Row(line="#a b #c"), Row(line="#a")], "line string")
+    encode_messages(lines, cols=["line"], as_json=False).write.parquet(inbox)
+    src = read_messages(spark, "files", path=inbox)
+    sq.start_hashtags(src, base=tmp_base, checkpoint=f"{tmp_base}/cp", trigger=NOW,
+                      payload="text").awaitTermination()
+    got = dict(tuple(r) for r in kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).collect())
+    assert got == {"#a": 2, "#c": 1}
+
+
+def test_run_all_waits_for_any(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    _drop(spark, [("1", "a", "#x")], inbox)
+    starters = [
+        lambda: sq.start_posts(read_messages(spark, "files", path=inbox), base=tmp_base,
+                               checkpoint=f"{tmp_base}/cp/p", trigger=NOW),
+        lambda: sq.start_hashtags(read_messages(spark, "files", path=inbox), base=tmp_base,
+                                  checkpoint=f"{tmp_base}/cp/h", trigger=NOW),
+    ]
+    queries = sq.run_all(starters, spark, timeout=120)
+    for q in queries:
+        q.awaitTermination()
+    spark.streams.resetTerminated()
+    assert kt.read_table(spark, kt.STREAM_POSTS, tmp_base).count() == 1
+    assert kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).count() == 1
