@@ -1,0 +1,50 @@
+"""Console, Kafka and preview outputs (SNK-1, SNK-2, SNK-5, SNK-6) and the command line."""
+
+import os
+
+import pytest
+
+from postflow.plans import jobs
+from postflow.sinks import keyed as kt
+from postflow.sinks.outputs import write, write_stream
+from postflow.sources.messages import read_id_files
+
+
+def test_console_batch_and_preview(spark, tmp_base, capsys):
+    df = spark.createDataFrame([("#a", 3)], "hashtag string, count bigint")
+    write(df, "console")
+    write(df, "keyed", table=kt.HASHTAG_COUNTS, base=tmp_base, preview=True)
+    out = capsys.readouterr().out
+    assert "#a" in out
+    assert kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).count() == 1
+
+
+def test_console_stream(spark, tmp_base):
+    folder = os.path.join(tmp_base, "ids")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.tsv"), "w") as f:
+        f.write("tweet_id\tuser_id\n1\tu\n")
+    q = write_stream(read_id_files(spark, folder), "console", output_mode="append",
+                     trigger={"availableNow": True}, checkpoint=f"{tmp_base}/cp")
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] == 1
+
+
+def test_kafka_sink_needs_the_connector(spark, tmp_base):
+    folder = os.path.join(tmp_base, "ids")
+    os.makedirs(folder)
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_stream(read_id_files(spark, folder).selectExpr("tweet_id AS value"), "kafka",
+                     checkpoint=f"{tmp_base}/cp", topic="tweetId", output_mode="append")
+    with pytest.raises(ValueError):
+        write_stream(read_id_files(spark, folder), "kafka", checkpoint=f"{tmp_base}/cp")
+
+
+def test_command_line_authors(spark, tmp_base):
+    posts = spark.createDataFrame([("1", "a", "t", "x"), ("2", "a", "t", "y"), ("3", "b", "t", "z")],
+                                  "id string, author_id string, created_at string, text string")
+    kt.write_keyed(posts, kt.STREAM_POSTS, tmp_base, 0)
+    jobs.main(["authors", "--base", tmp_base, "--k", "1"])  # console: printed by the JVM
+    jobs.main(["authors", "--base", tmp_base, "--output", "keyed"])
+    got = sorted(tuple(r) for r in kt.read_table(spark, kt.AUTHOR_COUNTS, tmp_base).collect())
+    assert got == [("a", 2), ("b", 1)]
