@@ -9,13 +9,15 @@ Here a keyed table is a directory of Parquet files written only by Spark jobs:
   per key, the row of the highest batch, then the highest tie-break columns (NULL lowest).
   Rows with a NULL key cannot be stored by key; they land in ``rejected=true`` instead of being
   lost.
-* **replace** tables (complete = truncate and replace): each write is a full snapshot under
-  ``<base>/<name>/snapshot=N/``; a small pointer file then names the current snapshot, so a
-  reader sees either the old or the new snapshot, never half of one.
+* **replace** tables (complete = truncate and replace): each write is a full snapshot in a
+  fresh folder ``<base>/<name>/v<N>-<token>/``; a commit file ``_commits/<N>`` then names it.
+  Files are only created, never overwritten, so a reader sees either the old or the new
+  snapshot, never half of one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -26,7 +28,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from postflow import fs, schemas
 
-POINTER = "_CURRENT"
+COMMITS = "_commits"
 KEEP_SNAPSHOTS = 2
 
 
@@ -96,18 +98,33 @@ def write_keyed(df: DataFrame, table: KeyedTable, base: str, batch_id: int) -> N
 
 
 def replace_keyed(df: DataFrame, table: KeyedTable, base: str, version: int) -> None:
-    """SNK-4: write ``df`` as the full content of a replace table, then switch readers to it."""
+    """SNK-4: write ``df`` as version ``version`` (the full content) of a replace table.
+
+    The rows go to a folder no reader knows yet (``v<version>-<token>``); then a commit file
+    ``_commits/<version>`` naming that folder is created. Files are only ever created, never
+    overwritten, so a reader sees the old or the new version, nothing in between. A version that
+    is already committed (a replayed micro-batch) is left as it is.
+    """
     if table.mode != "replace":
         raise ValueError(f"{table.name} is a {table.mode} table")
     spark = df.sparkSession
     root = ensure_table(spark, table, base)
+    version = int(version)
+    commit = f"{root}/{COMMITS}/{version}"
+    if fs.exists(spark, commit):
+        return
+    folder = f"v{version}-{uuid.uuid4().hex[:12]}"
     out = _shape(df, table).select("*", (~_key_present(table.keys)).alias("rejected"))
-    out.write.mode("overwrite").partitionBy("rejected").parquet(f"{root}/snapshot={int(version)}")
-    fs.write_text(spark, f"{root}/{POINTER}", str(int(version)))
-    _drop_old_snapshots(spark, root, int(version))
+    out.write.mode("overwrite").partitionBy("rejected").parquet(f"{root}/{folder}")
+    fs.write_text(spark, commit, folder)
+    _drop_old_snapshots(spark, root)
 
 
 def _versions(spark: SparkSession, root: str, part: str) -> list[int]:
+    """Batch numbers (``part="batch_id"``) or committed versions (``part="snapshot"``)."""
+    if part == "snapshot":
+        names = fs.list_names(spark, f"{root}/{COMMITS}")
+        return sorted(int(n) for n in names if n.isdigit())
     out = []
     for name in fs.list_names(spark, root):
         if name.startswith(part + "="):
@@ -118,29 +135,55 @@ def _versions(spark: SparkSession, root: str, part: str) -> list[int]:
     return sorted(out)
 
 
-def _drop_old_snapshots(spark: SparkSession, root: str, current: int) -> None:
-    older = [v for v in _versions(spark, root, "snapshot") if v < current]
-    for v in older[:max(0, len(older) - (KEEP_SNAPSHOTS - 1))]:
-        fs.delete(spark, f"{root}/snapshot={v}")
+def _current_snapshot(spark: SparkSession, root: str) -> str | None:
+    versions = _versions(spark, root, "snapshot")
+    if not versions:
+        return None
+    folder = fs.read_text(spark, f"{root}/{COMMITS}/{versions[-1]}")
+    return f"{root}/{folder.strip()}" if folder else None
+
+
+def _drop_old_snapshots(spark: SparkSession, root: str) -> None:
+    """Keep the last ``KEEP_SNAPSHOTS`` versions (a reader may still be on the previous one);
+    delete older versions and folders of failed attempts older than the kept versions."""
+    versions = _versions(spark, root, "snapshot")
+    keep = versions[-KEEP_SNAPSHOTS:]
+    kept = {(fs.read_text(spark, f"{root}/{COMMITS}/{v}") or "").strip() for v in keep}
+    for name in fs.list_names(spark, root):
+        if name.startswith("v") and "-" in name and name not in kept:
+            number = name[1:].split("-", 1)[0]
+            if number.isdigit() and int(number) < keep[0]:
+                fs.delete(spark, f"{root}/{name}")
+    for v in versions[:-KEEP_SNAPSHOTS]:
+        fs.delete(spark, f"{root}/{COMMITS}/{v}")
 
 
 def read_rejected(spark: SparkSession, table: KeyedTable, base: str) -> DataFrame:
-    """Rows that had a NULL key, with the batch (or snapshot) they came with."""
-    part = "batch_id" if table.mode == "upsert" else "snapshot"
+    """Rows that had a NULL key: every batch of an upsert table (with ``batch_id``), or the
+    current version of a replace table."""
     root = ensure_table(spark, table, base)
-    stored = spark.read.schema(_stored_schema(table, part)).parquet(root)
+    if table.mode == "replace":
+        current = _current_snapshot(spark, root)
+        if current is None:
+            return spark.createDataFrame([], table.schema)
+        snap = spark.read.schema(_snapshot_schema(table)).parquet(current)
+        return snap.where(F.col("rejected")).select(*table.columns)
+    stored = spark.read.schema(_stored_schema(table, "batch_id")).parquet(root)
     return stored.where(F.col("rejected")).drop("rejected")
 
 
+def _snapshot_schema(table: KeyedTable) -> StructType:
+    return StructType(list(table.schema.fields) + [StructField("rejected", BooleanType())])
+
+
 def read_table(spark: SparkSession, table: KeyedTable, base: str) -> DataFrame:
     """SRC-6: the current content of a keyed table, one row per key, in table column order."""
     root = ensure_table(spark, table, base)
     if table.mode == "replace":
-        version = fs.read_text(spark, f"{root}/{POINTER}")
-        if version is None:
+        current = _current_snapshot(spark, root)
+        if current is None:
             return spark.createDataFrame([], table.schema)
-        snap = spark.read.schema(StructType(list(table.schema.fields) + [
-            StructField("rejected", BooleanType())])).parquet(f"{root}/snapshot={version.strip()}")
+        snap = spark.read.schema(_snapshot_schema(table)).parquet(current)
         return snap.where(~F.col("rejected")).select(*table.columns)
     stored = spark.read.schema(_stored_schema(table, "batch_id")).parquet(root)
     return latest_by_key(stored.where(~F.col("rejected")), table)

@@ -73,8 +73,21 @@ def test_replace_table_switches_snapshots(spark, tmp_base):
     kt.replace_keyed(second, t, tmp_base, 1)
     kt.replace_keyed(second, t, tmp_base, 2)
     assert _read(spark, t, tmp_base) == [("#a", 5)]
-    names = fs.list_names(spark, t.path(tmp_base))
-    assert "snapshot=0" not in names and "snapshot=1" in names and "snapshot=2" in names
+    # a replayed, already committed version changes nothing
+    kt.replace_keyed(first, t, tmp_base, 2)
+    assert _read(spark, t, tmp_base) == [("#a", 5)]
+    root = t.path(tmp_base)
+    assert sorted(fs.list_names(spark, f"{root}/_commits")) == ["1", "2"]
+    folders = sorted(n for n in fs.list_names(spark, root) if n.startswith("v"))
+    assert [f.split("-")[0] for f in folders] == ["v1", "v2"]
+
+
+def test_replace_table_rejects_null_keys(spark, tmp_base):
+    t = kt.HASHTAG_COUNTS
+    df = spark.createDataFrame([("#a", 1), (None, 2)], "hashtag string, count bigint")
+    kt.replace_keyed(df, t, tmp_base, 0)
+    assert _read(spark, t, tmp_base) == [("#a", 1)]
+    assert [tuple(r) for r in kt.read_rejected(spark, t, tmp_base).collect()] == [(None, 2)]
 
 
 def test_write_picks_next_batch_and_compacts(spark, tmp_base):
