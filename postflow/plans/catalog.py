@@ -136,6 +136,18 @@ def stream_hashtags_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kt.read_table(spark, kt.HASHTAG_COUNTS, base)
 
 
+def stream_hashtags_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM-6 with ``update`` mode: two micro-batches upsert only the counts they change."""
+    base = scratch(spark, "stream_hashtags_update")
+    messages = fx.object_messages(spark, sf_dir, keep_event_id=True)
+    for part in (0, 1):
+        _write_messages(messages.where(F.col("event_id") % 2 == part), f"{base}/in")
+    source = read_messages(spark, "files", path=f"{base}/in", options={"maxFilesPerTrigger": 1})
+    sq.start_hashtags(source, base=base, checkpoint=f"{base}/checkpoint/hashtags",
+                      output_mode="update", trigger=AVAILABLE_NOW).awaitTermination()
+    return kt.read_table(spark, kt.HASHTAG_COUNT_UPDATES, base)
+
+
 def stream_hydrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark, "stream_hydrate")
     _write_id_files(spark, sf_dir, f"{base}/in")
@@ -177,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "id_stream": id_stream,
     "stream_posts_append": stream_posts_append,
     "stream_hashtags_complete": stream_hashtags_complete,
+    "stream_hashtags_update": stream_hashtags_update,
     "stream_hydrate": stream_hydrate,
     "stream_restart": stream_restart,
 }

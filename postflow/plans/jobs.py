@@ -33,13 +33,14 @@ def _checkpoint(base: str, name: str) -> str:
 def stream(spark: SparkSession, *, source: str = "socket", output: str = "console",
            base: str | None = None, reset: bool = False, trigger: dict | None = None,
            payload: str = "json", partitions: int | None = None, wait: bool = True,
-           timeout: float | None = None, **source_options):
+           timeout: float | None = None, hashtag_mode: str = "complete", **source_options):
     """JOB-1: live posts (append) and running hashtag counts (complete), two queries over two
     reads of the source; returns when any query ends (or after ``timeout`` seconds)."""
     if output in ("keyed", "kafka") and not base:
         raise ValueError(f"output {output!r} needs base= (tables and checkpoints)")
     cp_posts = _checkpoint(base, kt.STREAM_POSTS.name) if base else None
-    cp_tags = _checkpoint(base, kt.HASHTAG_COUNTS.name) if base else None
+    tags_table = kt.HASHTAG_COUNTS if hashtag_mode == "complete" else kt.HASHTAG_COUNT_UPDATES
+    cp_tags = _checkpoint(base, tags_table.name) if base else None
     if reset and base:
         for cp in (cp_posts, cp_tags):
             sq.reset_checkpoint(spark, cp, base)
@@ -58,10 +59,11 @@ def stream(spark: SparkSession, *, source: str = "socket", output: str = "consol
         if output == "kafka":
             counts = sq.running_hashtag_counts(src, payload, partitions)
             return write_stream(msg.encode_messages(counts, key="hashtag"), "kafka",
-                                checkpoint=cp_tags, output_mode="complete", trigger=trigger,
-                                topic=f"{kt.HASHTAG_COUNTS.name}")
+                                checkpoint=cp_tags, output_mode=hashtag_mode, trigger=trigger,
+                                topic=f"{tags_table.name}")
         return sq.start_hashtags(src, kind=output, base=base, checkpoint=cp_tags,
-                                 trigger=trigger, payload=payload, partitions=partitions)
+                                 output_mode=hashtag_mode, trigger=trigger, payload=payload,
+                                 partitions=partitions, table=tags_table)
 
     if not wait:
         return [posts_query(), hashtags_query()]
@@ -154,6 +156,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--del_checkpoint", choices=["true", "false"], default="false")
     p.add_argument("--payload", choices=["json", "text"], default="json")
     p.add_argument("--partitions", type=int, default=None)
+    p.add_argument("--hashtag_mode", choices=["complete", "update"], default="complete")
     p.add_argument("--available_now", action="store_true")
 
     p = sub.add_parser("ingest", help="batch ingest of looked-up posts")
@@ -186,7 +189,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.job == "stream":
         stream(spark, source=args.source, output=args.output, base=args.base,
                reset=args.del_checkpoint == "true", trigger=trigger, payload=args.payload,
-               partitions=args.partitions, **opts)
+               partitions=args.partitions, hashtag_mode=args.hashtag_mode, **opts)
     elif args.job == "ingest":
         ingest(spark, source=args.source, output=args.output, base=args.base, **opts)
     elif args.job == "authors":

@@ -57,6 +57,10 @@ STREAM_POSTS = KeyedTable("stream_blob_tweets", schemas.post_schema(schemas.STRE
 BATCH_POSTS = KeyedTable("batch_tweets", schemas.post_schema(schemas.BATCH_POST_COLUMNS),
                          ("id",), "upsert", ("created_at", "text", "author_id"))
 HASHTAG_COUNTS = KeyedTable("stream_hashtags", schemas.HASHTAG_COUNTS, ("hashtag",), "replace")
+# Running counts written in update mode: only the hashtags a micro-batch changed are written,
+# and the latest batch of a hashtag holds its current count.
+HASHTAG_COUNT_UPDATES = KeyedTable("stream_hashtags_updates", schemas.HASHTAG_COUNTS,
+                                   ("hashtag",), "upsert", ("count",))
 AUTHOR_COUNTS = KeyedTable("topK_authors", schemas.AUTHOR_COUNTS, ("author_id",), "upsert",
                            ("count",))
 

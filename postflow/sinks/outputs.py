@@ -91,6 +91,8 @@ def write_stream(df: DataFrame, kind: str = "console", *, checkpoint: str | None
     if kind == "keyed":
         if table is None or base is None:
             raise ValueError("kind='keyed' needs table= and base=")
+        if table.mode == "replace" and output_mode != "complete":
+            raise ValueError(f"{table.name} is replaced on every write: it needs complete mode")
         offset = batch_offset(df.sparkSession, table, base, checkpoint)
         return writer.foreachBatch(keyed_batch_writer(table, base, offset)).start()
     if kind == "kafka":

@@ -60,8 +60,16 @@ def start_hashtags(messages: DataFrame, *, kind: str = "keyed", base: str | None
                    checkpoint: str | None = None, output_mode: str = "complete",
                    trigger: dict | None = None, payload: str = "json",
                    partitions: int | None = None,
-                   table: kt.KeyedTable = kt.HASHTAG_COUNTS) -> StreamingQuery:
-    """STM-2: running hashtag counts; in complete mode each trigger replaces the whole table."""
+                   table: kt.KeyedTable | None = None) -> StreamingQuery:
+    """STM-2 + STM-6: running hashtag counts.
+
+    ``complete`` (the reference's mode): each trigger replaces the whole count table.
+    ``update``: each trigger upserts only the hashtags it changed (into
+    ``HASHTAG_COUNT_UPDATES``), so the write per trigger grows with the new posts rather than
+    with the number of hashtags ever seen.
+    """
+    if table is None:
+        table = kt.HASHTAG_COUNTS if output_mode == "complete" else kt.HASHTAG_COUNT_UPDATES
     return write_stream(running_hashtag_counts(messages, payload, partitions), kind,
                         checkpoint=checkpoint, output_mode=output_mode, trigger=trigger,
                         table=table, base=base)

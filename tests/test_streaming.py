@@ -107,3 +107,20 @@ def test_run_all_waits_for_any(spark, tmp_base):
     spark.streams.resetTerminated()
     assert kt.read_table(spark, kt.STREAM_POSTS, tmp_base).count() == 1
     assert kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).count() == 1
+
+
+def test_update_mode_upserts_changed_counts_only(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    _drop(spark, [("1", "a", "#x #y")], inbox)
+    _drop(spark, [("2", "b", "#x")], inbox)
+    src = read_messages(spark, "files", path=inbox, options={"maxFilesPerTrigger": 1})
+    sq.start_hashtags(src, base=tmp_base, checkpoint=f"{tmp_base}/cp", output_mode="update",
+                      trigger=NOW).awaitTermination()
+    table = kt.HASHTAG_COUNT_UPDATES
+    got = dict(tuple(r) for r in kt.read_table(spark, table, tmp_base).collect())
+    assert got == {"#x": 2, "#y": 1}
+    stored = spark.read.parquet(table.path(tmp_base)).where("hashtag = '#y'")
+    assert stored.count() == 1  # the second micro-batch did not rewrite '#y'
+    with pytest.raises(ValueError):
+        sq.start_hashtags(src, base=tmp_base, checkpoint=f"{tmp_base}/cp2",
+                          output_mode="update", table=kt.HASHTAG_COUNTS)
