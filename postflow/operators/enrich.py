@@ -115,18 +115,37 @@ def rule_condition(rule: Rule, lowered: Column, retweet: Column, lang: Column) -
     return cond
 
 
+# From this many keyword tests (summed over rules), rules are matched by one Aho-Corasick pass
+# per text instead of one ``contains`` per rule keyword (whose cost grows with the rule count).
+AUTOMATON_MIN_KEYWORDS = 16
+
+
 def tag_by_rules(posts: DataFrame, rules: DataFrame | Iterable, text: str = "text",
-                 lang: str = "lang", keys: Sequence[str] = ("id",)) -> DataFrame:
+                 lang: str = "lang", keys: Sequence[str] = ("id",),
+                 method: str = "auto") -> DataFrame:
     """RUL-1: one row per (post, matched rule): ``keys…, rule_id, tag``.
 
-    A narrow stage over the posts: the text is lower-cased once, each rule is a ``CASE WHEN`` of
-    built-in ``contains``/``startswith`` tests giving its ``(rule_id, tag)`` or NULL, the array of
-    them is exploded and NULLs dropped. No Python, no join: the posts are never shuffled.
+    A narrow stage over the posts (no join, no shuffle). ``method``:
+
+    * ``expression``: the text is lower-cased once; each rule is a ``CASE WHEN`` of built-in
+      ``contains``/``startswith`` tests giving its ``(rule_id, tag)`` or NULL; the array of them
+      is exploded and NULLs dropped. JVM-only, whole-stage codegen; cost grows with the rules.
+    * ``automaton``: Arrow batches of posts go through ``mapInPandas``, where one Aho-Corasick
+      pass over each lower-cased text finds every keyword at once; cost grows with the text only.
+    * ``auto``: ``automaton`` from ``AUTOMATON_MIN_KEYWORDS`` keyword tests summed over the
+      rules, else ``expression`` (the reference's four rules stay on the expression).
     """
     compiled = as_rules(rules)
     if not compiled:
         return posts.select(*keys, F.lit(None).cast("int").alias("rule_id"),
                             F.lit(None).cast("string").alias("tag")).where(F.lit(False))
+    if method == "auto":
+        tests = sum(len({k.lower() for k in r.any_of}) for r in compiled)
+        method = "automaton" if tests >= AUTOMATON_MIN_KEYWORDS else "expression"
+    if method == "automaton":
+        return _tag_by_automaton(posts, compiled, text, lang, keys)
+    if method != "expression":
+        raise ValueError(f"unknown method {method!r}")
     prepared = posts.select(*keys, F.lower(F.col(text)).alias("_lowered"),
                             F.col(text).startswith(RETWEET_PREFIX).alias("_retweet"),
                             F.col(lang).alias("_lang"))
@@ -138,3 +157,62 @@ def tag_by_rules(posts: DataFrame, rules: DataFrame | Iterable, text: str = "tex
     return (prepared.select(*keys, F.explode(F.array(*hits)).alias("_m"))
                     .where(F.col("_m").isNotNull())
                     .select(*keys, "_m.rule_id", "_m.tag"))
+
+
+def _tag_by_automaton(posts: DataFrame, rules: Sequence[Rule], text: str, lang: str,
+                      keys: Sequence[str]) -> DataFrame:
+    """The ``automaton`` method of ``tag_by_rules``: per Arrow batch, per post, one pass."""
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    keywords = sorted({k.lower() for r in rules for k in r.any_of})
+    index = {k: i for i, k in enumerate(keywords)}
+    # keyword number -> numbers of the rules that list it
+    by_keyword: list[list[int]] = [[] for _ in keywords]
+    for j, r in enumerate(rules):
+        for k in {k.lower() for k in r.any_of}:
+            by_keyword[index[k]].append(j)
+    table = [(r.rule_id, r.tag, r.exclude_retweets, r.lang) for r in rules]
+    key_fields = [posts.schema[k] for k in keys]
+    out_schema = StructType(key_fields + [StructField("rule_id", IntegerType()),
+                                          StructField("tag", StringType())])
+    key_names = list(keys)
+
+    def match(batches):
+        import ahocorasick
+        import pandas as pd
+
+        automaton = ahocorasick.Automaton()
+        for i, k in enumerate(keywords):
+            automaton.add_word(k, i)
+        automaton.make_automaton()
+        for pdf in batches:
+            out_keys: list[list] = [[] for _ in key_names]
+            out_rule, out_tag = [], []
+            texts, langs = pdf["_text"].tolist(), pdf["_lang"].tolist()
+            columns = [pdf[k].tolist() for k in key_names]
+            for row, t in enumerate(texts):
+                if t is None:
+                    continue
+                found = {i for _, i in automaton.iter(t.lower())}
+                if not found:
+                    continue
+                retweet = t.startswith(RETWEET_PREFIX)
+                row_lang = langs[row]
+                for j in sorted({j for i in found for j in by_keyword[i]}):
+                    rule_id, tag, no_retweets, want_lang = table[j]
+                    if (no_retweets and retweet) or (want_lang is not None
+                                                     and row_lang != want_lang):
+                        continue
+                    for c, col in enumerate(columns):
+                        out_keys[c].append(col[row])
+                    out_rule.append(rule_id)
+                    out_tag.append(tag)
+            if not out_rule:
+                continue
+            data = {k: out_keys[c] for c, k in enumerate(key_names)}
+            data["rule_id"] = pd.array(out_rule, dtype="Int32")
+            data["tag"] = out_tag
+            yield pd.DataFrame(data, columns=key_names + ["rule_id", "tag"])
+
+    prepared = posts.select(*keys, F.col(text).alias("_text"), F.col(lang).alias("_lang"))
+    return prepared.mapInPandas(match, out_schema)

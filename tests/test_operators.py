@@ -1,7 +1,6 @@
 """Post-table operators and enrichment (SET, AGG-2, SRT, TOP, PRT, JON-1, RUL-1)."""
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from postflow.operators import enrich, posts as ops
@@ -72,8 +71,37 @@ def test_rules(spark):
     got = sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules).collect())
     assert got == [("1", 1, "kw"), ("2", 3, "rt"), ("5", 2, "any")]
     assert enrich.tag_by_rules(posts, []).count() == 0
+    assert sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules, method="automaton")
+                  .collect()) == got
     ref = enrich.REFERENCE_RULES
     assert len(ref) == 4 and {r.tag for r in ref} == {"coronavirus", "COVID-19", "Covid-19",
                                                      "covid19"}
     assert sorted(tuple(r) for r in enrich.tag_by_rules(posts, ref).select("id").distinct()
                   .collect()) == [("1",)]
+
+
+@pytest.mark.parametrize("method,n_rules", [("expression", 60), ("automaton", 300),
+                                            ("auto", 300)])
+def test_many_rules_match_brute_force(spark, sf_dir, method, n_rules):
+    """Generated rules (no cap): each method equals a plain Python check."""
+    from postflow.plans import fixtures as fx
+    posts = fx.with_lang(spark, sf_dir)
+    words = ["#click", "#view", "#error", "#k3", "saw", "ok #sign", "(#hidden)", "rt @x", "#x"]
+    rules = [enrich.Rule(i, f"t{i}", (words[i % len(words)], f"#K{i % 7}"), i % 2 == 0,
+                         (None, "en", "fr")[i % 3])
+             for i in range(n_rules)]
+    got = sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules, method=method).collect())
+    want = []
+    for p in posts.collect():
+        for r in rules:
+            if p.text is None:
+                continue
+            low = p.text.lower()
+            hit = any(k.lower() in low for k in r.any_of)
+            if r.exclude_retweets and p.text.startswith("RT @"):
+                hit = False
+            if r.lang is not None and p.lang != r.lang:
+                hit = False
+            if hit:
+                want.append((p.id, r.rule_id, r.tag))
+    assert got == sorted(want) and len(want) > 1000
