@@ -8,7 +8,8 @@ Here a keyed table is a directory of Parquet files written only by Spark jobs:
   that batch (dynamic partition overwrite), so a replayed micro-batch is idempotent. Reads keep,
   per key, the row of the highest batch, then the highest tie-break columns (NULL lowest).
   Rows with a NULL key cannot be stored by key; they land in ``rejected=true`` instead of being
-  lost.
+  lost. ``compact`` folds batches ``<= M`` into a committed base under ``_compacted/``; readers
+  take the base plus the batches after ``M``.
 * **replace** tables (complete = truncate and replace): each write is a full snapshot in a
   fresh folder ``<base>/<name>/v<N>-<token>/``; a commit file ``_commits/<N>`` then names it.
   Files are only created, never overwritten, so a reader sees either the old or the new
@@ -29,6 +30,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from postflow import fs, schemas
 
 COMMITS = "_commits"
+COMPACTED = "_compacted"
 KEEP_SNAPSHOTS = 2
 
 
@@ -189,8 +191,36 @@ def read_table(spark: SparkSession, table: KeyedTable, base: str) -> DataFrame:
             return spark.createDataFrame([], table.schema)
         snap = spark.read.schema(_snapshot_schema(table)).parquet(current)
         return snap.where(~F.col("rejected")).select(*table.columns)
-    stored = spark.read.schema(_stored_schema(table, "batch_id")).parquet(root)
-    return latest_by_key(stored.where(~F.col("rejected")), table)
+    return latest_by_key(_keyed_rows(spark, table, root), table)
+
+
+def _compacted_base(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """``(M, folder)`` of the last committed compaction of an upsert table (covers batches <= M)."""
+    home = f"{root}/{COMPACTED}"
+    versions = _versions(spark, home, "snapshot")
+    if not versions:
+        return None
+    folder = fs.read_text(spark, f"{home}/{COMMITS}/{versions[-1]}")
+    return (versions[-1], f"{home}/{folder.strip()}") if folder else None
+
+
+def _keyed_rows(spark: SparkSession, table: KeyedTable, root: str,
+                upto: int | None = None) -> DataFrame:
+    """The stored rows that make up an upsert table, with ``batch_id``: the compacted base
+    (its rows as batch ``M``) and the batches after ``M`` (pruned by partition filter)."""
+    stored = (spark.read.schema(_stored_schema(table, "batch_id")).parquet(root)
+              .where(~F.col("rejected")))
+    compacted = _compacted_base(spark, root)
+    if compacted is not None:
+        stored = stored.where(F.col("batch_id") > compacted[0])
+    if upto is not None:
+        stored = stored.where(F.col("batch_id") <= upto)
+    rows = stored.select(*table.columns, "batch_id")
+    if compacted is None:
+        return rows
+    base_rows = (spark.read.schema(table.schema).parquet(compacted[1])
+                 .select(*table.columns, F.lit(compacted[0]).cast("long").alias("batch_id")))
+    return base_rows.unionByName(rows)
 
 
 def latest_by_key(stored: DataFrame, table: KeyedTable) -> DataFrame:
@@ -209,19 +239,42 @@ def latest_by_key(stored: DataFrame, table: KeyedTable) -> DataFrame:
                            for c in table.columns])
 
 
-def compact(spark: SparkSession, table: KeyedTable, base: str) -> int | None:
-    """Fold all batches of an upsert table into one new batch; returns its number.
+def last_batch(spark: SparkSession, table: KeyedTable, base: str) -> int | None:
+    """Highest batch number written to an upsert table (compacted batches included)."""
+    root = table.path(base)
+    numbers = _versions(spark, root, "batch_id")
+    compacted = _compacted_base(spark, root)
+    if compacted is not None:
+        numbers.append(compacted[0])
+    return max(numbers) if numbers else None
 
-    The folded batch holds exactly the current view, so reads give the same rows before and
-    after; older keyed batches are deleted only once the new one is committed. Rejected rows
-    are kept.
+
+def compact(spark: SparkSession, table: KeyedTable, base: str) -> int | None:
+    """Fold the batches of an upsert table into a compacted base; returns the last batch folded.
+
+    The base holds exactly the current view of batches ``<= M`` and is committed like a replace
+    table's snapshot (new folder, then a new commit file under ``_compacted/``). Readers then take
+    the base plus batches ``> M``. Compaction never writes a batch number, so a stream writing
+    batches at the same time is not disturbed, and a replayed batch ``<= M`` is ignored by
+    readers (its rows are already in the base). Batches covered by the *previous* base are
+    deleted (readers that started before the new commit still find theirs); rejected rows are
+    kept.
     """
     root = ensure_table(spark, table, base)
     batches = _versions(spark, root, "batch_id")
-    if len(batches) <= 1:
-        return batches[0] if batches else None
-    new = batches[-1] + 1
-    write_keyed(read_table(spark, table, base), table, base, new)
+    previous = _compacted_base(spark, root)
+    covered = previous[0] if previous else -1
+    newer = [b for b in batches if b > covered]
+    if not newer:
+        return previous[0] if previous else None
+    upto = newer[-1]
+    view = latest_by_key(_keyed_rows(spark, table, root, upto=upto), table)
+    folder = f"v{upto}-{uuid.uuid4().hex[:12]}"
+    home = f"{root}/{COMPACTED}"
+    view.write.mode("overwrite").parquet(f"{home}/{folder}")
+    fs.write_text(spark, f"{home}/{COMMITS}/{upto}", folder)
     for b in batches:
-        fs.delete(spark, f"{root}/batch_id={b}/rejected=false")
-    return new
+        if b <= covered:
+            fs.delete(spark, f"{root}/batch_id={b}/rejected=false")
+    _drop_old_snapshots(spark, home)
+    return upto

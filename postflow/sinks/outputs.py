@@ -60,8 +60,10 @@ def write(df: DataFrame, kind: str = "console", *, table: kt.KeyedTable | None =
 def _next_version(spark, table: kt.KeyedTable, base: str, batch_id: int | None) -> int:
     if batch_id is not None:
         return int(batch_id)
-    part = "batch_id" if table.mode == "upsert" else "snapshot"
-    existing = kt._versions(spark, table.path(base), part)
+    if table.mode == "upsert":
+        last = kt.last_batch(spark, table, base)
+        return 0 if last is None else last + 1
+    existing = kt._versions(spark, table.path(base), "snapshot")
     return existing[-1] + 1 if existing else 0
 
 

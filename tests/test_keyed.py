@@ -98,6 +98,17 @@ def test_write_picks_next_batch_and_compacts(spark, tmp_base):
     write(_posts(spark, [(None, "a", "t", "bad")]), "keyed", table=t, base=tmp_base)
     before = _read(spark, t, tmp_base)
     assert before == [("1", "a", "v3", "t"), ("2", "b", "v3", "t")]  # batch table column order
-    assert kt.compact(spark, t, tmp_base) == 4
+    assert kt.compact(spark, t, tmp_base) == 3
     assert _read(spark, t, tmp_base) == before
     assert kt.read_rejected(spark, t, tmp_base).count() == 1
+    # writes after a compaction take the next number and win; a replayed old batch is ignored
+    write(_posts(spark, [("2", "b", "t", "v4")]), "keyed", table=t, base=tmp_base)
+    kt.write_keyed(_posts(spark, [("1", "a", "t", "v0-replayed")]), t, tmp_base, 0)
+    assert _read(spark, t, tmp_base) == [("1", "a", "v3", "t"), ("2", "b", "v4", "t")]
+    assert kt.compact(spark, t, tmp_base) == 4
+    assert _read(spark, t, tmp_base) == [("1", "a", "v3", "t"), ("2", "b", "v4", "t")]
+    kept = sorted(n for n in fs.list_names(spark, t.path(tmp_base)) if n.startswith("batch_id"))
+    assert "batch_id=4" in kept  # batches covered only by the newest base stay one more round
+    assert fs.list_names(spark, f"{t.path(tmp_base)}/batch_id=0") == []  # folded twice: gone
+    assert kt.read_rejected(spark, t, tmp_base).count() == 1
+    assert kt.compact(spark, t, tmp_base) == 4  # nothing new to fold
