@@ -5,6 +5,7 @@
     python -m postflow.plans.jobs authors --output console --base OUT --k 10
     python -m postflow.plans.jobs ids     --path IDS --output console
     python -m postflow.plans.jobs hydrate --path IDS --base OUT --output keyed
+    python -m postflow.plans.jobs compact --base OUT
 
 The session comes from ``spark-submit`` (or ``SparkSession.builder`` defaults); the job never
 sets a master. ``--base`` is the folder of the keyed tables (the reference's keyspace).
@@ -146,6 +147,15 @@ def hydrate(spark: SparkSession, *, path: str, base: str, output: str = "keyed",
     return query
 
 
+def compact(spark: SparkSession, *, base: str, tables: Sequence[str] | None = None) -> dict:
+    """Maintenance: fold the batches of the upsert tables into their compacted bases (safe while
+    streams write). Returns ``{table: last batch folded}``."""
+    known = {t.name: t for t in (kt.STREAM_POSTS, kt.BATCH_POSTS, kt.AUTHOR_COUNTS,
+                                 kt.HASHTAG_COUNT_UPDATES)}
+    names = list(tables or known)
+    return {n: kt.compact(spark, known[n], base) for n in names}
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="postflow")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -174,6 +184,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--output", choices=["kafka", "console", "keyed"], default="keyed")
     p.add_argument("--available_now", action="store_true")
 
+    p = sub.add_parser("compact", help="fold upsert-table batches into a compacted base")
+    p.add_argument("--tables", nargs="*", default=None)
+
     for name, sp in sub.choices.items():
         sp.add_argument("--base", default=None, help="folder of the keyed tables")
         sp.add_argument("--path", default=None, help="input folder (files source, id files)")
@@ -197,6 +210,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "ids":
         ids(spark, path=args.path, output=args.output, base=args.base,
             topic=args.topic or "tweetId")
+    elif args.job == "compact":
+        print(compact(spark, base=args.base, tables=args.tables))
     elif args.job == "hydrate":
         hydrate(spark, path=args.path, base=args.base, output=args.output,
                 topic=args.topic or "getTweets", trigger=trigger)

@@ -112,3 +112,13 @@ def test_write_picks_next_batch_and_compacts(spark, tmp_base):
     assert fs.list_names(spark, f"{t.path(tmp_base)}/batch_id=0") == []  # folded twice: gone
     assert kt.read_rejected(spark, t, tmp_base).count() == 1
     assert kt.compact(spark, t, tmp_base) == 4  # nothing new to fold
+
+
+def test_compact_job(spark, tmp_base):
+    from postflow.plans import jobs
+    for text in ("v1", "v2"):
+        write(_posts(spark, [("1", "a", "t", text)]), "keyed", table=kt.STREAM_POSTS,
+              base=tmp_base)
+    folded = jobs.compact(spark, base=tmp_base)
+    assert folded["stream_blob_tweets"] == 1 and folded["batch_tweets"] is None
+    assert _read(spark, kt.STREAM_POSTS, tmp_base) == [("1", "a", "t", "v2")]

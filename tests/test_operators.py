@@ -105,3 +105,20 @@ def test_many_rules_match_brute_force(spark, sf_dir, method, n_rules):
             if hit:
                 want.append((p.id, r.rule_id, r.tag))
     assert got == sorted(want) and len(want) > 1000
+
+
+def test_hydrate_spreads_a_hot_id_over_tasks(spark):
+    """One id listed 20,000 times (a third of the list): exact copies, made by many tasks."""
+    hot = spark.range(20_000).select(F.lit("hot").alias("tweet_id"), F.lit("u").alias("user_id"))
+    cold = spark.range(40_000).select(F.col("id").cast("string").alias("tweet_id"),
+                                      F.lit("u").alias("user_id"))
+    archive = spark.range(50_000).select(F.col("id").cast("string").alias("id"),
+                                         F.lit("a").alias("author_id"),
+                                         F.lit("t").alias("created_at"), F.lit("x").alias("text"))
+    archive = archive.unionByName(spark.createDataFrame([("hot", "b", "t", "y")], S_COLS))
+    out = enrich.hydrate(hot.unionByName(cold), archive, chunk=1000)
+    counts = out.groupBy((F.col("tweet_id") == "hot").alias("is_hot")).count().collect()
+    assert {r.is_hot: r["count"] for r in counts} == {True: 20_000, False: 40_000}
+    tasks = (out.where(F.col("tweet_id") == "hot")
+                .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert tasks >= 4
