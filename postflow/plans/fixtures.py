@@ -25,7 +25,27 @@ TEST_RULES = [
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
+SPREAD_CONF = "postflow.spreadSmallScans"
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer partitions than the cluster has cores over all cores.
+
+    A Parquet file with one row group is read by one task, and every narrow step after it (JSON
+    building and parsing, token split) then runs on one core. Input of real size has at least
+    as many splits as cores, so this adds nothing there; for small inputs it is a round-robin
+    exchange of the narrow scan columns. ``postflow.spreadSmallScans=false`` turns it off.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(SPREAD_CONF, "true").lower() != "true":
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def _s(col: Column | str) -> Column:

@@ -20,6 +20,20 @@ EXCHANGES = {
 }
 
 
+@pytest.fixture(autouse=True)
+def _operator_plans_only(spark):
+    """Plan shapes of the operators themselves: no spreading of the one-row-group test file."""
+    spark.conf.set("postflow.spreadSmallScans", "false")
+    yield
+    spark.conf.unset("postflow.spreadSmallScans")
+
+
+def test_small_scans_are_spread(spark, sf_dir, capsys):
+    spark.conf.set("postflow.spreadSmallScans", "true")
+    plan = _plan(entry.queries()["hashtag_counts"](spark, sf_dir), capsys)
+    assert "RoundRobinPartitioning" in plan
+
+
 def _plan(df, capsys):
     df.explain(mode="formatted")
     return capsys.readouterr().out
