@@ -122,3 +122,16 @@ def test_compact_job(spark, tmp_base):
     folded = jobs.compact(spark, base=tmp_base)
     assert folded["stream_blob_tweets"] == 1 and folded["batch_tweets"] is None
     assert _read(spark, kt.STREAM_POSTS, tmp_base) == [("1", "a", "t", "v2")]
+
+
+def test_read_after_compaction_is_a_plain_scan(spark, tmp_base, capsys):
+    t = kt.STREAM_POSTS
+    kt.write_keyed(_posts(spark, [("1", "a", "t", "x"), ("2", "b", "t", "y")]), t, tmp_base, 0)
+    kt.write_keyed(_posts(spark, [("1", "a", "t", "x2")]), t, tmp_base, 1)
+    kt.compact(spark, t, tmp_base)
+    df = kt.read_table(spark, t, tmp_base)
+    df.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "a", "t", "x2"), ("2", "b", "t", "y")]
+    kt.write_keyed(_posts(spark, [("2", "b", "t", "y2")]), t, tmp_base, 2)
+    assert _read(spark, t, tmp_base) == [("1", "a", "t", "x2"), ("2", "b", "t", "y2")]
