@@ -42,10 +42,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get(SPREAD_CONF, "true").lower() != "true":
         return df
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as is
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 def _s(col: Column | str) -> Column:
