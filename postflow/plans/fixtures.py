@@ -94,15 +94,17 @@ def batch_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Id list to hydrate: with duplicates and with ids that do not resolve."""
+    """Id list to hydrate: every post once, some twice, ids that do not resolve, and one hot id
+    (the first post, listed again for every third event: about a quarter of the list)."""
     p = base(spark, sf_dir)
     uid = _s("user_id").alias("user_id")
-    listed = p.where(F.col("user_id") < 50)
-    return (listed.select(F.col("id").alias("tweet_id"), uid)
-            .unionByName(listed.where(F.col("event_id") % 7 == 0)
+    return (p.select(F.col("id").alias("tweet_id"), uid)
+            .unionByName(p.where(F.col("event_id") % 7 == 0)
                          .select(F.col("id").alias("tweet_id"), uid))
             .unionByName(p.where(F.col("event_id") % 13 == 0)
-                         .select(F.concat(F.lit("missing-"), "id").alias("tweet_id"), uid)))
+                         .select(F.concat(F.lit("missing-"), "id").alias("tweet_id"), uid))
+            .unionByName(p.where(F.col("event_id") % 3 == 0)
+                         .select(F.lit("0").alias("tweet_id"), uid)))
 
 
 def _post_struct() -> Column:
@@ -184,11 +186,13 @@ ORACLE_RELATIONS = {
          created_at
   FROM p WHERE event_id % 2 = 0)""",
     "ids": """ids AS (
-  SELECT id AS tweet_id, CAST(user_id AS VARCHAR) AS user_id FROM p WHERE user_id < 50
+  SELECT id AS tweet_id, CAST(user_id AS VARCHAR) AS user_id FROM p
   UNION ALL
-  SELECT id, CAST(user_id AS VARCHAR) FROM p WHERE user_id < 50 AND event_id % 7 = 0
+  SELECT id, CAST(user_id AS VARCHAR) FROM p WHERE event_id % 7 = 0
   UNION ALL
-  SELECT concat('missing-', id), CAST(user_id AS VARCHAR) FROM p WHERE event_id % 13 = 0)""",
+  SELECT concat('missing-', id), CAST(user_id AS VARCHAR) FROM p WHERE event_id % 13 = 0
+  UNION ALL
+  SELECT '0', CAST(user_id AS VARCHAR) FROM p WHERE event_id % 3 = 0)""",
     "rules": """rules AS (
   SELECT * FROM (VALUES
     (1, 'buy', ['#purchase', '#signup'], true, 'en'),
