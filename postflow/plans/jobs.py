@@ -192,10 +192,12 @@ def main(argv: Sequence[str] | None = None) -> None:
         sp.add_argument("--path", default=None, help="input folder (files source, id files)")
         sp.add_argument("--servers", default="localhost:9092")
         sp.add_argument("--topic", default=None)
+        sp.add_argument("--file_format", default="parquet",
+                        help="files source: parquet | json (key/value columns) | text (lines)")
 
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"postflow-{args.job}").getOrCreate()
-    opts = {"servers": args.servers, "path": args.path}
+    opts = {"servers": args.servers, "path": args.path, "file_format": args.file_format}
     if args.topic:
         opts["topic"] = args.topic
     trigger = {"availableNow": True} if getattr(args, "available_now", False) else None

@@ -33,8 +33,9 @@ def read_messages(spark: SparkSession, kind: str = "socket", streaming: bool = T
 
     * ``kafka``: Spark's Kafka source (needs the spark-sql-kafka package on the classpath).
     * ``socket``: text lines from ``host:port`` (streaming only; for tests and demos).
-    * ``files``: a directory of Parquet/JSON files with ``key``/``value`` columns; new files are
-      picked up once each. Use a directory (``pathGlobFilter`` to select files), not a file.
+    * ``files``: a directory of Parquet/JSON files with ``key``/``value`` columns, or with
+      ``file_format="text"`` of text files holding one message per line; new files are picked
+      up once each. Use a directory (``pathGlobFilter`` to select files), not a file.
     """
     options = dict(options or {})
     if kind == "kafka":
@@ -50,6 +51,9 @@ def read_messages(spark: SparkSession, kind: str = "socket", streaming: bool = T
         if path is None:
             raise ValueError("kind='files' needs path=")
         reader = spark.readStream if streaming else spark.read
+        if file_format == "text":
+            # one message per line (JSON-lines files): ``value string``, as the socket gives
+            return reader.format("text").options(**options).load(path)
         return reader.format(file_format).schema(schemas.MESSAGE).options(**options).load(path)
     raise ValueError(f"unknown source {kind!r}; expected one of {SOURCE_KINDS}")
 

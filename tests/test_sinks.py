@@ -48,3 +48,19 @@ def test_command_line_authors(spark, tmp_base):
     jobs.main(["authors", "--base", tmp_base, "--output", "keyed"])
     got = sorted(tuple(r) for r in kt.read_table(spark, kt.AUTHOR_COUNTS, tmp_base).collect())
     assert got == [("a", 2), ("b", 1)]
+
+
+def test_command_line_stream_of_json_lines(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.jsonl"), "w") as f:
+        f.write('{"data":{"id":"1","author_id":"a","created_at":"t","text":"#q #q"}}\n')
+        f.write('{"data":{"id":"2","author_id":"b","created_at":"t","text":"#r"}}\n')
+    base = os.path.join(tmp_base, "tables")
+    jobs.main(["stream", "--source", "files", "--file_format", "text", "--path", inbox,
+               "--output", "keyed", "--base", base, "--available_now"])
+    for q in spark.streams.active:
+        q.awaitTermination()
+    assert kt.read_table(spark, kt.STREAM_POSTS, base).count() == 2
+    got = dict(tuple(r) for r in kt.read_table(spark, kt.HASHTAG_COUNTS, base).collect())
+    assert got == {"#q": 2, "#r": 1}

@@ -124,3 +124,16 @@ def test_update_mode_upserts_changed_counts_only(spark, tmp_base):
     with pytest.raises(ValueError):
         sq.start_hashtags(src, base=tmp_base, checkpoint=f"{tmp_base}/cp2",
                           output_mode="update", table=kt.HASHTAG_COUNTS)
+
+
+def test_json_lines_files_stream(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.jsonl"), "w") as f:
+        f.write('{"data":{"id":"1","author_id":"a","created_at":"t","text":"#q #q"}}\n')
+        f.write("not json\n")
+        f.write('{"data":{"id":"2","text":"#r"}}\n')
+    src = read_messages(spark, "files", path=inbox, file_format="text")
+    sq.start_hashtags(src, base=tmp_base, checkpoint=f"{tmp_base}/cp", trigger=NOW).awaitTermination()
+    got = dict(tuple(r) for r in kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).collect())
+    assert got == {"#q": 2, "#r": 1}
