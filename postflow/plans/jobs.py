@@ -162,7 +162,7 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     p = sub.add_parser("stream", help="live posts + running hashtag counts")
     p.add_argument("--source", choices=["kafka", "socket", "files"], default="socket")
-    p.add_argument("--output", choices=["kafka", "console", "keyed"], default="console")
+    p.add_argument("--output", choices=["kafka", "console", "keyed", "cassandra"], default="console")
     p.add_argument("--del_checkpoint", choices=["true", "false"], default="false")
     p.add_argument("--payload", choices=["json", "text"], default="json")
     p.add_argument("--partitions", type=int, default=None)
@@ -171,17 +171,17 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     p = sub.add_parser("ingest", help="batch ingest of looked-up posts")
     p.add_argument("--source", choices=["kafka", "files"], default="kafka")
-    p.add_argument("--output", choices=["console", "keyed"], default="console")
+    p.add_argument("--output", choices=["console", "keyed", "cassandra"], default="console")
 
     p = sub.add_parser("authors", help="posts per author, highest first")
-    p.add_argument("--output", choices=["console", "keyed"], default="console")
+    p.add_argument("--output", choices=["console", "keyed", "cassandra"], default="console")
     p.add_argument("--k", type=int, default=None, help="Number of elements in Top-K result")
 
     p = sub.add_parser("ids", help="stream of id files")
     p.add_argument("--output", choices=["kafka", "console"], default="console")
 
     p = sub.add_parser("hydrate", help="id files → posts")
-    p.add_argument("--output", choices=["kafka", "console", "keyed"], default="keyed")
+    p.add_argument("--output", choices=["kafka", "console", "keyed", "cassandra"], default="keyed")
     p.add_argument("--available_now", action="store_true")
 
     p = sub.add_parser("compact", help="fold upsert-table batches into a compacted base")
@@ -196,6 +196,9 @@ def main(argv: Sequence[str] | None = None) -> None:
                         help="files source: parquet | json (key/value columns) | text (lines)")
 
     args = parser.parse_args(argv)
+    if getattr(args, "output", None) == "cassandra":
+        # The reference's key-value store; here its tables are the keyed Parquet tables.
+        args.output = "keyed"
     spark = SparkSession.builder.appName(f"postflow-{args.job}").getOrCreate()
     opts = {"servers": args.servers, "path": args.path, "file_format": args.file_format}
     if args.topic:

@@ -45,7 +45,7 @@ def test_command_line_authors(spark, tmp_base):
                                   "id string, author_id string, created_at string, text string")
     kt.write_keyed(posts, kt.STREAM_POSTS, tmp_base, 0)
     jobs.main(["authors", "--base", tmp_base, "--k", "1"])  # console: printed by the JVM
-    jobs.main(["authors", "--base", tmp_base, "--output", "keyed"])
+    jobs.main(["authors", "--base", tmp_base, "--output", "cassandra"])  # alias of keyed
     got = sorted(tuple(r) for r in kt.read_table(spark, kt.AUTHOR_COUNTS, tmp_base).collect())
     assert got == [("a", 2), ("b", 1)]
 
