@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postflow import fs
 from postflow.sinks import keyed as kt
-from postflow.sources.messages import kafka_options
+from postflow.sources.messages import kafka_sink_options
 
 SINK_KINDS = ("console", "keyed", "kafka", "format")
 
@@ -46,7 +46,7 @@ def write(df: DataFrame, kind: str = "console", *, table: kt.KeyedTable | None =
     if kind == "kafka":
         if topic is None:
             raise ValueError("kind='kafka' needs topic=")
-        (df.write.format("kafka").options(**kafka_options(topic, servers))
+        (df.write.format("kafka").options(**kafka_sink_options(servers))
            .option("topic", topic).options(**(options or {})).save())
         return
     if kind == "format":
@@ -100,7 +100,7 @@ def write_stream(df: DataFrame, kind: str = "console", *, checkpoint: str | None
     if kind == "kafka":
         if topic is None:
             raise ValueError("kind='kafka' needs topic=")
-        return (writer.format("kafka").options(**kafka_options(topic, servers))
+        return (writer.format("kafka").options(**kafka_sink_options(servers))
                 .option("topic", topic).options(**(options or {})).start())
     if kind == "format":
         if not format:

@@ -24,6 +24,13 @@ def kafka_options(topic: str, servers: str = "localhost:9092", streaming: bool =
     return opts
 
 
+def kafka_sink_options(servers: str = "localhost:9092", **extra) -> dict[str, str]:
+    """Options for Spark's Kafka sink (the topic is passed separately)."""
+    opts = {"kafka.bootstrap.servers": servers}
+    opts.update({k: str(v) for k, v in extra.items()})
+    return opts
+
+
 def read_messages(spark: SparkSession, kind: str = "socket", streaming: bool = True, *,
                   topic: str = "covid19", servers: str = "localhost:9092",
                   host: str = "localhost", port: int = 9009,

@@ -5,8 +5,8 @@ import os
 
 import pytest
 
-from postflow.sources.messages import (infer_json_schema, kafka_options, read_id_files,
-                                       read_messages)
+from postflow.sources.messages import (infer_json_schema, kafka_options, kafka_sink_options,
+                                       read_id_files, read_messages)
 from postflow.sinks.outputs import write, write_stream
 
 
@@ -37,6 +37,7 @@ def test_kafka_options_map_like_the_reference():
                                         "subscribe": "covid19"}
     opts = kafka_options("t", "h:1", startingOffsets="earliest")
     assert opts["startingOffsets"] == "earliest" and opts["subscribe"] == "t"
+    assert kafka_sink_options("h:1") == {"kafka.bootstrap.servers": "h:1"}
 
 
 def test_kafka_without_the_connector_fails_clearly(spark):
