@@ -149,6 +149,17 @@ def stream_hashtags_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kt.read_table(spark, kt.HASHTAG_COUNT_UPDATES, base)
 
 
+def stream_line_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The socket path: the text-only line feed (PRJ-7) arrives as lines of text files and the
+    hashtag stream counts them with ``payload="text"`` (each line is post text)."""
+    base = scratch(spark, "stream_line_feed")
+    text_lines(fx.posts(spark, sf_dir)).write.mode("append").text(f"{base}/in")
+    source = read_messages(spark, "files", path=f"{base}/in", file_format="text")
+    sq.start_hashtags(source, base=base, checkpoint=f"{base}/checkpoint/hashtags",
+                      payload="text", trigger=AVAILABLE_NOW).awaitTermination()
+    return kt.read_table(spark, kt.HASHTAG_COUNTS, base)
+
+
 def stream_hydrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark, "stream_hydrate")
     _write_id_files(spark, sf_dir, f"{base}/in")
@@ -191,6 +202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_posts_append": stream_posts_append,
     "stream_hashtags_complete": stream_hashtags_complete,
     "stream_hashtags_update": stream_hashtags_update,
+    "stream_line_feed": stream_line_feed,
     "stream_hydrate": stream_hydrate,
     "stream_restart": stream_restart,
 }

@@ -71,6 +71,7 @@ WHERE EXISTS (SELECT 1 FROM unnest(r.any_of) AS k(kw) WHERE contains(lower(p.tex
     "stream_posts_append": oracle_with() + _WELL_FORMED_POSTS,
     "stream_hashtags_complete": oracle_with() + _counts(f"({_WELL_FORMED_POSTS}) wf"),
     "stream_hashtags_update": oracle_with() + _counts(f"({_WELL_FORMED_POSTS}) wf"),
+    "stream_line_feed": oracle_with("posts") + _counts("posts"),
     "stream_hydrate": oracle_with("posts", "ids") + _HYDRATE,
     "stream_restart": oracle_with() + _counts(f"({_WELL_FORMED_POSTS}) wf"),
 }
