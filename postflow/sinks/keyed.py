@@ -245,6 +245,22 @@ def latest_by_key(stored: DataFrame, table: KeyedTable) -> DataFrame:
                            for c in table.columns])
 
 
+ALL_TABLES = (STREAM_POSTS, BATCH_POSTS, HASHTAG_COUNTS, HASHTAG_COUNT_UPDATES, AUTHOR_COUNTS)
+
+
+def register_views(spark: SparkSession, base: str,
+                   tables: tuple[KeyedTable, ...] = ALL_TABLES) -> list[str]:
+    """Name each table's current content as a temporary view, so it can be queried with
+    ``spark.sql`` under the reference's table names (e.g. ``SELECT * FROM stream_hashtags``).
+    A view shows the table as of this call (snapshot choice, batch listing); call again to see
+    later writes. Returns the view names."""
+    names = []
+    for table in tables:
+        read_table(spark, table, base).createOrReplaceTempView(table.name)
+        names.append(table.name)
+    return names
+
+
 def last_batch(spark: SparkSession, table: KeyedTable, base: str) -> int | None:
     """Highest batch number written to an upsert table (compacted batches included)."""
     root = table.path(base)

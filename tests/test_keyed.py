@@ -135,3 +135,15 @@ def test_read_after_compaction_is_a_plain_scan(spark, tmp_base, capsys):
     assert sorted(tuple(r) for r in df.collect()) == [("1", "a", "t", "x2"), ("2", "b", "t", "y")]
     kt.write_keyed(_posts(spark, [("2", "b", "t", "y2")]), t, tmp_base, 2)
     assert _read(spark, t, tmp_base) == [("1", "a", "t", "x2"), ("2", "b", "t", "y2")]
+
+
+def test_register_views(spark, tmp_base):
+    kt.write_keyed(_posts(spark, [("1", "a", "t", "x"), ("1", "a", "t", "y")]), kt.STREAM_POSTS,
+                   tmp_base, 0)
+    kt.replace_keyed(spark.createDataFrame([("#a", 3)], "hashtag string, count bigint"),
+                     kt.HASHTAG_COUNTS, tmp_base, 0)
+    names = kt.register_views(spark, tmp_base)
+    assert "stream_blob_tweets" in names and "topK_authors" in names
+    assert spark.sql("SELECT text FROM stream_blob_tweets").collect()[0].text == "y"
+    assert spark.sql("SELECT count FROM stream_hashtags WHERE hashtag = '#a'").first()[0] == 3
+    assert spark.sql("SELECT count(*) FROM batch_tweets").first()[0] == 0
