@@ -45,3 +45,23 @@ def test_jobs_chain(spark, sf_dir, tmp_base):
     assert stored.count() == posts.select("author_id").where("author_id IS NOT NULL") \
         .distinct().count()
     assert kt.read_rejected(spark, kt.AUTHOR_COUNTS, base).count() == 1  # the NULL author
+
+
+
+def test_incremental_ingest_reads_only_new_messages(spark, sf_dir, tmp_base):
+    base = f"{tmp_base}/tables"
+    posts = fx.posts(spark, sf_dir)
+    first = posts.where(F.col("id").cast("long") % 2 == 0)
+    second = posts.where(F.col("id").cast("long") % 2 == 1)
+    encode_lookup_messages(first).write.mode("append").parquet(f"{tmp_base}/lookups")
+    got = jobs.ingest(spark, source="files", output="keyed", base=base,
+                      path=f"{tmp_base}/lookups", incremental=True)
+    assert got.count() == first.count()
+    encode_lookup_messages(second).write.mode("append").parquet(f"{tmp_base}/lookups")
+    got = jobs.ingest(spark, source="files", output="keyed", base=base,
+                      path=f"{tmp_base}/lookups", incremental=True)
+    assert got.count() == posts.count()
+    last = [q for q in spark.streams.active]
+    assert not last
+    stored = spark.read.parquet(kt.BATCH_POSTS.path(base)).where("NOT rejected")
+    assert stored.count() == posts.count()  # every message was read once, not re-read
