@@ -144,13 +144,16 @@ def hydrate(spark: SparkSession, *, path: str, base: str, output: str = "keyed",
     ``output``: ``keyed`` upserts the found posts into the batch post table; ``kafka`` publishes
     them as lookup messages (list form) for ``ingest``; ``console`` prints them.
     """
-    archive = archive if archive is not None else kt.read_table(spark, kt.STREAM_POSTS, base)
+    def current_archive() -> DataFrame:
+        # Read per micro-batch: new posts and compactions of the table are seen as they happen.
+        return archive if archive is not None else kt.read_table(spark, kt.STREAM_POSTS, base)
+
     stream_ids = read_id_files(spark, path)
     cp = _checkpoint(base, "hydrate")
     offset = batch_offset(spark, kt.BATCH_POSTS, base, cp) if output == "keyed" else 0
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        found = hydrate_ids(batch, archive)
+        found = hydrate_ids(batch, current_archive())
         if output == "kafka":
             write(msg.encode_lookup_messages(found.withColumnRenamed("tweet_id", "id")), "kafka",
                   topic=topic)

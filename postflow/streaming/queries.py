@@ -75,15 +75,21 @@ def start_hashtags(messages: DataFrame, *, kind: str = "keyed", base: str | None
                         table=table, base=base)
 
 
-def start_hydrate(ids: DataFrame, archive: DataFrame, *, base: str, checkpoint: str,
-                  trigger: dict | None = None, name: str = "hydrated") -> StreamingQuery:
-    """JON-1 on a stream of id files: each micro-batch is hydrated against the static archive
-    with the skew-safe batch join, and written as one batch of an append-only Parquet folder
-    (``<base>/<name>/batch_id=N``; a replayed micro-batch replaces its own folder)."""
+def start_hydrate(ids: DataFrame, archive: DataFrame | Callable[[], DataFrame], *, base: str,
+                  checkpoint: str, trigger: dict | None = None,
+                  name: str = "hydrated") -> StreamingQuery:
+    """JON-1 on a stream of id files: each micro-batch is hydrated against the archive with the
+    skew-safe batch join, and written as one batch of an append-only Parquet folder
+    (``<base>/<name>/batch_id=N``; a replayed micro-batch replaces its own folder).
+
+    ``archive`` may be a function returning the archive: it is then called per micro-batch, so
+    a growing or compacted keyed table is read as it is at that micro-batch (a DataFrame keeps
+    the file listing it was created with)."""
     out = f"{base.rstrip('/')}/{name}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (hydrate(batch, archive).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        current = archive() if callable(archive) else archive
+        (hydrate(batch, current).withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id").parquet(out))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from postflow import fs
 from postflow.functions.messages import encode_messages
 from postflow.sinks import keyed as kt
-from postflow.sources.messages import read_messages
+from postflow.sources.messages import read_id_files, read_messages
 from postflow.streaming import queries as sq
 
 NOW = {"availableNow": True}
@@ -137,3 +137,30 @@ def test_json_lines_files_stream(spark, tmp_base):
     sq.start_hashtags(src, base=tmp_base, checkpoint=f"{tmp_base}/cp", trigger=NOW).awaitTermination()
     got = dict(tuple(r) for r in kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).collect())
     assert got == {"#q": 2, "#r": 1}
+
+
+
+def test_hydrate_stream_reads_the_archive_per_micro_batch(spark, tmp_base):
+    ids_dir = os.path.join(tmp_base, "ids")
+    os.makedirs(ids_dir)
+    posts = spark.createDataFrame([("1", "a", "t", "x")], COLS)
+    kt.write_keyed(posts, kt.STREAM_POSTS, tmp_base, 0)
+    archive = lambda: kt.read_table(spark, kt.STREAM_POSTS, tmp_base)
+    cp = f"{tmp_base}/cp/hydrate"
+    with open(os.path.join(ids_dir, "a.tsv"), "w") as f:
+        f.write("tweet_id\tuser_id\n1\tu\n2\tu\n")
+    sq.start_hydrate(read_id_files(spark, ids_dir), archive, base=tmp_base, checkpoint=cp,
+                     trigger=NOW).awaitTermination()
+    # the archive grows and is compacted (old batch folders go), then more ids arrive
+    kt.write_keyed(spark.createDataFrame([("2", "b", "t", "y")], COLS), kt.STREAM_POSTS,
+                   tmp_base, 1)
+    kt.compact(spark, kt.STREAM_POSTS, tmp_base)
+    kt.write_keyed(spark.createDataFrame([("3", "c", "t", "z")], COLS), kt.STREAM_POSTS,
+                   tmp_base, 2)
+    kt.compact(spark, kt.STREAM_POSTS, tmp_base)
+    with open(os.path.join(ids_dir, "b.tsv"), "w") as f:
+        f.write("tweet_id\tuser_id\n2\tu\n3\tu\n")
+    sq.start_hydrate(read_id_files(spark, ids_dir), archive, base=tmp_base, checkpoint=cp,
+                     trigger=NOW).awaitTermination()
+    got = sorted(r.tweet_id for r in spark.read.parquet(f"{tmp_base}/hydrated").collect())
+    assert got == ["1", "2", "3"]
