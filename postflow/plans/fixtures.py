@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from postflow import schemas
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-
 # Keyword rules of the tests (rule_id, tag, any_of, exclude_retweets, lang); the last matches nothing.
 TEST_RULES = [
     (1, "buy", ["#purchase", "#signup"], True, "en"),
@@ -50,6 +48,17 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     return df if splits >= cores else df.repartition(cores)
 
 
+def iso_millis(ts: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss.SSSZ`` of a wall-clock timestamp (``TIMESTAMP_NTZ``).
+
+    Built from the timestamp's fields, which carry no zone: unlike ``date_format``, which goes
+    through the session time zone, it gives the same text in every session.
+    """
+    millis = (F.floor(F.date_part(F.lit("SECOND"), ts) * 1000) % 1000).cast("int")
+    return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d.%03dZ", F.year(ts), F.month(ts),
+                           F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), millis)
+
+
 def _s(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("string")
 
@@ -67,7 +76,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         _s(eid).alias("id"),
         F.when(eid % 97 == 0, F.lit(None).cast("string")).otherwise(_s(uid)).alias("author_id"),
-        F.date_format("ts", TIMESTAMP_FORMAT).alias("created_at"),
+        iso_millis(F.col("ts")).alias("created_at"),
         text.alias("text"),
         F.when(eid % 4 == 0, F.lit("fr")).otherwise(F.lit("en")).alias("lang"),
         eid.alias("event_id"),
