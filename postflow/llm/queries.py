@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from postflow.llm.decontaminate import OP10_SQL, op10_decontaminate
 from postflow.llm.license_scan import op2_license_scan
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_decontaminate": OP10_SQL,
+}
