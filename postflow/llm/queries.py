@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from postflow.llm.byte_bpe import op8_byte_bpe
 from postflow.llm.decontaminate import OP10_SQL, op10_decontaminate
 from postflow.llm.license_scan import op2_license_scan
 from postflow.llm.near_dedup import op9_near_dedup
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": OP10_SQL,
 }
