@@ -6,15 +6,18 @@ from postflow.llm.byte_bpe import op8_byte_bpe
 from postflow.llm.decontaminate import OP10_SQL, op10_decontaminate
 from postflow.llm.license_scan import op2_license_scan
 from postflow.llm.near_dedup import op9_near_dedup
+from postflow.llm.token_files import op6_token_files
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
+    "op6_token_files": op6_token_files,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_token_files": op6_token_files,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": OP10_SQL,
