@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from postflow.llm.byte_bpe import op8_byte_bpe
 from postflow.llm.decontaminate import OP10_SQL, op10_decontaminate
+from postflow.llm.html_text import op7_html_text
 from postflow.llm.license_scan import op2_license_scan
 from postflow.llm.near_dedup import op9_near_dedup
 from postflow.llm.token_files import op6_token_files
@@ -11,6 +12,7 @@ from postflow.llm.token_files import op6_token_files
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op6_token_files": op6_token_files,
+    "op7_html_text": op7_html_text,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
@@ -18,6 +20,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op6_token_files": op6_token_files,
+    "op7_html_text": op7_html_text,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": OP10_SQL,
