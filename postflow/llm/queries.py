@@ -8,11 +8,13 @@ from postflow.llm.html_text import op7_html_text
 from postflow.llm.license_scan import op2_license_scan
 from postflow.llm.near_dedup import op9_near_dedup
 from postflow.llm.quality_model import op4_quality
+from postflow.llm.suffix_dedup import op5_suffix_dedup
 from postflow.llm.token_files import op6_token_files
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op4_quality": op4_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_files": op6_token_files,
     "op7_html_text": op7_html_text,
     "op8_byte_bpe": op8_byte_bpe,
@@ -22,6 +24,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_quality": op4_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_files": op6_token_files,
     "op7_html_text": op7_html_text,
     "op8_byte_bpe": op8_byte_bpe,
