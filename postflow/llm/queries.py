@@ -10,9 +10,11 @@ from postflow.llm.near_dedup import op9_near_dedup
 from postflow.llm.quality_model import op4_quality
 from postflow.llm.suffix_dedup import op5_suffix_dedup
 from postflow.llm.token_files import op6_token_files
+from postflow.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
+    "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_files": op6_token_files,
@@ -23,11 +25,13 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_files": op6_token_files,
     "op7_html_text": op7_html_text,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
+    "op3_warc": OP3_SQL,
     "op10_decontaminate": OP10_SQL,
 }
