@@ -7,12 +7,14 @@ from postflow.llm.decontaminate import OP10_SQL, op10_decontaminate
 from postflow.llm.html_text import op7_html_text
 from postflow.llm.license_scan import op2_license_scan
 from postflow.llm.near_dedup import op9_near_dedup
+from postflow.llm.prefix_forest import op1_prefix_forest
 from postflow.llm.quality_model import op4_quality
 from postflow.llm.suffix_dedup import op5_suffix_dedup
 from postflow.llm.token_files import op6_token_files
 from postflow.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
+    "op1_prefix_forest": op1_prefix_forest,
     "op2_license_scan": op2_license_scan,
     "op3_warc": op3_warc,
     "op4_quality": op4_quality,
