@@ -8,11 +8,12 @@
    at most ``MISS``). Tokens that only one class holds are dropped; a class left with fewer than
    ``t`` is done. Ordered by frequency, rarest first, two classes with ``t`` common tokens share
    one of their first ``n - t + 1`` (the prefix), and the merge skips every other posting.
-3. Star rounds: each class is compared with one head per posting list (linear in the postings), the
-   closest head with ``t`` collisions is confirmed on the full sets, and the classes linked so far
-   become components. Then only pairs of classes of different components that share a posting are
-   counted, kept at ``t`` collisions and confirmed. Links inside a component change nothing and
-   are not enumerated.
+3. Classes that share a posting, directly or through others, form a cluster (components of the
+   stars posting list - smallest class, linear in the postings). A cluster's members are dealt by
+   hash into parts of about ``part_bytes`` of shingle sets, and every two parts meet in one task: it
+   counts token collisions, retains pairs with ``t`` or more, and confirms them on the full sets.
+   Only links that join two groups of the task are returned, at most one less than its members, so
+   neither pairs nor links of a large group are listed.
 4. Components by alternating stars; every row gets the smallest key of its component.
 
 Edge cases: null and empty texts, or texts without words, have an empty set and are linked with
@@ -40,7 +41,7 @@ from postflow.llm.tables import staged, table
 N = 32
 #: Chance that a pair exactly at the threshold agrees in fewer than ``t`` tokens.
 MISS = 1e-5
-STAR_ROUNDS = 2
+PART_BYTES = 2 << 20
 
 _seeds = np.random.default_rng(9).integers(1, 2**63, (64, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -101,45 +102,76 @@ def _signed(df: DataFrame, text: str, k: int, words: np.ndarray, n: int) -> Data
     return rows.mapInArrow(run, schema)
 
 
-def _confirmed(pairs: DataFrame, signed: DataFrame, text: str, k: int, words: np.ndarray,
-               percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of row ids whose full shingle sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid")))
-    texts = signed.select("rid", F.col("row").getField(text).alias("text")).join(needed, "rid", "left_semi")
+def _shingled(signed: DataFrame, wanted: DataFrame, text: str, k: int, words: np.ndarray) -> DataFrame:
+    """Full shingle sets of the wanted rows, ``(rid, set)``."""
+    texts = signed.select("rid", F.col("row").getField(text).alias("text")).join(wanted, "rid", "left_semi")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [np.unique(hashes[a:b]).tobytes()
                    for hashes, first in _shingle_sets(batch.column(1), k, words)
                    for a, b in zip(first[:-1], first[1:])]
             yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["rid", "set"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.record_batch([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
-
-    full = staged(texts.mapInArrow(sets, "rid long, set binary"), "near-sets")
-    return (pairs.join(full.select(F.col("rid").alias("a"), F.col("set").alias("set_a")), "a")
-            .join(full.select(F.col("rid").alias("b"), F.col("set").alias("set_b")), "b")
-            .select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long"))
-
-
-def _collisions(pairs: DataFrame, posted: DataFrame, t: int) -> DataFrame:
-    """Pairs ``(a, b)`` with their number of common tokens, from ``t`` on."""
-    side = [posted.select(F.col("rid").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab"]
-    return (pairs.join(side[0], "a").join(side[1], "b")
-            .select("a", "b", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("hits"))
-            .filter(F.col("hits") >= t))
+    return texts.mapInArrow(run, "rid long, set binary")
+
+
+def forest_links(rids: list[int], parts: np.ndarray, tokens: np.ndarray, sets: list[np.ndarray],
+                 t: int, percent: int) -> list[tuple[int, int]]:
+    """Links that join all members of one part, or of two, that the confirmed pairs connect. With
+    two parts, pairs inside one are left to the task that has this part alone."""
+    parent = list(range(len(rids)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    sizes = np.array([len(s) for s in sets])
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = [codes[i:j] for i, j in zip(begin[:-1], begin[1:])]
+    mark = np.zeros(len(known), np.int32)
+    two = len(np.unique(parts)) > 1
+    links = []
+    for a in range(len(rids) - 1):
+        hits = (tokens[a + 1:] == tokens[a]).sum(1) >= t
+        if two:
+            hits &= parts[a + 1:] != parts[a]
+        near = [b for b in (np.flatnonzero(hits) + a + 1).tolist() if root(b) != root(a)]
+        if not near:
+            continue
+        mark[codes[a]] = 1
+        at = np.concatenate(([0], np.cumsum(sizes[near])[:-1]))
+        both = np.add.reduceat(mark[np.concatenate([codes[b] for b in near])], at)
+        mark[codes[a]] = 0
+        for i in np.flatnonzero(100 * both >= percent * (sizes[a] + sizes[near] - both)).tolist():
+            x, y = root(a), root(near[i])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                links.append((rids[a], rids[near[i]]))
+    return links
+
+
+def _cluster_links(members: DataFrame, t: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` among ``(cluster, low, high, part, rid, tokens, set)``."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        tokens = group.column("tokens").combine_chunks()
+        links = forest_links(
+            group.column("rid").to_pylist(), group.column("part").to_numpy(),
+            tokens.flatten().to_numpy(zero_copy_only=False).reshape(len(tokens), -1),
+            [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("set")], t, percent)
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return members.groupBy("cluster", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words: np.ndarray,
-                n: int = N) -> tuple[DataFrame, DataFrame]:
+                n: int = N, part_bytes: int = PART_BYTES) -> tuple[DataFrame, DataFrame]:
     """``signed`` rows (see ``_signed``) and ``(digest, component_id, keeper)`` per class, where
     ``component_id`` is the smallest key of the component and ``keeper`` the row id of one row
     with that key."""
@@ -155,35 +187,22 @@ def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words:
     own = F.sort_array(F.collect_list(F.struct("c", "token")))  # at most n elements
     posted = (posts.join(shared, "token").groupBy("rid").agg(own.alias("own"))
               .filter(F.size("own") >= t)
-              .select("rid", F.col("own.token").alias("tokens"),
-                      F.slice("own.token", F.lit(1), F.size("own") - (t - 1)).alias("prefix")))
+              .select("rid", F.slice("own.token", F.lit(1), F.size("own") - (t - 1)).alias("prefix")))
     posted = staged(posted, "near-posted")
     lists = posted.select("rid", F.explode("prefix").alias("token"))
-
-    links = df.sparkSession.createDataFrame([], "a long, b long")
-    found = posted.select(F.col("rid"), F.col("rid").alias("comp"))
-    for round_ in range(STAR_ROUNDS):
-        here = lists.join(found, "rid")
-        head = F.min(F.struct(F.xxhash64("rid", F.lit(round_)).alias("o"), "rid", "comp")).alias("head")
-        heads = here.groupBy("token").agg(head)
-        pairs = (here.join(heads, "token").filter("comp <> head.comp")
-                 .select(F.col("rid").alias("a"), F.col("head.rid").alias("b")).distinct())
-        best = _collisions(pairs, posted, t).groupBy("a").agg(
-            F.max(F.struct("hits", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-        star = _confirmed(staged(best, "near-star"), signed, text, k, words, percent)
-        links = staged(links.unionByName(star), "near-links")
-        comps = components(links, "near-comp")
-        found = staged(posted.select("rid").join(comps, F.col("rid") == F.col("node"), "left")
-                       .select("rid", F.coalesce("component", "rid").alias("comp")), "near-found")
-    here = lists.join(found, "rid")
-    mixed = here.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")) \
-        .filter("x <> y").select("token")
-    open_ = here.join(mixed, "token")
-    rest = (open_.select("token", F.col("rid").alias("a"), F.col("comp").alias("comp_a"))
-            .join(open_.select("token", F.col("rid").alias("b"), F.col("comp").alias("comp_b")), "token")
-            .filter("a < b AND comp_a <> comp_b").select("a", "b").distinct())
-    rest = staged(_collisions(rest, posted, t).select("a", "b"), "near-rest")
-    links = staged(links.unionByName(_confirmed(rest, signed, text, k, words, percent)), "near-links")
+    heads = lists.groupBy("token").agg(F.min("rid").alias("head"))
+    stars = lists.join(heads, "token").select(F.col("rid").alias("a"), F.col("head").alias("b"))
+    clusters = components(stars, "near-clusters").select(F.col("node").alias("rid"),
+                                                         F.col("component").alias("cluster"))
+    sets = _shingled(signed, clusters.select("rid"), text, k, words)
+    members = staged(clusters.join(sets, "rid"), "near-sets")
+    parts = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("set")) / part_bytes).alias("parts"))
+    dealt = (members.join(classes.select("rid", "tokens"), "rid").join(parts, "cluster")
+             .withColumn("part", F.pmod(F.xxhash64("rid"), "parts"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .select("cluster", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+                     "part", "rid", "tokens", "set"))
+    links = staged(_cluster_links(dealt, t, percent), "near-links")
     comps = components(links, "near-comp")
     classes = (classes.join(comps, F.col("rid") == F.col("node"), "left")
                .select("digest", "n_shingles", "rid", "least", F.coalesce("component", "rid").alias("comp")))
