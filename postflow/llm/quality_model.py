@@ -241,7 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     chosen = labels.select(F.col(f"`{label_key}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("y"))
     chosen = (chosen.filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
               .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(train_rows))
-    marked = two_columns(docs, key, text).join(chosen, "doc_id").select("text", "y")
+    # At most train_rows keys: small by definition.
+    marked = two_columns(docs, key, text).join(F.broadcast(chosen), "doc_id").select("text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                                    batch.column(1).cast(pa.int32())], ["x", "y"])
 
     # A key that many rows carry must not widen the sample.
-    rows = marked.limit(train_rows).mapInArrow(run, "x binary, y int").collect()
+    rows = marked.mapInArrow(run, "x binary, y int").limit(train_rows).collect()
     x = np.array([np.frombuffer(r["x"]) for r in rows]).reshape(len(rows), len(FEATURES))
     order = np.lexsort(x.T[::-1]) if len(rows) else []
     return fit(x[order], np.array([r["y"] for r in rows], float)[order])
