@@ -4,8 +4,12 @@ Texts are cut into blocks of whole documents. Each block becomes one row: its di
 as byte arrays, and per document the numbers of its pre-tokens. On that row, ``transform`` encodes
 every distinct pre-token once: a fold (``aggregate``) over its bytes merges, step by step, the
 leftmost pair of lowest rank, looked up in a literal rank map. The ids are then put in place per
-document. Decoding maps ids to their pieces and concatenates them. There is no shuffle, and what
-is sent to the tasks is the vocabulary, of fixed size.
+document. Decoding maps ids to their pieces and concatenates them. No text is shuffled.
+
+Frequent pre-tokens would be encoded once in every block. At most ``memo_words`` of them (the most
+frequent of about ``memo_docs`` documents' first ``MEMO_CHARS`` characters) are encoded beforehand
+by the same fold and sent to the tasks; the blocks' rows hold the others. The memo is of bounded
+size and only saves time: every pre-token has the same ids with or without it.
 
 The literal rank map: pair (a, b) of token ids is at slot ``base[a] + b`` of two arrays, the owner
 ``a`` and the merged id, laid out so that rows of different ``a`` share the arrays without clashes.
@@ -32,7 +36,8 @@ from postflow.llm import pretoken
 from postflow.llm import textarrays as ta
 from postflow.llm.tables import table, two_columns
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
+MEMO_CHARS = 20_000
 NONE = 65535
 
 
@@ -133,46 +138,106 @@ def encode_word(maps: Column, word: Column) -> Column:
                        lambda x: x.bitwiseAND(F.lit(65535)).cast("int"))
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    classes = pretoken.Classes()
-    for batch in batches:
-        for lo, hi, raw, off in ta.blocks(batch.column(1), CHUNK_BYTES):
-            codes, first, data, at, _ = pretoken.distinct_tokens(
-                raw, off, classes, pretoken.byte_level_starts, drop_space=False)
-            words = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(data.view(np.int8)))
-            keys = batch.column(0).slice(lo, hi - lo).cast(pa.int64())
-            yield pa.record_batch(
-                [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                 pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-                 pa.array([first.astype(np.int64).tobytes()], pa.binary()),
-                 pa.array([codes.astype(np.int32).tobytes()], pa.binary())],
-                ["words", "keys", "first", "codes"])
-
-
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            ids, keys = batch.column(0)[i].values, batch.column(1)[i].values
-            first = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
-            codes = np.frombuffer(batch.column(3)[i].as_py(), np.int32)
-            values = ids.flatten().to_numpy(zero_copy_only=False) if len(ids) else np.zeros(0, np.int32)
-            offsets = np.concatenate(([0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))))
-            flat, at = pretoken.expand(values, offsets.astype(np.int64), codes)
-            yield pa.record_batch(
-                [keys, pa.ListArray.from_arrays(pa.array(at[first], pa.int32()),
-                                                pa.array(flat, pa.int32()))], ["doc_id", "ids"])
-
-
-def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _memo(docs: DataFrame, maps: Column, memo_words: int, memo_docs: int
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of frequent pre-tokens, their ids end to end, and where each one's begin."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = pretoken.Classes()
+        for batch in batches:
+            for _, _, raw, off in ta.blocks(batch.column(0), CHUNK_BYTES):
+                codes, _, data, at, _ = pretoken.distinct_tokens(
+                    raw, off, classes, pretoken.byte_level_starts, drop_space=False)
+                yield pa.record_batch(
+                    [pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)),
+                                                                      pa.py_buffer(data.tobytes())]),
+                     pa.array(np.bincount(codes, minlength=len(at) - 1).astype(np.int64))], ["word", "n"])
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets, data = batch.column(0).buffers()
+            at = np.frombuffer(offsets, np.int32, batch.num_rows + 1, batch.column(0).offset * 4)
+            raw = np.frombuffer(data, np.uint8)
+            bytes_ = pa.ListArray.from_arrays(pa.array(at - at[0]), pa.array(raw[at[0]:at[-1]].view(np.int8)))
+            hashes = ta.span_hashes(raw, at[:-1].astype(np.int64), at[1:].astype(np.int64), lower=False)
+            yield pa.record_batch([pa.array(hashes.view(np.int64)), bytes_], ["hash", "word"])
+
+    count = docs.count()
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
+    some = docs.filter(part < (1 << 20) * memo_docs // max(1, count)) if count > memo_docs else docs
+    counted = some.select(F.substring("text", 1, MEMO_CHARS).alias("text")) \
+        .mapInArrow(words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    # A threshold instead of a sort: the words that pass are at most memo_words.
+    least = (counted.groupBy("n").agg(F.count("*").alias("words")).collect())  # few different counts
+    total, bound = 0, 1 << 62
+    for r in sorted(least, reverse=True):
+        total += r["words"]
+        if total > memo_words:
+            break
+        bound = r["n"]
+    chosen = counted.filter(F.col("n") >= bound).select("word").mapInArrow(
+        numbers, "hash long, word array<tinyint>")
+    found = chosen.select("hash", _let(maps, lambda m: encode_word(m, F.col("word"))).alias("ids")).toArrow()
+    hashes = found.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    ids = found.column("ids").combine_chunks().take(pa.array(order)) if len(order) else None
+    sizes = ids.value_lengths().to_numpy(zero_copy_only=False) if ids is not None else []
+    values = ids.flatten().to_numpy(zero_copy_only=False) if ids is not None else np.zeros(0, np.int32)
+    return hashes[order], values.astype(np.int32), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+
+
+def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
+           memo_words: int = 500_000, memo_docs: int = 60_000) -> DataFrame:
     """``(doc_id, ids array<int>)`` of every row, by the ranks file at the path ``ranks``."""
     found = rank_map(ranks)
     maps = F.struct(*[_literal(found[n], "int").alias(n) for n in ("base", "owner", "merged", "single")])
-    chunks = two_columns(df, key, text).mapInArrow(
-        _split, "words array<array<tinyint>>, keys array<long>, first binary, codes binary")
+    docs = two_columns(df, key, text)
+    memo = docs.sparkSession.sparkContext.broadcast(_memo(docs, maps, memo_words, memo_docs))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = pretoken.Classes()
+        known = memo.value[0]
+        for batch in batches:
+            for lo, hi, raw, off in ta.blocks(batch.column(1), CHUNK_BYTES):
+                codes, first, data, at, hashes = pretoken.distinct_tokens(
+                    raw, off, classes, pretoken.byte_level_starts, drop_space=False)
+                place = np.searchsorted(known, hashes)
+                old = np.zeros(len(hashes), bool)
+                old[place < len(known)] = known[place[place < len(known)]] == hashes[place < len(known)]
+                number = np.where(old, place, len(known) + np.cumsum(~old) - 1)
+                sizes = np.diff(at)[~old]
+                cuts = np.concatenate(([0], np.cumsum(sizes)))
+                pick = np.repeat(at[:-1][~old] - cuts[:-1], sizes) + np.arange(cuts[-1])
+                words = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(data[pick].view(np.int8)))
+                keys = batch.column(0).slice(lo, hi - lo).cast(pa.int64())
+                yield pa.record_batch(
+                    [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                     pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+                     pa.array([first.astype(np.int64).tobytes()], pa.binary()),
+                     pa.array([(number[codes] if len(codes) else codes).astype(np.int32).tobytes()], pa.binary())],
+                    ["words", "keys", "first", "codes"])
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, values, offsets = memo.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, keys = batch.column(0)[i].values, batch.column(1)[i].values
+                first = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
+                codes = np.frombuffer(batch.column(3)[i].as_py(), np.int32)
+                sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                own = ids.flatten().to_numpy(zero_copy_only=False) if len(ids) else values[:0]
+                flat, at = pretoken.expand(np.concatenate((values, own)),
+                                           np.concatenate((offsets, offsets[-1] + np.cumsum(sizes))), codes)
+                yield pa.record_batch(
+                    [keys, pa.ListArray.from_arrays(pa.array(at[first], pa.int32()),
+                                                    pa.array(flat, pa.int32()))], ["doc_id", "ids"])
+
+    chunks = docs.mapInArrow(
+        split, "words array<array<tinyint>>, keys array<long>, first binary, codes binary")
     encoded = chunks.select(
         _let(maps, lambda m: F.transform("words", lambda w: encode_word(m, w))).alias("ids"),
         "keys", "first", "codes")
-    return encoded.mapInArrow(_assemble, "doc_id long, ids array<int>")
+    return encoded.mapInArrow(assemble, "doc_id long, ids array<int>")
 
 
 def decode(ids: Column, ranks: str) -> Column:

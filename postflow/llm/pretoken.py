@@ -94,11 +94,11 @@ def distinct_tokens(raw: np.ndarray, off: np.ndarray, classes: Classes, split, d
     """Tokens of a block of texts as numbers of its distinct tokens.
 
     Returns ``codes`` (one per token), ``first`` (each document's first token, one entry more than
-    documents), and bytes and offsets of the distinct tokens, with each one's first position."""
+    documents), and bytes, offsets and 64-bit hashes of the distinct tokens."""
     points = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     if not len(points):
         return (np.zeros(0, np.int64), np.zeros(len(off), np.int64), np.zeros(0, np.uint8),
-                np.zeros(1, np.int64), np.zeros(0, np.int64))
+                np.zeros(1, np.int64), np.zeros(0, np.uint64))
     place = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
     docs = np.searchsorted(place, off)
     kinds = classes.of(points)
@@ -115,7 +115,7 @@ def distinct_tokens(raw: np.ndarray, off: np.ndarray, classes: Classes, split, d
     sizes = (b - a)[where]
     at = np.concatenate(([0], np.cumsum(sizes)))
     pick = np.repeat(a[where] - at[:-1], sizes) + np.arange(at[-1])
-    return codes, first, raw[pick], at, where
+    return codes, first, raw[pick], at, uniques
 
 
 def expand(values: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
