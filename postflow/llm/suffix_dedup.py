@@ -424,7 +424,8 @@ def remove_repeats(df: DataFrame, text: str = "text", size: str | None = None, *
     """All rows and columns, with the repeated bytes cut out of ``text`` (parts of a character left
     at a cut go too); ``size``, if given, is set to the new number of characters."""
     rows = _numbered(df)
-    at = df.columns.index(text)
+    names = df.columns
+    at = names.index(text)
     spans = repeated_spans(rows, at, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,12 +437,12 @@ def remove_repeats(df: DataFrame, text: str = "text", size: str | None = None, *
                     value = kept_bytes(value.encode(), found)[0].decode(errors="ignore")
                 out.append(value)
                 sizes.append(None if value is None else len(value))
-            columns = [row.field(i) for i in range(len(df.columns))]
+            columns = [row.field(i) for i in range(len(names))]
             columns[at] = pa.array(out, columns[at].type)
             if size is not None:
-                i = df.columns.index(size)
+                i = names.index(size)
                 columns[i] = pa.array(sizes).cast(columns[i].type)
-            yield pa.record_batch(columns, df.columns)
+            yield pa.record_batch(columns, names)
 
     return rows.join(spans, "rid", "left").select("row", "spans").mapInArrow(run, df.schema)
 
