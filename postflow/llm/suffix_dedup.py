@@ -21,6 +21,8 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
    anchors in all, are not compared pair by pair: the strings through these anchors are counted by
    their hashes, which is spread over all tasks.
 
+The rows are written once, bucketed by row id, so that texts are exchanged once for both joins.
+
 Everything is exact up to collisions of 64-bit hashes (in 4; elsewhere bytes are compared). Text,
 anchors and intervals meet by row id in shuffles; nothing of them passes the driver.
 
@@ -44,11 +46,13 @@ from pyspark.sql import types as T
 
 from postflow.llm import textarrays as ta
 from postflow.llm.tables import staged, table
+from postflow.session import scratch
 
 LENGTH = 200
 GRAM = 32
 BUCKET_SUFFIXES = 100_000
-MOST_CONTEXTS = 64
+MOST_CONTEXTS = 4096
+FEW_CONTEXTS = 16
 HEAVY = 50_000
 
 _code = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -197,13 +201,58 @@ def _span(pos: int, right: int, left: int, length: int) -> tuple[int, int] | Non
 
 
 def _strings(item: tuple, length: int) -> dict:
-    """Hashes of all strings of ``length`` bytes through an anchor, from the greatest offset on."""
+    """Hashes of all strings of ``length`` bytes through an anchor, from the greatest offset on.
+    The offset is part of the hash: one string may hold several anchors, and equal strings hold
+    them at equal offsets."""
     right, left, rid, pos, weight = item
     hashes = gram_hashes(np.frombuffer(left + right, np.uint8), length)
+    hashes = ta.mix(hashes + np.arange(len(left), len(left) - len(hashes), -1).astype(np.uint64))
     return {"rid": rid, "pos": pos, "weight": weight, "reach": len(left),
             "hashes": hashes[:len(left) + 1].astype(np.int64)}
 
 
+def _class_spans(classes: list[list], length: int) -> tuple[list[int], list[int]]:
+    """Least and greatest offset of the strings that each of the sorted contexts ``[common prefix
+    with the one before, right, left, ...]`` shares with any other (greatest -1 if none)."""
+    n = len(classes)
+    low, high = [length] * n, [-1] * n
+    if n <= FEW_CONTEXTS:
+        numbers = [int.from_bytes(c[2], "little") << 8 * (1024 - len(c[2])) for c in classes]
+        for i in range(n):
+            common = len(classes[i][1])
+            for j in range(i + 1, n):
+                common = min(common, classes[j][0])
+                least = max(0, length - common)
+                differ = (numbers[i] ^ numbers[j]).bit_length()
+                left = min(1024 - (differ + 7) // 8, len(classes[i][2]), len(classes[j][2]))
+                if least <= left:
+                    for c in (i, j):
+                        low[c], high[c] = min(low[c], least), max(high[c], left)
+        return low, high
+    prefix = np.array([c[0] for c in classes])
+    sizes = np.array([len(c[2]) for c in classes])
+    width = int(sizes.max()) + 1
+    lefts = np.zeros((n, width), np.uint8)  # reversed, so that common left parts are prefixes
+    for i, c in enumerate(classes):
+        lefts[i, :sizes[i]] = np.frombuffer(c[2], np.uint8)[::-1]
+    low, high = np.array(low), np.array(high)
+    for i in range(n - 1):
+        common = np.minimum(np.minimum.accumulate(prefix[i + 1:]), len(classes[i][1]))
+        stop = i + 1 + int(np.searchsorted(-common, width - length, "right"))  # too short from here on
+        if stop == i + 1:
+            continue
+        differ = lefts[i + 1:stop] != lefts[i]
+        left = np.where(differ.any(1), differ.argmax(1), width)
+        left = np.minimum(np.minimum(left, sizes[i + 1:stop]), sizes[i])
+        least = np.maximum(0, length - common[:stop - i - 1])
+        good = np.flatnonzero(least <= left)
+        if len(good):
+            at = good + i + 1
+            low[at], high[at] = np.minimum(low[at], least[good]), np.maximum(high[at], left[good])
+            low[i], high[i] = min(low[i], least[good].min()), max(high[i], left[good].max())
+    return low.tolist(), high.tolist()
+
+
 def compare_group(group: list[tuple], length: int, most: int) -> tuple[list[tuple], list[tuple]]:
     """Of the suffixes ``(common prefix, right, left, rid, pos, weight)`` of one gram, in order: the
     repeated intervals ``(rid, start, end)``, and the suffixes whose strings must be counted."""
@@ -229,22 +278,9 @@ def compare_group(group: list[tuple], length: int, most: int) -> tuple[list[tupl
         for _, right, left, members in classes:
             pending.append((right, left, *members[0][:2], min(2, sum(m[2] for m in members))))
         return intervals, pending
-    numbers = [int.from_bytes(c[2], "little") << 8 * (1024 - len(c[2])) for c in classes]
-    low: list[int | None] = [None] * len(classes)
-    high = [-1] * len(classes)
-    for i in range(len(classes)):
-        common = len(classes[i][1])
-        for j in range(i + 1, len(classes)):
-            common = min(common, classes[j][0])
-            least = length - common
-            differ = (numbers[i] ^ numbers[j]).bit_length()
-            left = min(1024 - (differ + 7) // 8, len(classes[i][2]), len(classes[j][2]))
-            if least <= left:
-                for c in (i, j):
-                    low[c] = max(0, least) if low[c] is None else min(low[c], max(0, least))
-                    high[c] = max(high[c], left)
+    low, high = _class_spans(classes, length)
     for c, (_, _, _, members) in enumerate(classes):
-        if low[c] is not None:
+        if high[c] >= low[c]:
             intervals += [(rid, pos - high[c], pos - low[c] + length) for rid, pos, _ in members]
     return intervals, pending
 
@@ -260,9 +296,11 @@ _ARROW = pa.schema([("kind", pa.int32()), ("rid", pa.int64()), ("start", pa.int6
                     ("hashes", pa.list_(pa.int64()))])
 
 
-def _out(intervals=(), runs=(), pending=(), length: int = LENGTH) -> Iterator[pa.RecordBatch]:
-    """Result rows in batches of bounded size."""
-    rows = [(0, r, a, b, None, None, None, None) for r, a, b in intervals]
+def _out(intervals=(), runs=(), pending=(), length: int = LENGTH, buckets: int = 1
+         ) -> Iterator[pa.RecordBatch]:
+    """Result rows in batches of bounded size. All have a bucket: what is settled goes through the
+    same exchange as the runs and is passed on there."""
+    rows = [(0, r, a, b, None, r % buckets, None, None) for r, a, b in intervals]
     rows += [(1, None, None, None, None, k, data, None) for k, data in runs]
     for lo in range(0, len(rows), 20_000):
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[lo:lo + 20_000]), _ARROW)],
@@ -271,7 +309,8 @@ def _out(intervals=(), runs=(), pending=(), length: int = LENGTH) -> Iterator[pa
         found = [_strings(item, length) for item in pending[lo:lo + 4096]]
         found = [s for s in found if len(s["hashes"])]
         if found:
-            rows = [(2, s["rid"], s["pos"], s["reach"], s["weight"], None, None, s["hashes"]) for s in found]
+            rows = [(2, s["rid"], s["pos"], s["reach"], s["weight"], s["rid"] % buckets, None,
+                     s["hashes"]) for s in found]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
@@ -320,12 +359,14 @@ def _runs(texts: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
                 else:
                     sorted_runs.setdefault(key % buckets, []).append(item)
             yield from _out(intervals, ((k, pack_run(sorted(items))) for k, items in sorted_runs.items()),
-                            pending, length)
+                            pending, length, buckets)
 
     return texts.mapInArrow(run, _OUT)
 
 
 def _merged(runs: DataFrame, length: int, gram: int, most: int) -> DataFrame:
+    """Intervals and strings of all buckets."""
+
     def merge(part: pa.Table) -> pa.Table:
         intervals, pending, group = [], [], []
 
@@ -336,12 +377,15 @@ def _merged(runs: DataFrame, length: int, gram: int, most: int) -> DataFrame:
                 pending.extend(found[1])
             group.clear()
 
-        for item in merge_runs([unpack_run(r.as_py()) for r in part.column("run")]):
+        is_run = np.array(part.column("kind").to_numpy() == 1)
+        for item in merge_runs([unpack_run(r.as_py()) for r in part.column("run").filter(pa.array(is_run))]):
             if item[0] < gram:
                 close()
             group.append(item)
         close()
-        return pa.Table.from_batches(list(_out(intervals, (), pending, length)), schema=_ARROW)
+        settled = part.filter(pa.array(~is_run)).select(_ARROW.names).cast(_ARROW)
+        return pa.concat_tables([settled, pa.Table.from_batches(
+            list(_out(intervals, (), pending, length)), schema=_ARROW)])
 
     return runs.groupBy("bucket").applyInArrow(merge, _OUT)
 
@@ -360,10 +404,8 @@ def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = G
     kept = places.agg(F.sum(F.size("places")).alias("n")).first()["n"] or 0
     texts = rows.select("rid", F.col("row").getField(text).alias("text")).join(places, "rid") \
         .select("text", "rid", "places")
-    first = staged(_runs(texts, max(1, -(-kept // bucket_suffixes)), length, gram), "repeat-runs")
-    second = staged(_merged(first.filter("kind = 1").select("bucket", "run"), length, gram, most_contexts),
-                    "repeat-merged")
-    both = first.filter("kind <> 1").unionByName(second)
+    runs = _runs(texts, max(1, -(-kept // bucket_suffixes)), length, gram)
+    both = staged(_merged(runs, length, gram, most_contexts), "repeat-merged")
     strings = both.filter("kind = 2").select(
         "rid", F.col("start").alias("pos"), "weight", "end", F.posexplode("hashes").alias("i", "hash")) \
         .select("rid", "pos", "weight", (F.col("end") - F.col("i")).alias("offset"), "hash")
@@ -393,9 +435,17 @@ def kept_bytes(data: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
 
 
 def _numbered(df: DataFrame) -> DataFrame:
-    """Every row as one struct with a row id, written once so that the ids stay."""
-    return staged(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                            F.monotonically_increasing_id().alias("rid")), "repeat-rows")
+    """Every row as one struct with a row id, written once so that the ids stay, as an external
+    table in the shared folder that is bucketed by the id."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     F.monotonically_increasing_id().alias("rid"))
+    path = scratch(spark, "repeat-rows")
+    name = "postflow_" + path.rsplit("/", 1)[1].replace("-", "_")
+    (rows.repartition(n, "rid").write.bucketBy(n, "rid").format("parquet").option("path", path)
+     .option("compression", "zstd").saveAsTable(name))
+    return spark.table(name)
 
 
 def measure_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
