@@ -183,7 +183,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.payload = options.get("payload", "true").lower() != "false"
-        self.partition_bytes = int(options.get("partition_bytes", 128 << 20))
+        self.partition_bytes = int(options.get("partition_bytes", 32 << 20))
         self.conditions: list[tuple[str, frozenset]] = []
 
     def pushFilters(self, filters):
