@@ -26,14 +26,9 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
+#: The others (nearest neighbours, learned scores, byte spans, ids of tokenizers, components over
+#: shingle sets, fuzzy spans, main text) are compared with brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {
-    "op3_warc": op3_warc,
-    "op4_quality": op4_quality,
-    "op5_suffix_dedup": op5_suffix_dedup,
-    "op6_token_files": op6_token_files,
-    "op7_html_text": op7_html_text,
-    "op8_byte_bpe": op8_byte_bpe,
-    "op9_near_dedup": op9_near_dedup,
     "op3_warc": OP3_SQL,
     "op10_decontaminate": OP10_SQL,
 }

@@ -19,7 +19,6 @@ _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 2**64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -79,13 +78,25 @@ def word_spans(raw: np.ndarray, off: np.ndarray, table: np.ndarray
     return starts, ends, np.searchsorted(starts, off)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, factor in enumerate((_BASE, _BASE_INV)):
-            table = np.full(max(n, 2 * len(_powers[0])), np.uint64(factor))
-            table[0] = 1
-            _powers[i] = np.cumprod(table, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+class _Powers:
+    """Powers of the base and of its inverse, computed as needed; they do not travel to workers."""
+
+    def __init__(self):
+        self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def __reduce__(self):
+        return type(self), ()
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.tables[0]) < n:
+            for i, factor in enumerate((_BASE, _BASE_INV)):
+                table = np.full(max(n, 2 * len(self.tables[0])), np.uint64(factor))
+                table[0] = 1
+                self.tables[i] = np.cumprod(table, dtype=np.uint64)
+        return self.tables[0][:n], self.tables[1][:n]
+
+
+_power_tables = _Powers()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
