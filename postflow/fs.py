@@ -6,6 +6,8 @@ resolves. Used for the keyed-table snapshot pointer (SNK-4) and checkpoint reset
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -46,23 +48,37 @@ def qualify(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(p).toString())
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file so that readers see either the old or the new content.
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths that match a glob pattern (empty if none)."""
+    fs, p = _resolve(spark, pattern)
+    found = fs.globStatus(p)
+    return [status.getPath().toString() for status in found] if found is not None else []
+
 
-    The text goes to a hidden sibling first and is then renamed over ``path``.
-    """
+def modified(spark: SparkSession, path: str) -> float:
+    """Time of the last change of ``path``, in seconds since the epoch."""
     fs, p = _resolve(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file; ``False`` if it is already there. Files are never overwritten:
+    the text is written to a file of its own name and then renamed, so that a reader sees the
+    whole text or no file."""
+    fs, p = _resolve(spark, path)
+    if fs.exists(p):
+        return False
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
-    out = fs.create(tmp, True)
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not move {tmp} to {p}")
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        return False
+    return True
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

@@ -1,16 +1,15 @@
 """Enrichment: id hydration (JON-1 + FLT-2) and keyword-rule tagging (RUL-1).
 
 Hydration replaces the reference's one-HTTP-lookup-per-id loop with one distributed join. Rule
-tagging replaces the remote rule service's matching with a JVM-side expression per rule.
+tagging replaces the remote rule service's matching with one JVM-side expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postflow import schemas
@@ -19,35 +18,30 @@ from postflow import schemas
 DEFAULT_CHUNK = 1 << 16
 
 
-def replicate(df: DataFrame, copies: str, key: Sequence[str], chunk: int = DEFAULT_CHUNK,
-              partitions: int | None = None) -> DataFrame:
+def replicate(df: DataFrame, copies: str, key: Sequence[str], chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Emit each row ``copies`` times (exactly), without one task producing a hot row's copies.
 
-    Rows with at most ``chunk`` copies are expanded where they are (no shuffle). A row with
-    more is cut into ``ceil(copies / chunk)`` pieces, the pieces are hash-partitioned on
-    ``key + piece`` so they land on different tasks, and each piece expands there. Only the
-    pieces of hot rows (at most ``rows / chunk`` of them) are shuffled.
+    A row is cut into ``ceil(copies / chunk)`` pieces, the pieces are hash-partitioned on
+    ``key + piece`` so that a hot row's pieces land on different tasks, and each piece expands there.
     """
     cols = [c for c in df.columns if c != copies]
     n = F.col(copies)
-    light = df.where(n <= chunk).select(*cols, F.explode(F.sequence(F.lit(1), n)).alias("_copy"))
-    pieces = F.sequence(F.lit(0), F.floor((n - 1) / F.lit(chunk)).cast("long"))
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = (df.where(n > chunk)
-               .select(*cols, n, F.explode(pieces).alias("_piece"))
-               .repartition(parts, *[F.col(k) for k in key], F.col("_piece"))
-               .select(*cols, F.explode(F.sequence(
-                   F.lit(1), F.least(F.lit(chunk).cast("long"), n - F.col("_piece") * chunk)))
-                   .alias("_copy")))
-    return light.unionByName(heavy).drop("_copy")
-
-
-def hydrate(ids: DataFrame, archive: DataFrame, id_column: str = "tweet_id",
-            chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / F.lit(chunk)).cast("long"))
+    return (df.select(*cols, n, F.explode(pieces).alias("_piece"))
+              .repartition(*[F.col(k) for k in key], F.col("_piece"))
+              .select(*cols, F.explode(F.sequence(
+                  F.lit(1).cast("long"), F.least(F.lit(chunk).cast("long"), n - F.col("_piece") * chunk)))
+                  .alias("_copy")).drop("_copy"))
+
+
+def hydrate(ids: DataFrame, archive: DataFrame | Callable[[DataFrame], DataFrame],
+            id_column: str = "tweet_id", chunk: int = DEFAULT_CHUNK, copies: bool = True) -> DataFrame:
     """JON-1 + FLT-2: each listed id becomes ``tweet_id, author_id, created_at, text``.
 
-    Unresolved ids vanish (inner join); an id listed k times is emitted k times. ``archive``
-    holds one row per ``id`` (a keyed table read, SRC-6).
+    Unresolved ids vanish (inner join); an id listed k times is emitted k times, or once with
+    ``copies=False`` (for an output that is keyed by id). ``archive`` holds one row per ``id``, or is
+    a function that gives the archive's rows of a DataFrame of ``id``s (a keyed table read with
+    ``keys=``, which touches only these ids' rows).
 
     Plan: the id list is first reduced to ``(id, copies)`` with a partial aggregate, so an id
     listed a billion times shuffles one partial row per input partition; the join is then 1:1
@@ -55,13 +49,14 @@ def hydrate(ids: DataFrame, archive: DataFrame, id_column: str = "tweet_id",
     spreads the copies of hot ids over tasks.
     """
     listed = (ids.where(F.col(id_column).isNotNull())
-                 .groupBy(id_column).agg(F.count(F.lit(1)).alias("_copies")))
-    posts = archive.select("id", "author_id", "created_at", "text")
-    found = (listed.join(posts, listed[id_column] == posts["id"], "inner")
-                   .select(listed[id_column].alias("tweet_id"), "author_id", "created_at", "text",
-                           "_copies"))
-    return replicate(found, "_copies", key=["tweet_id"], chunk=chunk).select(
-        "tweet_id", "author_id", "created_at", "text")
+                 .groupBy(F.col(id_column).alias("tweet_id")).agg(F.count(F.lit(1)).alias("_copies")))
+    posts = archive(listed.select(F.col("tweet_id").alias("id"))) if callable(archive) else archive
+    found = (listed.join(posts.select("id", "author_id", "created_at", "text"),
+                         F.col("tweet_id") == F.col("id"), "inner")
+                   .select("tweet_id", "author_id", "created_at", "text", "_copies"))
+    if not copies:
+        return found.drop("_copies")
+    return replicate(found, "_copies", key=["tweet_id"], chunk=chunk)
 
 
 @dataclass(frozen=True)
@@ -77,7 +72,6 @@ class Rule:
 
 
 # Fixed values that must equal the reference's: its stream rule, four times with four tags.
-# Keywords: covid19 COVID19 COVID-19 covid-19 coronavirus CORONAVIRUS Covid-19; not a retweet; lang en.
 REFERENCE_KEYWORDS = ("covid19", "COVID19", "COVID-19", "covid-19", "coronavirus", "CORONAVIRUS",
                       "Covid-19")
 REFERENCE_TAGS = ("coronavirus", "COVID-19", "Covid-19", "covid19")
@@ -87,132 +81,55 @@ REFERENCE_RULES = tuple(Rule(i + 1, tag, REFERENCE_KEYWORDS, True, "en")
 RETWEET_PREFIX = "RT @"
 
 
-def as_rules(rules: DataFrame | Iterable) -> list[Rule]:
-    """Rules from a ``rules`` DataFrame (schema ``schemas.RULES``), ``Rule``s or tuples.
-
-    Rules are job configuration (the reference submits four); they are read on the driver and
-    compiled into one expression, never joined against the posts.
-    """
+def rules_frame(spark: SparkSession, rules: DataFrame | Iterable) -> DataFrame:
+    """Rules as a DataFrame (schema ``schemas.RULES``) from such a DataFrame, ``Rule``s or tuples."""
     if isinstance(rules, DataFrame):
-        rows = rules.select(*schemas.RULES.fieldNames()).collect()
-        return [Rule(r.rule_id, r.tag, tuple(r.any_of or ()), bool(r.exclude_retweets), r.lang)
-                for r in rows]
-    out = []
-    for r in rules:
-        out.append(r if isinstance(r, Rule) else
-                   Rule(r[0], r[1], tuple(r[2] or ()), bool(r[3]), r[4]))
-    return out
+        return rules.select(*schemas.RULES.fieldNames())
+    rows = [(r.rule_id, r.tag, list(r.any_of), r.exclude_retweets, r.lang) if isinstance(r, Rule)
+            else (r[0], r[1], list(r[2] or ()), bool(r[3]), r[4]) for r in rules]
+    return spark.createDataFrame(rows, schemas.RULES)
 
 
-def rule_condition(rule: Rule, lowered: Column, retweet: Column, lang: Column) -> Column:
-    """The boolean for one rule over the lower-cased text; NULL text or language never matches."""
-    keywords = sorted({k.lower() for k in rule.any_of})
-    cond = reduce(lambda a, b: a | b, [lowered.contains(F.lit(k)) for k in keywords], F.lit(False))
-    if rule.exclude_retweets:
-        cond = cond & ~retweet
-    if rule.lang is not None:
-        cond = cond & (lang == F.lit(rule.lang))
-    return cond
+def matching_rules(posts: DataFrame, rules: DataFrame | Iterable, text: str = "text",
+                   lang: str = "lang", name: str = "matching_rules") -> DataFrame:
+    """RUL-1: the posts that match a rule, with ``matching_rules array<struct<id, tag>>`` (each rule
+    once, in the order of the rule ids).
 
+    One method for any number of rules, with built-in functions only. The rules become one map
+    from keyword to the rules that list it, computed by Spark and inserted as a scalar subquery.
+    Per post, every distinct keyword is looked for once in the lower-cased text (so the cost grows
+    with distinct keywords, not with rules times keywords); the rules of the keywords found are
+    put together and tested for retweet and language. No join, no shuffle of posts.
 
-# From this many keyword tests (summed over rules), rules are matched by one Aho-Corasick pass
-# per text instead of one ``contains`` per rule keyword (whose cost grows with the rule count).
-AUTOMATON_MIN_KEYWORDS = 16
+    Rules are job configuration: the map is one value, held by the driver and every task.
+    An empty keyword is in every text; a NULL text matches nothing; NULL keywords are ignored.
+    """
+    own = rules_frame(posts.sparkSession, rules)
+    listed = (own.select("rule_id", "tag", F.coalesce("exclude_retweets", F.lit(False)).alias("no_retweets"),
+                         F.col("lang").alias("of_lang"), F.explode("any_of").alias("keyword"))
+                 .where("keyword IS NOT NULL").withColumn("keyword", F.lower("keyword")).distinct()
+                 .groupBy("keyword").agg(F.collect_list(F.struct(
+                     "rule_id", "tag", "no_retweets", "of_lang")).alias("rules")))
+    table = listed.agg(F.map_from_entries(F.collect_list(F.struct("keyword", "rules"))).alias("m")).scalar()
+    retweet, language = F.col(text).startswith(RETWEET_PREFIX), F.col(lang)
+
+    def matched(lowered: Column, by_keyword: Column) -> Column:
+        hits = F.filter(F.map_keys(by_keyword), lambda k: F.contains(lowered, k))
+        candidates = F.flatten(F.transform(hits, lambda k: by_keyword[k]))
+        good = F.filter(candidates, lambda r: ~(r["no_retweets"] & retweet)
+                        & (r["of_lang"].isNull() | F.coalesce(r["of_lang"] == language, F.lit(False))))
+        return F.array_sort(F.array_distinct(F.transform(good, lambda r: F.struct(
+            r["rule_id"].alias("id"), r["tag"].alias("tag")))))
+
+    return (posts.where(F.col(text).isNotNull())
+                 .select("*", F.lower(F.col(text)).alias("_lowered"), table.alias("_by_keyword"))
+                 .withColumn(name, matched(F.col("_lowered"), F.col("_by_keyword")))
+                 .drop("_lowered", "_by_keyword").where(F.size(name) > 0))
 
 
 def tag_by_rules(posts: DataFrame, rules: DataFrame | Iterable, text: str = "text",
-                 lang: str = "lang", keys: Sequence[str] = ("id",),
-                 method: str = "auto") -> DataFrame:
-    """RUL-1: one row per (post, matched rule): ``keys…, rule_id, tag``.
-
-    A narrow stage over the posts (no join, no shuffle). ``method``:
-
-    * ``expression``: the text is lower-cased once; each rule is a ``CASE WHEN`` of built-in
-      ``contains``/``startswith`` tests giving its ``(rule_id, tag)`` or NULL; the array of them
-      is exploded and NULLs dropped. JVM-only, whole-stage codegen; cost grows with the rules.
-    * ``automaton``: Arrow batches of posts go through ``mapInPandas``, where one Aho-Corasick
-      pass over each lower-cased text finds every keyword at once; cost grows with the text only.
-    * ``auto``: ``automaton`` from ``AUTOMATON_MIN_KEYWORDS`` keyword tests summed over the
-      rules, else ``expression`` (the reference's four rules stay on the expression).
-    """
-    compiled = as_rules(rules)
-    if not compiled:
-        return posts.select(*keys, F.lit(None).cast("int").alias("rule_id"),
-                            F.lit(None).cast("string").alias("tag")).where(F.lit(False))
-    if method == "auto":
-        tests = sum(len({k.lower() for k in r.any_of}) for r in compiled)
-        method = "automaton" if tests >= AUTOMATON_MIN_KEYWORDS else "expression"
-    if method == "automaton":
-        return _tag_by_automaton(posts, compiled, text, lang, keys)
-    if method != "expression":
-        raise ValueError(f"unknown method {method!r}")
-    prepared = posts.select(*keys, F.lower(F.col(text)).alias("_lowered"),
-                            F.col(text).startswith(RETWEET_PREFIX).alias("_retweet"),
-                            F.col(lang).alias("_lang"))
-    low, rt, lg = F.col("_lowered"), F.col("_retweet"), F.col("_lang")
-    hits = [F.when(rule_condition(r, low, rt, lg),
-                   F.struct(F.lit(r.rule_id).cast("int").alias("rule_id"),
-                            F.lit(r.tag).alias("tag")))
-            for r in compiled]
-    return (prepared.select(*keys, F.explode(F.array(*hits)).alias("_m"))
-                    .where(F.col("_m").isNotNull())
-                    .select(*keys, "_m.rule_id", "_m.tag"))
-
-
-def _tag_by_automaton(posts: DataFrame, rules: Sequence[Rule], text: str, lang: str,
-                      keys: Sequence[str]) -> DataFrame:
-    """The ``automaton`` method of ``tag_by_rules``: per Arrow batch, per post, one pass."""
-    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-    keywords = sorted({k.lower() for r in rules for k in r.any_of})
-    index = {k: i for i, k in enumerate(keywords)}
-    # keyword number -> numbers of the rules that list it
-    by_keyword: list[list[int]] = [[] for _ in keywords]
-    for j, r in enumerate(rules):
-        for k in {k.lower() for k in r.any_of}:
-            by_keyword[index[k]].append(j)
-    table = [(r.rule_id, r.tag, r.exclude_retweets, r.lang) for r in rules]
-    key_fields = [posts.schema[k] for k in keys]
-    out_schema = StructType(key_fields + [StructField("rule_id", IntegerType()),
-                                          StructField("tag", StringType())])
-    key_names = list(keys)
-
-    def match(batches):
-        import ahocorasick
-        import pandas as pd
-
-        automaton = ahocorasick.Automaton()
-        for i, k in enumerate(keywords):
-            automaton.add_word(k, i)
-        automaton.make_automaton()
-        for pdf in batches:
-            out_keys: list[list] = [[] for _ in key_names]
-            out_rule, out_tag = [], []
-            texts, langs = pdf["_text"].tolist(), pdf["_lang"].tolist()
-            columns = [pdf[k].tolist() for k in key_names]
-            for row, t in enumerate(texts):
-                if t is None:
-                    continue
-                found = {i for _, i in automaton.iter(t.lower())}
-                if not found:
-                    continue
-                retweet = t.startswith(RETWEET_PREFIX)
-                row_lang = langs[row]
-                for j in sorted({j for i in found for j in by_keyword[i]}):
-                    rule_id, tag, no_retweets, want_lang = table[j]
-                    if (no_retweets and retweet) or (want_lang is not None
-                                                     and row_lang != want_lang):
-                        continue
-                    for c, col in enumerate(columns):
-                        out_keys[c].append(col[row])
-                    out_rule.append(rule_id)
-                    out_tag.append(tag)
-            if not out_rule:
-                continue
-            data = {k: out_keys[c] for c, k in enumerate(key_names)}
-            data["rule_id"] = pd.array(out_rule, dtype="Int32")
-            data["tag"] = out_tag
-            yield pd.DataFrame(data, columns=key_names + ["rule_id", "tag"])
-
-    prepared = posts.select(*keys, F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-    return prepared.mapInPandas(match, out_schema)
+                 lang: str = "lang", keys: Sequence[str] = ("id",)) -> DataFrame:
+    """RUL-1, exploded: one row per (post, matched rule): ``keys…, rule_id, tag``."""
+    return (matching_rules(posts, rules, text, lang, "_matched")
+            .select(*keys, F.explode("_matched").alias("_m"))
+            .select(*keys, F.col("_m.id").alias("rule_id"), F.col("_m.tag").alias("tag")))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from postflow.functions import messages as msg
 from postflow.functions.text import hashtags, text_lines
 from postflow.operators import enrich, posts as ops
-from postflow.plans import fixtures as fx
+from postflow.plans import fixtures as fx, jobs
 from postflow.session import scratch
 from postflow.sinks import keyed as kt
 from postflow.sources.messages import read_id_files, read_messages
@@ -79,18 +79,75 @@ def top_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream posts as batch 0, then batch posts (other column order) as batch 1, read by key."""
     base = scratch(spark, "keyed_upsert")
-    kt.ensure_table(spark, kt.STREAM_POSTS, base)
     kt.write_keyed(fx.stream_posts(spark, sf_dir), kt.STREAM_POSTS, base, 0)
     kt.write_keyed(fx.batch_posts(spark, sf_dir), kt.STREAM_POSTS, base, 1)
     return kt.read_table(spark, kt.STREAM_POSTS, base)
 
 
+def keyed_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers of one table: A writes the stream posts, B the batch posts, A's batch is replayed
+    (it keeps its place before B), then A writes the posts of every tenth event again."""
+    base, table = scratch(spark, "keyed_two_writers"), kt.BATCH_POSTS
+    kt.write_keyed(fx.stream_posts(spark, sf_dir), table, base, 0, writer="A")
+    kt.write_keyed(fx.batch_posts(spark, sf_dir), table, base, 0, writer="B")
+    kt.write_keyed(fx.stream_posts(spark, sf_dir), table, base, 0, writer="A")
+    again = fx.base(spark, sf_dir).where(F.col("event_id") % 10 == 5) \
+        .withColumn("text", F.concat("text", F.lit(" (again)")))
+    kt.write_keyed(again, table, base, 1, writer="A")
+    return kt.read_table(spark, table, base)
+
+
+def top_authors_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-3 with ``k``, run twice: over the stream posts, then over both tables."""
+    base = scratch(spark, "top_authors_replaced")
+    kt.write_keyed(fx.stream_posts(spark, sf_dir), kt.STREAM_POSTS, base, 0)
+    jobs.authors(spark, output="keyed", base=base, k=TOP_K)
+    kt.write_keyed(fx.batch_posts(spark, sf_dir), kt.BATCH_POSTS, base, 0)
+    jobs.authors(spark, output="keyed", base=base, k=TOP_K)
+    return kt.read_table(spark, kt.TOP_AUTHORS, base)
+
+
+# -- real texts ----------------------------------------------------------------------------
+
+def document_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.hashtag_counts(fx.documents(spark, sf_dir))
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_lines(fx.documents(spark, sf_dir)).groupBy("line").count()
+
+
+def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_lines(fx.conversations(spark, sf_dir)).groupBy("line").count()
+
+
+def document_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.tag_by_rules(fx.documents(spark, sf_dir), fx.DOCUMENT_RULES)
+
+
 # -- enrichment ----------------------------------------------------------------------------
 
 def hydrate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.hydrate(fx.ids(spark, sf_dir), fx.posts(spark, sf_dir))
 
 
+def hydrate_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids against a keyed archive of several batches: only the ids' rows are folded."""
+    base, table = scratch(spark, "hydrate_keyed"), kt.STREAM_POSTS
+    kt.write_keyed(fx.stream_posts(spark, sf_dir), table, base, 0)
+    kt.write_keyed(fx.batch_posts(spark, sf_dir), table, base, 1)
+    return enrich.hydrate(fx.ids(spark, sf_dir), lambda ids: kt.read_table(spark, table, base, keys=ids))
+
+
+def rule_matches_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.tag_by_rules(fx.with_lang(spark, sf_dir), fx.many_rules(spark))
+
+
+def rule_tagged_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = enrich.matching_rules(fx.with_lang(spark, sf_dir), fx.rules(spark))
+    return tagged.select("id", F.to_json("matching_rules").alias("matching_rules"))
+
+
 def rule_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.tag_by_rules(fx.with_lang(spark, sf_dir), fx.rules(spark))
 
@@ -196,8 +253,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_counts": author_counts,
     "top_authors": top_authors,
     "keyed_upsert": keyed_upsert,
+    "keyed_two_writers": keyed_two_writers,
+    "top_authors_replaced": top_authors_replaced,
     "hydrate_ids": hydrate_ids,
+    "hydrate_keyed": hydrate_keyed,
     "rule_matches": rule_matches,
+    "rule_matches_many": rule_matches_many,
+    "rule_tagged_posts": rule_tagged_posts,
+    "document_hashtags": document_hashtags,
+    "document_lines": document_lines,
+    "document_rules": document_rules,
+    "conversation_lines": conversation_lines,
     "id_stream": id_stream,
     "stream_posts_append": stream_posts_append,
     "stream_hashtags_complete": stream_hashtags_complete,

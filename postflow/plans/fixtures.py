@@ -3,7 +3,8 @@
 Post text, authors, edits, duplicates and malformed messages are all computed from whole
 ``events`` rows with built-in expressions; the ``event_id`` arithmetic decides *which* rows are
 edited, duplicated or malformed, it never shrinks the input. ``oracle_cte`` holds the same
-definitions in DuckDB SQL for the oracle queries.
+definitions in DuckDB SQL for the oracle queries. Stream and batch posts overlap and together
+hold every event.
 """
 
 from __future__ import annotations
@@ -22,30 +23,28 @@ TEST_RULES = [
 ]
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+# Keyword rules over the document texts.
+DOCUMENT_RULES = [
+    (1, "licence", ["license", "licence"], False, None),
+    (2, "english", ["The ", "tion"], False, "en"),
+    (3, "mail", ["@"], True, None),
+    (4, "all", [""], False, "de"),
+]
 
 
-SPREAD_CONF = "postflow.spreadSmallScans"
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than the cluster has cores over all cores.
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as posts: ``id, author_id`` (the source), ``created_at`` (none), ``text, lang``."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return docs.select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("author_id"),
+                       F.lit(None).cast("string").alias("created_at"), "text", "lang")
 
-    A Parquet file with one row group is read by one task, and every narrow step after it (JSON
-    building and parsing, token split) then runs on one core. Input of real size has at least
-    as many splits as cores, so this adds nothing there; for small inputs it is a round-robin
-    exchange of the narrow scan columns. ``postflow.spreadSmallScans=false`` turns it off.
-    """
-    spark = df.sparkSession
-    if spark.conf.get(SPREAD_CONF, "true").lower() != "true":
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as is
-        return df
-    return df if splits >= cores else df.repartition(cores)
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
 
 
 def iso_millis(ts: Column) -> Column:
@@ -98,7 +97,7 @@ def batch_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = base(spark, sf_dir)
     text = (F.when(F.col("event_id") % 10 == 0, F.concat("text", F.lit(" (edited)")))
              .otherwise(F.col("text")))
-    return (p.where(F.col("event_id") % 2 == 0)
+    return (p.where((F.col("event_id") % 2 == 0) | (F.col("event_id") % 3 == 0))
              .select("id", "author_id", text.alias("text"), "created_at"))
 
 
@@ -167,6 +166,20 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TEST_RULES, schemas.RULES)
 
 
+def many_rules(spark: SparkSession) -> DataFrame:
+    """400 rules over 40 keywords: rule ``i`` lists keyword ``i % 40`` in one of two spellings and,
+    every fifth, an unlikely one too; every third ignores retweets, every fourth asks for a language."""
+    i = F.col("id")
+    word = F.concat(F.lit("k"), (i % 40).cast("string"))
+    one = F.when(i % 40 < 7, F.concat(F.lit("#"), F.when(i % 2 == 0, F.upper(word)).otherwise(word))) \
+        .when(i % 40 < 20, F.concat(F.lit("user"), (i % 40).cast("string"))) \
+        .otherwise(F.concat((i % 40).cast("string"), F.lit("; (#Hidden)")))
+    return spark.range(400).select(
+        i.cast("int").alias("rule_id"), F.concat(F.lit("t"), i.cast("string")).alias("tag"),
+        F.when(i % 5 == 0, F.array(one, F.lit("no such word"))).otherwise(F.array(one)).alias("any_of"),
+        (i % 3 == 0).alias("exclude_retweets"), F.when(i % 4 == 0, F.lit("fr")).alias("lang"))
+
+
 def with_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with the ``lang`` field that rule matching needs."""
     return base(spark, sf_dir).select(*schemas.STREAM_POST_COLUMNS, "lang")
@@ -193,7 +206,7 @@ ORACLE_RELATIONS = {
   SELECT id, author_id,
          CASE WHEN event_id % 10 = 0 THEN concat(text, ' (edited)') ELSE text END AS text,
          created_at
-  FROM p WHERE event_id % 2 = 0)""",
+  FROM p WHERE event_id % 2 = 0 OR event_id % 3 = 0)""",
     "ids": """ids AS (
   SELECT id AS tweet_id, CAST(user_id AS VARCHAR) AS user_id FROM p
   UNION ALL
@@ -212,6 +225,16 @@ ORACLE_RELATIONS = {
 }
 
 
+ORACLE_RELATIONS["many_rules"] = """many_rules AS (
+  SELECT CAST(i AS INT) AS rule_id, concat('t', i) AS tag,
+         CASE WHEN i % 5 = 0 THEN [kw, 'no such word'] ELSE [kw] END AS any_of,
+         i % 3 = 0 AS exclude_retweets, CASE WHEN i % 4 = 0 THEN 'fr' END AS lang
+  FROM (SELECT i, CASE WHEN i % 40 < 7 THEN concat('#', CASE WHEN i % 2 = 0 THEN 'K' ELSE 'k' END, i % 40)
+                       WHEN i % 40 < 20 THEN concat('user', i % 40)
+                       ELSE concat(i % 40, '; (#Hidden)') END AS kw
+        FROM range(400) r(i)))"""
+
+
 def oracle_with(*names: str) -> str:
     """``WITH p AS (...), <names> AS (...)`` for an oracle query."""
     parts = [ORACLE_BASE] + [ORACLE_RELATIONS[n] for n in names]

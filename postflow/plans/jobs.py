@@ -5,7 +5,6 @@
     python -m postflow.plans.jobs authors --output console --base OUT --k 10
     python -m postflow.plans.jobs ids     --path IDS --output console
     python -m postflow.plans.jobs hydrate --path IDS --base OUT --output keyed
-    python -m postflow.plans.jobs compact --base OUT
 
 The session comes from ``spark-submit`` (or ``SparkSession.builder`` defaults); the job never
 sets a master. ``--base`` is the folder of the keyed tables (the reference's keyspace).
@@ -22,7 +21,7 @@ from postflow.functions import messages as msg
 from postflow.operators.enrich import hydrate as hydrate_ids
 from postflow.operators.posts import all_posts, author_counts, ranked, top_k
 from postflow.sinks import keyed as kt
-from postflow.sinks.outputs import batch_offset, write, write_stream
+from postflow.sinks.outputs import stream_writer, write, write_stream
 from postflow.sources.messages import read_id_files, read_messages
 from postflow.streaming import queries as sq
 
@@ -34,7 +33,8 @@ def _checkpoint(base: str, name: str) -> str:
 def stream(spark: SparkSession, *, source: str = "socket", output: str = "console",
            base: str | None = None, reset: bool = False, trigger: dict | None = None,
            payload: str = "json", partitions: int | None = None, wait: bool = True,
-           timeout: float | None = None, hashtag_mode: str = "complete", **source_options):
+           timeout: float | None = None, hashtag_mode: str = "complete",
+           servers: str = "localhost:9092", **source_options):
     """JOB-1: live posts (append) and running hashtag counts (complete), two queries over two
     reads of the source; returns when any query ends (or after ``timeout`` seconds)."""
     if output in ("keyed", "kafka") and not base:
@@ -45,13 +45,14 @@ def stream(spark: SparkSession, *, source: str = "socket", output: str = "consol
     if reset and base:
         for cp in (cp_posts, cp_tags):
             sq.reset_checkpoint(spark, cp, base)
+    source_options["servers"] = servers
 
     def posts_query():
         src = read_messages(spark, source, **source_options)
         if output == "kafka":
             return write_stream(msg.encode_messages(sq.posts_of(src, payload), key="id"), "kafka",
                                 checkpoint=cp_posts, output_mode="append", trigger=trigger,
-                                topic=f"{kt.STREAM_POSTS.name}")
+                                topic=kt.STREAM_POSTS.name, servers=servers)
         return sq.start_posts(src, kind=output, base=base, checkpoint=cp_posts, trigger=trigger,
                               payload=payload)
 
@@ -61,7 +62,7 @@ def stream(spark: SparkSession, *, source: str = "socket", output: str = "consol
             counts = sq.running_hashtag_counts(src, payload, partitions)
             return write_stream(msg.encode_messages(counts, key="hashtag"), "kafka",
                                 checkpoint=cp_tags, output_mode=hashtag_mode, trigger=trigger,
-                                topic=f"{tags_table.name}")
+                                topic=tags_table.name, servers=servers)
         return sq.start_hashtags(src, kind=output, base=base, checkpoint=cp_tags,
                                  output_mode=hashtag_mode, trigger=trigger, payload=payload,
                                  partitions=partitions, table=tags_table)
@@ -104,22 +105,29 @@ def ingest(spark: SparkSession, *, source: str = "kafka", output: str = "console
 
 def authors(spark: SparkSession, *, output: str = "console", base: str, k: int | None = None,
             preview: bool = False) -> DataFrame:
-    """JOB-3: distinct posts of both tables → posts per author → highest first (top ``k``)."""
+    """JOB-3: distinct posts of both tables → posts per author → highest first (top ``k``).
+
+    Keyed output: all counts are upserted into the author table; the top ``k`` replace the table of
+    the top, so an author who is no longer among them goes."""
+    if k is not None and k < 1:
+        raise ValueError(f"k must be 1 or more, not {k}")
     posts = all_posts(kt.read_table(spark, kt.STREAM_POSTS, base),
                       kt.read_table(spark, kt.BATCH_POSTS, base))
     counts = author_counts(posts)
-    if k:
+    if k is not None:
         result = top_k(counts, k, "count", "author_id")
     elif output == "console":
         result = ranked(counts, "count", "author_id")
     else:
         result = counts  # a keyed table has no order: skip the global sort
-    write(result, output, table=kt.AUTHOR_COUNTS, base=base, preview=preview)
+    write(result, output, table=kt.AUTHOR_COUNTS if k is None else kt.TOP_AUTHORS, base=base,
+          preview=preview)
     return result
 
 
 def ids(spark: SparkSession, *, path: str, output: str = "console", base: str | None = None,
-        topic: str = "tweetId", trigger: dict | None = None, wait: bool = True):
+        topic: str = "tweetId", trigger: dict | None = None, wait: bool = True,
+        servers: str = "localhost:9092"):
     """JOB-4: id files as they arrive → ``tweet_id`` → console or Kafka topic ``tweetId``."""
     tweet_ids = msg.ids(read_id_files(spark, path))
     if output == "kafka":
@@ -127,7 +135,7 @@ def ids(spark: SparkSession, *, path: str, output: str = "console", base: str |
             raise ValueError("output 'kafka' needs base= for the checkpoint")
         query = write_stream(msg.encode_messages(tweet_ids, cols=["tweet_id"], as_json=False),
                              "kafka", checkpoint=_checkpoint(base, "ids"), output_mode="append",
-                             trigger=trigger, topic=topic)
+                             trigger=trigger, topic=topic, servers=servers)
     else:
         query = write_stream(tweet_ids, "console", output_mode="append", trigger=trigger,
                              checkpoint=_checkpoint(base, "ids") if base else None)
@@ -138,29 +146,28 @@ def ids(spark: SparkSession, *, path: str, output: str = "console", base: str |
 
 def hydrate(spark: SparkSession, *, path: str, base: str, output: str = "keyed",
             archive: DataFrame | None = None, topic: str = "getTweets",
-            trigger: dict | None = None, wait: bool = True):
+            trigger: dict | None = None, wait: bool = True, servers: str = "localhost:9092"):
     """JOB-5: id files → posts by a join against the archive (default: the stream post table).
 
     ``output``: ``keyed`` upserts the found posts into the batch post table; ``kafka`` publishes
     them as lookup messages (list form) for ``ingest``; ``console`` prints them.
     """
-    def current_archive() -> DataFrame:
-        # Read per micro-batch: new posts and compactions of the table are seen as they happen.
-        return archive if archive is not None else kt.read_table(spark, kt.STREAM_POSTS, base)
+    def rows_of(ids: DataFrame) -> DataFrame:
+        # Read per micro-batch: new posts are seen as they come, and only the listed ids' rows.
+        return kt.read_table(spark, kt.STREAM_POSTS, base, keys=ids)
 
     stream_ids = read_id_files(spark, path)
     cp = _checkpoint(base, "hydrate")
-    offset = batch_offset(spark, kt.BATCH_POSTS, base, cp) if output == "keyed" else 0
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        found = hydrate_ids(batch, current_archive())
+        # A table keyed by id holds each post once, however often its id was listed.
+        found = hydrate_ids(batch, rows_of if archive is None else archive, copies=output != "keyed")
         if output == "kafka":
             write(msg.encode_lookup_messages(found.withColumnRenamed("tweet_id", "id")), "kafka",
-                  topic=topic)
+                  topic=topic, servers=servers)
         elif output == "keyed":
-            kt.ensure_table(spark, kt.BATCH_POSTS, base)
             kt.write_keyed(found.withColumnRenamed("tweet_id", "id"), kt.BATCH_POSTS, base,
-                           offset + batch_id)
+                           batch_id, stream_writer(spark, cp))
         else:
             write(found, "console")
 
@@ -173,15 +180,6 @@ def hydrate(spark: SparkSession, *, path: str, base: str, output: str = "keyed",
     return query
 
 
-def compact(spark: SparkSession, *, base: str, tables: Sequence[str] | None = None) -> dict:
-    """Maintenance: fold the batches of the upsert tables into their compacted bases (safe while
-    streams write). Returns ``{table: last batch folded}``."""
-    known = {t.name: t for t in (kt.STREAM_POSTS, kt.BATCH_POSTS, kt.AUTHOR_COUNTS,
-                                 kt.HASHTAG_COUNT_UPDATES)}
-    names = list(tables or known)
-    return {n: kt.compact(spark, known[n], base) for n in names}
-
-
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="postflow")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -203,7 +201,8 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     p = sub.add_parser("authors", help="posts per author, highest first")
     p.add_argument("--output", choices=["console", "keyed", "cassandra"], default="console")
-    p.add_argument("--k", type=int, default=None, help="Number of elements in Top-K result")
+    p.add_argument("--k", type=int, default=None,
+                   help="keep only the k authors with most posts; without it all are ranked")
 
     p = sub.add_parser("ids", help="stream of id files")
     p.add_argument("--output", choices=["kafka", "console"], default="console")
@@ -212,9 +211,6 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--output", choices=["kafka", "console", "keyed", "cassandra"], default="keyed")
     p.add_argument("--available_now", action="store_true")
 
-    p = sub.add_parser("compact", help="fold upsert-table batches into a compacted base")
-    p.add_argument("--tables", nargs="*", default=None)
-
     for name, sp in sub.choices.items():
         sp.add_argument("--base", default=None, help="folder of the keyed tables")
         sp.add_argument("--path", default=None, help="input folder (files source, id files)")
@@ -227,6 +223,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     if getattr(args, "output", None) == "cassandra":
         # The reference's key-value store; here its tables are the keyed Parquet tables.
         args.output = "keyed"
+    needs_base = args.job in ("authors", "hydrate") or args.output in ("keyed", "kafka")
+    if needs_base and not args.base:
+        parser.error(f"{args.job} with output {args.output} needs --base (the folder of the keyed tables)")
+    if args.job in ("ids", "hydrate") and not args.path:
+        parser.error(f"{args.job} needs --path (the folder of the id files)")
+    if getattr(args, "k", None) is not None and args.k < 1:
+        parser.error("--k must be 1 or more")
     spark = SparkSession.builder.appName(f"postflow-{args.job}").getOrCreate()
     opts = {"servers": args.servers, "path": args.path, "file_format": args.file_format}
     if args.topic:
@@ -243,12 +246,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         authors(spark, output=args.output, base=args.base, k=args.k)
     elif args.job == "ids":
         ids(spark, path=args.path, output=args.output, base=args.base,
-            topic=args.topic or "tweetId")
-    elif args.job == "compact":
-        print(compact(spark, base=args.base, tables=args.tables))
+            topic=args.topic or "tweetId", servers=args.servers)
     elif args.job == "hydrate":
         hydrate(spark, path=args.path, base=args.base, output=args.output,
-                topic=args.topic or "getTweets", trigger=trigger)
+                topic=args.topic or "getTweets", trigger=trigger, servers=args.servers)
 
 
 if __name__ == "__main__":

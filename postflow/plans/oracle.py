@@ -37,6 +37,22 @@ def _decoded(columns: tuple[str, ...]) -> str:
     return f"SELECT {cols} FROM p"
 
 
+def _rules(posts: str, rules: str) -> str:
+    return f"""SELECT p.id, r.rule_id, r.tag
+FROM {posts} p, {rules} r
+WHERE EXISTS (SELECT 1 FROM unnest(r.any_of) AS k(kw) WHERE contains(lower(p.text), lower(k.kw)))
+  AND (NOT r.exclude_retweets OR NOT (p.text LIKE 'RT @%'))
+  AND (r.lang IS NULL OR p.lang = r.lang)"""
+
+
+_VERSIONS = """
+SELECT id, author_id, text, created_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM v) WHERE rn = 1"""
+_LINES = """SELECT line, count(*) AS count FROM (
+  SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM {0} WHERE text IS NOT NULL)
+GROUP BY line"""
+_DOCS = "(SELECT CAST(doc_id AS VARCHAR) AS id, text, lang FROM documents)"
+
 ORACLE_SQL: dict[str, str] = {
     "hashtag_tokens": oracle_with("posts") + _tokens("posts"),
     "hashtag_counts": oracle_with("posts") + _counts("posts"),
@@ -61,12 +77,34 @@ r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch_id DESC,
           created_at DESC NULLS LAST, text DESC NULLS LAST, author_id DESC NULLS LAST) AS rn
       FROM v WHERE id IS NOT NULL)
 SELECT id, author_id, created_at, text FROM r WHERE rn = 1""",
+    "keyed_two_writers": oracle_with("stream_posts", "batch_posts") + """,
+v AS (SELECT id, author_id, text, created_at, 0 AS seq FROM stream_posts
+      UNION ALL SELECT id, author_id, text, created_at, 1 FROM batch_posts
+      UNION ALL SELECT id, author_id, concat(text, ' (again)'), created_at, 2 FROM p
+                WHERE event_id % 10 = 5)""" + _VERSIONS,
+    "top_authors_replaced": oracle_with("stream_posts", "batch_posts") + f"""
+SELECT author_id, count FROM (
+  SELECT * FROM ({_AUTHORS}) a ORDER BY count DESC, author_id ASC NULLS FIRST LIMIT 10) t
+WHERE author_id IS NOT NULL""",
+    "document_hashtags": _counts(_DOCS),
+    "document_lines": _LINES.format("documents"),
+    "conversation_lines": _LINES.format("conversations"),
+    "document_rules": "WITH rules AS (SELECT * FROM (VALUES (1, 'licence', ['license', 'licence'], false, NULL), "
+                      "(2, 'english', ['The ', 'tion'], false, 'en'), (3, 'mail', ['@'], true, NULL), "
+                      "(4, 'all', [''], false, 'de')) AS r(rule_id, tag, any_of, exclude_retweets, lang))\n"
+                      + _rules(_DOCS, "rules"),
+    "hydrate_keyed": oracle_with("stream_posts", "batch_posts", "ids") + """,
+v AS (SELECT id, author_id, text, created_at, 0 AS seq FROM stream_posts
+      UNION ALL SELECT id, author_id, text, created_at, 1 FROM batch_posts),
+posts AS (""" + _VERSIONS + """)
+""" + _HYDRATE,
+    "rule_matches_many": oracle_with("many_rules") + _rules("p", "many_rules"),
+    "rule_tagged_posts": oracle_with("rules") + f"""
+SELECT id, '[' || string_agg('{{"id":' || rule_id || ',"tag":"' || tag || '"}}', ',' ORDER BY rule_id)
+       || ']' AS matching_rules
+FROM ({_rules("p", "rules")}) m GROUP BY id""",
     "hydrate_ids": oracle_with("posts", "ids") + _HYDRATE,
-    "rule_matches": oracle_with("rules") + """SELECT p.id, r.rule_id, r.tag
-FROM p, rules r
-WHERE EXISTS (SELECT 1 FROM unnest(r.any_of) AS k(kw) WHERE contains(lower(p.text), lower(k.kw)))
-  AND (NOT r.exclude_retweets OR NOT (p.text LIKE 'RT @%'))
-  AND (r.lang IS NULL OR p.lang = r.lang)""",
+    "rule_matches": oracle_with("rules") + _rules("p", "rules"),
     "id_stream": oracle_with("ids") + "SELECT tweet_id FROM ids",
     "stream_posts_append": oracle_with() + _WELL_FORMED_POSTS,
     "stream_hashtags_complete": oracle_with() + _counts(f"({_WELL_FORMED_POSTS}) wf"),

@@ -43,25 +43,21 @@ def local_session(cores: int | None = None, app: str = "postflow",
     for key, value in JOB_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if not _shared_folder(spark):  # one machine: any folder of it is shared by all tasks
+        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "postflow"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+def _shared_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
-    On a cluster that folder must be set (it is shared by all executors); a machine-local
-    temporary folder is used only for local sessions where nothing is configured.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+
+def work_dir(spark: SparkSession) -> str:
+    """The folder shared by driver and executors, as ``spark.checkpoint.dir`` names it."""
+    base = _shared_folder(spark)
     if not base:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="postflow-")
-        spark.sparkContext.setCheckpointDir(base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return base.rstrip("/")
 
 

@@ -3,21 +3,28 @@
 The reference keeps its tables in a key-value store where writing a key again replaces the row.
 Here a keyed table is a directory of Parquet files written only by Spark jobs:
 
-* **upsert** tables (append = upsert): each write is one batch, stored under
-  ``<base>/<name>/batch_id=N/rejected=false|true/``. Writing batch ``N`` again replaces exactly
-  that batch (dynamic partition overwrite), so a replayed micro-batch is idempotent. Reads keep,
-  per key, the row of the highest batch, then the highest tie-break columns (NULL lowest).
-  Rows with a NULL key cannot be stored by key; they land in ``rejected=true`` instead of being
-  lost. ``compact`` folds batches ``<= M`` into a committed base under ``_compacted/``; readers
-  take the base plus the batches after ``M``.
+* **upsert** tables (append = upsert): each write is a batch of one writer, stored under
+  ``<base>/<name>/writer=W/batch_id=N/seq=S/rejected=false|true/``. Writing batch ``N`` of writer
+  ``W`` again replaces exactly that batch (dynamic partition overwrite), so a replayed micro-batch
+  is idempotent and no writer can touch another's rows. ``S`` orders batches of all writers: it is
+  taken once per batch (one more than any in the table) and kept on replay; two writers that take
+  the same number at the same time are ordered by name. Reads keep, per key, the row of the highest
+  ``(seq, writer)``, then the highest tie-break columns (NULL lowest). Rows with a NULL key cannot
+  be stored by key; they land in ``rejected=true`` instead of being lost.
 * **replace** tables (complete = truncate and replace): each write is a full snapshot in a
   fresh folder ``<base>/<name>/v<N>-<token>/``; a commit file ``_commits/<N>`` then names it.
   Files are only created, never overwritten, so a reader sees either the old or the new
-  snapshot, never half of one.
+  snapshot, never half of one. A snapshot is deleted once its successor is older than
+  ``RETAIN_SECONDS``, so a reader has that long to finish.
+
+The first use of a table writes its declaration (columns, types, key, mode) to ``_declared`` in its
+folder; every later use is checked against it.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -25,13 +32,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from postflow import fs, schemas
 
 COMMITS = "_commits"
-COMPACTED = "_compacted"
-KEEP_SNAPSHOTS = 2
+DECLARED = "_declared"
+#: How long a replaced snapshot stays readable.
+RETAIN_SECONDS = 24 * 3600
+BATCH = "batch"  # writer of batches that no stream or job owns
 
 
 @dataclass(frozen=True)
@@ -53,7 +62,7 @@ class KeyedTable:
         return f"{base.rstrip('/')}/{self.name}"
 
 
-# The reference's four tables.
+# The reference's four tables; the names are fixed values that must equal its table names.
 STREAM_POSTS = KeyedTable("stream_blob_tweets", schemas.post_schema(schemas.STREAM_POST_COLUMNS),
                           ("id",), "upsert", ("created_at", "text", "author_id"))
 BATCH_POSTS = KeyedTable("batch_tweets", schemas.post_schema(schemas.BATCH_POST_COLUMNS),
@@ -67,9 +76,14 @@ AUTHOR_COUNTS = KeyedTable("topK_authors", schemas.AUTHOR_COUNTS, ("author_id",)
                            ("count",))
 
 
-def _stored_schema(table: KeyedTable, part: str) -> StructType:
+# The top k only: replaced as a whole, so that authors who leave the top do not stay.
+TOP_AUTHORS = KeyedTable("topK_authors_top", schemas.AUTHOR_COUNTS, ("author_id",), "replace")
+
+
+def _stored_schema(table: KeyedTable) -> StructType:
     return StructType(list(table.schema.fields) + [
-        StructField(part, LongType()), StructField("rejected", BooleanType())])
+        StructField("writer", StringType()), StructField("batch_id", LongType()),
+        StructField("seq", LongType()), StructField("rejected", BooleanType())])
 
 
 def _key_present(keys: Sequence[str]):
@@ -82,67 +96,89 @@ def _shape(df: DataFrame, table: KeyedTable) -> DataFrame:
 
 
 def ensure_table(spark: SparkSession, table: KeyedTable, base: str) -> str:
-    """SNK-7: create the table directory when absent; returns its path."""
+    """SNK-7: declare the table when absent, check the declaration when present; returns its path."""
     path = table.path(base)
     if not fs.exists(spark, path):
         fs.mkdirs(spark, path)
+    own = {"columns": {f.name: f.dataType.simpleString() for f in table.schema.fields},
+           "keys": list(table.keys), "mode": table.mode}
+    fs.create_text(spark, f"{path}/{DECLARED}", json.dumps(own))
+    found = declaration(spark, table.name, base)
+    if found != own:
+        raise ValueError(f"table {table.name} is declared as {found}, not as {own}")
     return path
 
 
-def write_keyed(df: DataFrame, table: KeyedTable, base: str, batch_id: int) -> None:
-    """SNK-3: write ``df`` as batch ``batch_id`` of an upsert table (replacing that batch only).
+def declaration(spark: SparkSession, name: str, base: str) -> dict | None:
+    """Columns, key and mode of a table as declared in its folder; ``None`` if it has none."""
+    text = fs.read_text(spark, f"{base.rstrip('/')}/{name}/{DECLARED}")
+    return json.loads(text) if text else None
+
+
+def _sequence(spark: SparkSession, root: str, writer: str, batch_id: int) -> int:
+    """The number of this batch: the one it has, or one more than any in the table."""
+    last = -1
+    for path in fs.glob_paths(spark, f"{root}/writer=*/batch_id=*/seq=*"):
+        of_writer, of_batch, seq = (x.split("=", 1)[1] for x in path.split("/")[-3:])
+        if (of_writer, of_batch) == (writer, str(batch_id)):
+            return int(seq)
+        last = max(last, int(seq))
+    return last + 1
+
+
+def write_keyed(df: DataFrame, table: KeyedTable, base: str, batch_id: int,
+                writer: str = BATCH) -> None:
+    """SNK-3: write ``df`` as batch ``batch_id`` of ``writer`` (replacing that batch only).
 
     One pass over ``df``: keyed and rejected rows go to sibling partitions of the same write.
+    ``writer`` is a folder name: letters, digits, ``-`` and ``_``.
     """
     if table.mode != "upsert":
         raise ValueError(f"{table.name} is a {table.mode} table")
+    if not writer or not all(c.isalnum() or c in "-_" for c in writer):
+        raise ValueError(f"writer {writer!r}: letters, digits, - and _ only")
+    spark = df.sparkSession
+    root = ensure_table(spark, table, base)
+    seq = _sequence(spark, root, writer, int(batch_id))
     out = _shape(df, table).select(
-        "*", F.lit(int(batch_id)).cast("long").alias("batch_id"),
-        (~_key_present(table.keys)).alias("rejected"))
+        "*", F.lit(writer).alias("writer"), F.lit(int(batch_id)).cast("long").alias("batch_id"),
+        F.lit(seq).cast("long").alias("seq"), (~_key_present(table.keys)).alias("rejected"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "rejected").parquet(table.path(base)))
+        .partitionBy("writer", "batch_id", "seq", "rejected").parquet(root))
 
 
-def replace_keyed(df: DataFrame, table: KeyedTable, base: str, version: int) -> None:
-    """SNK-4: write ``df`` as version ``version`` (the full content) of a replace table.
+def replace_keyed(df: DataFrame, table: KeyedTable, base: str, version: int | None = None) -> int:
+    """SNK-4: write ``df`` as the full content of a replace table; returns the version written.
 
     The rows go to a folder no reader knows yet (``v<version>-<token>``); then a commit file
-    ``_commits/<version>`` naming that folder is created. Files are only ever created, never
-    overwritten, so a reader sees the old or the new version, nothing in between. A version that
-    is already committed (a replayed micro-batch) is left as it is.
+    ``_commits/<version>`` naming that folder is created. Without ``version`` the next free one is
+    taken; one that is already committed is left as it is.
     """
     if table.mode != "replace":
         raise ValueError(f"{table.name} is a {table.mode} table")
     spark = df.sparkSession
     root = ensure_table(spark, table, base)
-    version = int(version)
-    commit = f"{root}/{COMMITS}/{version}"
-    if fs.exists(spark, commit):
-        return
-    folder = f"v{version}-{uuid.uuid4().hex[:12]}"
+    own = version is not None
+    number = int(version) if own else max(_versions(spark, root), default=-1) + 1
+    if own and fs.exists(spark, f"{root}/{COMMITS}/{number}"):
+        return number
+    folder = f"v{number}-{uuid.uuid4().hex[:12]}"
     out = _shape(df, table).select("*", (~_key_present(table.keys)).alias("rejected"))
     out.write.mode("overwrite").partitionBy("rejected").parquet(f"{root}/{folder}")
-    fs.write_text(spark, commit, folder)
+    # Another writer may have taken the number meanwhile.
+    while not fs.create_text(spark, f"{root}/{COMMITS}/{number}", folder) and not own:
+        number += 1
     _drop_old_snapshots(spark, root)
+    return number
 
 
-def _versions(spark: SparkSession, root: str, part: str) -> list[int]:
-    """Batch numbers (``part="batch_id"``) or committed versions (``part="snapshot"``)."""
-    if part == "snapshot":
-        names = fs.list_names(spark, f"{root}/{COMMITS}")
-        return sorted(int(n) for n in names if n.isdigit())
-    out = []
-    for name in fs.list_names(spark, root):
-        if name.startswith(part + "="):
-            try:
-                out.append(int(name.split("=", 1)[1]))
-            except ValueError:
-                pass
-    return sorted(out)
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed versions of a replace table."""
+    return sorted(int(n) for n in fs.list_names(spark, f"{root}/{COMMITS}") if n.isdigit())
 
 
 def _current_snapshot(spark: SparkSession, root: str) -> str | None:
-    versions = _versions(spark, root, "snapshot")
+    versions = _versions(spark, root)
     if not versions:
         return None
     folder = fs.read_text(spark, f"{root}/{COMMITS}/{versions[-1]}")
@@ -150,18 +186,16 @@ def _current_snapshot(spark: SparkSession, root: str) -> str | None:
 
 
 def _drop_old_snapshots(spark: SparkSession, root: str) -> None:
-    """Keep the last ``KEEP_SNAPSHOTS`` versions (a reader may still be on the previous one);
-    delete older versions and folders of failed attempts older than the kept versions."""
-    versions = _versions(spark, root, "snapshot")
-    keep = versions[-KEEP_SNAPSHOTS:]
-    kept = {(fs.read_text(spark, f"{root}/{COMMITS}/{v}") or "").strip() for v in keep}
-    for name in fs.list_names(spark, root):
-        if name.startswith("v") and "-" in name and name not in kept:
-            number = name[1:].split("-", 1)[0]
-            if number.isdigit() and int(number) < keep[0]:
-                fs.delete(spark, f"{root}/{name}")
-    for v in versions[:-KEEP_SNAPSHOTS]:
-        fs.delete(spark, f"{root}/{COMMITS}/{v}")
+    """Delete versions whose successor was committed more than ``RETAIN_SECONDS`` ago."""
+    versions = _versions(spark, root)
+    limit = time.time() - RETAIN_SECONDS
+    for old, successor in zip(versions, versions[1:]):
+        if fs.modified(spark, f"{root}/{COMMITS}/{successor}") > limit:
+            break
+        folder = (fs.read_text(spark, f"{root}/{COMMITS}/{old}") or "").strip()
+        if folder:
+            fs.delete(spark, f"{root}/{folder}")
+        fs.delete(spark, f"{root}/{COMMITS}/{old}")
 
 
 def read_rejected(spark: SparkSession, table: KeyedTable, base: str) -> DataFrame:
@@ -174,7 +208,7 @@ def read_rejected(spark: SparkSession, table: KeyedTable, base: str) -> DataFram
             return spark.createDataFrame([], table.schema)
         snap = spark.read.schema(_snapshot_schema(table)).parquet(current)
         return snap.where(F.col("rejected")).select(*table.columns)
-    stored = spark.read.schema(_stored_schema(table, "batch_id")).parquet(root)
+    stored = spark.read.schema(_stored_schema(table)).parquet(root)
     return stored.where(F.col("rejected")).drop("rejected")
 
 
@@ -182,62 +216,37 @@ def _snapshot_schema(table: KeyedTable) -> StructType:
     return StructType(list(table.schema.fields) + [StructField("rejected", BooleanType())])
 
 
-def read_table(spark: SparkSession, table: KeyedTable, base: str) -> DataFrame:
-    """SRC-6: the current content of a keyed table, one row per key, in table column order."""
+def read_table(spark: SparkSession, table: KeyedTable, base: str,
+               keys: DataFrame | None = None) -> DataFrame:
+    """SRC-6: the current content of a keyed table, one row per key, in table column order.
+
+    ``keys`` (a DataFrame with the key columns) limits the read to these keys. The stored rows are
+    semi-joined with them before the latest row of each key is found, so what is aggregated and
+    exchanged grows with the keys asked for, not with the table.
+    """
     root = ensure_table(spark, table, base)
     if table.mode == "replace":
         current = _current_snapshot(spark, root)
         if current is None:
             return spark.createDataFrame([], table.schema)
         snap = spark.read.schema(_snapshot_schema(table)).parquet(current)
-        return snap.where(~F.col("rejected")).select(*table.columns)
-    compacted = _compacted_base(spark, root)
-    if compacted is not None and not any(b > compacted[0]
-                                         for b in _versions(spark, root, "batch_id")):
-        # Nothing written since the last compaction: the base already holds one row per key,
-        # so the read is a plain scan (no shuffle).
-        return spark.read.schema(table.schema).parquet(compacted[1])
-    return latest_by_key(_keyed_rows(spark, table, root), table)
-
-
-def _compacted_base(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """``(M, folder)`` of the last committed compaction of an upsert table (covers batches <= M)."""
-    home = f"{root}/{COMPACTED}"
-    versions = _versions(spark, home, "snapshot")
-    if not versions:
-        return None
-    folder = fs.read_text(spark, f"{home}/{COMMITS}/{versions[-1]}")
-    return (versions[-1], f"{home}/{folder.strip()}") if folder else None
-
-
-def _keyed_rows(spark: SparkSession, table: KeyedTable, root: str,
-                upto: int | None = None) -> DataFrame:
-    """The stored rows that make up an upsert table, with ``batch_id``: the compacted base
-    (its rows as batch ``M``) and the batches after ``M`` (pruned by partition filter)."""
-    stored = (spark.read.schema(_stored_schema(table, "batch_id")).parquet(root)
-              .where(~F.col("rejected")))
-    compacted = _compacted_base(spark, root)
-    if compacted is not None:
-        stored = stored.where(F.col("batch_id") > compacted[0])
-    if upto is not None:
-        stored = stored.where(F.col("batch_id") <= upto)
-    rows = stored.select(*table.columns, "batch_id")
-    if compacted is None:
-        return rows
-    base_rows = (spark.read.schema(table.schema).parquet(compacted[1])
-                 .select(*table.columns, F.lit(compacted[0]).cast("long").alias("batch_id")))
-    return base_rows.unionByName(rows)
+        rows = snap.where(~F.col("rejected")).select(*table.columns)
+        return rows if keys is None else rows.join(keys, list(table.keys), "left_semi")
+    stored = spark.read.schema(_stored_schema(table)).parquet(root).where(~F.col("rejected"))
+    if keys is not None:
+        stored = stored.join(keys, list(table.keys), "left_semi")
+    return latest_by_key(stored, table)
 
 
 def latest_by_key(stored: DataFrame, table: KeyedTable) -> DataFrame:
-    """Per key, the row with the highest ``(batch_id, order…, other columns…)``.
+    """Per key, the row with the highest ``(seq, writer, order…, other columns…)``.
 
     Written as ``max(struct(...))`` grouped by key rather than a ``row_number`` window: the
     aggregate combines map-side, so a key written in every batch (a hot key) shuffles one row
     per input partition instead of all its versions to a single task.
     """
     rest = [c for c in table.columns if c not in table.keys]
-    tie = ["batch_id"] + [c for c in table.order if c in rest] + [c for c in rest
+    tie = ["seq", "writer"] + [c for c in table.order if c in rest] + [c for c in rest
                                                                  if c not in table.order]
     latest = (stored.groupBy(*table.keys)
                     .agg(F.max(F.struct(*[F.col(c) for c in tie])).alias("_latest")))
@@ -245,7 +254,8 @@ def latest_by_key(stored: DataFrame, table: KeyedTable) -> DataFrame:
                            for c in table.columns])
 
 
-ALL_TABLES = (STREAM_POSTS, BATCH_POSTS, HASHTAG_COUNTS, HASHTAG_COUNT_UPDATES, AUTHOR_COUNTS)
+ALL_TABLES = (STREAM_POSTS, BATCH_POSTS, HASHTAG_COUNTS, HASHTAG_COUNT_UPDATES, AUTHOR_COUNTS,
+              TOP_AUTHORS)
 
 
 def register_views(spark: SparkSession, base: str,
@@ -259,44 +269,3 @@ def register_views(spark: SparkSession, base: str,
         read_table(spark, table, base).createOrReplaceTempView(table.name)
         names.append(table.name)
     return names
-
-
-def last_batch(spark: SparkSession, table: KeyedTable, base: str) -> int | None:
-    """Highest batch number written to an upsert table (compacted batches included)."""
-    root = table.path(base)
-    numbers = _versions(spark, root, "batch_id")
-    compacted = _compacted_base(spark, root)
-    if compacted is not None:
-        numbers.append(compacted[0])
-    return max(numbers) if numbers else None
-
-
-def compact(spark: SparkSession, table: KeyedTable, base: str) -> int | None:
-    """Fold the batches of an upsert table into a compacted base; returns the last batch folded.
-
-    The base holds exactly the current view of batches ``<= M`` and is committed like a replace
-    table's snapshot (new folder, then a new commit file under ``_compacted/``). Readers then take
-    the base plus batches ``> M``. Compaction never writes a batch number, so a stream writing
-    batches at the same time is not disturbed, and a replayed batch ``<= M`` is ignored by
-    readers (its rows are already in the base). Batches covered by the *previous* base are
-    deleted (readers that started before the new commit still find theirs); rejected rows are
-    kept.
-    """
-    root = ensure_table(spark, table, base)
-    batches = _versions(spark, root, "batch_id")
-    previous = _compacted_base(spark, root)
-    covered = previous[0] if previous else -1
-    newer = [b for b in batches if b > covered]
-    if not newer:
-        return previous[0] if previous else None
-    upto = newer[-1]
-    view = latest_by_key(_keyed_rows(spark, table, root, upto=upto), table)
-    folder = f"v{upto}-{uuid.uuid4().hex[:12]}"
-    home = f"{root}/{COMPACTED}"
-    view.write.mode("overwrite").parquet(f"{home}/{folder}")
-    fs.write_text(spark, f"{home}/{COMMITS}/{upto}", folder)
-    for b in batches:
-        if b <= covered:
-            fs.delete(spark, f"{root}/batch_id={b}/rejected=false")
-    _drop_old_snapshots(spark, home)
-    return upto

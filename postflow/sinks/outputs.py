@@ -7,7 +7,8 @@ Kinds: ``console`` (print), ``keyed`` (upsert or replace keyed table, see ``sink
 
 from __future__ import annotations
 
-import hashlib
+import json
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -20,12 +21,13 @@ SINK_KINDS = ("console", "keyed", "kafka", "format")
 
 
 def write(df: DataFrame, kind: str = "console", *, table: kt.KeyedTable | None = None,
-          base: str | None = None, batch_id: int | None = None, topic: str | None = None,
+          base: str | None = None, batch_id: int = 0, writer: str | None = None, topic: str | None = None,
           servers: str = "localhost:9092", format: str | None = None,
           options: dict | None = None, preview: bool = False) -> None:
     """SNK-1/3/4/8: write a batch result.
 
-    ``preview`` (SNK-6) shows 20 rows of what was written, read back from the sink rather than
+    A keyed write is batch ``batch_id`` of ``writer``; without a writer it is a writer of its own, so
+    it adds to what others wrote. ``preview`` (SNK-6) shows 20 rows of what was written, read back from the sink rather than
     by running the query a second time.
     """
     if kind == "console":
@@ -35,11 +37,10 @@ def write(df: DataFrame, kind: str = "console", *, table: kt.KeyedTable | None =
         if table is None or base is None:
             raise ValueError("kind='keyed' needs table= and base=")
         spark = df.sparkSession
-        kt.ensure_table(spark, table, base)
         if table.mode == "replace":
-            kt.replace_keyed(df, table, base, _next_version(spark, table, base, batch_id))
+            kt.replace_keyed(df, table, base)
         else:
-            kt.write_keyed(df, table, base, _next_version(spark, table, base, batch_id))
+            kt.write_keyed(df, table, base, batch_id, writer or f"run-{uuid.uuid4().hex[:16]}")
         if preview:
             kt.read_table(spark, table, base).show(20)
         return
@@ -57,16 +58,6 @@ def write(df: DataFrame, kind: str = "console", *, table: kt.KeyedTable | None =
     raise ValueError(f"unknown output {kind!r}; expected one of {SINK_KINDS}")
 
 
-def _next_version(spark, table: kt.KeyedTable, base: str, batch_id: int | None) -> int:
-    if batch_id is not None:
-        return int(batch_id)
-    if table.mode == "upsert":
-        last = kt.last_batch(spark, table, base)
-        return 0 if last is None else last + 1
-    existing = kt._versions(spark, table.path(base), "snapshot")
-    return existing[-1] + 1 if existing else 0
-
-
 def write_stream(df: DataFrame, kind: str = "console", *, checkpoint: str | None = None,
                  output_mode: str = "complete", trigger: dict | None = None,
                  table: kt.KeyedTable | None = None, base: str | None = None,
@@ -95,8 +86,7 @@ def write_stream(df: DataFrame, kind: str = "console", *, checkpoint: str | None
             raise ValueError("kind='keyed' needs table= and base=")
         if table.mode == "replace" and output_mode != "complete":
             raise ValueError(f"{table.name} is replaced on every write: it needs complete mode")
-        offset = batch_offset(df.sparkSession, table, base, checkpoint)
-        return writer.foreachBatch(keyed_batch_writer(table, base, offset)).start()
+        return writer.foreachBatch(keyed_batch_writer(table, base, checkpoint)).start()
     if kind == "kafka":
         if topic is None:
             raise ValueError("kind='kafka' needs topic=")
@@ -111,34 +101,24 @@ def write_stream(df: DataFrame, kind: str = "console", *, checkpoint: str | None
     raise ValueError(f"unknown output {kind!r}; expected one of {SINK_KINDS}")
 
 
-def batch_offset(spark, table: kt.KeyedTable, base: str, checkpoint: str) -> int:
-    """First table batch number of the stream with this checkpoint.
-
-    Micro-batch ids restart at 0 when a checkpoint is reset (STM-5); numbering a new checkpoint
-    after the table's last batch keeps its batches from replacing older ones. The number is kept
-    in the table folder so a restart on the same checkpoint reuses it.
-    """
-    kt.ensure_table(spark, table, base)
-    tag = hashlib.sha1(fs.qualify(spark, checkpoint).encode("utf-8")).hexdigest()[:16]
-    marker = f"{table.path(base)}/_streams/{tag}"
-    stored = fs.read_text(spark, marker)
-    if stored is not None and fs.exists(spark, f"{checkpoint}/commits"):
-        return int(stored.strip())
-    offset = _next_version(spark, table, base, None)
-    fs.write_text(spark, marker, str(offset))
-    return offset
+def stream_writer(spark, checkpoint: str) -> str:
+    """Writer name of the stream with this checkpoint: the id Spark keeps in the checkpoint. A
+    restart has the same id, so it replays its own batches; after a reset (STM-5) the id is new,
+    so the first batches of the new run replace nothing."""
+    text = fs.read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    if not text:
+        raise RuntimeError(f"no query id in {checkpoint}")
+    return f"stream-{json.loads(text)['id']}"
 
 
-def keyed_batch_writer(table: kt.KeyedTable, base: str, offset: int = 0):
-    """``foreachBatch`` function: micro-batch ``b`` becomes table batch (upsert) or snapshot
-    (replace) ``offset + b``, so a replayed micro-batch rewrites the same files."""
+def keyed_batch_writer(table: kt.KeyedTable, base: str, checkpoint: str):
+    """``foreachBatch`` function: micro-batch ``b`` becomes batch ``b`` of the stream's writer
+    (upsert) or the next snapshot (replace; a replayed micro-batch has the same content)."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        kt.ensure_table(spark, table, base)
         if table.mode == "replace":
-            kt.replace_keyed(batch, table, base, offset + batch_id)
+            kt.replace_keyed(batch, table, base)
         else:
-            kt.write_keyed(batch, table, base, offset + batch_id)
+            kt.write_keyed(batch, table, base, batch_id, stream_writer(batch.sparkSession, checkpoint))
 
     return write_batch

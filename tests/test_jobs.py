@@ -1,5 +1,6 @@
 """The five jobs end to end on files (JOB-1 … JOB-5), inputs derived from ``events``."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from postflow.functions.messages import encode_lookup_messages
@@ -40,6 +41,9 @@ def test_jobs_chain(spark, sf_dir, tmp_base):
     # JOB-3: authors over both tables, top 5 and full ranking into the author table.
     top = jobs.authors(spark, output="console", base=base, k=5).collect()
     assert len(top) == 5 and top[0]["count"] >= top[-1]["count"]
+    for k in (0, -1):
+        with pytest.raises(ValueError, match="k must be"):
+            jobs.authors(spark, output="keyed", base=base, k=k)
     jobs.authors(spark, output="keyed", base=base)
     stored = kt.read_table(spark, kt.AUTHOR_COUNTS, base)
     assert stored.count() == posts.select("author_id").where("author_id IS NOT NULL") \
@@ -65,3 +69,39 @@ def test_incremental_ingest_reads_only_new_messages(spark, sf_dir, tmp_base):
     assert not last
     stored = spark.read.parquet(kt.BATCH_POSTS.path(base)).where("NOT rejected")
     assert stored.count() == posts.count()  # every message was read once, not re-read
+
+
+def _id_file(spark, ids, folder):
+    spark.createDataFrame([(i, "u") for i in ids], "tweet_id string, user_id string").coalesce(1) \
+        .write.mode("append").option("sep", "\t").option("header", True).csv(folder)
+
+
+def test_hydrate_ingest_hydrate_keeps_every_row(spark, tmp_base):
+    """Two writers of one table in turns: neither replaces the other's batches."""
+    base = f"{tmp_base}/tables"
+    columns = "id string, author_id string, created_at string, text string"
+    live = spark.createDataFrame([(str(i), "a", "t", f"live {i}") for i in range(4)], columns)
+    kt.write_keyed(live, kt.STREAM_POSTS, base, 0)
+    _id_file(spark, ["0", "1"] + ["1"] * 500, f"{tmp_base}/ids")
+    jobs.hydrate(spark, path=f"{tmp_base}/ids", base=base, trigger=NOW)
+    looked_up = spark.createDataFrame([(i, "b", "t", "looked up") for i in ("100", "101")], columns)
+    encode_lookup_messages(looked_up).write.parquet(f"{tmp_base}/lookups")
+    jobs.ingest(spark, source="files", output="keyed", base=base, path=f"{tmp_base}/lookups")
+    _id_file(spark, ["2", "3"], f"{tmp_base}/ids")
+    jobs.hydrate(spark, path=f"{tmp_base}/ids", base=base, trigger=NOW)
+    jobs.ingest(spark, source="files", output="keyed", base=base, path=f"{tmp_base}/lookups", incremental=True)
+    got = sorted(r.id for r in kt.read_table(spark, kt.BATCH_POSTS, base).collect())
+    assert got == ["0", "1", "100", "101", "2", "3"]
+    stored = spark.read.parquet(kt.BATCH_POSTS.path(base))
+    assert stored.where("id = '1'").count() == 1  # a hot id is stored once
+
+
+def test_top_authors_replace_the_table(spark, tmp_base):
+    columns = "id string, author_id string, created_at string, text string"
+    kt.write_keyed(spark.createDataFrame([("1", "a", "t", "x"), ("2", "a", "t", "y"), ("3", "b", "t", "z")], columns),
+                   kt.STREAM_POSTS, tmp_base, 0)
+    jobs.authors(spark, output="keyed", base=tmp_base, k=1)
+    kt.write_keyed(spark.createDataFrame([(str(i), "b", "t", "w") for i in range(10, 13)], columns),
+                   kt.STREAM_POSTS, tmp_base, 1)
+    jobs.authors(spark, output="keyed", base=tmp_base, k=1)
+    assert [tuple(r) for r in kt.read_table(spark, kt.TOP_AUTHORS, tmp_base).collect()] == [("b", 4)]

@@ -1,5 +1,6 @@
 """Keyed tables (SNK-3, SNK-4, SNK-7, SRC-6): upsert, replay, NULL keys, snapshots, compaction."""
 
+import pytest
 from pyspark.sql import Row
 
 from postflow import fs
@@ -47,7 +48,7 @@ def test_null_keys_are_rejected_not_lost(spark, tmp_base):
                    tmp_base, 3)
     assert _read(spark, t, tmp_base) == [("1", "a", "t", "ok")]
     rejected = kt.read_rejected(spark, t, tmp_base).collect()
-    assert [(r.text, r.batch_id) for r in rejected] == [("bad", 3)]
+    assert [(r.text, r.writer, r.batch_id) for r in rejected] == [("bad", kt.BATCH, 3)]
 
 
 def test_columns_go_by_name(spark, tmp_base):
@@ -64,7 +65,7 @@ def test_empty_table_reads_empty(spark, tmp_base):
     assert kt.read_table(spark, kt.HASHTAG_COUNTS, tmp_base).count() == 0
 
 
-def test_replace_table_switches_snapshots(spark, tmp_base):
+def test_replace_table_switches_snapshots(spark, tmp_base, monkeypatch):
     t = kt.HASHTAG_COUNTS
     first = spark.createDataFrame([("#a", 1), ("#b", 2)], "hashtag string, count bigint")
     second = spark.createDataFrame([("#a", 5)], "hashtag string, count bigint")
@@ -76,10 +77,16 @@ def test_replace_table_switches_snapshots(spark, tmp_base):
     # a replayed, already committed version changes nothing
     kt.replace_keyed(first, t, tmp_base, 2)
     assert _read(spark, t, tmp_base) == [("#a", 5)]
+    # without a number the next one is taken; a replaced version stays readable for its time
+    assert kt.replace_keyed(first, t, tmp_base) == 3
     root = t.path(tmp_base)
-    assert sorted(fs.list_names(spark, f"{root}/_commits")) == ["1", "2"]
-    folders = sorted(n for n in fs.list_names(spark, root) if n.startswith("v"))
-    assert [f.split("-")[0] for f in folders] == ["v1", "v2"]
+    assert sorted(fs.list_names(spark, f"{root}/_commits")) == ["0", "1", "2", "3"]
+    monkeypatch.setattr(kt, "RETAIN_SECONDS", -10)
+    assert kt.replace_keyed(second, t, tmp_base) == 4
+    assert fs.list_names(spark, f"{root}/_commits") == ["4"]
+    folders = [n for n in fs.list_names(spark, root) if n.startswith("v")]
+    assert [f.split("-")[0] for f in folders] == ["v4"]
+    assert _read(spark, t, tmp_base) == [("#a", 5)]
 
 
 def test_replace_table_rejects_null_keys(spark, tmp_base):
@@ -90,51 +97,53 @@ def test_replace_table_rejects_null_keys(spark, tmp_base):
     assert [tuple(r) for r in kt.read_rejected(spark, t, tmp_base).collect()] == [(None, 2)]
 
 
-def test_write_picks_next_batch_and_compacts(spark, tmp_base):
+def test_every_run_adds_to_the_table(spark, tmp_base):
     t = kt.BATCH_POSTS
     for text in ("v1", "v2", "v3"):
         write(_posts(spark, [("1", "a", "t", text), ("2", "b", "t", text)]), "keyed",
               table=t, base=tmp_base)
     write(_posts(spark, [(None, "a", "t", "bad")]), "keyed", table=t, base=tmp_base)
-    before = _read(spark, t, tmp_base)
-    assert before == [("1", "a", "v3", "t"), ("2", "b", "v3", "t")]  # batch table column order
-    assert kt.compact(spark, t, tmp_base) == 3
-    assert _read(spark, t, tmp_base) == before
-    assert kt.read_rejected(spark, t, tmp_base).count() == 1
-    # writes after a compaction take the next number and win; a replayed old batch is ignored
-    write(_posts(spark, [("2", "b", "t", "v4")]), "keyed", table=t, base=tmp_base)
-    kt.write_keyed(_posts(spark, [("1", "a", "t", "v0-replayed")]), t, tmp_base, 0)
-    assert _read(spark, t, tmp_base) == [("1", "a", "v3", "t"), ("2", "b", "v4", "t")]
-    assert kt.compact(spark, t, tmp_base) == 4
-    assert _read(spark, t, tmp_base) == [("1", "a", "v3", "t"), ("2", "b", "v4", "t")]
-    kept = sorted(n for n in fs.list_names(spark, t.path(tmp_base)) if n.startswith("batch_id"))
-    assert "batch_id=4" in kept  # batches covered only by the newest base stay one more round
-    assert fs.list_names(spark, f"{t.path(tmp_base)}/batch_id=0") == []  # folded twice: gone
+    assert _read(spark, t, tmp_base) == [("1", "a", "v3", "t"), ("2", "b", "v3", "t")]
     assert kt.read_rejected(spark, t, tmp_base).count() == 1
-    assert kt.compact(spark, t, tmp_base) == 4  # nothing new to fold
-
 
-def test_compact_job(spark, tmp_base):
-    from postflow.plans import jobs
-    for text in ("v1", "v2"):
-        write(_posts(spark, [("1", "a", "t", text)]), "keyed", table=kt.STREAM_POSTS,
-              base=tmp_base)
-    folded = jobs.compact(spark, base=tmp_base)
-    assert folded["stream_blob_tweets"] == 1 and folded["batch_tweets"] is None
-    assert _read(spark, kt.STREAM_POSTS, tmp_base) == [("1", "a", "t", "v2")]
 
-
-def test_read_after_compaction_is_a_plain_scan(spark, tmp_base, capsys):
+def test_writers_never_touch_each_other(spark, tmp_base):
+    t = kt.STREAM_POSTS
+    kt.write_keyed(_posts(spark, [("1", "a", "t", "A0"), ("2", "a", "t", "A0")]), t, tmp_base, 0, "A")
+    kt.write_keyed(_posts(spark, [("2", "b", "t", "B0"), ("3", "b", "t", "B0")]), t, tmp_base, 0, "B")
+    kt.write_keyed(_posts(spark, [("1", "a", "t", "A0"), ("2", "a", "t", "A0 replayed")]), t, tmp_base, 0, "A")
+    expected = [("1", "a", "t", "A0"), ("2", "b", "t", "B0"), ("3", "b", "t", "B0")]
+    assert _read(spark, t, tmp_base) == expected  # the replay kept its place before B
+    kt.write_keyed(_posts(spark, [("3", "a", "t", "A1")]), t, tmp_base, 1, "A")
+    assert _read(spark, t, tmp_base) == expected[:2] + [("3", "a", "t", "A1")]
+    with pytest.raises(ValueError, match="writer"):
+        kt.write_keyed(_posts(spark, []), t, tmp_base, 0, "a/b")
+
+
+def test_read_by_keys_filters_before_the_aggregate(spark, tmp_base, capsys):
     t = kt.STREAM_POSTS
-    kt.write_keyed(_posts(spark, [("1", "a", "t", "x"), ("2", "b", "t", "y")]), t, tmp_base, 0)
-    kt.write_keyed(_posts(spark, [("1", "a", "t", "x2")]), t, tmp_base, 1)
-    kt.compact(spark, t, tmp_base)
-    df = kt.read_table(spark, t, tmp_base)
+    for batch in range(3):
+        kt.write_keyed(_posts(spark, [(str(i), "a", "t", f"{i}-{batch}") for i in range(20)]), t, tmp_base, batch)
+    keys = spark.createDataFrame([("3",), ("7",), ("none",)], "id string")
+    df = kt.read_table(spark, t, tmp_base, keys=keys)
+    assert sorted(tuple(r) for r in df.collect()) == [("3", "a", "t", "3-2"), ("7", "a", "t", "7-2")]
     df.explain()
-    assert "Exchange" not in capsys.readouterr().out
-    assert sorted(tuple(r) for r in df.collect()) == [("1", "a", "t", "x2"), ("2", "b", "t", "y")]
-    kt.write_keyed(_posts(spark, [("2", "b", "t", "y2")]), t, tmp_base, 2)
-    assert _read(spark, t, tmp_base) == [("1", "a", "t", "x2"), ("2", "b", "t", "y2")]
+    plan = capsys.readouterr().out
+    assert "LeftSemi" in plan and plan.index("partial_max") < plan.index("LeftSemi")  # the join is below
+
+
+def test_declaration_is_kept_and_checked(spark, tmp_base):
+    kt.write_keyed(_posts(spark, [("1", "a", "t", "x")]), kt.STREAM_POSTS, tmp_base, 0)
+    other = spark.newSession()
+    found = kt.declaration(other, "stream_blob_tweets", tmp_base)
+    assert found == {"columns": {c: "string" for c in ("id", "author_id", "created_at", "text")},
+                     "keys": ["id"], "mode": "upsert"}
+    wrong = kt.KeyedTable("stream_blob_tweets", kt.AUTHOR_COUNTS.schema, ("author_id",))
+    with pytest.raises(ValueError, match="declared"):
+        kt.write_keyed(other.createDataFrame([("a", 1)], kt.AUTHOR_COUNTS.schema), wrong, tmp_base, 1)
+    with pytest.raises(ValueError, match="declared"):
+        kt.read_table(other, wrong, tmp_base)
+    assert kt.declaration(other, "nothing", tmp_base) is None
 
 
 def test_register_views(spark, tmp_base):

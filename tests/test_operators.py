@@ -43,7 +43,7 @@ def test_repartition_by_co_locates_keys(spark):
 
 def test_replicate_is_exact_for_hot_rows(spark):
     df = spark.createDataFrame([("hot", 10), ("warm", 3), ("one", 1)], "k string, n long")
-    out = enrich.replicate(df, "n", key=["k"], chunk=3, partitions=4)
+    out = enrich.replicate(df, "n", key=["k"], chunk=3)
     got = {r.k: r["count"] for r in out.groupBy("k").count().collect()}
     assert got == {"hot": 10, "warm": 3, "one": 1}
 
@@ -53,6 +53,8 @@ def test_hydrate_keeps_duplicates_and_drops_unresolved(spark):
                                 "tweet_id string, user_id string")
     archive = spark.createDataFrame([("1", "a", "t", "x"), ("2", "b", "t", "y"),
                                      ("3", "c", "t", "z")], S_COLS)
+    once = enrich.hydrate(ids, lambda listed: archive.join(listed, "id", "left_semi"), copies=False)
+    assert sorted(tuple(r) for r in once.collect()) == [("1", "a", "t", "x"), ("2", "b", "t", "y")]
     got = sorted(tuple(r) for r in enrich.hydrate(ids, archive, chunk=1).collect())
     assert got == [("1", "a", "t", "x"), ("1", "a", "t", "x"), ("2", "b", "t", "y")]
 
@@ -71,8 +73,12 @@ def test_rules(spark):
     got = sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules).collect())
     assert got == [("1", 1, "kw"), ("2", 3, "rt"), ("5", 2, "any")]
     assert enrich.tag_by_rules(posts, []).count() == 0
-    assert sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules, method="automaton")
-                  .collect()) == got
+    matched = {r.id: [tuple(m) for m in r.matching_rules] for r in enrich.matching_rules(posts, rules).collect()}
+    assert matched == {"1": [(1, "kw")], "2": [(3, "rt")], "5": [(2, "any")]}
+    # an empty keyword is in every text, NULL keywords and texts match nothing
+    odd = [(7, "every", ["", None, ""], False, None), (8, "never", [None], False, None), (9, "none", [], False, None)]
+    assert sorted(tuple(r) for r in enrich.tag_by_rules(posts, odd).collect()) == [
+        (i, 7, "every") for i in ("1", "2", "3", "5")]
     ref = enrich.REFERENCE_RULES
     assert len(ref) == 4 and {r.tag for r in ref} == {"coronavirus", "COVID-19", "Covid-19",
                                                      "covid19"}
@@ -80,17 +86,16 @@ def test_rules(spark):
                   .collect()) == [("1",)]
 
 
-@pytest.mark.parametrize("method,n_rules", [("expression", 60), ("automaton", 300),
-                                            ("auto", 300)])
-def test_many_rules_match_brute_force(spark, sf_dir, method, n_rules):
-    """Generated rules (no cap): each method equals a plain Python check."""
+@pytest.mark.parametrize("n_rules", [1, 60, 300])
+def test_many_rules_match_brute_force(spark, sf_dir, n_rules):
+    """Generated rules (no cap) against a plain Python check."""
     from postflow.plans import fixtures as fx
     posts = fx.with_lang(spark, sf_dir)
     words = ["#click", "#view", "#error", "#k3", "saw", "ok #sign", "(#hidden)", "rt @x", "#x"]
     rules = [enrich.Rule(i, f"t{i}", (words[i % len(words)], f"#K{i % 7}"), i % 2 == 0,
                          (None, "en", "fr")[i % 3])
              for i in range(n_rules)]
-    got = sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules, method=method).collect())
+    got = sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules).collect())
     want = []
     for p in posts.collect():
         for r in rules:
@@ -104,10 +109,10 @@ def test_many_rules_match_brute_force(spark, sf_dir, method, n_rules):
                 hit = False
             if hit:
                 want.append((p.id, r.rule_id, r.tag))
-    assert got == sorted(want) and len(want) > 1000
+    assert got == sorted(want) and len(want) > 10 * n_rules
 
 
-def test_hydrate_spreads_a_hot_id_over_tasks(spark):
+def test_hydrate_spreads_a_hot_id_over_tasks(spark, request):
     """One id listed 20,000 times (a third of the list): exact copies, made by many tasks."""
     hot = spark.range(20_000).select(F.lit("hot").alias("tweet_id"), F.lit("u").alias("user_id"))
     cold = spark.range(40_000).select(F.col("id").cast("string").alias("tweet_id"),
@@ -117,6 +122,9 @@ def test_hydrate_spreads_a_hot_id_over_tasks(spark):
                                          F.lit("t").alias("created_at"), F.lit("x").alias("text"))
     archive = archive.unionByName(spark.createDataFrame([("hot", "b", "t", "y")], S_COLS))
     out = enrich.hydrate(hot.unionByName(cold), archive, chunk=1000)
+    # Pieces this small would be put together again by size.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true"))
     counts = out.groupBy((F.col("tweet_id") == "hot").alias("is_hot")).count().collect()
     assert {r.is_hot: r["count"] for r in counts} == {True: 20_000, False: 40_000}
     tasks = (out.where(F.col("tweet_id") == "hot")

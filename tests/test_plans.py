@@ -8,32 +8,20 @@ import __spark_entry__ as entry
 
 BATCH_KEYS = ["hashtag_tokens", "hashtag_counts", "top_hashtags", "decode_object", "decode_list",
               "message_roundtrip", "text_lines", "union_posts", "distinct_posts",
-              "author_counts", "top_authors", "hydrate_ids", "rule_matches"]
+              "author_counts", "top_authors", "hydrate_ids", "hydrate_keyed", "rule_matches",
+              "rule_matches_many", "rule_tagged_posts", "document_hashtags", "document_lines",
+              "document_rules", "conversation_lines"]
 
 # Shuffles in the initial physical plan (before adaptive re-planning).
 EXCHANGES = {
     "hashtag_tokens": 0, "decode_object": 0, "decode_list": 0, "message_roundtrip": 0,
-    "text_lines": 0, "union_posts": 0, "rule_matches": 0,
+    "text_lines": 0, "union_posts": 0,
     "hashtag_counts": 1,   # partial count -> exchange(hashtag) -> final count
     "distinct_posts": 1,   # partial distinct -> exchange(all columns) -> final
     "author_counts": 2,    # + partial count -> exchange(author_id) -> final
 }
 
 
-@pytest.fixture(autouse=True)
-def _operator_plans_only(spark):
-    """Plan shapes of the operators themselves: no spreading of the one-row-group test file."""
-    spark.conf.set("postflow.spreadSmallScans", "false")
-    yield
-    spark.conf.unset("postflow.spreadSmallScans")
-
-
-def test_small_scans_are_spread(spark, sf_dir, capsys):
-    spark.conf.set("postflow.spreadSmallScans", "true")
-    plan = _plan(entry.queries()["hashtag_counts"](spark, sf_dir), capsys)
-    assert "RoundRobinPartitioning" in plan
-
-
 def _plan(df, capsys):
     df.explain(mode="formatted")
     return capsys.readouterr().out
@@ -70,9 +58,17 @@ def test_scans_are_pruned(spark, sf_dir, capsys):
     assert "PushedFilters: [IsNotNull(id), EqualTo(id,7)]" in plan  # keyed read: filter pushed
 
 
-def test_rules_run_in_one_codegen_stage(spark, sf_dir, capsys):
-    plan = _plan(entry.queries()["rule_matches"](spark, sf_dir), capsys)
-    assert "Generate [codegen id : 1]" in plan and "Filter [codegen id : 1]" in plan
+@pytest.mark.parametrize("key", ["rule_matches", "rule_matches_many", "document_rules"])
+def test_rules_neither_join_nor_shuffle_the_posts(spark, sf_dir, capsys, key):
+    plan = _plan(entry.queries()[key](spark, sf_dir), capsys)
+    posts = plan.split("===== Subqueries =====")[0].split("\n\n")[0]
+    assert "Join" not in posts and "Exchange" not in posts, posts
+
+
+def test_hydration_limits_the_archive_below_the_aggregate(spark, sf_dir, capsys):
+    entry.queries()["hydrate_keyed"](spark, sf_dir).explain()
+    plan = capsys.readouterr().out
+    assert "LeftSemi" in plan and plan.index("partial_max") < plan.index("LeftSemi")
 
 
 def test_keyed_read_combines_map_side(spark, sf_dir, capsys):

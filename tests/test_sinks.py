@@ -64,3 +64,49 @@ def test_command_line_stream_of_json_lines(spark, tmp_base):
     assert kt.read_table(spark, kt.STREAM_POSTS, base).count() == 2
     got = dict(tuple(r) for r in kt.read_table(spark, kt.HASHTAG_COUNTS, base).collect())
     assert got == {"#q": 2, "#r": 1}
+
+
+def test_kafka_servers_reach_every_sink(spark, tmp_base, monkeypatch):
+    """The jobs hand the server list to each Kafka output (no connector here: the options are caught)."""
+    from postflow.streaming import queries as sq
+
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def caught(df, kind="console", **options):
+        seen.append((kind, options.get("servers"), options.get("topic")))
+        raise Stop
+
+    folder = os.path.join(tmp_base, "in")
+    os.makedirs(folder)
+    monkeypatch.setattr(jobs, "write_stream", caught)
+    monkeypatch.setattr(jobs, "write", caught)
+    monkeypatch.setattr(sq, "run_all", lambda starters, *_: [_run(s) for s in starters])
+
+    def _run(starter):
+        try:
+            starter()
+        except Stop:
+            pass
+
+    jobs.stream(spark, source="files", path=folder, output="kafka", base=tmp_base, servers="h1:1,h2:2")
+    _run(lambda: jobs.ids(spark, path=folder, output="kafka", base=tmp_base, servers="h1:1,h2:2"))
+    assert seen == [("kafka", "h1:1,h2:2", "stream_blob_tweets"), ("kafka", "h1:1,h2:2", "stream_hashtags"),
+                    ("kafka", "h1:1,h2:2", "tweetId")]
+    seen.clear()
+    with open(os.path.join(folder, "a.tsv"), "w") as f:
+        f.write("tweet_id\tuser_id\n1\tu\n")
+    with pytest.raises(Exception):
+        jobs.hydrate(spark, path=folder, base=tmp_base, output="kafka", servers="h1:1,h2:2",
+                     trigger={"availableNow": True})
+    assert seen == [("kafka", "h1:1,h2:2", "getTweets")]
+
+
+@pytest.mark.parametrize("argv", [["authors"], ["hydrate", "--path", "x"], ["stream", "--output", "keyed"],
+                                  ["hydrate", "--base", "x"], ["ids"], ["authors", "--base", "x", "--k", "0"]])
+def test_command_line_refuses_incomplete_calls(argv, capsys):
+    with pytest.raises(SystemExit):
+        jobs.main(argv)
+    assert "--" in capsys.readouterr().err

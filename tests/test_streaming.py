@@ -68,8 +68,8 @@ def test_reset_checkpoint_recounts_without_clobbering(spark, tmp_base):
     _drop(spark, [("2", "b", "y")], inbox)
     sq.start_posts(read_messages(spark, "files", path=inbox), base=tmp_base, checkpoint=cp,
                    trigger=NOW).awaitTermination()
-    names = fs.list_names(spark, kt.STREAM_POSTS.path(tmp_base))
-    assert "batch_id=0" in names and "batch_id=1" in names
+    writers = [n for n in fs.list_names(spark, kt.STREAM_POSTS.path(tmp_base)) if n.startswith("writer=stream-")]
+    assert len(writers) == 2  # the new run's first batch replaced nothing
     assert kt.read_table(spark, kt.STREAM_POSTS, tmp_base).count() == 2
 
 
@@ -145,22 +145,58 @@ def test_hydrate_stream_reads_the_archive_per_micro_batch(spark, tmp_base):
     os.makedirs(ids_dir)
     posts = spark.createDataFrame([("1", "a", "t", "x")], COLS)
     kt.write_keyed(posts, kt.STREAM_POSTS, tmp_base, 0)
-    archive = lambda: kt.read_table(spark, kt.STREAM_POSTS, tmp_base)
+    archive = lambda ids: kt.read_table(spark, kt.STREAM_POSTS, tmp_base, keys=ids)
     cp = f"{tmp_base}/cp/hydrate"
     with open(os.path.join(ids_dir, "a.tsv"), "w") as f:
         f.write("tweet_id\tuser_id\n1\tu\n2\tu\n")
     sq.start_hydrate(read_id_files(spark, ids_dir), archive, base=tmp_base, checkpoint=cp,
                      trigger=NOW).awaitTermination()
-    # the archive grows and is compacted (old batch folders go), then more ids arrive
+    # the archive grows, then more ids arrive
     kt.write_keyed(spark.createDataFrame([("2", "b", "t", "y")], COLS), kt.STREAM_POSTS,
                    tmp_base, 1)
-    kt.compact(spark, kt.STREAM_POSTS, tmp_base)
     kt.write_keyed(spark.createDataFrame([("3", "c", "t", "z")], COLS), kt.STREAM_POSTS,
                    tmp_base, 2)
-    kt.compact(spark, kt.STREAM_POSTS, tmp_base)
     with open(os.path.join(ids_dir, "b.tsv"), "w") as f:
         f.write("tweet_id\tuser_id\n2\tu\n3\tu\n")
     sq.start_hydrate(read_id_files(spark, ids_dir), archive, base=tmp_base, checkpoint=cp,
                      trigger=NOW).awaitTermination()
     got = sorted(r.tweet_id for r in spark.read.parquet(f"{tmp_base}/hydrated").collect())
     assert got == ["1", "2", "3"]
+
+
+def test_ranked_running_counts_are_sorted_in_every_micro_batch(spark, tmp_base, capsys):
+    inbox = os.path.join(tmp_base, "in")
+    _drop(spark, [("1", "a", "#x #y #y"), ("2", "b", "#z #z #z #w")], inbox)
+    _drop(spark, [("3", "a", "#x #x #x #x")], inbox)
+    src = read_messages(spark, "files", path=inbox, options={"maxFilesPerTrigger": 1})
+    seen = []
+    counts = sq.running_hashtag_counts(src, partitions=4, ranked=True)
+    query = (counts.writeStream.outputMode("complete").trigger(availableNow=True)
+             .option("checkpointLocation", f"{tmp_base}/cp")
+             .foreachBatch(lambda df, _: seen.append([tuple(r) for r in df.collect()])).start())
+    query.awaitTermination()
+    query.explain()
+    assert "Sort [count" in capsys.readouterr().out
+    assert len(seen) >= 2 and seen[-1] == [("#x", 5), ("#z", 3), ("#y", 2), ("#w", 1)]
+    for rows in seen:
+        assert rows == sorted(rows, key=lambda r: (-r[1], r[0]))
+
+
+def test_run_all_stops_the_others_when_one_fails(spark, tmp_base):
+    inbox = os.path.join(tmp_base, "in")
+    _drop(spark, [("1", "a", "#x")], inbox)
+
+    def fails(df, _):
+        raise RuntimeError("no sink")
+
+    def posts():
+        return sq.start_posts(read_messages(spark, "files", path=inbox), base=tmp_base, checkpoint=f"{tmp_base}/cp/p")
+
+    def broken():
+        return (read_messages(spark, "files", path=inbox).writeStream.foreachBatch(fails)
+                .option("checkpointLocation", f"{tmp_base}/cp/f").start())
+
+    with pytest.raises(Exception, match="no sink"):
+        sq.run_all([posts, broken], spark, timeout=120)
+    assert not spark.streams.active
+    spark.streams.resetTerminated()
