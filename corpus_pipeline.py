@@ -12,9 +12,8 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from postflow.llm.byte_bpe import decode, encode
+from postflow.llm.byte_bpe import digests, encode
 from postflow.llm.decontaminate import drop_leaks
 from postflow.llm.near_dedup import drop_near_duplicates
 from postflow.llm.quality_model import keep_quality, train
@@ -48,11 +47,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the bytes they decode to."""
     ranks = public_tokenizers.path(RANKS)
-    ids = F.col("ids")
-    return encode(docs, ranks).select(
-        "doc_id", "ids", F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", ids.cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(decode(ids, ranks), 256).alias("decoded_sha256"))
+    finish, schema = digests(ranks, with_ids=True)
+    return encode(docs, ranks, finish=finish, schema=schema)
 
 
 STAGES = [

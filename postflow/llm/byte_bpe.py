@@ -23,6 +23,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,9 +35,9 @@ from pyspark.sql import functions as F
 
 from postflow.llm import pretoken
 from postflow.llm import textarrays as ta
-from postflow.llm.tables import table, two_columns
+from postflow.llm.tables import staged, table, two_columns
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 MEMO_CHARS = 20_000
 NONE = 65535
 
@@ -167,6 +168,7 @@ def _memo(docs: DataFrame, maps: Column, memo_words: int, memo_docs: int
     some = docs.filter(part < (1 << 20) * memo_docs // max(1, count)) if count > memo_docs else docs
     counted = some.select(F.substring("text", 1, MEMO_CHARS).alias("text")) \
         .mapInArrow(words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    counted = staged(counted, "bpe-words")
     # A threshold instead of a sort: the words that pass are at most memo_words.
     least = (counted.groupBy("n").agg(F.count("*").alias("words")).collect())  # few different counts
     total, bound = 0, 1 << 62
@@ -186,9 +188,18 @@ def _memo(docs: DataFrame, maps: Column, memo_words: int, memo_docs: int
     return hashes[order], values.astype(np.int32), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
+def plain_ids(keys: pa.Array, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """``(doc_id, ids)``."""
+    return pa.record_batch([keys, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))],
+                           ["doc_id", "ids"])
+
+
 def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
-           memo_words: int = 500_000, memo_docs: int = 60_000) -> DataFrame:
-    """``(doc_id, ids array<int>)`` of every row, by the ranks file at the path ``ranks``."""
+           memo_words: int = 1_500_000, memo_docs: int = 150_000, finish=plain_ids,
+           schema: str = "doc_id long, ids array<int>") -> DataFrame:
+    """The ids of every row, by the ranks file at the path ``ranks``: ``(doc_id, ids array<int>)``,
+    or what ``finish(keys, ids, at)`` makes of a block of them (document ``i`` has the ids
+    ``ids[at[i]:at[i + 1]]``)."""
     found = rank_map(ranks)
     maps = F.struct(*[_literal(found[n], "int").alias(n) for n in ("base", "owner", "merged", "single")])
     docs = two_columns(df, key, text)
@@ -228,30 +239,76 @@ def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
                 own = ids.flatten().to_numpy(zero_copy_only=False) if len(ids) else values[:0]
                 flat, at = pretoken.expand(np.concatenate((values, own)),
                                            np.concatenate((offsets, offsets[-1] + np.cumsum(sizes))), codes)
-                yield pa.record_batch(
-                    [keys, pa.ListArray.from_arrays(pa.array(at[first], pa.int32()),
-                                                    pa.array(flat, pa.int32()))], ["doc_id", "ids"])
+                yield finish(keys, flat, at[first])
 
     chunks = docs.mapInArrow(
         split, "words array<array<tinyint>>, keys array<long>, first binary, codes binary")
     encoded = chunks.select(
         _let(maps, lambda m: F.transform("words", lambda w: encode_word(m, w))).alias("ids"),
         "keys", "first", "codes")
-    return encoded.mapInArrow(assemble, "doc_id long, ids array<int>")
+    return encoded.mapInArrow(assemble, schema)
+
+
+class Pieces:
+    """The pieces of a ranks file by id, for decoding."""
 
+    def __init__(self, ranks: str):
+        pieces = [bytes.fromhex(p) for p in rank_map(ranks)["pieces"]]
+        self.data = np.frombuffer(b"".join(pieces), np.uint8)
+        self.at = np.concatenate(([0], np.cumsum([len(p) for p in pieces]))).astype(np.int64)
 
-def decode(ids: Column, ranks: str) -> Column:
-    """The bytes of an id array: its pieces, concatenated."""
-    pieces = _literal(rank_map(ranks)["pieces"], "string")
-    return F.unhex(_let(pieces, lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of id lists ``ids[at[i]:at[i + 1]]``, end to end, and where each one's begin:
+        the pieces of the ids, concatenated."""
+        data, begin = pretoken.expand(self.data, self.at, ids)
+        return data, begin[at]
+
+
+def decode(df: DataFrame, ranks: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """``(doc_id, data binary)``: the bytes of every row's ids (null ids: null)."""
+    pieces = Pieces(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            data, at = pieces.decode(lists.flatten().to_numpy(zero_copy_only=False),
+                                     np.concatenate(([0], np.cumsum(sizes))).astype(np.int64))
+            data = data.tobytes()
+            out = [data[a:b] if ok else None for a, b, ok in zip(
+                at.tolist(), at[1:].tolist(), lists.is_valid().to_pylist())]
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "data"])
+
+    return df.select(F.col(f"`{key}`").cast("long").alias("doc_id"),
+                     F.col(f"`{ids}`").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, data binary")
+
+
+def digests(ranks: str, with_ids: bool = False):
+    """A ``finish`` for ``encode`` and its schema: per document the number of ids, the SHA-256 of the
+    decimal ids joined by commas, and that of the bytes they decode to."""
+    pieces = Pieces(ranks)
+    decimal = [str(i) for i in range(len(pieces.at) - 1)]
+
+    def finish(keys: pa.Array, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+        data, begin = pieces.decode(ids, at)
+        data, plain = data.tobytes(), ids.tolist()
+        texts = [",".join(map(decimal.__getitem__, plain[a:b])) for a, b in zip(at.tolist(), at[1:].tolist())]
+        columns = {
+            "doc_id": keys, "n_tokens": pa.array(np.diff(at).astype(np.int64)),
+            "ids_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(data[a:b]).hexdigest()
+                                        for a, b in zip(begin.tolist(), begin[1:].tolist())], pa.string())}
+        if with_ids:
+            columns["ids"] = plain_ids(keys, ids, at).column(1)
+        return pa.record_batch(list(columns.values()), list(columns))
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return finish, schema + (", ids array<int>" if with_ids else "")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
     if ranks is None:
         import public_tokenizers
         ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode(table(spark, sf_dir, "documents"), ranks)
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+    finish, schema = digests(ranks)
+    return encode(table(spark, sf_dir, "documents"), ranks, finish=finish, schema=schema)

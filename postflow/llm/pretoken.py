@@ -10,7 +10,7 @@ from __future__ import annotations
 import unicodedata
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 from postflow.llm import textarrays as ta
 
@@ -109,7 +109,9 @@ def distinct_tokens(raw: np.ndarray, off: np.ndarray, classes: Classes, split, d
         starts, ends = starts[keep], ends[keep]
     first = np.searchsorted(starts, docs)
     a, b = place[starts], place[ends]
-    codes, uniques = pd.factorize(ta.span_hashes(raw, a, b, lower=False))
+    seen = pa.array(ta.span_hashes(raw, a, b, lower=False).view(np.int64)).dictionary_encode()
+    codes = seen.indices.to_numpy(zero_copy_only=False)
+    uniques = seen.dictionary.to_numpy(zero_copy_only=False).view(np.uint64)
     where = np.empty(len(uniques), np.int64)
     where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
     sizes = (b - a)[where]

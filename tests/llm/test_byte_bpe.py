@@ -2,10 +2,9 @@ import hashlib
 
 import public_tokenizers
 import tiktoken
-from pyspark.sql import functions as F
 
 from llm_cases import ODD
-from postflow.llm.byte_bpe import decode, encode, read_ranks
+from postflow.llm.byte_bpe import decode, digests, encode, read_ranks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -16,12 +15,21 @@ def test_ids_and_bytes_as_the_tiktoken_library(documents):
     rows = list(enumerate(ODD)) + [(3, "again and again"), (3, "again and again"), (None, "no key")]
     wanted = sorted((repr(i), library.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows)
     for memo in (500_000, 3, 0):
-        got = encode(documents(rows), RANKS, memo_words=memo).select("doc_id", "ids", decode(F.col("ids"), RANKS).alias("d"))
-        assert sorted((repr(r.doc_id), list(r.ids), bytes(r.d)) for r in got.collect()) == wanted
+        got = encode(documents(rows), RANKS, memo_words=memo)
+        assert sorted((repr(r.doc_id), list(r.ids)) for r in got.collect()) == [w[:2] for w in wanted]
+    back = decode(got, RANKS).collect()
+    assert sorted((repr(r.doc_id), bytes(r.data)) for r in back) == sorted((w[0], w[2]) for w in wanted)
+    finish, schema = digests(RANKS, with_ids=True)
+    hashed = encode(documents(rows), RANKS, memo_docs=5, finish=finish, schema=schema).collect()
+    assert sorted((repr(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256, list(r.ids)) for r in hashed) == sorted(
+        (k, len(i), hashlib.sha256(",".join(map(str, i)).encode()).hexdigest(), hashlib.sha256(d).hexdigest(), i)
+        for k, i, d in wanted)
 
 
-def test_empty_table_and_null(documents):
+def test_empty_table_and_null(spark, documents):
     assert encode(documents([(1, "a")]).filter("doc_id = 0"), RANKS).collect() == []
-    row = encode(documents([(1, None)]), RANKS).select(
-        "ids", F.sha2(decode(F.col("ids"), RANKS), 256).alias("h")).first()
-    assert row.ids == [] and row.h == hashlib.sha256(b"").hexdigest()
+    row = encode(documents([(1, None)]), RANKS).first()
+    assert row.ids == []
+    ids = spark.createDataFrame([(1, None, "x"), (None, [], "y")], "doc_id long, ids array<int>, data string")
+    back = {r.doc_id: r.data if r.data is None else bytes(r.data) for r in decode(ids, RANKS).collect()}
+    assert back == {1: None, None: b""}

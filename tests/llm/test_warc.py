@@ -54,7 +54,7 @@ def test_pushdown_and_skipped_payloads(spark, tmp_path):
     write(spark, rows(), path)
     read = spark.read.format("warc")
     one = read.load(path).filter(F.col("record_type") == "revisit").select("record_id", "refers_to", "payload")
-    assert "Filter" not in one._jdf.queryExecution().executedPlan().toString().replace("PushedFilters", "")
+    assert "Filter" not in one._jdf.queryExecution().executedPlan().toString().replace("RuntimeFilters", "")
     found = {(r.record_id, r.refers_to) for r in one.collect()}
     assert found == {("<urn:x-page:5>", "<urn:x-page:3>"), ("<urn:x-page:9>", "<urn:x-page:3>"),
                      ("<urn:x-page:none>", "<urn:x-page:3>"), ("<urn:x-page:2>", "<urn:x-page:1>")}
