@@ -17,13 +17,18 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
    right part is a running minimum; the common left part is one exclusive-or. Strings of ``length``
    bytes through both are then known exactly: offsets ``length - right .. left``. The strings through
    one anchor all cover it, so their union is one interval, given by the least and greatest offset.
-4. Grams with more than ``most_contexts`` different contexts in a bucket, or more than ``heavy``
-   anchors in all, are not compared pair by pair: the strings through these anchors are counted by
-   their hashes, which is spread over all tasks.
+4. Of two suffixes that share a string of ``length`` bytes, the common part to the right or that to
+   the left is at least half as long. So the suffixes of a gram with more than ``heavy`` anchors in
+   all are dealt twice, by a hash of the right half-length and of the left one, and the group is
+   split without losing a pair.
+5. A group that still has more than ``most_contexts`` different contexts is not compared pair by
+   pair. Sorted once from the anchor to the right and once to the left, neighbours bound the offsets
+   at which a suffix can share a string at all; the strings at these offsets (none, for a common
+   line shorter than ``length``) are counted by their hashes, which is spread over all tasks.
 
 The rows are written once, bucketed by row id, so that texts are exchanged once for both joins.
 
-Everything is exact up to collisions of 64-bit hashes (in 4; elsewhere bytes are compared). Text,
+Everything is exact up to collisions of 64-bit hashes (in 5; elsewhere bytes are compared). Text,
 anchors and intervals meet by row id in shuffles; nothing of them passes the driver.
 
 Edge cases: null and empty texts have no bytes; texts shorter than ``length`` lose nothing; repeated
@@ -53,7 +58,7 @@ GRAM = 32
 BUCKET_SUFFIXES = 100_000
 MOST_CONTEXTS = 4096
 FEW_CONTEXTS = 16
-HEAVY = 50_000
+HEAVY = 20_000
 
 _code = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -201,14 +206,34 @@ def _span(pos: int, right: int, left: int, length: int) -> tuple[int, int] | Non
 
 
 def _strings(item: tuple, length: int) -> dict:
-    """Hashes of all strings of ``length`` bytes through an anchor, from the greatest offset on.
-    The offset is part of the hash: one string may hold several anchors, and equal strings hold
-    them at equal offsets."""
-    right, left, rid, pos, weight = item
-    hashes = gram_hashes(np.frombuffer(left + right, np.uint8), length)
-    hashes = ta.mix(hashes + np.arange(len(left), len(left) - len(hashes), -1).astype(np.uint64))
-    return {"rid": rid, "pos": pos, "weight": weight, "reach": len(left),
-            "hashes": hashes[:len(left) + 1].astype(np.int64)}
+    """Hashes of the strings of ``length`` bytes through an anchor at the offsets ``low`` to ``high``,
+    from the greatest on. The offset is part of the hash: one string may hold several anchors, and
+    equal strings hold them at equal offsets."""
+    right, left, rid, pos, weight, low, high = item
+    data = (left[len(left) - high:] + right)[:high - low + length]
+    hashes = gram_hashes(np.frombuffer(data, np.uint8), length)
+    hashes = ta.mix(hashes + np.arange(high, high - len(hashes), -1).astype(np.uint64))
+    return {"rid": rid, "pos": pos, "weight": weight, "reach": high, "hashes": hashes.astype(np.int64)}
+
+
+def _bounds(classes: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted contexts ``[common prefix with the one before, right, left, ...]``: left parts,
+    reversed, as rows; their lengths; and for each context the longest right and the longest left
+    part that it has in common with any other."""
+    prefix = np.array([c[0] for c in classes] + [0])
+    prefix[0] = 0
+    sizes = np.array([len(c[2]) for c in classes])
+    lefts = np.zeros((len(classes), int(sizes.max()) + 1), np.uint8)
+    for i, c in enumerate(classes):
+        lefts[i, :sizes[i]] = np.frombuffer(c[2], np.uint8)[::-1]
+    order = np.array(sorted(range(len(classes)), key=lambda i: classes[i][2][::-1]))
+    differ = lefts[order[1:]] != lefts[order[:-1]]
+    common = np.where(differ.any(1), differ.argmax(1), lefts.shape[1])
+    common = np.minimum(common, np.minimum(sizes[order[1:]], sizes[order[:-1]]))
+    common = np.concatenate(([0], common, [0]))
+    most_left = np.empty(len(classes), np.int64)
+    most_left[order] = np.maximum(common[:-1], common[1:])
+    return lefts, sizes, np.maximum(prefix[:-1], prefix[1:]), most_left
 
 
 def _class_spans(classes: list[list], length: int) -> tuple[list[int], list[int]]:
@@ -230,15 +255,13 @@ def _class_spans(classes: list[list], length: int) -> tuple[list[int], list[int]
                         low[c], high[c] = min(low[c], least), max(high[c], left)
         return low, high
     prefix = np.array([c[0] for c in classes])
-    sizes = np.array([len(c[2]) for c in classes])
-    width = int(sizes.max()) + 1
-    lefts = np.zeros((n, width), np.uint8)  # reversed, so that common left parts are prefixes
-    for i, c in enumerate(classes):
-        lefts[i, :sizes[i]] = np.frombuffer(c[2], np.uint8)[::-1]
+    lefts, sizes, most_right, most_left = _bounds(classes)
+    width = lefts.shape[1]
     low, high = np.array(low), np.array(high)
-    for i in range(n - 1):
+    for i in np.flatnonzero(length - most_right <= most_left).tolist():
         common = np.minimum(np.minimum.accumulate(prefix[i + 1:]), len(classes[i][1]))
-        stop = i + 1 + int(np.searchsorted(-common, width - length, "right"))  # too short from here on
+        # From here on the common right part is too short for the longest common left part.
+        stop = i + 1 + int(np.searchsorted(-common, most_left[i] - length, "right"))
         if stop == i + 1:
             continue
         differ = lefts[i + 1:stop] != lefts[i]
@@ -275,8 +298,11 @@ def compare_group(group: list[tuple], length: int, most: int) -> tuple[list[tupl
             if span:
                 intervals += [(rid, pos + span[0], pos + span[1]) for rid, pos, _ in members]
     if len(classes) > most:
-        for _, right, left, members in classes:
-            pending.append((right, left, *members[0][:2], min(2, sum(m[2] for m in members))))
+        _, _, most_right, most_left = _bounds(classes)
+        for i in np.flatnonzero(length - most_right <= most_left).tolist():
+            _, right, left, members = classes[i]
+            pending.append((right, left, *members[0][:2], min(2, sum(m[2] for m in members)),
+                            max(0, length - int(most_right[i])), int(most_left[i])))
         return intervals, pending
     low, high = _class_spans(classes, length)
     for c, (_, _, _, members) in enumerate(classes):
@@ -328,8 +354,12 @@ def _anchor_rows(rows: DataFrame, at: int, length: int, gram: int) -> DataFrame:
 
 
 def _runs(texts: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """From ``(text, rid, places array<struct<pos, gram, heavy>>)``: intervals, runs and strings."""
-    reach = length - gram
+    """From ``(text, rid, places array<struct<pos, gram, heavy>>)``: intervals and runs. Buckets from
+    0 on hold grams, and halves to the right of heavy ones; from ``buckets`` on, halves to the left."""
+    reach, half = length - gram, length // 2
+
+    def key_of(part: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -351,15 +381,18 @@ def _runs(texts: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
                             intervals.append((found[0], found[1] + span[0], found[1] + span[1]))
                         intervals.append((rid, pos + span[0], pos + span[1]))
                     found[2] = 2
-            pending, sorted_runs = [], {}
+            sorted_runs: dict[int, list] = {}
             for (right, left), (rid, pos, weight, key, heavy) in contexts.items():
                 item = right, left, rid, pos, weight
-                if heavy:
-                    pending.append(item)
-                else:
+                if not heavy:
                     sorted_runs.setdefault(key % buckets, []).append(item)
+                    continue
+                if len(right) >= half:
+                    sorted_runs.setdefault(key_of(right[:half]) % buckets, []).append(item)
+                if len(left) >= half:
+                    sorted_runs.setdefault(buckets + key_of(left[-half:]) % buckets, []).append(item)
             yield from _out(intervals, ((k, pack_run(sorted(items))) for k, items in sorted_runs.items()),
-                            pending, length, buckets)
+                            (), length, buckets)
 
     return texts.mapInArrow(run, _OUT)
 
