@@ -155,7 +155,8 @@ def forest_links(rids: list[int], parts: np.ndarray, tokens: np.ndarray, sets: l
 
 
 def _cluster_links(members: DataFrame, t: int, percent: int) -> DataFrame:
-    """Links ``(a, b)`` among ``(cluster, low, high, part, rid, tokens, set)``."""
+    """Links ``(a, b)`` among ``(pair, part, rid, tokens, set)``; ``pair`` names a cluster and two of
+    its parts. It is one column, so that rows dealt by cluster are dealt anew."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -167,7 +168,7 @@ def _cluster_links(members: DataFrame, t: int, percent: int) -> DataFrame:
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return members.groupBy("cluster", "low", "high").applyInArrow(run, "a long, b long")
+    return members.groupBy("pair").applyInArrow(run, "a long, b long")
 
 
 def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words: np.ndarray,
@@ -200,7 +201,7 @@ def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words:
     dealt = (members.join(classes.select("rid", "tokens"), "rid").join(parts, "cluster")
              .withColumn("part", F.pmod(F.xxhash64("rid"), "parts"))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-             .select("cluster", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+             .select(F.concat_ws("-", "cluster", F.least("part", "other"), F.greatest("part", "other")).alias("pair"),
                      "part", "rid", "tokens", "set"))
     links = staged(_cluster_links(dealt, t, percent), "near-links")
     comps = components(links, "near-comp")

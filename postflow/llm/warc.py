@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe,
-                                    EqualTo, In, InputPartition, WriterCommitMessage)
+                                    EqualTo, In, InputPartition, IsNotNull, WriterCommitMessage)
 
 from postflow.llm.files import attempt_name, located
 from postflow.llm.tables import staged, table
@@ -184,7 +184,7 @@ class WarcReader(DataSourceReader):
         self.path = options["path"]
         self.payload = options.get("payload", "true").lower() != "false"
         self.partition_bytes = int(options.get("partition_bytes", 32 << 20))
-        self.conditions: list[tuple[str, frozenset]] = []
+        self.conditions: list[tuple[str, frozenset | None]] = []  # None: any value
 
     def pushFilters(self, filters):
         for f in filters:
@@ -193,6 +193,8 @@ class WarcReader(DataSourceReader):
                 self.conditions.append((name, frozenset([f.value])))
             elif name in NAMES[:-1] and isinstance(f, In):
                 self.conditions.append((name, frozenset(f.value)))
+            elif name in NAMES[:-1] and isinstance(f, IsNotNull):
+                self.conditions.append((name, None))
             else:
                 yield f
 
@@ -220,7 +222,8 @@ class WarcReader(DataSourceReader):
         store, _ = located(self.path)
 
         def wanted(row: dict) -> bool:
-            return all(row[name] in values for name, values in self.conditions)
+            return all(row[name] is not None if values is None else row[name] in values
+                       for name, values in self.conditions)
 
         for name in partition.names:
             offsets = None
