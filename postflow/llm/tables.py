@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from postflow.session import scratch
 
 
+#: Arrow batches to Python workers: rows may be long, so they are bounded by bytes, too.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the corpus, in a session whose batches are bounded (``BATCH_CONF``)."""
+    for key, value in BATCH_CONF.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240229)
 _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
