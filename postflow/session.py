@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from postflow import fs
+
 # Settings every job of this package wants, whatever the cluster size.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -61,6 +63,18 @@ def work_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the work folder for one run of one job."""
-    return f"{work_dir(spark)}/postflow/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_dir(spark)}/postflow/{label}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the folders that ``scratch`` has given out in this process, once their results have
+    been used (results are read from them lazily)."""
+    while _made:
+        fs.delete(spark, _made.pop())

@@ -12,9 +12,10 @@ SF_DIR = os.environ.get("POSTFLOW_TEST_SF", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from postflow.session import local_session
+    from postflow.session import drop_scratch, local_session
     session = local_session(8, app="postflow-tests", shuffle_partitions=8)
     yield session
+    drop_scratch(session)
     session.stop()
 
 

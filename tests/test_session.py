@@ -10,3 +10,12 @@ def test_scratch_is_under_the_checkpoint_dir(spark):
     assert base == configured.rstrip("/")
     a, b = scratch(spark, "q"), scratch(spark, "q")
     assert a.startswith(base + "/postflow/q-") and a != b
+
+
+def test_scratch_folders_are_removed_on_request(spark):
+    from postflow import fs
+    from postflow.session import drop_scratch
+    path = scratch(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark)
+    assert not fs.exists(spark, path)
