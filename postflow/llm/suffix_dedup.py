@@ -430,7 +430,8 @@ def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = G
     ``at`` of ``row`` is the text. Spans may overlap."""
     text = rows.schema["row"].dataType[at].name
     found = staged(_anchor_rows(rows, at, length, gram), "repeat-anchors")
-    counts = found.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1")
+    # Written first: a join of plain scans is one whose hot grams adaptive execution can split.
+    counts = staged(found.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"), "repeat-grams")
     places = found.join(counts, "gram").groupBy("rid").agg(F.collect_list(F.struct(
         "pos", "gram", (F.col("c") > heavy).alias("heavy"))).alias("places"))
     places = staged(places, "repeat-places")
