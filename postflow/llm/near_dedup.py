@@ -184,7 +184,8 @@ def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words:
         F.min("rid").alias("rid"), F.min(ordered).alias("least"),
         F.first("tokens").alias("tokens")), "near-classes")
     posts = classes.filter("n_shingles > 0").select("rid", F.explode("tokens").alias("token"))
-    shared = posts.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
+    # Written first: a join of plain scans is one whose hot tokens adaptive execution can split.
+    shared = staged(posts.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1"), "near-tokens")
     own = F.sort_array(F.collect_list(F.struct("c", "token")))  # at most n elements
     posted = (posts.join(shared, "token").groupBy("rid").agg(own.alias("own"))
               .filter(F.size("own") >= t)
