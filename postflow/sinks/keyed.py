@@ -9,8 +9,9 @@ Here a keyed table is a directory of Parquet files written only by Spark jobs:
   is idempotent and no writer can touch another's rows. ``S`` orders batches of all writers: it is
   taken once per batch (one more than any in the table) and kept on replay; two writers that take
   the same number at the same time are ordered by name. Reads keep, per key, the row of the highest
-  ``(seq, writer)``, then the highest tie-break columns (NULL lowest). Rows with a NULL key cannot
-  be stored by key; they land in ``rejected=true`` instead of being lost.
+  ``(seq, writer)``, then the highest position in the batch, where the writer gave one (column
+  ``ORDER``, for example the Kafka offset), then the highest tie-break columns (NULL lowest). Rows
+  with a NULL key cannot be stored by key; they land in ``rejected=true`` instead of being lost.
 * **replace** tables (complete = truncate and replace): each write is a full snapshot in a
   fresh folder ``<base>/<name>/v<N>-<token>/``; a commit file ``_commits/<N>`` then names it.
   Files are only created, never overwritten, so a reader sees either the old or the new
@@ -40,6 +41,7 @@ COMMITS = "_commits"
 DECLARED = "_declared"
 #: How long a replaced snapshot stays readable.
 RETAIN_SECONDS = 24 * 3600
+ORDER = "_order"  # optional column of a written batch: later rows have greater numbers
 BATCH = "batch"  # writer of batches that no stream or job owns
 
 
@@ -82,7 +84,7 @@ TOP_AUTHORS = KeyedTable("topK_authors_top", schemas.AUTHOR_COUNTS, ("author_id"
 
 def _stored_schema(table: KeyedTable) -> StructType:
     return StructType(list(table.schema.fields) + [
-        StructField("writer", StringType()), StructField("batch_id", LongType()),
+        StructField("position", LongType()), StructField("writer", StringType()), StructField("batch_id", LongType()),
         StructField("seq", LongType()), StructField("rejected", BooleanType())])
 
 
@@ -92,7 +94,11 @@ def _key_present(keys: Sequence[str]):
 
 def _shape(df: DataFrame, table: KeyedTable) -> DataFrame:
     """Columns by name, in table order and type (the two post tables order columns differently)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+    return df.select(*_columns(table))
+
+
+def _columns(table: KeyedTable) -> list:
+    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
 
 
 def ensure_table(spark: SparkSession, table: KeyedTable, base: str) -> str:
@@ -140,7 +146,8 @@ def write_keyed(df: DataFrame, table: KeyedTable, base: str, batch_id: int,
     spark = df.sparkSession
     root = ensure_table(spark, table, base)
     seq = _sequence(spark, root, writer, int(batch_id))
-    out = _shape(df, table).select(
+    position = F.col(ORDER).cast("long") if ORDER in df.columns else F.lit(None).cast("long")
+    out = df.select(*_columns(table), position.alias("position")).select(
         "*", F.lit(writer).alias("writer"), F.lit(int(batch_id)).cast("long").alias("batch_id"),
         F.lit(seq).cast("long").alias("seq"), (~_key_present(table.keys)).alias("rejected"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -209,7 +216,7 @@ def read_rejected(spark: SparkSession, table: KeyedTable, base: str) -> DataFram
         snap = spark.read.schema(_snapshot_schema(table)).parquet(current)
         return snap.where(F.col("rejected")).select(*table.columns)
     stored = spark.read.schema(_stored_schema(table)).parquet(root)
-    return stored.where(F.col("rejected")).drop("rejected")
+    return stored.where(F.col("rejected")).drop("rejected", "position")
 
 
 def _snapshot_schema(table: KeyedTable) -> StructType:
@@ -239,14 +246,14 @@ def read_table(spark: SparkSession, table: KeyedTable, base: str,
 
 
 def latest_by_key(stored: DataFrame, table: KeyedTable) -> DataFrame:
-    """Per key, the row with the highest ``(seq, writer, order…, other columns…)``.
+    """Per key, the row with the highest ``(seq, writer, position, order…, other columns…)``.
 
     Written as ``max(struct(...))`` grouped by key rather than a ``row_number`` window: the
     aggregate combines map-side, so a key written in every batch (a hot key) shuffles one row
     per input partition instead of all its versions to a single task.
     """
     rest = [c for c in table.columns if c not in table.keys]
-    tie = ["seq", "writer"] + [c for c in table.order if c in rest] + [c for c in rest
+    tie = ["seq", "writer", "position"] + [c for c in table.order if c in rest] + [c for c in rest
                                                                  if c not in table.order]
     latest = (stored.groupBy(*table.keys)
                     .agg(F.max(F.struct(*[F.col(c) for c in tie])).alias("_latest")))

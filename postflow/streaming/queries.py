@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postflow import fs
+from postflow import fs, schemas
 from postflow.functions import messages as msg
 from postflow.operators.enrich import hydrate
 from postflow.operators.posts import hashtag_counts, ranked as ranked_rows, repartition_by
@@ -53,7 +53,13 @@ def start_posts(messages: DataFrame, *, kind: str = "keyed", base: str | None =
                 trigger: dict | None = None, payload: str = "json",
                 table: kt.KeyedTable = kt.STREAM_POSTS) -> StreamingQuery:
     """STM-1 + STM-6: flattened posts, appended (upserted by id) to the stream post table."""
-    return write_stream(posts_of(messages, payload), kind, checkpoint=checkpoint,
+    posts = posts_of(messages, payload)
+    if kind == "keyed" and "offset" in messages.columns and payload == "json":
+        # Within a micro-batch, the last message of a post wins.
+        parsed = F.from_json(F.col("value").cast("string"), schemas.OBJECT_MESSAGE)["data"]
+        posts = messages.select(parsed.alias("post"), F.col("offset").alias(kt.ORDER)) \
+            .select("post.*", kt.ORDER)
+    return write_stream(posts, kind, checkpoint=checkpoint,
                         output_mode=output_mode, trigger=trigger, table=table, base=base,
                         query_name=None)
 

@@ -33,6 +33,14 @@ def test_same_key_twice_in_one_batch_is_settled_by_order(spark, tmp_base):
     assert _read(spark, t, tmp_base) == [("1", "a", "t2", "w")]
 
 
+def test_the_last_position_of_a_batch_wins(spark, tmp_base):
+    t = kt.STREAM_POSTS
+    rows = spark.createDataFrame([("1", "a", "t9", "first", 10), ("1", "a", "t0", "last", 12), ("1", "a", "t5", "mid", 11)],
+                                 f"{COLS}, {kt.ORDER} long")
+    kt.write_keyed(rows, t, tmp_base, 0)
+    assert _read(spark, t, tmp_base) == [("1", "a", "t0", "last")]
+
+
 def test_replayed_batch_replaces_itself_only(spark, tmp_base):
     t = kt.STREAM_POSTS
     kt.write_keyed(_posts(spark, [("1", "a", "t", "old")]), t, tmp_base, 0)

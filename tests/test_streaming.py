@@ -200,3 +200,15 @@ def test_run_all_stops_the_others_when_one_fails(spark, tmp_base):
         sq.run_all([posts, broken], spark, timeout=120)
     assert not spark.streams.active
     spark.streams.resetTerminated()
+
+
+def test_last_offset_of_a_micro_batch_wins(spark, tmp_base):
+    """Messages with an ``offset`` column, as Kafka gives them, settle repeated ids by it."""
+    rows = [("1", "zzz", 5), ("1", "aaa", 7), ("1", "mmm", 6), ("2", "only", 8)]
+    posts = spark.createDataFrame([Row(id=i, author_id="a", created_at="t", text=x, offset=o) for i, x, o in rows],
+                                  f"{COLS}, offset long")
+    value = F.to_json(F.struct(F.struct("id", "author_id", "created_at", "text").alias("data"))).cast("binary")
+    posts.select(F.col("id").cast("binary").alias("key"), value.alias("value"), "offset").write.parquet(f"{tmp_base}/in")
+    src = spark.readStream.schema("key binary, value binary, offset long").parquet(f"{tmp_base}/in")
+    sq.start_posts(src, base=tmp_base, checkpoint=f"{tmp_base}/cp", trigger=NOW).awaitTermination()
+    assert {r.id: r.text for r in kt.read_table(spark, kt.STREAM_POSTS, tmp_base).collect()} == {"1": "aaa", "2": "only"}
