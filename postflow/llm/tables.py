@@ -1,4 +1,4 @@
-"""Small helpers shared by the operators: staged tables, clash-free column names."""
+"""Small helpers shared by the operators: corpus tables, staged tables, fixed column names."""
 
 from __future__ import annotations
 
@@ -29,14 +29,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """``name``, lengthened until ``df`` has no such column (Spark compares without case)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def two_columns(df: DataFrame, key: str, text: str) -> DataFrame:
     """Only the key and the text, under fixed names, whatever else the table holds."""
     return df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
