@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -94,8 +93,14 @@ def _placed(rows: dict[int, dict[int, int]], size: int, span: int, rng) -> np.nd
     return base
 
 
-def _literal(values: list, kind: str) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+def _rank_literal(spark: SparkSession, ranks: str) -> Column:
+    """The rank map as one value, a struct of arrays. It is a one-row subquery, which Spark evaluates
+    once and puts into the plan as a literal, rather than a literal from the start: plans and their
+    descriptions would repeat all its numbers as text in the driver's memory."""
+    found = rank_map(ranks)
+    names = ("base", "owner", "merged", "single")
+    one = pa.table({n: pa.array([found[n]], pa.list_(pa.int32())) for n in names})
+    return spark.createDataFrame(one).select(F.struct(*names).alias("ranks")).scalar()
 
 
 def _let(value: Column, body) -> Column:
@@ -179,7 +184,8 @@ def _memo(docs: DataFrame, maps: Column, memo_words: int, memo_docs: int
         bound = r["n"]
     chosen = counted.filter(F.col("n") >= bound).select("word").mapInArrow(
         numbers, "hash long, word array<tinyint>")
-    found = chosen.select("hash", _let(maps, lambda m: encode_word(m, F.col("word"))).alias("ids")).toArrow()
+    found = chosen.withColumn("ranks", maps).select("hash", _let(
+        F.col("ranks"), lambda m: encode_word(m, F.col("word"))).alias("ids")).toArrow()
     hashes = found.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     ids = found.column("ids").combine_chunks().take(pa.array(order)) if len(order) else None
@@ -195,13 +201,12 @@ def plain_ids(keys: pa.Array, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch
 
 
 def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
-           memo_words: int = 1_500_000, memo_docs: int = 150_000, finish=plain_ids,
+           memo_words: int = 600_000, memo_docs: int = 150_000, finish=plain_ids,
            schema: str = "doc_id long, ids array<int>") -> DataFrame:
     """The ids of every row, by the ranks file at the path ``ranks``: ``(doc_id, ids array<int>)``,
     or what ``finish(keys, ids, at)`` makes of a block of them (document ``i`` has the ids
     ``ids[at[i]:at[i + 1]]``)."""
-    found = rank_map(ranks)
-    maps = F.struct(*[_literal(found[n], "int").alias(n) for n in ("base", "owner", "merged", "single")])
+    maps = _rank_literal(df.sparkSession, ranks)
     docs = two_columns(df, key, text)
     memo = docs.sparkSession.sparkContext.broadcast(_memo(docs, maps, memo_words, memo_docs))
 
@@ -243,8 +248,8 @@ def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
 
     chunks = docs.mapInArrow(
         split, "words array<array<tinyint>>, keys array<long>, first binary, codes binary")
-    encoded = chunks.select(
-        _let(maps, lambda m: F.transform("words", lambda w: encode_word(m, w))).alias("ids"),
+    encoded = chunks.withColumn("ranks", maps).select(
+        _let(F.col("ranks"), lambda m: F.transform("words", lambda w: encode_word(m, w))).alias("ids"),
         "keys", "first", "codes")
     return encoded.mapInArrow(assemble, schema)
 

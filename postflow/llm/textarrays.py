@@ -40,6 +40,7 @@ NONSPACE = ~_byte_set((0x20, 0x20), (0x09, 0x0D))
 def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES
            ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)``: ``offsets`` has one entry more than rows."""
+    pa.set_memory_pool(pa.system_memory_pool())  # frees what a worker no longer uses
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
