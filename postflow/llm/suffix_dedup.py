@@ -21,10 +21,12 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
    the left is at least half as long. So the suffixes of a gram with more than ``heavy`` anchors in
    all are dealt twice, by a hash of the right half-length and of the left one, and the group is
    split without losing a pair.
-5. A group that still has more than ``most_contexts`` different contexts is not compared pair by
-   pair. Sorted once from the anchor to the right and once to the left, neighbours bound the offsets
-   at which a suffix can share a string at all; the strings at these offsets (none, for a common
-   line shorter than ``length``) are counted by their hashes, which is spread over all tasks.
+5. A group of many different contexts is not compared pair by pair. Sorted once from the anchor to
+   the right and once to the left, neighbours have the longest common parts: they bound the offsets
+   at which a suffix can share a string at all, and mostly reach the bounds themselves. Suffixes that
+   stay open are compared with the whole group; where that would be more than ``most_pairs``
+   comparisons, the strings at the possible offsets are counted by their hashes instead, which is
+   spread over all tasks.
 
 The rows are written once, bucketed by row id, so that texts are exchanged once for both joins.
 
@@ -56,7 +58,7 @@ from postflow.session import scratch
 LENGTH = 200
 GRAM = 32
 BUCKET_SUFFIXES = 100_000
-MOST_CONTEXTS = 4096
+MOST_PAIRS = 20_000_000
 FEW_CONTEXTS = 16
 HEAVY = 20_000
 
@@ -216,64 +218,80 @@ def _strings(item: tuple, length: int) -> dict:
     return {"rid": rid, "pos": pos, "weight": weight, "reach": high, "hashes": hashes.astype(np.int64)}
 
 
-def _bounds(classes: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of sorted contexts ``[common prefix with the one before, right, left, ...]``: left parts,
-    reversed, as rows; their lengths; and for each context the longest right and the longest left
-    part that it has in common with any other."""
-    prefix = np.array([c[0] for c in classes] + [0])
-    prefix[0] = 0
-    sizes = np.array([len(c[2]) for c in classes])
-    lefts = np.zeros((len(classes), int(sizes.max()) + 1), np.uint8)
-    for i, c in enumerate(classes):
-        lefts[i, :sizes[i]] = np.frombuffer(c[2], np.uint8)[::-1]
-    order = np.array(sorted(range(len(classes)), key=lambda i: classes[i][2][::-1]))
-    differ = lefts[order[1:]] != lefts[order[:-1]]
-    common = np.where(differ.any(1), differ.argmax(1), lefts.shape[1])
-    common = np.minimum(common, np.minimum(sizes[order[1:]], sizes[order[:-1]]))
-    common = np.concatenate(([0], common, [0]))
-    most_left = np.empty(len(classes), np.int64)
-    most_left[order] = np.maximum(common[:-1], common[1:])
-    return lefts, sizes, np.maximum(prefix[:-1], prefix[1:]), most_left
-
-
-def _class_spans(classes: list[list], length: int) -> tuple[list[int], list[int]]:
-    """Least and greatest offset of the strings that each of the sorted contexts ``[common prefix
-    with the one before, right, left, ...]`` shares with any other (greatest -1 if none)."""
+def _rows_of(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as rows of a matrix, and their lengths."""
+    sizes = np.array([len(p) for p in parts])
+    rows = np.zeros((len(parts), int(sizes.max()) + 1), np.uint8)
+    for i, part in enumerate(parts):
+        rows[i, :len(part)] = np.frombuffer(part, np.uint8)
+    return rows, sizes
+
+
+def _common(rows: np.ndarray, sizes: np.ndarray, a, b) -> np.ndarray:
+    """Lengths of the common prefixes of rows ``a`` and ``b``."""
+    differ = rows[a] != rows[b]
+    first = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+    return np.minimum(first, np.minimum(sizes[a], sizes[b]))
+
+
+def _few_spans(classes: list[list], length: int) -> tuple[list[int], list[int]]:
     n = len(classes)
     low, high = [length] * n, [-1] * n
+    numbers = [int.from_bytes(c[2], "little") << 8 * (1024 - len(c[2])) for c in classes]
+    for i in range(n):
+        common = len(classes[i][1])
+        for j in range(i + 1, n):
+            common = min(common, classes[j][0])
+            least = max(0, length - common)
+            differ = (numbers[i] ^ numbers[j]).bit_length()
+            left = min(1024 - (differ + 7) // 8, len(classes[i][2]), len(classes[j][2]))
+            if least <= left:
+                for c in (i, j):
+                    low[c], high[c] = min(low[c], least), max(high[c], left)
+    return low, high
+
+
+def class_spans(classes: list[list], length: int, most_pairs: int
+                ) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
+    """Least and greatest offset of the strings that each of the sorted contexts ``[common prefix
+    with the one before, right, left, ...]`` shares with any other (greatest -1 if none), and
+    ``(context, lowest, highest possible offset)`` of what must be counted instead."""
+    n = len(classes)
     if n <= FEW_CONTEXTS:
-        numbers = [int.from_bytes(c[2], "little") << 8 * (1024 - len(c[2])) for c in classes]
-        for i in range(n):
-            common = len(classes[i][1])
-            for j in range(i + 1, n):
-                common = min(common, classes[j][0])
-                least = max(0, length - common)
-                differ = (numbers[i] ^ numbers[j]).bit_length()
-                left = min(1024 - (differ + 7) // 8, len(classes[i][2]), len(classes[j][2]))
-                if least <= left:
-                    for c in (i, j):
-                        low[c], high[c] = min(low[c], least), max(high[c], left)
-        return low, high
-    prefix = np.array([c[0] for c in classes])
-    lefts, sizes, most_right, most_left = _bounds(classes)
-    width = lefts.shape[1]
-    low, high = np.array(low), np.array(high)
-    for i in np.flatnonzero(length - most_right <= most_left).tolist():
-        common = np.minimum(np.minimum.accumulate(prefix[i + 1:]), len(classes[i][1]))
-        # From here on the common right part is too short for the longest common left part.
-        stop = i + 1 + int(np.searchsorted(-common, most_left[i] - length, "right"))
-        if stop == i + 1:
-            continue
-        differ = lefts[i + 1:stop] != lefts[i]
-        left = np.where(differ.any(1), differ.argmax(1), width)
-        left = np.minimum(np.minimum(left, sizes[i + 1:stop]), sizes[i])
-        least = np.maximum(0, length - common[:stop - i - 1])
-        good = np.flatnonzero(least <= left)
-        if len(good):
-            at = good + i + 1
-            low[at], high[at] = np.minimum(low[at], least[good]), np.maximum(high[at], left[good])
+        return *_few_spans(classes, length), []
+    rights, right_sizes = _rows_of([c[1] for c in classes])
+    backward = [c[2][::-1] for c in classes]
+    lefts, left_sizes = _rows_of(backward)
+    low, high = np.full(n, length), np.full(n, -1)
+    most = []
+    for key, measure in ((lambda i: (classes[i][1], backward[i]), 0), (lambda i: (backward[i], classes[i][1]), 1)):
+        order = np.array(sorted(range(n), key=key))
+        a, b = order[:-1], order[1:]
+        both = _common(rights, right_sizes, a, b), _common(lefts, left_sizes, a, b)
+        longest = np.zeros(n, np.int64)
+        least, left = np.maximum(0, length - both[0]), both[1]
+        good = least <= left
+        for side in (a, b):  # a context is at most once on either side
+            longest[side] = np.maximum(longest[side], both[measure])
+            low[side[good]] = np.minimum(low[side[good]], least[good])
+            high[side[good]] = np.maximum(high[side[good]], left[good])
+        most.append(longest)
+    lowest, highest = np.maximum(0, length - most[0]), most[1]
+    possible = lowest <= highest
+    unsettled = np.flatnonzero(possible & ((low > lowest) | (high < highest)))
+    if len(unsettled) * n > most_pairs:
+        return low.tolist(), high.tolist(), [(i, int(lowest[i]), int(highest[i]))
+                                             for i in np.flatnonzero(possible).tolist()]
+    for i in unsettled.tolist():
+        others = np.flatnonzero(possible)
+        others = others[others != i]
+        right = _common(rights, right_sizes, np.full(len(others), i), others)
+        left = _common(lefts, left_sizes, np.full(len(others), i), others)
+        least = np.maximum(0, length - right)
+        good = least <= left
+        if good.any():
             low[i], high[i] = min(low[i], least[good].min()), max(high[i], left[good].max())
-    return low.tolist(), high.tolist()
+    return low.tolist(), high.tolist(), []
 
 
 def compare_group(group: list[tuple], length: int, most: int) -> tuple[list[tuple], list[tuple]]:
@@ -297,14 +315,10 @@ def compare_group(group: list[tuple], length: int, most: int) -> tuple[list[tupl
             span = _span(0, len(right), len(left), length)
             if span:
                 intervals += [(rid, pos + span[0], pos + span[1]) for rid, pos, _ in members]
-    if len(classes) > most:
-        _, _, most_right, most_left = _bounds(classes)
-        for i in np.flatnonzero(length - most_right <= most_left).tolist():
-            _, right, left, members = classes[i]
-            pending.append((right, left, *members[0][:2], min(2, sum(m[2] for m in members)),
-                            max(0, length - int(most_right[i])), int(most_left[i])))
-        return intervals, pending
-    low, high = _class_spans(classes, length)
+    low, high, uncounted = class_spans(classes, length, most)
+    for i, lowest, highest in uncounted:
+        _, right, left, members = classes[i]
+        pending.append((right, left, *members[0][:2], min(2, sum(m[2] for m in members)), lowest, highest))
     for c, (_, _, _, members) in enumerate(classes):
         if high[c] >= low[c]:
             intervals += [(rid, pos - high[c], pos - low[c] + length) for rid, pos, _ in members]
@@ -424,7 +438,7 @@ def _merged(runs: DataFrame, length: int, gram: int, most: int) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = GRAM,
-                   most_contexts: int = MOST_CONTEXTS, heavy: int = HEAVY,
+                   most_pairs: int = MOST_PAIRS, heavy: int = HEAVY,
                    bucket_suffixes: int = BUCKET_SUFFIXES) -> DataFrame:
     """``(rid, spans array<struct<start, end>>)`` of the rows ``(row, rid)`` with repeats; field
     ``at`` of ``row`` is the text. Spans may overlap."""
@@ -439,7 +453,7 @@ def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = G
     texts = rows.select("rid", F.col("row").getField(text).alias("text")).join(places, "rid") \
         .select("text", "rid", "places")
     runs = _runs(texts, max(1, -(-kept // bucket_suffixes)), length, gram)
-    both = staged(_merged(runs, length, gram, most_contexts), "repeat-merged")
+    both = staged(_merged(runs, length, gram, most_pairs), "repeat-merged")
     strings = both.filter("kind = 2").select(
         "rid", F.col("start").alias("pos"), "weight", "end", F.posexplode("hashes").alias("i", "hash")) \
         .select("rid", "pos", "weight", (F.col("end") - F.col("i")).alias("offset"), "hash")
