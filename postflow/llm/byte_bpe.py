@@ -191,12 +191,13 @@ def _memo(docs: DataFrame, maps: Column, memo_words: int, memo_docs: int
     ids = found.column("ids").combine_chunks().take(pa.array(order)) if len(order) else None
     sizes = ids.value_lengths().to_numpy(zero_copy_only=False) if ids is not None else []
     values = ids.flatten().to_numpy(zero_copy_only=False) if ids is not None else np.zeros(0, np.int32)
-    return hashes[order], values.astype(np.int32), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return hashes[order], values.astype(np.uint16), np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
 
 
 def plain_ids(keys: pa.Array, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
     """``(doc_id, ids)``."""
-    return pa.record_batch([keys, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))],
+    return pa.record_batch([keys, pa.ListArray.from_arrays(pa.array(at, pa.int32()),
+                                                              pa.array(ids.astype(np.int32)))],
                            ["doc_id", "ids"])
 
 
@@ -208,11 +209,13 @@ def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
     ``ids[at[i]:at[i + 1]]``)."""
     maps = _rank_literal(df.sparkSession, ranks)
     docs = two_columns(df, key, text)
-    memo = docs.sparkSession.sparkContext.broadcast(_memo(docs, maps, memo_words, memo_docs))
+    hashes, values, offsets = _memo(docs, maps, memo_words, memo_docs)
+    context = docs.sparkSession.sparkContext
+    memo, memo_ids = context.broadcast(hashes), context.broadcast((values, offsets))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = pretoken.Classes()
-        known = memo.value[0]
+        known = memo.value
         for batch in batches:
             for lo, hi, raw, off in ta.blocks(batch.column(1), CHUNK_BYTES):
                 codes, first, data, at, hashes = pretoken.distinct_tokens(
@@ -234,14 +237,14 @@ def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
                     ["words", "keys", "first", "codes"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, values, offsets = memo.value
+        values, offsets = memo_ids.value
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, keys = batch.column(0)[i].values, batch.column(1)[i].values
                 first = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
                 codes = np.frombuffer(batch.column(3)[i].as_py(), np.int32)
                 sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                own = ids.flatten().to_numpy(zero_copy_only=False) if len(ids) else values[:0]
+                own = ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint16) if len(ids) else values[:0]
                 flat, at = pretoken.expand(np.concatenate((values, own)),
                                            np.concatenate((offsets, offsets[-1] + np.cumsum(sizes))), codes)
                 yield finish(keys, flat, at[first])

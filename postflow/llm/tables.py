@@ -9,8 +9,8 @@ from postflow.session import scratch
 
 
 #: Arrow batches to Python workers: rows may be long, so they are bounded by bytes, too.
-BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -91,7 +91,7 @@ class _Powers:
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.tables[0]) < n:
             for i, factor in enumerate((_BASE, _BASE_INV)):
-                table = np.full(max(n, 2 * len(self.tables[0])), np.uint64(factor))
+                table = np.full(n + n // 8, np.uint64(factor))
                 table[0] = 1
                 self.tables[i] = np.cumprod(table, dtype=np.uint64)
         return self.tables[0][:n], self.tables[1][:n]
