@@ -9,8 +9,8 @@ and sorted within them; each task encodes its whole texts and streams one file:
     index    per document: key, 1 if the key is null, offset, compressed bytes, ids (5 x int64)
     16 bytes offset of the index, number of documents
 
-The dictionary is trained once on the serialized ids of at most ``sample_docs`` documents of at
-most ``sample_chars`` characters (those with the smallest key hashes) and stored beside the files;
+The dictionary is trained once on the serialized ids of about ``sample_docs`` documents of at most
+``sample_chars`` characters (chosen by their hashes) and stored beside the files;
 its SHA-256 is in each header and checked on reading. A document can be read alone: one index entry
 and one range of the file. Task attempts write under names of their own; only the names that
 finished tasks return are in the file list, which also gives each file's first global position.
@@ -48,12 +48,14 @@ from postflow.session import scratch
 
 MAGIC = b"PFTOKID1"
 END_ID = 1
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 2 << 20
+KNOWN_WORDS = 500_000
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizers definition (JSON) whose pre-tokens are ``word_starts``' matches on
-    normalised text (NFC, lower case, white space dropped)."""
+    normalised text (NFC, lower case, white space dropped). The ids of up to ``KNOWN_WORDS``
+    pre-tokens are kept from block to block."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,6 +65,12 @@ class WordTokenizer:
         self.inner.normalizer = None
         self.inner.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.classes = pretoken.Classes()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pre-tokens: sorted hashes, the number of each, and the ids of all numbers."""
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.values, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     @staticmethod
     def normal(text: str) -> bytes:
@@ -74,15 +82,29 @@ class WordTokenizer:
         parts = [self.normal(t) if t else b"" for t in texts]
         off = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
         raw = np.frombuffer(b"".join(parts), np.uint8)
-        codes, first, data, at, _ = pretoken.distinct_tokens(
+        codes, first, data, at, hashes = pretoken.distinct_tokens(
             raw, off, self.classes, pretoken.word_starts, drop_space=True)
+        if len(self.hashes) > KNOWN_WORDS:
+            self._forget()
+        place = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        old = self.hashes[place] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        number = np.empty(len(hashes), np.int64)
+        number[old] = self.numbers[place[old]]
+        new = np.flatnonzero(~old)
+        number[new] = len(self.offsets) - 1 + np.arange(len(new))
         packed = data.tobytes()
-        words = [packed[a:b].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        words = [packed[a:b].decode() for a, b in zip(at[new].tolist(), at[new + 1].tolist())]
         found = [e.ids for e in self.inner.encode_batch_fast(words, add_special_tokens=False)]
-        offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int64)
-        values = np.fromiter((i for f in found for i in f), np.int64, int(offsets[-1]))
-        flat, place = pretoken.expand(values, offsets, codes)
-        return flat, place[first]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
+        self.values = np.concatenate((self.values, np.fromiter(
+            (i for f in found for i in f), np.int32, int(sizes.sum()))))
+        self.hashes = np.concatenate((self.hashes, hashes[new]))
+        self.numbers = np.concatenate((self.numbers, number[new]))
+        order = np.argsort(self.hashes)
+        self.hashes, self.numbers = self.hashes[order], self.numbers[order]
+        flat, begin = pretoken.expand(self.values, self.offsets, number[codes] if len(codes) else codes)
+        return flat, begin[first]
 
 
 def train_dictionary(samples: list[bytes], size: int) -> bytes:
@@ -104,8 +126,11 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, key: str = "doc_
     also kept as ``<path>/files``, in ascending key order."""
     spark = df.sparkSession
     docs = two_columns(df, key, text)
-    sample = (docs.select("text", "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-              .limit(sample_docs).select(F.substring("text", 1, sample_chars).alias("text")).collect())
+    # About sample_docs rows, chosen by their hashes where they are read.
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    bound = (1 << 30) * sample_docs // max(sample_docs, docs.count())
+    sample = (docs.filter(part < bound).select(F.substring("text", 1, sample_chars).alias("text"))
+              .limit(2 * sample_docs).collect())
     width = np.dtype("<u2")
     with open(tokenizer, encoding="utf-8") as inp:
         definition = inp.read()
