@@ -339,8 +339,14 @@ _ARROW = pa.schema([("kind", pa.int32()), ("rid", pa.int64()), ("start", pa.int6
 def _out(intervals=(), runs=(), pending=(), length: int = LENGTH, buckets: int = 1
          ) -> Iterator[pa.RecordBatch]:
     """Result rows in batches of bounded size. All have a bucket: what is settled goes through the
-    same exchange as the runs and is passed on there."""
-    rows = [(0, r, a, b, None, r % buckets, None, None) for r, a, b in intervals]
+    same exchange as the runs and is passed on there. Intervals of a row that touch are one."""
+    joined: list[list[int]] = []
+    for rid, start, end in sorted(intervals):
+        if joined and joined[-1][0] == rid and start <= joined[-1][2]:
+            joined[-1][2] = max(joined[-1][2], end)
+        else:
+            joined.append([rid, start, end])
+    rows = [(0, r, a, b, None, r % buckets, None, None) for r, a, b in joined]
     rows += [(1, None, None, None, None, k, data, None) for k, data in runs]
     for lo in range(0, len(rows), 20_000):
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[lo:lo + 20_000]), _ARROW)],
