@@ -195,14 +195,17 @@ def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words:
     stars = lists.join(heads, "token").select(F.col("rid").alias("a"), F.col("head").alias("b"))
     clusters = components(stars, "near-clusters").select(F.col("node").alias("rid"),
                                                          F.col("component").alias("cluster"))
-    sets = _shingled(signed, clusters.select("rid"), text, k, words)
-    members = staged(clusters.join(sets, "rid"), "near-sets")
-    parts = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("set")) / part_bytes).alias("parts"))
-    dealt = (members.join(classes.select("rid", "tokens"), "rid").join(parts, "cluster")
+    sets = staged(_shingled(signed, clusters.select("rid"), text, k, words), "near-sets")
+    # Parts are settled on sizes alone, so that the sets are exchanged by row id and by pair only.
+    sized = clusters.join(classes.select("rid", "n_shingles"), "rid")
+    parts = sized.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") * 8 / part_bytes).alias("parts"))
+    dealt = (sized.join(parts, "cluster")
              .withColumn("part", F.pmod(F.xxhash64("rid"), "parts"))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
              .select(F.concat_ws("-", "cluster", F.least("part", "other"), F.greatest("part", "other")).alias("pair"),
-                     "part", "rid", "tokens", "set"))
+                     "part", "rid")
+             .join(sets, "rid").join(classes.select("rid", "tokens"), "rid")
+             .select("pair", "part", "rid", "tokens", "set"))
     links = staged(_cluster_links(dealt, t, percent), "near-links")
     comps = components(links, "near-comp")
     classes = (classes.join(comps, F.col("rid") == F.col("node"), "left")
