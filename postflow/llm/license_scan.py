@@ -3,7 +3,8 @@
 Exact places: a phrase's words stand consecutively among the words of a text. Fuzzy places: a
 notice of ``m`` characters with at most ``k`` edits, cut into ``k + 1`` pieces, holds one piece
 unchanged (pigeonhole). The pieces are found by plain substring search over the whole text; around
-each hit, the ``regex`` library's bounded-error matching verifies the notice and counts its edits.
+each hit, the ``regex`` library's bounded-error matching verifies the notice and counts its edits,
+the closest places first.
 
 One narrow pass: nothing is shuffled, and only the phrase list goes to the tasks.
 
@@ -57,11 +58,14 @@ class Notice:
         self.label, self.edits, self.size = label, edits, len(raw)
         cuts = [i * len(raw) // (edits + 1) for i in range(edits + 2)]
         self.pieces = [(raw[a:b], a) for a, b in zip(cuts, cuts[1:])]
-        self.pattern = regex.compile(rb"(?b)(?:" + regex.escape(raw) + rb"){e<=%d}" % edits)
+        self.patterns = [regex.compile(rb"(?:" + regex.escape(raw) + rb"){e<=%d}" % e)
+                         for e in range(edits + 1)]
 
     def places(self, text: bytes, hits: dict[bytes, list[int]], off: np.ndarray
                ) -> Iterator[tuple[int, int, int, int]]:
-        """``(document, start, end, edits)`` of verified places; windows that overlap are one."""
+        """``(document, start, end, edits)`` of verified places; windows that overlap are one. Places
+        with fewer edits are taken first, then the gaps they leave are searched with one edit more,
+        so a place is left out only where it overlaps one at least as good."""
         windows = []
         for piece, at in self.pieces:
             for hit in hits[piece]:
@@ -76,10 +80,16 @@ class Notice:
                 merged[-1][2] = max(merged[-1][2], high)
             else:
                 merged.append([doc, low, high])
-        for doc, low, high in merged:
-            while low < high and (found := self.pattern.search(text, low, high)):
-                yield doc, found.start(), found.end(), sum(found.fuzzy_counts)
-                low = max(found.end(), found.start() + 1)
+        gaps = [tuple(window) for window in merged]
+        for pattern in self.patterns:
+            left = []
+            for doc, low, high in gaps:
+                while high - low >= self.size - self.edits and (found := pattern.search(text, low, high)):
+                    yield doc, found.start(), found.end(), sum(found.fuzzy_counts)
+                    left.append((doc, low, found.start()))
+                    low = max(found.end(), found.start() + 1)
+                left.append((doc, low, high))
+            gaps = left
 
 
 def _find_all(text: bytes, piece: bytes) -> list[int]:

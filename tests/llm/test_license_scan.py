@@ -1,7 +1,8 @@
+import random
 import re
 
 from llm_cases import ODD
-from postflow.llm.license_scan import PHRASES, scan_licenses
+from postflow.llm.license_scan import NOTICES, PHRASES, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -45,5 +46,44 @@ def test_fuzzy_notices(documents):
     assert span.edits == 1 and texts[1].lower()[span.start:span.end].startswith("apache lic")
 
 
+def nearest(notice, text):
+    """Fewest edits from the notice to any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(notice, 1):
+        last, row = row, [i]
+        for j, b in enumerate(text, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (a != b)))
+    return min(row)
+
+
+def test_adjacent_inexact_notices_against_brute_force(documents):
+    pick = random.Random(3)
+    texts = ["mit licence mit license", "gnu generel public licence; gnu general public license",
+             "mit licence " * 40 + "mit license", "mit license mit licence mit licens mit license"]
+    for _ in range(60):
+        words = []
+        for _ in range(pick.randint(2, 7)):
+            word = list(pick.choice(NOTICES[:4])[0])
+            for _ in range(pick.choice((0, 0, 1, 1, 2, 3, 4))):
+                at = pick.randrange(len(word))
+                word[at:at + 1] = pick.choice(([], ["x"], [word[at], "e"]))
+            words.append("".join(word))
+        texts.append(pick.choice((" ", "; ", "")).join(words))
+    got = {r.doc_id: r for r in scan_licenses(documents(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        for notice, label, edits in NOTICES:
+            spans = [s for s in got[i].spans if s.label == label]
+            for s in spans:
+                part = text[s.start:s.end]
+                assert nearest(part, notice) <= nearest(notice, part) == s.edits <= edits, (text, s)
+            for most in range(edits + 1):
+                ends = [(0, 0), *((s.start, s.end) for s in spans if s.edits <= most), (len(text),) * 2]
+                for (_, low), (high, _) in zip(ends, ends[1:]):
+                    assert low <= high and nearest(notice, text[low:high]) > most, (text, label, most)
+    assert [(s.start, s.edits) for s in got[0].spans] == [(0, 1), (12, 0)]
+    assert [(s.start, s.edits) for s in got[1].spans] == [(0, 2), (28, 0)]
+    assert len(got[2].spans) == 41
+
+
 def test_empty_table(documents):
     assert scan_licenses(documents([(1, "a")]).filter("doc_id = 0")).collect() == []
