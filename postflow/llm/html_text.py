@@ -4,17 +4,21 @@
    presentation signatures (tag, class and id without digits). Per element of the page the pass
    also records the sequence of its children's signatures (presentation) and, per block, a hash of
    its text (content).
-2. Merging the pages of a host is counting: pages per (node, presentation) and (node, content).
-   Counts are combined in every task before they are exchanged, so a host with a third of all pages
-   is spread over its features. With ``m`` pages, a node's presentation importance is the entropy
-   (base m) of its child sequences; a content node's importance is 1 minus how widely each of its
-   texts is shared (the mean of log_m of the pages that show it). A block's importance is the mean
-   of its own content importance and its parent's presentation importance; 1 where one page only
-   has the node.
-3. Semantic markup decides before statistics: branches that markup names as menu, header, footer,
-   side bar, notice, advert, form, script, style or reader comments have importance 0; a page's
-   ``article`` (else ``main``) branches have importance 1, and then everything outside them 0.
-   Blocks that markup leaves open are kept from ``least_importance`` on.
+2. Merging the pages of a host is counting: pages per (node, presentation) and (node, content),
+   exact copies of a page once. Counts are combined in every task before they are exchanged, so a
+   host with a third of all pages is spread over its features. With ``m`` pages, a node's
+   presentation importance is the entropy (base m) of its child sequences; a content node's
+   importance is 1 minus how widely each of its texts is shared (the mean of log_m of the pages that
+   show it); a text's is 1 minus log_m of the pages that show it there. A block's importance is the
+   mean of its content's (the lesser of its text's and its node's) and its parent's presentation
+   importance; 1 where one page only has the node.
+3. Branches that markup names as menu, header, footer, side bar, notice, advert, form, script, style
+   or reader comments have importance 0. Every other block is judged, and kept from
+   ``least_importance`` on; a page's ``article`` (else ``main``) branches weigh in its importance.
+   Inside them it counts ``INSIDE`` times, and as if ``INSIDE_PAGES`` pages more spoke for the block,
+   so few pages that share a text do not drop it. Outside, where they hold at least half of the
+   page's text, it counts by the share that they do not hold; where they hold less (teasers beside
+   the text), as on a page without them.
 
 Edge cases: null and empty pages give an empty text; pages without a host share the host ''; tags
 that never close end with the page; repeated rows give a row each; a null url is kept; an empty
@@ -63,6 +67,10 @@ DROPPED_NAMES = frozenset(
     "replies related recommended popup modal overlay pagination pager search skip".split())
 
 
+#: Weight of a page's article or main branches in the importance of the blocks inside them.
+INSIDE, INSIDE_PAGES = 4.0, 2.0
+
+
 class Node:
     __slots__ = ("tag", "sign", "dropped", "main", "children", "path")
 
@@ -166,29 +174,37 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-PARSED = ("rid long, page_id long, url string, blocks array<struct<text:string,node:long,parent:long,open:boolean>>, "
+PARSED = ("rid long, page_id long, url string, copy long, "
+          "blocks array<struct<text:string,node:long,parent:long,feature:long,mark:double>>, "
           "features array<struct<node:long,kind:boolean,feature:long>>")
 _BLOCK = pa.list_(pa.struct([("text", pa.string()), ("node", pa.int64()), ("parent", pa.int64()),
-                             ("open", pa.bool_())]))
+                             ("feature", pa.int64()), ("mark", pa.float64())]))
 _FEATURE = pa.list_(pa.struct([("node", pa.int64()), ("kind", pa.bool_()), ("feature", pa.int64())]))
 
 
-def page_blocks(page: str | None, url: str | None) -> tuple[list[dict], list[dict]]:
-    """Blocks that may be kept (``open``: statistics decide) and the page's features, each once."""
+def page_blocks(page: str | None, url: str | None) -> tuple[list[dict], list[dict], list[dict]]:
+    """Blocks inside the page's article or main branches (all blocks, if it has none), the page's
+    features, each once, and the blocks outside. ``mark`` is the weight of the semantic markup."""
     try:
         host = urlsplit(url or "").hostname or ""
     except ValueError:
         host = ""
     blocks, styles = parse(page or "", host)
-    mains = {b[3] for b in blocks if b[3] and not b[4]}
+    blocks = [b[:4] for b in blocks if not b[4]]
+    mains = {b[3] for b in blocks if b[3]}
     main = "article" if "article" in mains else "main" if "main" in mains else ""
-    kept = [{"text": text, "node": _signed(node), "parent": _signed(parent), "open": not main}
-            for text, node, parent, inside, dropped in blocks
-            if not dropped and (not main or inside == main)]
-    features = {(_signed(node), True, _signed(xxhash.xxh64_intdigest(text.encode())))
-                for text, node, _, _, dropped in blocks if not dropped}
+    share = sum(len(b[0]) for b in blocks if b[3] == main) / max(1, sum(len(b[0]) for b in blocks))
+    outside = 1 - share if share >= 0.5 else 1.0
+    split: tuple[list[dict], list[dict]] = ([], [])
+    features = set()
+    for pos, (text, node, parent, inside) in enumerate(blocks):
+        feature = _signed(xxhash.xxh64_intdigest(text.encode()))
+        features.add((_signed(node), True, feature))
+        split[inside != main].append(
+            {"pos": pos, "text": text, "node": _signed(node), "parent": _signed(parent), "feature": feature,
+             "mark": 1.0 if not main else INSIDE if inside == main else outside})
     features |= {(_signed(node), False, _signed(style)) for node, style in styles}
-    return kept, [{"node": n, "kind": k, "feature": f} for n, k, f in sorted(features)]
+    return split[0], [{"node": n, "kind": k, "feature": f} for n, k, f in sorted(features)], split[1]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,24 +212,32 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
             pages = [page_blocks(p, u) for p, u in zip(part.column(3).to_pylist(), part.column(2).to_pylist())]
+            blocks = [sorted(p[0] + p[2], key=lambda b: b["pos"]) for p in pages]
+            copies = [_signed(xxhash.xxh64_intdigest(repr([(b["node"], b["feature"]) for b in found]).encode()))
+                      for found in blocks]
             yield pa.record_batch(
-                [part.column(0), part.column(1).cast(pa.int64()), part.column(2),
-                 pa.array([p[0] for p in pages], _BLOCK), pa.array([p[1] for p in pages], _FEATURE)],
-                ["rid", "page_id", "url", "blocks", "features"])
+                [part.column(0), part.column(1).cast(pa.int64()), part.column(2), pa.array(copies, pa.int64()),
+                 pa.array(blocks, _BLOCK), pa.array([p[1] for p in pages], _FEATURE)],
+                ["rid", "page_id", "url", "copy", "blocks", "features"])
+
+
+def _shared(parsed: DataFrame) -> DataFrame:
+    """Pages per feature of a node."""
+    seen = parsed.select(F.explode("features").alias("f")).select("f.*")
+    return seen.groupBy("node", "kind", "feature").agg(F.count("*").alias("c"))
 
 
 def node_importance(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Importance of content nodes and of presentation nodes, ``(node, importance)`` each."""
-    seen = parsed.select(F.explode("features").alias("f")).select("f.*")
-    shared = seen.groupBy("node", "kind", "feature").agg(F.count("*").alias("c"))
-    pages = shared.groupBy("node", "kind").agg(
-        F.sum("c").alias("m"), F.sum(F.col("c") * F.log("c")).alias("clogc"),
+    features = _shared(parsed).groupBy("node", "kind").agg(
+        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"),
         F.sum(F.log("c")).alias("logc"), F.count("*").alias("features"))
-    many = F.col("m") > 1
-    content = pages.filter("kind").select("node", F.when(
-        many, 1 - F.col("logc") / F.col("features") / F.log("m")).otherwise(1.0).alias("content"))
-    style = pages.filter("NOT kind").select("node", F.when(
-        many, 1 - F.col("clogc") / F.col("m") / F.log("m")).otherwise(1.0).alias("style"))
+    shown = F.array_distinct(F.transform(F.filter("features", lambda f: f["kind"]), lambda f: f["node"]))
+    pages = parsed.select(F.explode(shown).alias("node")).groupBy("node").agg(F.count("*").alias("m"))
+    content = features.filter("kind").join(pages, "node").select("node", F.when(
+        F.col("m") > 1, 1 - F.col("logc") / F.col("features") / F.log("m")).otherwise(1.0).alias("content"), "m")
+    style = features.filter("NOT kind").select("node", F.when(
+        F.col("n") > 1, 1 - F.col("clogc") / F.col("n") / F.log("n")).otherwise(1.0).alias("style"))
     return content, style
 
 
@@ -224,21 +248,29 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
                         F.col(f"`{url}`").cast("string").alias("url"),
                         F.col(f"`{page}`").cast("string").alias("html"))
     parsed = staged(rows.mapInArrow(_parsed, PARSED), "pages-parsed")
-    content, style = node_importance(parsed)
-    unsure = F.exists("blocks", lambda b: b["open"])
-    sure = parsed.filter(~unsure).select(
-        "page_id", "url", F.array_join(F.transform("blocks", lambda b: b["text"]), "\n").alias("text"))
-    blocks = parsed.filter(unsure).select("rid", F.posexplode("blocks").alias("pos", "b")) \
-        .select("rid", "pos", "b.*")
-    good = (blocks.join(content, "node", "left")
+    first = parsed.groupBy("copy").agg(F.min("rid").alias("rid")).select("rid")
+    distinct = parsed.select("rid", "features").join(first, "rid", "left_semi")
+    content, style = node_importance(distinct)
+    texts = _shared(distinct).filter("kind AND c > 1").select("node", "feature", "c")
+    # Only places and hashes are joined with the counts; a page's texts stay in its row.
+    places = parsed.select("rid", F.posexplode(F.transform("blocks", lambda b: F.struct(
+        b["node"].alias("node"), b["parent"].alias("parent"), b["feature"].alias("feature"),
+        b["mark"].alias("mark")))).alias("pos", "b")).select("rid", "pos", "b.*")
+    one = F.lit(1.0)
+    own = F.when(F.col("c").isNull() | (F.col("m") < 2), one).otherwise(1 - F.log("c") / F.log("m"))
+    importance = (F.col("mark") * (F.least(own, F.coalesce("content", one)) + F.coalesce("style", one)) / 2
+                  + F.when(F.col("mark") > 1, INSIDE_PAGES / F.coalesce("m", one)).otherwise(0.0))
+    lost = (places.join(texts, ["node", "feature"], "left").join(content, "node", "left")
             .join(style.withColumnRenamed("node", "parent"), "parent", "left")
-            .filter((F.coalesce("content", F.lit(1.0)) + F.coalesce("style", F.lit(1.0))) / 2
-                    >= least_importance))
-    chosen = good.groupBy("rid").agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda b: b["text"]), "\n").alias("text"))
-    judged = parsed.filter(unsure).select("rid", "page_id", "url").join(chosen, "rid", "left") \
-        .select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
-    return sure.unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))
+            .filter(importance < least_importance)
+            .groupBy("rid").agg(F.collect_set("pos").alias("lost")))
+    lost = staged(lost, "pages-lost")  # its size is known: texts are exchanged only if it is large
+    kept = F.when(F.col("lost").isNull(), F.col("blocks")).otherwise(
+        F.filter("blocks", lambda b, i: ~F.array_contains("lost", i)))
+    return (parsed.select("rid", "page_id", "url", F.transform("blocks", lambda b: b["text"]).alias("blocks"))
+            .join(lost, "rid", "left")
+            .select("page_id", "url", F.array_join(kept, "\n").alias("text"))
+            .withColumn("n_chars", F.length("text").cast("long")))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

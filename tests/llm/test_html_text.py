@@ -55,6 +55,45 @@ def test_site_style_tree_drops_what_pages_share(spark):
     assert got[99] == "single"
 
 
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_what_every_page_repeats_inside_its_article_goes(spark):
+    """Also where it has the path of the text's own paragraphs; a text that few pages share stays."""
+    def page(i):
+        own = f"<p>page {i} text</p><p>told twice {i // 2}</p>"
+        return SITE.replace("{}", f"<article><h1>Title {i}</h1>{own}<p>Follow us for more</p></article>")
+
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(12)]
+    rows += [(100 + i, f"http://h/{i}", page(3)) for i in range(40)]  # copies are no site-wide text
+    rows += [(200 + i, "http://two/", "<article><p>same text</p><p>%d</p></article>" % i) for i in range(2)]
+    got = extracted(spark, rows)
+    for i in range(12):
+        assert got[i] == f"Title {i}\npage {i} text\ntold twice {i // 2}"
+    assert {got[100 + i] for i in range(40)} == {got[3]}
+    assert [got[200 + i] for i in range(2)] == ["same text\n0", "same text\n1"]
+
+
+def test_text_beside_teaser_cards_stays(spark):
+    def page(i):
+        return ("<body><div class=top><span>Welcome to the site</span></div><div class=text>"
+                + "".join(f"<p>page {i} line {j} of a text that is long</p>" for j in range(4))
+                + f"</div><article><p>teaser {i}</p></article></body>")
+
+    def marked(i):
+        return (f"<body><div class=top><span>Welcome {i}</span></div><article><p>"
+                + f"page {i} of a long text </p>" * 9 + "</article></body>")
+
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(12)] + [(50 + i, f"http://k/{i}", marked(i)) for i in range(12)]
+    got = extracted(spark, rows)
+    for i in range(12):
+        lines = [f"page {i} line {j} of a text that is long" for j in range(4)]
+        assert got[i] == "\n".join([*lines, f"teaser {i}"])
+        assert "Welcome" not in got[50 + i] and got[50 + i].startswith(f"page {i} of")
+
+
 def test_importance_of_shared_and_own_texts(spark):
     features = [(r, [(1, True, 5)] + [(2, True, 100 + r)] + [(3, False, r % 2)]) for r in range(8)]
     parsed = spark.createDataFrame(features, "rid long, features array<struct<node:long,kind:boolean,feature:long>>")
