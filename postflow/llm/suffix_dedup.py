@@ -7,9 +7,9 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
    hold it at the same place. Only suffixes that start at anchors are sorted, about 1 in 85 of all.
    Anchors whose gram occurs once are dropped (a count per gram hash).
 2. Runs. Each task takes the suffixes of its documents at the anchors left: ``length`` bytes to the
-   right, and to the left as many as a string through the anchor can reach. Equal contexts within a
-   task prove each other repeated; one of them goes on as their witness, so a text that a third of
-   all rows share is one suffix per task. Suffixes are sorted, front-coded (common prefix with the
+   right, and to the left as many as a string through the anchor can reach. Equal contexts within an
+   Arrow batch prove each other repeated; one of them goes on as their witness, so a text that a third
+   of all rows share is one suffix per batch. Suffixes are sorted, front-coded (common prefix with the
    one before, and the rest) and exchanged in one sorted run per bucket of gram hashes.
 3. Merge. A loser tree over a bucket's runs keeps for every loser its common prefix with the winner
    that beat it: candidates are ordered by these lengths, and bytes are compared only from there on.
@@ -20,7 +20,10 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
 4. Of two suffixes that share a string of ``length`` bytes, the common part to the right or that to
    the left is at least half as long. So the suffixes of a gram with more than ``heavy`` anchors in
    all are dealt twice, by a hash of the right half-length and of the left one, and the group is
-   split without losing a pair.
+   split without losing a pair: the right half answers for strings at offsets up to ``length - half``,
+   the left one for the others. Suffixes per half are counted first; a half that more than
+   ``bucket_suffixes`` share (the ends of a passage in very many rows) is gathered by no task: the
+   strings that it answers for are counted by their hashes, over all tasks.
 5. A group of many different contexts is not compared pair by pair. Sorted once from the anchor to
    the right and once to the left, neighbours have the longest common parts: they bound the offsets
    at which a suffix can share a string at all, and mostly reach the bounds themselves. Suffixes that
@@ -30,7 +33,7 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
 
 The rows are written once, bucketed by row id, so that texts are exchanged once for both joins.
 
-Everything is exact up to collisions of 64-bit hashes (in 5; elsewhere bytes are compared). Text,
+Everything is exact up to collisions of 64-bit hashes (in 4 and 5; elsewhere bytes are compared). Text,
 anchors and intervals meet by row id in shuffles; nothing of them passes the driver.
 
 Edge cases: null and empty texts have no bytes; texts shorter than ``length`` lose nothing; repeated
@@ -373,46 +376,85 @@ def _anchor_rows(rows: DataFrame, at: int, length: int, gram: int) -> DataFrame:
     return rows.mapInArrow(run, "gram long, rid long, pos long")
 
 
-def _runs(texts: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """From ``(text, rid, places array<struct<pos, gram, heavy>>)``: intervals and runs. Buckets from
-    0 on hold grams, and halves to the right of heavy ones; from ``buckets`` on, halves to the left."""
-    reach, half = length - gram, length // 2
+def _contexts(batch: pa.RecordBatch, length: int, reach: int) -> tuple[dict[tuple, list], list[tuple]]:
+    """``{(right, left): [rid, pos, weight, gram, heavy]}`` of a batch of texts and places, and the
+    intervals that equal contexts prove."""
+    contexts: dict[tuple, list] = {}
+    intervals = []
+    for text, rid, places in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(),
+                                 batch.column(2).to_pylist()):
+        data = text.as_py()
+        for place in places:
+            pos = place["pos"]
+            context = data[pos:pos + length], data[max(0, pos - reach):pos]
+            found = contexts.get(context)
+            if found is None:
+                contexts[context] = [rid, pos, 1, place["gram"], place["heavy"]]
+                continue
+            span = _span(0, len(context[0]), len(context[1]), length)
+            if span:
+                if found[2] == 1:
+                    intervals.append((found[0], found[1] + span[0], found[1] + span[1]))
+                intervals.append((rid, pos + span[0], pos + span[1]))
+            found[2] = 2
+    return contexts, intervals
+
+
+def _halves(right: bytes, left: bytes, half: int) -> Iterator[tuple[int, int]]:
+    """``(side, hash of the half)``: side 1 is the right, side 2 the left."""
+    for side, part in ((1, right[:half]), (2, left[-half:])):
+        if len(part) == half:
+            data = bytes([side]) + part
+            yield side, int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little") >> 1
+
 
-    def key_of(part: bytes) -> int:
-        return int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little")
+def _answered(side: int, lowest: int, highest: int, length: int) -> tuple[int, int]:
+    """The offsets from ``lowest`` to ``highest`` that a side of a heavy gram answers for (0: any)."""
+    cut = length - length // 2
+    return (max(lowest, cut + 1) if side == 2 else lowest), (min(highest, cut) if side == 1 else highest)
 
+
+def _crowded(texts: DataFrame, length: int, gram: int, most: int) -> frozenset[int]:
+    """Halves of heavy grams that more than ``most`` suffixes share; there is at most one for every
+    ``most / 2`` suffixes of heavy grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contexts: dict[tuple, list] = {}
-            intervals = []
-            for text, rid, places in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(),
-                                         batch.column(2).to_pylist()):
-                data = text.as_py()
-                for place in places:
-                    pos = place["pos"]
-                    context = data[pos:pos + length], data[max(0, pos - reach):pos]
-                    found = contexts.get(context)
-                    if found is None:
-                        contexts[context] = [rid, pos, 1, place["gram"], place["heavy"]]
-                        continue
-                    span = _span(0, len(context[0]), len(context[1]), length)
-                    if span:
-                        if found[2] == 1:
-                            intervals.append((found[0], found[1] + span[0], found[1] + span[1]))
-                        intervals.append((rid, pos + span[0], pos + span[1]))
-                    found[2] = 2
+            counts: dict[int, int] = {}
+            for (right, left), (*_, heavy) in _contexts(batch, length, length - gram)[0].items():
+                for _, key in _halves(right, left, length // 2) if heavy else ():
+                    counts[key] = counts.get(key, 0) + 1
+            yield pa.record_batch([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
+                                  ["half", "c"])
+
+    halves = texts.mapInArrow(run, "half long, c long").groupBy("half").agg(F.sum("c").alias("c"))
+    return frozenset(r["half"] for r in halves.filter(F.col("c") > most).select("half").collect())
+
+
+def _runs(texts: DataFrame, buckets: int, length: int, gram: int, crowded: frozenset[int]) -> DataFrame:
+    """From ``(text, rid, places array<struct<pos, gram, heavy>>)``: intervals, runs, and the strings
+    that crowded halves answer for. Buckets from 0 on hold grams, and halves to the right of heavy
+    ones; from ``buckets`` on, halves to the left. Weights of heavy suffixes hold the side, too."""
+    half = length // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            contexts, intervals = _contexts(batch, length, length - gram)
             sorted_runs: dict[int, list] = {}
+            pending = []
             for (right, left), (rid, pos, weight, key, heavy) in contexts.items():
-                item = right, left, rid, pos, weight
                 if not heavy:
-                    sorted_runs.setdefault(key % buckets, []).append(item)
+                    sorted_runs.setdefault(key % buckets, []).append((right, left, rid, pos, weight))
                     continue
-                if len(right) >= half:
-                    sorted_runs.setdefault(key_of(right[:half]) % buckets, []).append(item)
-                if len(left) >= half:
-                    sorted_runs.setdefault(buckets + key_of(left[-half:]) % buckets, []).append(item)
+                for side, key in _halves(right, left, half):
+                    if key not in crowded:
+                        bucket = key % buckets + (buckets if side == 2 else 0)
+                        sorted_runs.setdefault(bucket, []).append((right, left, rid, pos, weight + 4 * side))
+                        continue
+                    lowest, highest = _answered(side, max(0, length - len(right)), len(left), length)
+                    if lowest <= highest:
+                        pending.append((right, left, rid, pos, weight, lowest, highest))
             yield from _out(intervals, ((k, pack_run(sorted(items))) for k, items in sorted_runs.items()),
-                            (), length, buckets)
+                            pending, length, buckets)
 
     return texts.mapInArrow(run, _OUT)
 
@@ -422,19 +464,24 @@ def _merged(runs: DataFrame, length: int, gram: int, most: int) -> DataFrame:
 
     def merge(part: pa.Table) -> pa.Table:
         intervals, pending, group = [], [], []
+        side = 0
 
         def close() -> None:
             if len(group) > 1:
                 found = compare_group(group, length, most)
                 intervals.extend(found[0])
-                pending.extend(found[1])
+                for *item, lowest, highest in found[1]:
+                    lowest, highest = _answered(side, lowest, highest, length)
+                    if lowest <= highest:
+                        pending.append((*item, lowest, highest))
             group.clear()
 
         is_run = np.array(part.column("kind").to_numpy() == 1)
         for item in merge_runs([unpack_run(r.as_py()) for r in part.column("run").filter(pa.array(is_run))]):
             if item[0] < gram:
                 close()
-            group.append(item)
+            side = item[5] >> 2
+            group.append((*item[:5], item[5] & 3))
         close()
         settled = part.filter(pa.array(~is_run)).select(_ARROW.names).cast(_ARROW)
         return pa.concat_tables([settled, pa.Table.from_batches(
@@ -443,11 +490,9 @@ def _merged(runs: DataFrame, length: int, gram: int, most: int) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(merge, _OUT)
 
 
-def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = GRAM,
-                   most_pairs: int = MOST_PAIRS, heavy: int = HEAVY,
-                   bucket_suffixes: int = BUCKET_SUFFIXES) -> DataFrame:
-    """``(rid, spans array<struct<start, end>>)`` of the rows ``(row, rid)`` with repeats; field
-    ``at`` of ``row`` is the text. Spans may overlap."""
+def _dealt(rows: DataFrame, at: int, length: int, gram: int, heavy: int, bucket_suffixes: int
+           ) -> tuple[DataFrame, DataFrame | None]:
+    """Of the rows ``(row, rid)``: runs and intervals, and the strings of crowded halves (``_OUT``)."""
     text = rows.schema["row"].dataType[at].name
     found = staged(_anchor_rows(rows, at, length, gram), "repeat-anchors")
     # Written first: a join of plain scans is one whose hot grams adaptive execution can split.
@@ -455,15 +500,32 @@ def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = G
     places = found.join(counts, "gram").groupBy("rid").agg(F.collect_list(F.struct(
         "pos", "gram", (F.col("c") > heavy).alias("heavy"))).alias("places"))
     places = staged(places, "repeat-places")
-    kept = places.agg(F.sum(F.size("places")).alias("n")).first()["n"] or 0
+    kept = places.agg(F.sum(F.size("places")).alias("n"),
+                      F.max(F.exists("places", lambda p: p["heavy"])).alias("heavy")).first()
     texts = rows.select("rid", F.col("row").getField(text).alias("text")).join(places, "rid") \
         .select("text", "rid", "places")
-    runs = _runs(texts, max(1, -(-kept // bucket_suffixes)), length, gram)
+    crowded = _crowded(texts, length, gram, bucket_suffixes) if kept["heavy"] else frozenset()
+    runs = _runs(texts, max(1, -(-(kept["n"] or 0) // bucket_suffixes)), length, gram, crowded)
+    if not crowded:
+        return runs, None
+    runs = staged(runs, "repeat-runs")  # the strings do not go through the buckets
+    return runs.filter("kind < 2"), runs.filter("kind = 2")
+
+
+def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = GRAM,
+                   most_pairs: int = MOST_PAIRS, heavy: int = HEAVY,
+                   bucket_suffixes: int = BUCKET_SUFFIXES) -> DataFrame:
+    """``(rid, spans array<struct<start, end>>)`` of the rows ``(row, rid)`` with repeats; field
+    ``at`` of ``row`` is the text. Spans may overlap."""
+    runs, early = _dealt(rows, at, length, gram, heavy, bucket_suffixes)
     both = staged(_merged(runs, length, gram, most_pairs), "repeat-merged")
-    strings = both.filter("kind = 2").select(
+    late = both.filter("kind = 2")
+    strings = (late if early is None else late.unionByName(early)).select(
         "rid", F.col("start").alias("pos"), "weight", "end", F.posexplode("hashes").alias("i", "hash")) \
         .select("rid", "pos", "weight", (F.col("end") - F.col("i")).alias("offset"), "hash")
-    repeated = strings.groupBy("hash").agg(F.sum("weight").alias("c")).filter("c > 1").select("hash")
+    # Written, so that adaptive execution can split the strings of a hot hash.
+    repeated = staged(strings.groupBy("hash").agg(F.sum("weight").alias("c")).filter("c > 1").select("hash"),
+                      "repeat-strings")
     counted = strings.join(repeated, "hash").groupBy("rid", "pos").agg(
         (F.col("pos") - F.max("offset")).alias("start"),
         (F.col("pos") - F.min("offset") + length).alias("end"))

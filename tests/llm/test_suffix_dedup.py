@@ -50,6 +50,32 @@ def test_random_texts_against_brute_force(documents, alphabet, most, heavy):
     check(documents(keyed), keyed, 24, gram=6, most_pairs=most, heavy=heavy, bucket_suffixes=50)
 
 
+def test_strings_of_a_suffix_dealt_twice_count_once(documents):
+    keyed = list(enumerate(rows(2, 60, "ab", 40)))
+    check(documents(keyed), keyed, 24, gram=6, most_pairs=0, heavy=3, bucket_suffixes=10**6)
+
+
+def test_no_task_gathers_a_passage_of_a_third_of_the_rows(documents):
+    from postflow.llm import suffix_dedup as sd
+    rng = random.Random(9)
+
+    def own(n):
+        return "".join(rng.choice("abcdefghij") for _ in range(n))
+
+    passage = own(90)
+    keyed = [(i, own(rng.randrange(30, 60)) + (passage if i % 3 == 0 else own(90)) + own(rng.randrange(30, 60)))
+             for i in range(240)]
+    df = documents(keyed)
+    check(df, keyed, 40, gram=8, heavy=20, bucket_suffixes=30)
+    runs, strings = sd._dealt(sd._numbered(df.select("doc_id", "text")), 1, 40, 8, 20, 30)
+    groups: dict = {}
+    for row in runs.collect():
+        for _, right, left, _, _, weight in (unpack_run(row.run) if row.kind == 1 else ()):
+            half = {0: right[:8], 1: right[:20], 2: left[-20:]}[weight >> 2]
+            groups[weight >> 2, half] = groups.get((weight >> 2, half), 0) + 1
+    assert max(groups.values()) <= 30 and strings.count() > 0
+
+
 def test_default_length_and_odd_texts(documents):
     passage = prose(90, 5)
     keyed = list(enumerate(ODD)) + [(60 + i, prose(20, 60 + i) + passage + prose(20, 90 + i)) for i in range(5)]
