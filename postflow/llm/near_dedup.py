@@ -7,11 +7,13 @@
    least ``t`` of ``n`` tokens (``t`` is the largest count whose binomial tail at the threshold is
    at most ``MISS``). Tokens that only one class holds are dropped; a class left with fewer than
    ``t`` is done. Ordered by frequency, rarest first, two classes with ``t`` common tokens share
-   one of their first ``n - t + 1`` (the prefix), and the merge skips every other posting.
+   one of their first ``n - t + 1`` (the prefix); only these are posted. The postings build
+   clusters only; collisions are not counted by merging them.
 3. Classes that share a posting, directly or through others, form a cluster (components of the
    stars posting list - smallest class, linear in the postings). A cluster's members are dealt by
-   hash into parts of about ``part_bytes`` of shingle sets, and every two parts meet in one task: it
-   counts token collisions, retains pairs with ``t`` or more, and confirms them on the full sets.
+   hash into parts of about ``part_bytes`` of shingle sets, and every two parts meet in one task: each set
+   is exchanged once per part of its cluster, ``B * B / part_bytes`` for a cluster of ``B`` bytes. The
+   task compares the tokens of every two members, retains pairs with ``t`` or more, and confirms them on the full sets.
    Only links that join two groups of the task are returned, at most one less than its members, so
    neither pairs nor links of a large group are listed.
 4. Components by alternating stars; every row gets the smallest key of its component.
