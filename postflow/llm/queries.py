@@ -9,6 +9,7 @@ from postflow.llm.license_scan import op2_license_scan
 from postflow.llm.near_dedup import op9_near_dedup
 from postflow.llm.prefix_forest import op1_prefix_forest
 from postflow.llm.quality_model import op4_quality
+from postflow.llm.spelling import OP12_SQL, op12_spelling
 from postflow.llm.suffix_dedup import op5_suffix_dedup
 from postflow.llm.token_files import op6_token_files
 from postflow.llm.warc import OP3_SQL, op3_warc
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op12_spelling": op12_spelling,
 }
 
 #: The others (nearest neighbours, learned scores, byte spans, ids of tokenizers, components over
@@ -31,4 +33,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": OP3_SQL,
     "op10_decontaminate": OP10_SQL,
+    "op12_spelling": OP12_SQL,
 }

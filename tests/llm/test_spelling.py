@@ -1,0 +1,71 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from llm_cases import ODD
+from postflow.llm.spelling import neighbours, spelling_groups, word_counts
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def lower(word):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), word)
+
+
+def one_apart(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    k = 0
+    while k < min(len(a), len(b)) and a[k] == b[k]:
+        k += 1
+    return a[k + 1:] == b[k + 1:] or a[k:] == b[k + 1:] or a[k + 1:] == b[k:]
+
+
+def brute(counts, ratio=5):
+    near = {w: [u for u in counts if one_apart(w, u)] for w in counts}
+    best = {w: min(us, key=lambda u: (-counts[u], u)) for w, us in near.items() if us}
+    form = {w: u for w, u in best.items() if counts[u] >= ratio * counts[w]}
+
+    def root(w):
+        return root(form[w]) if w in form else w
+
+    return {(w, form.get(w), root(w), n, len(near[w]), counts.get(form.get(w))) for w, n in counts.items()}
+
+
+def test_words_of_texts(spark, documents):
+    rows = list(enumerate(ODD + ["Grün grün GRÜN Éa×b÷c ﬁn", None, ""] + ["same words here"] * 3)) + [(0, "again"), (None, "nokey")]
+    want = Counter()
+    for i, text in rows:
+        for run in map(lower, RUN.findall(text or "")):
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            want[run if h % 3 else run[:h % len(run)] + run[h % len(run) + 1:]] += 1
+    got = {r.word: r.n for r in word_counts(documents(rows), every=3).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("least", [1, 4])
+def test_neighbours_and_roots(spark, least):
+    rng = random.Random(least)
+    words = {"".join(rng.choice("abé") for _ in range(rng.randint(least, 7))): rng.choice([1, 5, 30, 200]) for _ in range(400)}
+    words.update({"x" * n: 5 for n in range(40, 44)} | {"long" * 60: 7, "long" * 60 + "s": 50})
+    got = spelling_groups(spark.createDataFrame(list(words.items()), "word string, n long"), least).collect()
+    assert {tuple(r) for r in got} == brute(words) and len(got) == len(words)
+
+
+def test_one_prefix_holds_most_words(spark):
+    rng = random.Random(5)
+    words = {"commonprefix" + "".join(rng.choice("abc") for _ in range(rng.randint(1, 5))): 5 for _ in range(300)}
+    pairs = neighbours(spark.createDataFrame(list(words.items()), "word string, n long"), 6).collect()
+    found = defaultdict(set)
+    for p in pairs:
+        found[p.word].add(p.near)
+    assert len(pairs) == sum(map(len, found.values()))
+    assert all(found[w] == {u for u in words if one_apart(w, u)} for w in words)
+
+
+def test_no_words(spark, documents):
+    empty = spelling_groups(word_counts(documents([(1, None), (2, ""), (3, "1 2 3")])))
+    assert empty.columns == ["word", "form", "root", "n", "n_near", "form_n"] and empty.collect() == []
