@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from postflow.llm.byte_bpe import op8_byte_bpe
+from postflow.llm.conv_trie import OP13_SQL, op13_conversation_trie
 from postflow.llm.decontaminate import OP10_SQL, op10_decontaminate
 from postflow.llm.html_text import op7_html_text
 from postflow.llm.license_scan import op2_license_scan
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
     "op12_spelling": op12_spelling,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 #: The others (nearest neighbours, learned scores, byte spans, ids of tokenizers, components over
@@ -34,4 +36,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_warc": OP3_SQL,
     "op10_decontaminate": OP10_SQL,
     "op12_spelling": OP12_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }

@@ -20,7 +20,7 @@ def test_registration():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_against_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     found = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in found.description]
