@@ -126,7 +126,7 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     (one entry more than documents). A document of 1 to k-1 words has one shingle, all its words."""
     counts = np.diff(first)
     acc = words.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, len(words))):
         acc[:len(words) - j] = acc[:len(words) - j] * _STEP + words[j:]
     long = counts >= k
     n_out = np.where(long, counts - k + 1, np.minimum(counts, 1))

@@ -46,3 +46,10 @@ def test_sliced_column():
     column = pa.array(ODD, pa.string()).slice(3, 6)
     found = [raw.tobytes().decode() for _, _, raw, _ in ta.blocks(column, 1)]
     assert found == [t or "" for t in ODD[3:9]]
+
+
+def test_blocks_of_fewer_words_than_a_shingle():
+    for text, count in (("a b", 1), ("a", 1), ("", 0), ("a b c d", 1), ("a b c d e", 1), ("a b c d e f", 2)):
+        for _, _, raw, off in ta.blocks(pa.array([text], pa.string())):
+            starts, ends, first = ta.word_spans(raw, off, ta.NONSPACE)
+            assert len(ta.shingles(ta.span_hashes(raw, starts, ends), first, 5)[0]) == count
