@@ -5,6 +5,7 @@ from __future__ import annotations
 from postflow.llm.byte_bpe import op8_byte_bpe
 from postflow.llm.conv_trie import OP13_SQL, op13_conversation_trie
 from postflow.llm.decontaminate import OP10_SQL, op10_decontaminate
+from postflow.llm.fingerprint import op11_fingerprint
 from postflow.llm.html_text import op7_html_text
 from postflow.llm.license_scan import op2_license_scan
 from postflow.llm.near_dedup import op9_near_dedup
@@ -26,12 +27,13 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_fingerprint": op11_fingerprint,
     "op12_spelling": op12_spelling,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
 #: The others (nearest neighbours, learned scores, byte spans, ids of tokenizers, components over
-#: shingle sets, fuzzy spans, main text) are compared with brute force in tests/llm.
+#: shingle sets, fuzzy spans, main text, fingerprints) are compared with brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": OP3_SQL,
     "op10_decontaminate": OP10_SQL,

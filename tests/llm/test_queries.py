@@ -12,7 +12,7 @@ from postflow.llm.queries import ORACLE_SQL, QUERIES
 
 def test_registration():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
