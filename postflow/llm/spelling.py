@@ -47,8 +47,8 @@ from postflow.llm.tables import staged, table, two_columns
 #: Distinct words a task holds before it passes their counts on.
 HELD_WORDS = 200_000
 
-# Fixed value: runs of A-Z, a-z and U+00C0 to U+00FF in UTF-8, after A-Z became a-z.
-_RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
+# Fixed value: a letter of a run (A-Z, a-z and U+00C0 to U+00FF) in UTF-8, after A-Z became a-z.
+_LETTER = rb"(?:[a-z]|\xc3[\x80-\xbf])"
 
 
 def cut_letter(run: bytes, i: int) -> bytes:
@@ -57,9 +57,11 @@ def cut_letter(run: bytes, i: int) -> bytes:
     return (letters[:i] + letters[i + 1:]).encode()
 
 
-def word_counts(df: DataFrame, key: str = "doc_id", text: str = "text", every: int = 199) -> DataFrame:
-    """``(word, n)`` over the whole texts. A run whose checksum with its row's key is divisible by
-    ``every`` loses one letter (0: none does); words left empty are kept as empty words."""
+def word_counts(df: DataFrame, key: str = "doc_id", text: str = "text", every: int = 199, least: int = 1) -> DataFrame:
+    """``(word, n)`` over the whole texts, for words of runs of ``least`` letters or more. A run whose
+    checksum with its row's key is divisible by ``every`` loses one letter (0: none does), so that words of
+    ``least - 1`` letters are counted in part; words left empty are kept as empty words."""
+    runs = re.compile(_LETTER + b"{%d,}" % least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -73,7 +75,7 @@ def word_counts(df: DataFrame, key: str = "doc_id", text: str = "text", every: i
                 if not value.is_valid:
                     continue
                 begun = zlib.crc32(f"{'' if doc is None else doc}:".encode())
-                for word, n in Counter(_RUN.findall(value.as_buffer().to_pybytes().lower())).items():
+                for word, n in Counter(runs.findall(value.as_buffer().to_pybytes().lower())).items():
                     if every:
                         h = zlib.crc32(word, begun)
                         if h % every == 0:
@@ -142,11 +144,10 @@ def _middle() -> Column:
 def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     """One level: ``(word, way, pos, node, edits, near, near_n)`` of the states after an edge; ``near``
     is set, and the node is not, where the state has ended in a neighbour."""
-    rest = F.substr("word", F.col("pos") + 1, F.length("word") - F.col("pos"))
-    met = states.join(edges, "node").withColumn("rest", rest).filter(
-        (F.col("edits") == 0) | F.startswith("rest", F.col("label")))
-    met = met.withColumn("k", F.when(F.col("edits") == 0, _common(F.col("label"), F.col("rest")))
-                         .otherwise(F.length("label")))
+    rest = F.substr("word", F.col("pos") + 1, F.length("word"))
+    on_path = F.startswith("rest", F.col("label"))
+    met = states.withColumn("rest", rest).join(edges, "node").filter((F.col("edits") == 0) | on_path)
+    met = met.withColumn("k", F.when(on_path, F.length("label")).otherwise(_common(F.col("label"), F.col("rest"))))
     k, size, left = F.col("k"), F.length("label"), F.length("rest")
 
     def after(column: str, skip: Column) -> Column:
@@ -219,7 +220,7 @@ def spelling_groups(words: DataFrame, least: int = 1, ratio: int = 5) -> DataFra
 
 
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = word_counts(table(spark, sf_dir, "documents"))
+    words = word_counts(table(spark, sf_dir, "documents"), least=6)
     return spelling_groups(words.filter((F.length("word") >= 6) & (F.col("n") >= 5)), least=6)
 
 

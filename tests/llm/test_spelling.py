@@ -44,6 +44,8 @@ def test_words_of_texts(spark, documents):
             want[run if h % 3 else run[:h % len(run)] + run[h % len(run) + 1:]] += 1
     got = {r.word: r.n for r in word_counts(documents(rows), every=3).collect()}
     assert got == want
+    got = {r.word: r.n for r in word_counts(documents(rows), every=3, least=4).collect() if len(r.word) >= 4}
+    assert got == {w: n for w, n in want.items() if len(w) >= 4}
 
 
 @pytest.mark.parametrize("least", [1, 4])
