@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from postflow import schemas
 
@@ -63,6 +63,28 @@ def decode_flat_posts(messages: DataFrame, column: str = "value",
     return decode(message_text(messages, column), schemas.post_schema(columns))
 
 
+def decode_checked(messages: DataFrame, form: str = "object", column: str = "value",
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """PRJ-3/4/5 with the message kept where it holds no post: the four post columns (in the order of
+    ``form``, ``object`` or ``list``), ``raw`` and ``reason``, and the ``keep`` columns of the message.
+
+    ``raw`` is the text of a message without a post id, NULL otherwise; ``reason`` is ``empty``,
+    ``malformed`` (no JSON, by the parser's corrupt-record column) or ``no post``.
+    """
+    schema = schemas.OBJECT_MESSAGE if form == "object" else schemas.LIST_MESSAGE
+    columns = schemas.STREAM_POST_COLUMNS if form == "object" else schemas.BATCH_POST_COLUMNS
+    corrupt = "_malformed"
+    parsed = F.from_json(F.col("raw"), StructType([*schema.fields, StructField(corrupt, StringType())]),
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    read = messages.select(*keep, F.col(column).cast("string").alias("raw")).withColumn("m", parsed)
+    post = F.col("m.data") if form == "object" else F.get(F.col("m.data"), 0)
+    no_post = post.getField("id").isNull()
+    reason = F.when(F.coalesce(F.length("raw"), F.lit(0)) == 0, "empty") \
+        .when(F.col("m").getField(corrupt).isNotNull(), "malformed").otherwise("no post")
+    return read.select(*[post.getField(c).alias(c) for c in columns], F.when(no_post, F.col("raw")).alias("raw"),
+                       F.when(no_post, reason).alias("reason"), *keep)
+
+
 def non_empty(df: DataFrame, column: str = "value") -> DataFrame:
     """FLT-3: drop empty (keep-alive) and NULL messages."""
     return df.where(F.length(F.col(column)) > 0)

@@ -64,6 +64,7 @@ def work_dir(spark: SparkSession) -> str:
 
 
 _made: list[str] = []
+_named: list[str] = []
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -73,8 +74,21 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+def scratch_namespace(spark: SparkSession, label: str) -> str:
+    """A fresh database over a scratch folder, for one run of one job."""
+    from postflow.sinks.tables import create_namespace
+
+    path = scratch(spark, label)
+    name = "postflow_" + path.rsplit("/", 1)[1].replace("-", "_")
+    create_namespace(spark, name, path)
+    _named.append(name)
+    return name
+
+
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete the folders that ``scratch`` has given out in this process, once their results have
+    """Delete the folders and databases that were given out in this process, once their results have
     been used (results are read from them lazily)."""
+    while _named:
+        spark.sql(f"DROP DATABASE IF EXISTS {_named.pop()} CASCADE")
     while _made:
         fs.delete(spark, _made.pop())
