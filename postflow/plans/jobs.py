@@ -127,9 +127,10 @@ def authors(spark: SparkSession, *, output: str = "console", base: str, k: int |
 
 def ids(spark: SparkSession, *, path: str, output: str = "console", base: str | None = None,
         topic: str = "tweetId", trigger: dict | None = None, wait: bool = True,
-        servers: str = "localhost:9092"):
-    """JOB-4: id files as they arrive → ``tweet_id`` → console or Kafka topic ``tweetId``."""
-    tweet_ids = msg.ids(read_id_files(spark, path))
+        servers: str = "localhost:9092", limit: int | None = None):
+    """JOB-4: id files as they arrive → ``tweet_id`` → console or Kafka topic ``tweetId``; ``limit`` files
+    per micro-batch at most."""
+    tweet_ids = msg.ids(read_id_files(spark, path, limit=limit))
     if output == "kafka":
         if not base:
             raise ValueError("output 'kafka' needs base= for the checkpoint")
@@ -146,17 +147,19 @@ def ids(spark: SparkSession, *, path: str, output: str = "console", base: str |
 
 def hydrate(spark: SparkSession, *, path: str, base: str, output: str = "keyed",
             archive: DataFrame | None = None, topic: str = "getTweets",
-            trigger: dict | None = None, wait: bool = True, servers: str = "localhost:9092"):
+            trigger: dict | None = None, wait: bool = True, servers: str = "localhost:9092",
+            limit: int | None = None):
     """JOB-5: id files → posts by a join against the archive (default: the stream post table).
 
     ``output``: ``keyed`` upserts the found posts into the batch post table; ``kafka`` publishes
-    them as lookup messages (list form) for ``ingest``; ``console`` prints them.
+    them as lookup messages (list form) for ``ingest``; ``console`` prints them. ``limit``: files per
+    micro-batch at most.
     """
     def rows_of(ids: DataFrame) -> DataFrame:
         # Read per micro-batch: new posts are seen as they come, and only the listed ids' rows.
         return kt.read_table(spark, kt.STREAM_POSTS, base, keys=ids)
 
-    stream_ids = read_id_files(spark, path)
+    stream_ids = read_id_files(spark, path, limit=limit)
     cp = _checkpoint(base, "hydrate")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -206,6 +209,7 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     p = sub.add_parser("ids", help="stream of id files")
     p.add_argument("--output", choices=["kafka", "console"], default="console")
+    p.add_argument("--available_now", action="store_true")
 
     p = sub.add_parser("hydrate", help="id files → posts")
     p.add_argument("--output", choices=["kafka", "console", "keyed", "cassandra"], default="keyed")
@@ -216,6 +220,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         sp.add_argument("--path", default=None, help="input folder (files source, id files)")
         sp.add_argument("--servers", default="localhost:9092")
         sp.add_argument("--topic", default=None)
+        sp.add_argument("--limit", type=int, default=None,
+                        help="files (Kafka: offsets) a micro-batch takes at most")
         sp.add_argument("--file_format", default="parquet",
                         help="files source: parquet | json (key/value columns) | text (lines)")
 
@@ -230,11 +236,15 @@ def main(argv: Sequence[str] | None = None) -> None:
         parser.error(f"{args.job} needs --path (the folder of the id files)")
     if getattr(args, "k", None) is not None and args.k < 1:
         parser.error("--k must be 1 or more")
+    if args.limit is not None and args.limit < 1:
+        parser.error("--limit must be 1 or more")
     spark = SparkSession.builder.appName(f"postflow-{args.job}").getOrCreate()
     opts = {"servers": args.servers, "path": args.path, "file_format": args.file_format}
     if args.topic:
         opts["topic"] = args.topic
     trigger = {"availableNow": True} if getattr(args, "available_now", False) else None
+    if args.job == "stream" or (args.job == "ingest" and args.incremental):
+        opts["limit"] = args.limit
     if args.job == "stream":
         stream(spark, source=args.source, output=args.output, base=args.base,
                reset=args.del_checkpoint == "true", trigger=trigger, payload=args.payload,
@@ -245,11 +255,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "authors":
         authors(spark, output=args.output, base=args.base, k=args.k)
     elif args.job == "ids":
-        ids(spark, path=args.path, output=args.output, base=args.base,
-            topic=args.topic or "tweetId", servers=args.servers)
+        ids(spark, path=args.path, output=args.output, base=args.base, trigger=trigger,
+            topic=args.topic or "tweetId", servers=args.servers, limit=args.limit)
     elif args.job == "hydrate":
         hydrate(spark, path=args.path, base=args.base, output=args.output,
-                topic=args.topic or "getTweets", trigger=trigger, servers=args.servers)
+                topic=args.topic or "getTweets", trigger=trigger, servers=args.servers, limit=args.limit)
 
 
 if __name__ == "__main__":
