@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from postflow.functions import messages as msg
 from postflow.functions.text import hashtags, text_lines
 from postflow.operators import enrich, posts as ops
-from postflow.plans import fixtures as fx, jobs
-from postflow.session import scratch
+from postflow.plans import fixtures as fx, jobs, table_jobs as tj
+from postflow.session import scratch, scratch_namespace
 from postflow.sinks import keyed as kt
+from postflow.sinks import tables as tb
 from postflow.sources.messages import read_id_files, read_messages
 from postflow.streaming import queries as sq
+from postflow.streaming import tables as st
 
 TOP_K = 10
 AVAILABLE_NOW = {"availableNow": True}
@@ -240,6 +242,105 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kt.read_table(spark, kt.HASHTAG_COUNTS, base)
 
 
+# -- catalog tables ------------------------------------------------------------------------
+
+def hydrate_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-1 against a catalog table of two batches: the ids prune the buckets that are read."""
+    ns = scratch_namespace(spark, "hydrate_pruned")
+    tb.upsert(fx.stream_posts(spark, sf_dir), ns, tb.STREAM_POSTS, "stream")
+    tb.upsert(fx.batch_posts(spark, sf_dir), ns, tb.STREAM_POSTS, "batch")
+    return enrich.hydrate(fx.ids(spark, sf_dir), lambda ids: tb.current(spark, ns, tb.STREAM_POSTS, keys=ids))
+
+
+def author_counts_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-3 over two tables bucketed by id: fold, union and distinct without an exchange."""
+    ns = scratch_namespace(spark, "author_counts_bucketed")
+    tb.upsert(fx.stream_posts(spark, sf_dir), ns, tb.STREAM_POSTS, "stream")
+    tb.upsert(fx.batch_posts(spark, sf_dir), ns, tb.BATCH_POSTS, "batch")
+    return ops.author_counts(ops.all_posts(tb.current(spark, ns, tb.STREAM_POSTS), tb.current(spark, ns, tb.BATCH_POSTS)))
+
+
+def authors_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-3 run three times: over the stream posts, after the batch posts came, after posts were edited
+    and given to another author. The second and third run read only what the new batches touch."""
+    ns = scratch_namespace(spark, "authors_incremental")
+    tb.upsert(fx.stream_posts(spark, sf_dir), ns, tb.STREAM_POSTS, "stream")
+    tj.authors(spark, ns)
+    tb.upsert(fx.batch_posts(spark, sf_dir), ns, tb.BATCH_POSTS, "batch")
+    tj.authors(spark, ns)
+    tb.upsert(fx.moved_posts(spark, sf_dir), ns, tb.STREAM_POSTS, "stream")
+    return tj.authors(spark, ns)
+
+
+def ingest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-2 on a topic in which posts come again, edited, at later offsets: the last offset wins. The
+    second run of the same topic stores nothing, so the result also counts what is stored."""
+    ns = scratch_namespace(spark, "ingest_offsets")
+    for _ in range(2):
+        tj.ingest(fx.list_messages_again(spark, sf_dir), ns)
+    stored = tb.versions(spark, ns, tb.BATCH_POSTS).groupBy("id").agg(F.count("*").alias("versions"))
+    return tb.current(spark, ns, tb.BATCH_POSTS).join(stored, "id")
+
+
+def _message_folder(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Object messages as files of a fresh folder."""
+    path = f"{scratch(spark, label)}/in"
+    _write_messages(fx.object_messages(spark, sf_dir), path)
+    return path
+
+
+def stream_posts_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 as streaming state: all messages arrive twice; the second time nothing is stored. The result
+    counts the stored versions of each post."""
+    ns = scratch_namespace(spark, "stream_posts_latest")
+    base = scratch(spark, "latest")
+    for _ in range(2):
+        _write_messages(fx.object_messages(spark, sf_dir), f"{base}/in")
+        st.start_latest_posts(read_messages(spark, "files", path=f"{base}/in"), namespace=ns,
+                              checkpoint=f"{base}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+    stored = tb.versions(spark, ns, tb.STREAM_POSTS).groupBy("id").agg(F.count("*").alias("versions"))
+    return tb.current(spark, ns, tb.STREAM_POSTS).join(stored, "id")
+
+
+def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-3: the messages without a post, as they came, and why."""
+    ns = scratch_namespace(spark, "rejected_messages")
+    folder = _message_folder(spark, sf_dir, "rejected")
+    st.start_posts(read_messages(spark, "files", path=folder), namespace=ns, checkpoint=f"{folder[:-3]}/checkpoint",
+                   trigger=AVAILABLE_NOW).awaitTermination()
+    return tb.rejected(spark, ns, tb.STREAM_POSTS).select("raw", "reason")
+
+
+def stream_hashtags_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM-2 by changed buckets, over messages that arrive in two parts."""
+    ns = scratch_namespace(spark, "stream_hashtags_buckets")
+    base = scratch(spark, "buckets")
+    messages = fx.object_messages(spark, sf_dir, keep_event_id=True)
+    for part in (0, 1):
+        _write_messages(messages.where(F.col("event_id") % 2 == part), f"{base}/in")
+        st.start_hashtags(read_messages(spark, "files", path=f"{base}/in"), namespace=ns,
+                          checkpoint=f"{base}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.table(f"{ns}.{tb.HASHTAG_COUNTS.name}").select(*tb.HASHTAG_COUNTS.columns)
+
+
+def stream_top_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-1 / TOP-1 on the stream: the top after each of three parts of the messages."""
+    ns = scratch_namespace(spark, "stream_top_hashtags")
+    base = scratch(spark, "top")
+    messages = fx.object_messages(spark, sf_dir, keep_event_id=True)
+    found = []
+    for part in range(3):
+        _write_messages(messages.where(F.col("event_id") % 3 == part), f"{base}/in")
+        st.start_top_hashtags(read_messages(spark, "files", path=f"{base}/in"), 5, namespace=ns,
+                              checkpoint=f"{base}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+        # Its five rows now: the next part replaces them.
+        top = st.top_hashtags(spark, ns, f"{base}/checkpoint").withColumn("part", F.lit(part))
+        path = f"{base}/after-{part}"
+        top.write.parquet(path)
+        found.append(spark.read.parquet(path))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hashtag_tokens": hashtag_tokens,
     "hashtag_counts": hashtag_counts,
@@ -271,4 +372,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_line_feed": stream_line_feed,
     "stream_hydrate": stream_hydrate,
     "stream_restart": stream_restart,
+    "hydrate_pruned": hydrate_pruned,
+    "author_counts_bucketed": author_counts_bucketed,
+    "authors_incremental": authors_incremental,
+    "ingest_offsets": ingest_offsets,
+    "stream_posts_latest": stream_posts_latest,
+    "rejected_messages": rejected_messages,
+    "stream_hashtags_buckets": stream_hashtags_buckets,
+    "stream_top_hashtags": stream_top_hashtags,
 }

@@ -151,6 +151,24 @@ def list_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("id").cast("binary").alias("key"), value.cast("binary").alias("value"))
 
 
+def moved_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh post again, edited; every second of these by another author."""
+    p = base(spark, sf_dir).where(F.col("event_id") % 7 == 0)
+    author = F.when(F.col("event_id") % 2 == 0, F.lit("moved")).otherwise(F.col("author_id"))
+    return p.select("id", author.alias("author_id"), "created_at", F.concat("text", F.lit(" (moved)")).alias("text"))
+
+
+def list_messages_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``list_messages`` with offsets; every fifth post comes again at a later offset, with a text that
+    sorts before the first one, and every third of these again as it was first."""
+    offset = F.col("key").cast("string").cast("long")
+    first = list_messages(spark, sf_dir).withColumn("offset", offset)
+    again = first.where(offset % 5 == 0)
+    edited = F.regexp_replace(F.col("value").cast("string"), '"text":"', '"text":"! ').cast("binary")
+    return first.unionByName(again.withColumn("value", edited).withColumn("offset", F.col("offset") + (1 << 40))) \
+        .unionByName(again.where(offset % 3 == 0).withColumn("offset", F.col("offset") + (1 << 41)))
+
+
 def roundtrip_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded posts plus one empty keep-alive message for every ``event_id % 50 == 3``."""
     from postflow.functions.messages import encode_messages

@@ -112,4 +112,31 @@ FROM ({_rules("p", "rules")}) m GROUP BY id""",
     "stream_line_feed": oracle_with("posts") + _counts("posts"),
     "stream_hydrate": oracle_with("posts", "ids") + _HYDRATE,
     "stream_restart": oracle_with() + _counts(f"({_WELL_FORMED_POSTS}) wf"),
+    "hydrate_pruned": oracle_with("stream_posts", "batch_posts", "ids") + """,
+v AS (SELECT id, author_id, text, created_at, 0 AS seq FROM stream_posts
+      UNION ALL SELECT id, author_id, text, created_at, 1 FROM batch_posts),
+posts AS (""" + _VERSIONS + """)
+""" + _HYDRATE,
+    "author_counts_bucketed": oracle_with("stream_posts", "batch_posts") + _AUTHORS,
+    "authors_incremental": oracle_with("stream_posts", "batch_posts") + f""",
+moved AS (
+  SELECT id, CASE WHEN event_id % 2 = 0 THEN 'moved' ELSE author_id END AS author_id, created_at,
+         concat(text, ' (moved)') AS text FROM p WHERE event_id % 7 = 0),
+now AS (SELECT * FROM stream_posts WHERE id NOT IN (SELECT id FROM moved) UNION ALL SELECT * FROM moved)
+SELECT author_id, count(*) AS count FROM (SELECT * FROM now UNION BY NAME SELECT * FROM batch_posts) d
+WHERE author_id IS NOT NULL GROUP BY author_id""",
+    "ingest_offsets": oracle_with() + """
+SELECT id, author_id, CASE WHEN event_id % 5 = 0 AND event_id % 3 <> 0 THEN concat('! ', text) ELSE text END AS text,
+       created_at, CAST(1 AS BIGINT) AS versions
+FROM p WHERE event_id % 50 NOT IN (1, 2, 3)""",
+    "stream_posts_latest": oracle_with()
+    + f"SELECT *, CAST(1 AS BIGINT) AS versions FROM ({_WELL_FORMED_POSTS}) wf",
+    "rejected_messages": oracle_with() + """
+SELECT CASE event_id % 50 WHEN 1 THEN 'plain text' WHEN 2 THEN '{"errors":[]}' ELSE '' END AS raw,
+       CASE event_id % 50 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no post' ELSE 'empty' END AS reason
+FROM p WHERE event_id % 50 IN (1, 2, 3)""",
+    "stream_hashtags_buckets": oracle_with() + _counts(f"({_WELL_FORMED_POSTS}) wf"),
+    "stream_top_hashtags": oracle_with() + "\nUNION ALL\n".join(
+        f"""(SELECT hashtag, count, {part} AS part FROM ({_counts(f"({_WELL_FORMED_POSTS} AND event_id % 3 <= {part}) wf{part}")}) c{part}
+ORDER BY count DESC, hashtag LIMIT 5)""" for part in range(3)),
 }
