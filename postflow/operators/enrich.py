@@ -6,6 +6,8 @@ tagging replaces the remote rule service's matching with one JVM-side expression
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
@@ -90,46 +92,113 @@ def rules_frame(spark: SparkSession, rules: DataFrame | Iterable) -> DataFrame:
     return spark.createDataFrame(rows, schemas.RULES)
 
 
+#: A letter costs the index about as much as looking for some hundred keywords costs the text it is in.
+DIRECT = 200
+GRAM = 3  # letters of a gram of the keyword index
+_SLOTS = 4  # slots of the index per keyword
+_ALL_GRAMS = "(?s)(?=(.{%d}))" % GRAM  # overlapping
+_ALL_LETTERS = "(?s)(.)"
+
+
+class KeywordIndex:
+    """An inverted index of rules, as constant arrays of a query: keyword → rules and, for more than
+    ``direct`` keywords, gram → keywords.
+
+    Every keyword is listed under one of its grams, the one that the fewest keywords have, or under its
+    first letter where it has less than ``GRAM`` letters. The grams of keywords are found by the
+    expression that is used for texts, and numbered by hash into slots, four per keyword.
+
+    Rules are job configuration: they are collected, and travel with the plan.
+    """
+
+    def __init__(self, rules: DataFrame, direct: int = DIRECT):
+        word = F.lower(F.col("word"))
+        hashed = [F.transform(F.regexp_extract_all(word, F.lit(p)), lambda g: F.xxhash64(g)) for p in (_ALL_GRAMS, _ALL_LETTERS)]
+        listed = (rules.select("rule_id", "tag", F.coalesce("exclude_retweets", F.lit(False)).alias("no_retweets"),
+                               "lang", F.explode("any_of").alias("word"))
+                  .where("word IS NOT NULL")
+                  .select(F.struct("rule_id", "tag", "no_retweets", "lang").alias("rule"), word.alias("word"),
+                          hashed[0].alias("grams"), hashed[1].alias("letters"))).collect()
+        places = {r.word: (r.grams, r.letters[:1]) for r in listed}
+        self.words = sorted(places)
+        numbers = {w: n for n, w in enumerate(self.words)}
+        self.rules = sorted({tuple(r.rule) for r in listed}, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "", str(r)))
+        of_rule = {rule: n for n, rule in enumerate(self.rules)}
+        self.rules_of: list[set[int]] = [set() for _ in self.words]
+        for r in listed:
+            self.rules_of[numbers[r.word]].add(of_rule[tuple(r.rule)])
+        self.direct = len(self.words) <= direct
+        common = Counter(g for grams, _ in places.values() for g in set(grams))
+        self.under: dict[int, list[int]] = {}  # hash of a gram or letter → numbers of keywords
+        for w in filter(None, self.words):
+            grams, letters = places[w]
+            key = min(grams, key=lambda g: (common[g], g)) if grams else letters[0]
+            self.under.setdefault(key, []).append(numbers[w])
+        self.short = any(w and not places[w][0] for w in self.words)
+        self.always = [numbers[""]] if "" in numbers else []
+
+    @staticmethod
+    def _constant(value, shape: str) -> Column:
+        """A constant of any shape in one expression: it is parsed once, when the plan is optimised."""
+        return F.from_json(F.lit(json.dumps(value)), shape)
+
+    def hits(self, lowered: str) -> Column:
+        """Numbers of the keywords that are in the text of a (lower-cased) column."""
+        text = F.col(lowered)
+        if self.direct or not self.under:
+            return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(w)), F.lit(n)) for n, w in enumerate(self.words)]))
+        slots = _SLOTS * len(self.under)
+        index: list[list[int]] = [[] for _ in range(slots)]
+        for key, words in self.under.items():
+            index[key % slots] += words
+        grams = F.regexp_extract_all(text, F.lit(_ALL_GRAMS))
+        if self.short:
+            grams = F.concat(grams, F.regexp_extract_all(text, F.lit(_ALL_LETTERS)))
+        # As text: a list of literals, of which Spark makes a hash set.
+        known = f"x -> x IN ({', '.join(f'{key}L' for key in self.under)})"
+        hashes = F.call_function("filter", F.transform(grams, lambda g: F.xxhash64(g)), F.expr(known))
+        index, words = self._constant(index, "array<array<int>>"), self._constant(self.words, "array<string>")
+        found = F.array_distinct(F.flatten(F.transform(hashes, lambda h: F.get(index, F.pmod(h, F.lit(slots)).cast("int")))))
+        found = F.filter(found, lambda k: F.contains(text, F.get(words, k)))
+        return F.concat(found, F.array(*map(F.lit, self.always))) if self.always else found
+
+    def matched(self, posts: DataFrame, text: str, lang: str) -> tuple[DataFrame, Column]:
+        """The posts with a text, with a column for ``found``: the rules they match, ``array<struct<id,
+        tag>>``, null for none. (Not a column itself: a filter or ``explode`` over one computes it again.)"""
+        rules_of = self._constant([sorted(r) for r in self.rules_of], "array<array<int>>")
+        rules = self._constant([{"id": i, "tag": t, "alone": n, "of_lang": g} for i, t, n, g in self.rules],
+                               "array<struct<id: int, tag: string, alone: boolean, of_lang: string>>")
+        retweet, language = F.col(text).startswith(RETWEET_PREFIX), F.col(lang)
+        numbers = F.flatten(F.transform(F.col("_hits"), lambda k: F.get(rules_of, k)))
+        good = F.filter(F.transform(F.sort_array(F.array_distinct(numbers)), lambda r: F.get(rules, r)), lambda r: ~(
+            r["alone"] & retweet) & (r["of_lang"].isNull() | F.coalesce(r["of_lang"] == language, F.lit(False))))
+        found = F.array_distinct(F.transform(good, lambda r: F.struct(r["id"].alias("id"), r["tag"].alias("tag"))))
+        hit = (posts.where(F.col(text).isNotNull()).withColumn("_lowered", F.lower(F.col(text)))
+               .withColumn("_hits", self.hits("_lowered")).drop("_lowered"))
+        return hit, F.when(F.size("_hits") > 0, found)
+
+
 def matching_rules(posts: DataFrame, rules: DataFrame | Iterable, text: str = "text",
-                   lang: str = "lang", name: str = "matching_rules") -> DataFrame:
+                   lang: str = "lang", name: str = "matching_rules", direct: int = DIRECT) -> DataFrame:
     """RUL-1: the posts that match a rule, with ``matching_rules array<struct<id, tag>>`` (each rule
     once, in the order of the rule ids).
 
-    One method for any number of rules, with built-in functions only. The rules become one map
-    from keyword to the rules that list it, computed by Spark and inserted as a scalar subquery.
-    Per post, every distinct keyword is looked for once in the lower-cased text (so the cost grows
-    with distinct keywords, not with rules times keywords); the rules of the keywords found are
-    put together and tested for retweet and language. No join, no shuffle of posts.
+    Built-in functions only; no join, no shuffle of posts. Every keyword is looked for once in the
+    lower-cased text; of more than ``direct`` keywords, only those that an inverted index of their grams
+    (``KeywordIndex``) lists for the grams of the text, so that the cost follows the length of the text and
+    what it holds, not the number of keywords. The rules of the keywords found are put together by number
+    and tested for retweet and language.
 
-    Rules are job configuration: the map is one value, held by the driver and every task.
     An empty keyword is in every text; a NULL text matches nothing; NULL keywords are ignored.
     """
-    own = rules_frame(posts.sparkSession, rules)
-    listed = (own.select("rule_id", "tag", F.coalesce("exclude_retweets", F.lit(False)).alias("no_retweets"),
-                         F.col("lang").alias("of_lang"), F.explode("any_of").alias("keyword"))
-                 .where("keyword IS NOT NULL").withColumn("keyword", F.lower("keyword")).distinct()
-                 .groupBy("keyword").agg(F.collect_list(F.struct(
-                     "rule_id", "tag", "no_retweets", "of_lang")).alias("rules")))
-    table = listed.agg(F.map_from_entries(F.collect_list(F.struct("keyword", "rules"))).alias("m")).scalar()
-    retweet, language = F.col(text).startswith(RETWEET_PREFIX), F.col(lang)
-
-    def matched(lowered: Column, by_keyword: Column) -> Column:
-        hits = F.filter(F.map_keys(by_keyword), lambda k: F.contains(lowered, k))
-        candidates = F.flatten(F.transform(hits, lambda k: by_keyword[k]))
-        good = F.filter(candidates, lambda r: ~(r["no_retweets"] & retweet)
-                        & (r["of_lang"].isNull() | F.coalesce(r["of_lang"] == language, F.lit(False))))
-        return F.array_sort(F.array_distinct(F.transform(good, lambda r: F.struct(
-            r["rule_id"].alias("id"), r["tag"].alias("tag")))))
-
-    return (posts.where(F.col(text).isNotNull())
-                 .select("*", F.lower(F.col(text)).alias("_lowered"), table.alias("_by_keyword"))
-                 .withColumn(name, matched(F.col("_lowered"), F.col("_by_keyword")))
-                 .drop("_lowered", "_by_keyword").where(F.size(name) > 0))
+    hit, found = KeywordIndex(rules_frame(posts.sparkSession, rules), direct).matched(posts, text, lang)
+    some = F.filter(F.array(found), lambda rules: F.size(rules) > 0)
+    return hit.select(*posts.columns, F.explode(some).alias(name))
 
 
 def tag_by_rules(posts: DataFrame, rules: DataFrame | Iterable, text: str = "text",
-                 lang: str = "lang", keys: Sequence[str] = ("id",)) -> DataFrame:
+                 lang: str = "lang", keys: Sequence[str] = ("id",), direct: int = DIRECT) -> DataFrame:
     """RUL-1, exploded: one row per (post, matched rule): ``keys…, rule_id, tag``."""
-    return (matching_rules(posts, rules, text, lang, "_matched")
-            .select(*keys, F.explode("_matched").alias("_m"))
+    hit, found = KeywordIndex(rules_frame(posts.sparkSession, rules), direct).matched(posts, text, lang)
+    return (hit.select(*keys, F.explode(found).alias("_m"))
             .select(*keys, F.col("_m.id").alias("rule_id"), F.col("_m.tag").alias("tag")))

@@ -145,6 +145,11 @@ def rule_matches_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.tag_by_rules(fx.with_lang(spark, sf_dir), fx.many_rules(spark))
 
 
+def rule_matches_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10,000 keywords: what a post costs follows its length, not their number."""
+    return enrich.tag_by_rules(fx.with_lang(spark, sf_dir), fx.keyword_rules(spark))
+
+
 def rule_tagged_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = enrich.matching_rules(fx.with_lang(spark, sf_dir), fx.rules(spark))
     return tagged.select("id", F.to_json("matching_rules").alias("matching_rules"))
@@ -360,6 +365,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hydrate_keyed": hydrate_keyed,
     "rule_matches": rule_matches,
     "rule_matches_many": rule_matches_many,
+    "rule_matches_keywords": rule_matches_keywords,
     "rule_tagged_posts": rule_tagged_posts,
     "document_hashtags": document_hashtags,
     "document_lines": document_lines,

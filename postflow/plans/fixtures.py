@@ -198,6 +198,16 @@ def many_rules(spark: SparkSession) -> DataFrame:
         (i % 3 == 0).alias("exclude_retweets"), F.when(i % 4 == 0, F.lit("fr")).alias("lang"))
 
 
+def keyword_rules(spark: SparkSession) -> DataFrame:
+    """5,000 rules of two keywords each; about 250 of the 10,000 keywords are in some post."""
+    i = F.col("id")
+    n = i.cast("string")
+    return spark.range(5000).select(
+        i.cast("int").alias("rule_id"), F.concat(F.lit("t"), n).alias("tag"),
+        F.array(F.concat(F.lit("@USER"), n, F.lit(" saw")), F.concat(F.lit('"k": '), n, F.lit("}"))).alias("any_of"),
+        (i % 3 == 0).alias("exclude_retweets"), F.when(i % 4 == 0, F.lit("fr")).alias("lang"))
+
+
 def with_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with the ``lang`` field that rule matching needs."""
     return base(spark, sf_dir).select(*schemas.STREAM_POST_COLUMNS, "lang")
@@ -253,6 +263,13 @@ ORACLE_RELATIONS["many_rules"] = """many_rules AS (
         FROM range(400) r(i)))"""
 
 
+ORACLE_RELATIONS["keyword_rules"] = """keyword_rules AS (
+  SELECT CAST(i AS INT) AS rule_id, concat('t', i) AS tag,
+         [concat('@USER', i, ' saw'), concat('"k": ', i, '}')] AS any_of,
+         i % 3 = 0 AS exclude_retweets, CASE WHEN i % 4 = 0 THEN 'fr' END AS lang
+  FROM range(5000) r(i))"""
+
+
 def oracle_with(*names: str) -> str:
     """``WITH p AS (...), <names> AS (...)`` for an oracle query."""
     parts = [ORACLE_BASE] + [ORACLE_RELATIONS[n] for n in names]

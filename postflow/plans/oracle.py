@@ -99,6 +99,7 @@ v AS (SELECT id, author_id, text, created_at, 0 AS seq FROM stream_posts
 posts AS (""" + _VERSIONS + """)
 """ + _HYDRATE,
     "rule_matches_many": oracle_with("many_rules") + _rules("p", "many_rules"),
+    "rule_matches_keywords": oracle_with("keyword_rules") + _rules("p", "keyword_rules"),
     "rule_tagged_posts": oracle_with("rules") + f"""
 SELECT id, '[' || string_agg('{{"id":' || rule_id || ',"tag":"' || tag || '"}}', ',' ORDER BY rule_id)
        || ']' AS matching_rules

@@ -130,3 +130,17 @@ def test_hydrate_spreads_a_hot_id_over_tasks(spark, request):
     tasks = (out.where(F.col("tweet_id") == "hot")
                 .select(F.spark_partition_id().alias("p")).distinct().count())
     assert tasks >= 4
+
+
+@pytest.mark.parametrize("direct", [0, 1000])
+def test_keyword_index_finds_what_a_search_finds(spark, direct):
+    texts = ["", "x", "Grün", "日本語の text", "😀😀 smile 😀", "aaaa", "ab\nab", "İstanbul", "it's \\ back", "ends with qu", None]
+    words = ["", "x", "a", "aa", "aaa", "aaaaa", "grün", "RÜN", "本語", "日本語", "😀", "😀 s", "b\na", "\\ b", "'s", "qu", "h qu", None, "zz", "zzzz"]
+    rules = [enrich.Rule(i, f"t{i}", (w,), False, None) for i, w in enumerate(words)] + [enrich.Rule(99, "two", ("aa", "x"), False, None)]
+    posts = spark.createDataFrame([(str(i), t, "en") for i, t in enumerate(texts)], "id string, text string, lang string")
+    lowered = {r.id: r.low for r in posts.selectExpr("id", "lower(text) AS low").collect()}
+    low_words = [None if w is None else spark.range(1).selectExpr("1").select(F.lower(F.lit(w))).first()[0] for w in words]
+    want = sorted((i, n, f"t{n}") for i, t in lowered.items() if t is not None for n, w in enumerate(low_words) if w is not None and w in t)
+    want += [(i, 99, "two") for i, t in lowered.items() if t is not None and ("aa" in t or "x" in t)]
+    got = sorted(tuple(r) for r in enrich.tag_by_rules(posts, rules, direct=direct).collect())
+    assert got == sorted(want)

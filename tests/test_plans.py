@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 BATCH_KEYS = ["hashtag_tokens", "hashtag_counts", "top_hashtags", "decode_object", "decode_list",
               "message_roundtrip", "text_lines", "union_posts", "distinct_posts",
               "author_counts", "top_authors", "hydrate_ids", "hydrate_keyed", "rule_matches",
-              "rule_matches_many", "rule_tagged_posts", "document_hashtags", "document_lines",
+              "rule_matches_many", "rule_matches_keywords", "rule_tagged_posts", "document_hashtags", "document_lines",
               "document_rules", "conversation_lines"]
 
 # Shuffles in the initial physical plan (before adaptive re-planning).
@@ -58,7 +58,7 @@ def test_scans_are_pruned(spark, sf_dir, capsys):
     assert "PushedFilters: [IsNotNull(id), EqualTo(id,7)]" in plan  # keyed read: filter pushed
 
 
-@pytest.mark.parametrize("key", ["rule_matches", "rule_matches_many", "document_rules"])
+@pytest.mark.parametrize("key", ["rule_matches", "rule_matches_many", "rule_matches_keywords", "document_rules"])
 def test_rules_neither_join_nor_shuffle_the_posts(spark, sf_dir, capsys, key):
     plan = _plan(entry.queries()[key](spark, sf_dir), capsys)
     posts = plan.split("===== Subqueries =====")[0].split("\n\n")[0]
