@@ -6,8 +6,8 @@ Here a keyed table is a directory of Parquet files written only by Spark jobs:
 * **upsert** tables (append = upsert): each write is a batch of one writer, stored under
   ``<base>/<name>/writer=W/batch_id=N/seq=S/rejected=false|true/``. Writing batch ``N`` of writer
   ``W`` again replaces exactly that batch (dynamic partition overwrite), so a replayed micro-batch
-  is idempotent and no writer can touch another's rows. ``S`` orders batches of all writers: it is
-  taken once per batch (one more than any in the table) and kept on replay; two writers that take
+  is idempotent and no writer can touch another's rows. ``S`` orders batches of all writers: it is the
+  time of the batch's first write, and kept on replay; two writers that take
   the same number at the same time are ordered by name. Reads keep, per key, the row of the highest
   ``(seq, writer)``, then the highest position in the batch, where the writer gave one (column
   ``ORDER``, for example the Kafka offset), then the highest tie-break columns (NULL lowest). Rows
@@ -122,14 +122,28 @@ def declaration(spark: SparkSession, name: str, base: str) -> dict | None:
 
 
 def _sequence(spark: SparkSession, root: str, writer: str, batch_id: int) -> int:
-    """The number of this batch: the one it has, or one more than any in the table."""
-    last = -1
-    for path in fs.glob_paths(spark, f"{root}/writer=*/batch_id=*/seq=*"):
-        of_writer, of_batch, seq = (x.split("=", 1)[1] for x in path.split("/")[-3:])
-        if (of_writer, of_batch) == (writer, str(batch_id)):
-            return int(seq)
-        last = max(last, int(seq))
-    return last + 1
+    """The number of this batch: the one it has, or the present time in microseconds, as in stores where
+    the last write wins by its time stamp. Only the batch's own folder is looked into."""
+    for name in fs.list_names(spark, f"{root}/writer={writer}/batch_id={batch_id}"):
+        if name.startswith("seq="):
+            return int(name.split("=", 1)[1])
+    return time.time_ns() // 1000
+
+
+def changes(df: DataFrame, table: KeyedTable, base: str) -> DataFrame:
+    """Of the latest row per key of ``df``, those that differ from the table's current row, and of its rows
+    without a key those that are not stored yet: what a job that is run again has to write."""
+    spark = df.sparkSession
+    position = F.col(ORDER).cast("long") if ORDER in df.columns else F.lit(None).cast("long")
+    rows = df.select(*_columns(table), position.alias("position"), F.lit("").alias("writer"), F.lit(0).alias("seq"))
+    news = latest_by_key(rows.where(_key_present(table.keys)), table)
+    bad = rows.where(~_key_present(table.keys)).select(*table.columns)
+    keyed = [F.col(f"n.{k}") == F.col(f"s.{k}") for k in table.keys]
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in table.columns if c not in table.keys]
+    every = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in table.columns]
+    news = news.alias("n").join(read_table(spark, table, base).alias("s"), reduce(lambda a, b: a & b, keyed + same), "left_anti")
+    bad = bad.alias("n").join(read_rejected(spark, table, base).alias("s"), reduce(lambda a, b: a & b, every), "left_anti")
+    return news.unionByName(bad)
 
 
 def write_keyed(df: DataFrame, table: KeyedTable, base: str, batch_id: int,

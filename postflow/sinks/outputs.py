@@ -23,11 +23,11 @@ SINK_KINDS = ("console", "keyed", "kafka", "format")
 def write(df: DataFrame, kind: str = "console", *, table: kt.KeyedTable | None = None,
           base: str | None = None, batch_id: int = 0, writer: str | None = None, topic: str | None = None,
           servers: str = "localhost:9092", format: str | None = None,
-          options: dict | None = None, preview: bool = False) -> None:
+          options: dict | None = None, preview: bool = False, only_changes: bool = False) -> None:
     """SNK-1/3/4/8: write a batch result.
 
     A keyed write is batch ``batch_id`` of ``writer``; without a writer it is a writer of its own, so
-    it adds to what others wrote. ``preview`` (SNK-6) shows 20 rows of what was written, read back from the sink rather than
+    it adds to what others wrote, or with ``only_changes`` what differs from it. ``preview`` (SNK-6) shows 20 rows of what was written, read back from the sink rather than
     by running the query a second time.
     """
     if kind == "console":
@@ -40,7 +40,8 @@ def write(df: DataFrame, kind: str = "console", *, table: kt.KeyedTable | None =
         if table.mode == "replace":
             kt.replace_keyed(df, table, base)
         else:
-            kt.write_keyed(df, table, base, batch_id, writer or f"run-{uuid.uuid4().hex[:16]}")
+            rows = kt.changes(df, table, base) if only_changes else df
+            kt.write_keyed(rows, table, base, batch_id, writer or f"run-{uuid.uuid4().hex[:16]}")
         if preview:
             kt.read_table(spark, table, base).show(20)
         return

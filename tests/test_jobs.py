@@ -105,3 +105,16 @@ def test_top_authors_replace_the_table(spark, tmp_base):
                    kt.STREAM_POSTS, tmp_base, 1)
     jobs.authors(spark, output="keyed", base=tmp_base, k=1)
     assert [tuple(r) for r in kt.read_table(spark, kt.TOP_AUTHORS, tmp_base).collect()] == [("b", 4)]
+
+
+def test_ingest_takes_the_last_offset_and_stores_no_second_copy(spark, tmp_base, monkeypatch):
+    columns = "id string, author_id string, created_at string, text string, offset long"
+    posts = spark.createDataFrame([("1", "a", "t", "zz first", 1), ("1", "a", "t", "aa last", 9), ("2", "b", "t", "x", 4)], columns)
+    value = F.to_json(F.struct(F.array(F.struct("id", "author_id", "created_at", "text")).alias("data"))).cast("binary")
+    messages = posts.select(F.col("id").cast("binary").alias("key"), value.alias("value"), "offset")
+    monkeypatch.setattr(jobs, "read_messages", lambda *_, **__: messages)
+    for _ in range(3):
+        got = jobs.ingest(spark, source="kafka", output="keyed", base=tmp_base)
+    assert got.columns == ["id", "author_id", "text", "created_at"]
+    assert {r.id: r.text for r in kt.read_table(spark, kt.BATCH_POSTS, tmp_base).collect()} == {"1": "aa last", "2": "x"}
+    assert spark.read.parquet(kt.BATCH_POSTS.path(tmp_base)).count() == 2

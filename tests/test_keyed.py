@@ -164,3 +164,27 @@ def test_register_views(spark, tmp_base):
     assert spark.sql("SELECT text FROM stream_blob_tweets").collect()[0].text == "y"
     assert spark.sql("SELECT count FROM stream_hashtags WHERE hashtag = '#a'").first()[0] == 3
     assert spark.sql("SELECT count(*) FROM batch_tweets").first()[0] == 0
+
+
+def test_equal_ingests_store_one_copy(spark, tmp_base):
+    t = kt.BATCH_POSTS
+    rows = [("1", "a", "t", "x"), ("2", None, "t", "y"), (None, "z", "t", "bad"), (None, None, None, None)]
+    for _ in range(3):
+        write(_posts(spark, rows), "keyed", table=t, base=tmp_base, only_changes=True)
+    stored = spark.read.parquet(t.path(tmp_base))
+    assert stored.count() == 4 and kt.read_rejected(spark, t, tmp_base).count() == 2
+    write(_posts(spark, [("1", "a", "t", "new"), ("1", "a", "t", "anew"), ("2", None, "t", "y")]), "keyed",
+          table=t, base=tmp_base, only_changes=True)
+    assert _read(spark, t, tmp_base) == [("1", "a", "new", "t"), ("2", None, "y", "t")]
+    assert spark.read.parquet(t.path(tmp_base)).count() == 5
+
+
+def test_a_write_looks_into_its_own_batch_only(spark, tmp_base, monkeypatch):
+    looked = []
+    listing = fs.list_names
+    monkeypatch.setattr(fs, "list_names", lambda spark, path: looked.append(path) or listing(spark, path))
+    monkeypatch.setattr(fs, "glob_paths", lambda *_: pytest.fail("listed"))
+    for batch in range(3):
+        kt.write_keyed(_posts(spark, [("1", "a", "t", f"v{batch}")]), kt.STREAM_POSTS, tmp_base, batch, "A")
+    assert [p.rsplit("/", 2)[1:] for p in looked] == [["writer=A", f"batch_id={b}"] for b in range(3)]
+    assert _read(spark, kt.STREAM_POSTS, tmp_base) == [("1", "a", "t", "v2")]
