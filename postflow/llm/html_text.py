@@ -12,8 +12,11 @@
    show it); a text's is 1 minus log_m of the pages that show it there. A block's importance is the
    mean of its content's (the lesser of its text's and its node's) and its parent's presentation
    importance; 1 where one page only has the node.
-3. Branches that markup names as menu, header, footer, side bar, notice, advert, form, script, style
-   or reader comments have importance 0. Every other block is judged, and kept from
+3. Branches that markup marks as menu, header, footer, side bar, notice, advert, form, script, style
+   or reader comments have importance 0: by their element or role, or by a class or id that says so as a
+   whole (``ad``, ``post-comments``, but not ``no-sidebar``). A class, an id or a form does not count where the
+   branch holds the page's article or main element, or more than half of the text it stands in (that of the
+   article, or of a page without one). Every other block is judged, and kept from
    ``least_importance`` on; a page's ``article`` (else ``main``) branches weigh in its importance.
    Inside them it counts ``INSIDE`` times, and as if ``INSIDE_PAGES`` pages more spoke for the block,
    so few pages that share a text do not drop it. Outside, where they hold at least half of the
@@ -57,7 +60,7 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"},
          "th": {"table"}, "option": {"select"}}
 
-DROPPED_TAGS = frozenset("nav aside footer form button select textarea svg dialog object canvas "
+DROPPED_TAGS = frozenset("nav aside footer button select textarea svg dialog object canvas "
                          "audio video menu".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 DROPPED_NAMES = frozenset(
@@ -65,14 +68,25 @@ DROPPED_NAMES = frozenset(
     "advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent "
     "gdpr notice newsletter subscribe signup login share sharing social comment comments disqus "
     "replies related recommended popup modal overlay pagination pager search skip".split())
+#: Words that may stand beside such a name in one class or id.
+QUALIFIERS = frozenset(
+    "a area bar block bottom box container content global inner item items left links list main outer page post "
+    "primary reader right secondary section site sub text top user widget wrap wrapper".split())
 
 
 #: Weight of a page's article or main branches in the importance of the blocks inside them.
 INSIDE, INSIDE_PAGES = 4.0, 2.0
 
 
+def says(name: str, inside: bool) -> bool:
+    """Whether a class or id as a whole names what is no main text; a header inside an article does not."""
+    words = set(re.split(r"[^a-z]+", name)) - {""}
+    named = words & DROPPED_NAMES
+    return bool(named) and words <= DROPPED_NAMES | QUALIFIERS and not (inside and named == {"header"})
+
+
 class Node:
-    __slots__ = ("tag", "sign", "dropped", "main", "children", "path")
+    __slots__ = ("tag", "sign", "dropped", "named", "main", "children", "path")
 
     def __init__(self, tag: str, attributes: str, parent: "Node | None"):
         names, roles = "", set()
@@ -86,9 +100,11 @@ class Node:
         self.sign = tag + names
         inside = parent is not None and parent.main
         self.dropped = (parent is not None and parent.dropped) or (
-            tag in DROPPED_TAGS or bool(roles & DROPPED_ROLES) or (tag == "header" and not inside)
-            or (tag not in ("html", "body", "article", "main")
-                and not DROPPED_NAMES.isdisjoint(re.split(r"[^a-z]+", names))))
+            tag in DROPPED_TAGS or bool(roles & DROPPED_ROLES) or (tag == "header" and not inside))
+        #: The branches by class, id or form that this node is in, itself included.
+        self.named = parent.named if parent is not None else ()
+        if tag == "form" or (tag not in ("html", "body", "article", "main") and any(says(n, inside) for n in names.split())):
+            self.named += (self,)
         self.main = tag if tag in ("article", "main") and not self.dropped else parent.main if inside else ""
         if self.main and inside and parent.main == "article":
             self.main = "article"
@@ -102,6 +118,7 @@ def parse(page: str, host: str) -> tuple[list[tuple[str, int, int, str, bool]],
     root = Node("", "", None)
     root.path = xxhash.xxh64_intdigest(host.encode(), 7)
     stack, blocks, styles, words = [root], [], [], []
+    holds: set[Node] = set()  # named branches that hold an article or main element
 
     def owner() -> int:
         return next(i for i in range(len(stack) - 1, -1, -1) if i == 0 or stack[i].tag in BLOCK)
@@ -112,7 +129,7 @@ def parse(page: str, host: str) -> tuple[list[tuple[str, int, int, str, bool]],
         if text:
             i = owner()
             node = stack[i]
-            blocks.append((text, node.path, stack[max(0, i - 1)].path, node.main, node.dropped))
+            blocks.append((text, node.path, stack[max(0, i - 1)].path, node.main, node.dropped, node.named))
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
@@ -121,7 +138,7 @@ def parse(page: str, host: str) -> tuple[list[tuple[str, int, int, str, bool]],
             node = stack.pop()
             if node.children and not node.dropped:
                 runs = [c for i, c in enumerate(node.children) if not i or c != node.children[i - 1]]
-                styles.append((node.path, xxhash.xxh64_intdigest("\n".join(runs).encode())))
+                styles.append((node.path, xxhash.xxh64_intdigest("\n".join(runs).encode()), node.named))
 
     def close(tags, scope) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -157,6 +174,8 @@ def parse(page: str, host: str) -> tuple[list[tuple[str, int, int, str, bool]],
         if tag in BLOCK:
             flush()
         node = Node(tag, m[3], stack[-1])
+        if tag in ("article", "main") and not node.dropped:
+            holds.update(node.named)
         stack[-1].children.append(node.sign)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
@@ -167,7 +186,22 @@ def parse(page: str, host: str) -> tuple[list[tuple[str, int, int, str, bool]],
         stack.append(node)
     flush()
     pop_to(1)
-    return blocks, styles
+    sizes: dict = dict.fromkeys((True, False), 0)
+    for text, _, _, main, dropped, named in blocks:
+        if not dropped:
+            for part in (bool(main), *named):
+                sizes[part] = sizes.get(part, 0) + len(text)
+
+    def goes(branch: Node) -> bool:
+        if branch in holds:
+            return False
+        if branch.main or not sizes[True]:
+            return 2 * sizes.get(branch, 0) <= sizes[bool(branch.main)]
+        return True  # beside the article
+
+    verdicts = {branch: goes(branch) for branch in {n for b in blocks for n in b[5]} | {n for t in styles for n in t[2]}}
+    return [(*b[:4], b[4] or any(verdicts[n] for n in b[5])) for b in blocks], \
+        [t[:2] for t in styles if not any(verdicts[n] for n in t[2])]
 
 
 def _signed(x: int) -> int:

@@ -1,6 +1,8 @@
+from html.parser import HTMLParser
+
 import pytest
 
-from postflow.llm.html_text import extract_main_text, node_importance, page_blocks
+from postflow.llm.html_text import BLOCK, VOID, extract_main_text, node_importance, page_blocks
 
 SITE = ("<html><head><title>T</title><style>p{}</style></head><body><nav><a>Home</a></nav>{}"
         "<footer>&copy; x</footer></body></html>")
@@ -22,6 +24,15 @@ def text_of(page, url="http://h/1"):
     ("<article><p>a < b & c &lt;i&gt; &#x41;&#66; &amp <p title='>'>d", "a < b & c <i> AB &\nd"),
     ("<div role=navigation>n</div><article>one</article><article>two</article>", "one\ntwo"),
     ("<article><p>unclosed <b>bold<p>next</article>after", "unclosed bold\nnext"),
+    ('<div class="layout no-sidebar"><article><p>text</article></div><div class=sidebar>s</div>', "text"),
+    ('<article><div class="post-content share-enabled"><p>one<p>two</div></article>', "one\ntwo"),
+    ('<article><div class="entry-header"><h1>Title</h1></div><p>text</article>', "Title\ntext"),
+    ('<article><div class="post-header"><h1>Title</h1></div><p>text<div class="post-comments">me</div></article>', "Title\ntext"),
+    ('<div class="sidebar page"><main><p>text</main><p class=ad>buy</div>', "text"),
+    ('<form id=aspnet><article><p>text</article><div class=menu>m</div></form>', "text"),
+    ('<div class="content share">the only long text</div><div class="menu">m</div>', "the only long text"),
+    ('<article>.<div class="related">a long list of other texts</div></article>', ".\na long list of other texts"),
+    ('<div class=ad>longer than the article</div><article>x</article>', "x"),
     ("<article><p>x<unknown-tag a=\"1>2\">y</unknown-tag>z</article>", "xyz"),
 ])
 def test_blocks(page, wanted):
@@ -101,3 +112,46 @@ def test_importance_of_shared_and_own_texts(spark):
     found = {r.node: r.content for r in content.collect()}
     assert found[1] == pytest.approx(0) and found[2] == pytest.approx(1)
     assert {r.node: r.style for r in style.collect()}[3] == pytest.approx(1 / 3)
+
+
+class Reference(HTMLParser):
+    """A second extraction, for pages as the tables hold them: the text of ``article``, one line per block."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.lines, self.skipped = [], [""], 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in BLOCK or tag == "p":
+            self.lines.append("")
+        if tag == "br":
+            self.lines[-1] += " "
+        if tag in VOID or tag == "p":
+            return
+        bad = tag in ("nav", "aside", "footer", "form", "script", "style", "button") or ("class", "ad") in attrs or (
+            "comments" in str(dict(attrs).get("class")) + str(dict(attrs).get("id")))
+        self.open.append((tag, bad))
+
+    def handle_endtag(self, tag):
+        if tag in BLOCK or tag == "p":
+            self.lines.append("")
+        names = [t for t, _ in self.open]
+        if tag in names:
+            del self.open[len(names) - 1 - names[::-1].index(tag):]
+
+    def handle_data(self, data):
+        if any(t == "article" for t, _ in self.open) and not any(bad for _, bad in self.open):
+            self.lines[-1] += data
+
+
+def test_all_pages_of_a_table(spark):
+    """Against a second parser, on every page."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        parser = Reference()
+        parser.feed(r.html)
+        parser.close()
+        want[r.page_id] = "\n".join(filter(None, (" ".join(line.split()) for line in parser.lines)))
+    got = {r.page_id: r.text for r in extract_main_text(pages).collect()}
+    assert len(got) > 100 and sum(got[i] == want[i] for i in want) == len(want)
