@@ -96,15 +96,21 @@ def create_table(spark: SparkSession, namespace: str, table: PostTable) -> str:
             CLUSTERED BY (`{table.key}`) INTO {table.buckets} BUCKETS LOCATION '{root}'""")
         if known:
             spark.sql(f"MSCK REPAIR TABLE {name}")
-    found = [(c.name, c.dataType) for c in spark.catalog.listColumns(name)]
+    elif (name, table) in _agreed:
+        return name
+    declared = spark.catalog.listColumns(name)
+    found, key = [(c.name, c.dataType) for c in declared], [c.name for c in declared if c.isBucket]
     wanted = [(f.name, f.dataType.simpleString()) for f in table.stored.fields] + [
         ("seq", "bigint"), ("writer", "string"), ("bucket", "int")]
-    key = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
     if found != wanted or key != [table.key]:
         raise ValueError(f"table {name} is declared with {found} by {key}, not as {wanted} by [{table.key!r}]")
+    _agreed.append((name, table))
     return name
 
 
+_agreed: list[tuple[str, PostTable]] = []  # declarations this process has checked
+
+
 def now() -> int:
     return time.time_ns() // 1000
 
