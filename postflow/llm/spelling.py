@@ -47,39 +47,34 @@ from postflow.llm.tables import staged, table, two_columns
 #: Distinct words a task holds before it passes their counts on.
 HELD_WORDS = 200_000
 
-# Fixed value: a letter of a run (A-Z, a-z and U+00C0 to U+00FF) in UTF-8, after A-Z became a-z.
-_LETTER = rb"(?:[a-z]|\xc3[\x80-\xbf])"
-
-
-def cut_letter(run: bytes, i: int) -> bytes:
-    """``run`` (UTF-8) without its code point ``i``."""
-    letters = run.decode()
-    return (letters[:i] + letters[i + 1:]).encode()
+# Fixed value: a letter of a run (A-Z, a-z and U+00C0 to U+00FF), after A-Z became a-z.
+_LETTER = "[a-z\u00c0-\u00ff]"
 
 
 def word_counts(df: DataFrame, key: str = "doc_id", text: str = "text", every: int = 199, least: int = 1) -> DataFrame:
     """``(word, n)`` over the whole texts, for words of runs of ``least`` letters or more. A run whose
     checksum with its row's key is divisible by ``every`` loses one letter (0: none does), so that words of
     ``least - 1`` letters are counted in part; words left empty are kept as empty words."""
-    runs = re.compile(_LETTER + b"{%d,}" % least)
+    runs = re.compile(_LETTER + "{%d,}" % least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            words = pa.array([w.decode() for w in held], pa.string())
-            return pa.record_batch([words, pa.array(list(held.values()), pa.int64())], ["word", "n"])
+            return pa.record_batch([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if not value.is_valid:
                     continue
                 begun = zlib.crc32(f"{'' if doc is None else doc}:".encode())
-                for word, n in Counter(runs.findall(value.as_buffer().to_pybytes().lower())).items():
+                # Lower-cased as bytes: only A-Z change.
+                for word, n in Counter(runs.findall(value.as_buffer().to_pybytes().lower().decode())).items():
                     if every:
-                        h = zlib.crc32(word, begun)
+                        h = zlib.crc32(word.encode(), begun)
                         if h % every == 0:
-                            word = cut_letter(word, h % (len(word) - word.count(b"\xc3")))
+                            i = h % len(word)
+                            word = word[:i] + word[i + 1:]
                     held[word] += n
                 if len(held) > HELD_WORDS:
                     yield out()
