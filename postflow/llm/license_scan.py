@@ -4,7 +4,11 @@ Exact places: a phrase's words stand consecutively among the words of a text. Fu
 notice of ``m`` characters with at most ``k`` edits, cut into ``k + 1`` pieces, holds one piece
 unchanged (pigeonhole). The pieces are found by plain substring search over the whole text; around
 each hit, the ``regex`` library's bounded-error matching verifies the notice and counts its edits,
-the closest places first.
+the closest places first. All such places are reported as spans. A label and a score come from spans that are
+made of whole words: a span is widened to the words it begins and ends in, and the edits are counted again, so
+that "mit licenses" is one edit from the notice, and "submit license" is none of it. In a notice of up to
+``NAME_WORDS`` words, those of up to ``SHORT`` letters must be there as they are: an edit would make them another
+word ("it license").
 
 One narrow pass: nothing is shuffled, and only the phrase list goes to the tasks.
 
@@ -45,9 +49,22 @@ NOTICES = (
     ("bsd 2-clause license", "bsd", 2),
 )
 
+NAME_WORDS, SHORT = 4, 3
+
+#: Sentences of licence headers, searched with errors as well.
+HEADERS = (
+    ("permission is hereby granted, free of charge, to any person obtaining a copy", "mit", 6),
+    ("licensed under the apache license, version 2.0", "apache", 4),
+    ("redistribution and use in source and binary forms, with or without modification", "bsd", 6),
+    ("you can redistribute it and/or modify it under the terms of the gnu general public license", "gpl", 6),
+    ("you can redistribute it and/or modify it under the terms of the gnu lesser general public license", "lgpl", 6),
+    ("subject to the terms of the mozilla public license", "mpl", 4),
+    ("licensed under a creative commons attribution 4.0 international license", "cc-by", 5),
+)
+
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, "
           "base_labels string, labels string, score double, "
-          "spans array<struct<label:string,start:long,end:long,edits:int>>")
+          "spans array<struct<label:string,start:long,end:long,edits:int,whole:int>>")
 
 
 class Notice:
@@ -55,7 +72,9 @@ class Notice:
 
     def __init__(self, text: str, label: str, edits: int):
         raw = text.encode()
-        self.label, self.edits, self.size = label, edits, len(raw)
+        self.raw, self.label, self.edits, self.size = raw, label, edits, len(raw)
+        words = _words(raw)
+        self.fixed = {w for w in words if len(w) <= SHORT} if len(words) <= NAME_WORDS else set()
         cuts = [i * len(raw) // (edits + 1) for i in range(edits + 2)]
         self.pieces = [(raw[a:b], a) for a, b in zip(cuts, cuts[1:])]
         self.patterns = [regex.compile(rb"(?:" + regex.escape(raw) + rb"){e<=%d}" % e)
@@ -92,6 +111,38 @@ class Notice:
             gaps = left
 
 
+    def whole_words(self, text: bytes, start: int, end: int, low: int, high: int) -> int | None:
+        """Edits of the notice to the whole words around a place, None if there are more than allowed."""
+        near = self.edits + 1  # a word that goes on further adds more edits than that
+        first, last = start, end
+        while first > max(low, start - near) and ta.ALNUM[text[first - 1]] and ta.ALNUM[text[first]]:
+            first -= 1
+        while last < min(high, end + near) and ta.ALNUM[text[last - 1]] and ta.ALNUM[text[last]]:
+            last += 1
+        found = distance(self.raw, text[first:last], self.edits)
+        return found if found <= self.edits and self.fixed <= set(_words(text[first:last])) else None
+
+
+def _words(text: bytes) -> list[bytes]:
+    return bytes(b if ta.ALNUM[b] else 32 for b in text).split()
+
+
+def distance(a: bytes, b: bytes, most: int) -> int:
+    """Edits from ``a`` to ``b``; ``most + 1`` stands for any number beyond ``most``."""
+    if a == b:
+        return 0
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+        if min(row) > most:
+            return most + 1
+    return min(row[-1], most + 1)
+
+
 def _find_all(text: bytes, piece: bytes) -> list[int]:
     hits, at = [], text.find(piece)
     while at >= 0:
@@ -129,22 +180,25 @@ def scan_block(raw: np.ndarray, off: np.ndarray, phrases, notices: list[Notice])
     best = np.where(n_base > 0, 1.0, 0.0)
     for notice in notices:
         for doc, a, b, edits in notice.places(text, hits, off):
+            whole = notice.whole_words(text, a, b, int(off[doc]), int(off[doc + 1]))
             spans[doc].append({"label": notice.label, "start": int(a - off[doc]),
-                               "end": int(b - off[doc]), "edits": edits})
-            best[doc] = max(best[doc], 1 - edits / notice.size)
+                               "end": int(b - off[doc]), "edits": edits, "whole": whole})
+            if whole is not None:
+                best[doc] = max(best[doc], 1 - whole / notice.size)
     return [(int(n_words[d]), int(n_base[d]), int(low[d]) if n_base[d] else None,
              int(high[d]) if n_base[d] else None, ",".join(sorted(base[d])),
-             ",".join(sorted(base[d] | {s["label"] for s in spans[d]})), float(best[d]),
+             ",".join(sorted(base[d] | {s["label"] for s in spans[d] if s["whole"] is not None})), float(best[d]),
              sorted(spans[d], key=lambda s: (s["start"], s["label"])))
             for d in range(docs)]
 
 
 def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
                   phrases: Sequence[tuple[str, str]] = PHRASES,
-                  notices: Sequence[tuple[str, str, int]] = NOTICES) -> DataFrame:
+                  notices: Sequence[tuple[str, str, int]] = NOTICES + HEADERS) -> DataFrame:
     """Per row: word count, exact phrase places, labels, a score and the fuzzy spans (byte offsets
-    in the text; ``start``..``end``, ``edits``). ``score`` is 1 for an exact phrase, else
-    1 - edits / length of the closest notice, else 0."""
+    in the text; ``start``..``end``, ``edits``, and ``whole``, the edits to the whole words there, null for
+    more than allowed). ``score`` is 1 for an exact phrase or notice, else 1 - whole / length of the
+    closest notice, else 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [Notice(*n) for n in notices]
@@ -165,7 +219,8 @@ def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
 NAMES = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
          "spans"]
 TYPES = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.float64(), pa.list_(pa.struct(
-    [("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())]))]
+    [("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()),
+     ("whole", pa.int32())]))]
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

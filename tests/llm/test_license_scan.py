@@ -2,7 +2,7 @@ import random
 import re
 
 from llm_cases import ODD
-from postflow.llm.license_scan import NOTICES, PHRASES, scan_licenses
+from postflow.llm.license_scan import NOTICES, PHRASES, distance, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -85,5 +85,32 @@ def test_adjacent_inexact_notices_against_brute_force(documents):
     assert len(got[2].spans) == 41
 
 
+def test_labels_need_whole_words(documents):
+    texts = ["please submit licenses", "permit license", "with it license", "limit licence", "mit licenses", "(MIT licence)",
+             "the mit license", "submit license, mit licence", "x" * 5000 + "mit license" + "y" * 5000, "mit license"]
+    got = {r.doc_id: r for r in scan_licenses(documents(list(enumerate(texts)))).collect()}
+    assert [got[i].labels for i in range(10)] == ["", "", "", "", "mit", "mit", "mit", "mit", "", "mit"]
+    assert [got[i].score for i in (0, 1, 2, 3, 8)] == [0.0] * 5 and got[6].score == got[9].score == 1
+    assert all(0.8 < got[i].score < 1 for i in (4, 5, 7))
+    assert [s.whole for s in got[7].spans] == [None, 1]
+
+
+def test_sentences_of_headers(documents):
+    texts = ["Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software",
+             "Licenced under the Apache License, Version 2.0 (the \"License\")",
+             "Redistribution and use in source and binary forms, with or without modifications, are permitted",
+             "redistribute it and/or modify it under the terms of the GNU Lesser General Public Licence",
+             "you can redistribute it and/or modify it under the terms of the GNU General Public Licence",
+             "Redistribution of water and use of sources"]
+    got = {r.doc_id: r for r in scan_licenses(documents(list(enumerate(texts)))).collect()}
+    assert [got[i].labels for i in range(6)] == ["mit", "apache", "bsd", "lgpl", "gpl", ""]
+    assert 0.9 < got[0].score < 1 and got[5].score == 0
+
+
+def test_distance_is_bounded():
+    for a, b, most, want in ((b"abc", b"abc", 0, 0), (b"abc", b"axc", 1, 1), (b"abc", b"xyz", 2, 3), (b"abc", b"abcde", 1, 2), (b"abc", b"", 3, 3)):
+        assert distance(a, b, most) == want
+
+
 def test_empty_table(documents):
     assert scan_licenses(documents([(1, "a")]).filter("doc_id = 0")).collect() == []
