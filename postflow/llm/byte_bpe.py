@@ -7,10 +7,14 @@ leftmost pair of lowest rank, looked up in a literal rank map. The ids are then
 document. Decoding maps ids to their pieces and concatenates them. No text is shuffled.
 
 Frequent pre-tokens would be encoded once in every block. At most ``memo_words`` of them (the most
-frequent of about ``memo_docs`` documents' first ``MEMO_CHARS`` characters) are encoded beforehand
+frequent of about ``memo_docs`` whole documents) are encoded beforehand
 by the same fold and sent to the tasks; the blocks' rows hold the others. The memo is of bounded
 size and only saves time: every pre-token has the same ids with or without it.
 
+A step of the fold looks at all tokens of its word, so it takes time with the square of a word's length. Words of
+more than ``LONG`` bytes (unspaced scripts, encoded data) are merged in the task that cuts the text, by the same
+ranks in the same order from a heap, in n log n.
+
 The literal rank map: pair (a, b) of token ids is at slot ``base[a] + b`` of two arrays, the owner
 ``a`` and the merged id, laid out so that rows of different ``a`` share the arrays without clashes.
 One state element is ``rank << 16 | id``: the rank of merging this token with the next (or NONE).
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +42,7 @@ from postflow.llm import textarrays as ta
 from postflow.llm.tables import staged, table, two_columns
 
 CHUNK_BYTES = 1 << 20
-MEMO_CHARS = 20_000
+LONG = 400
 NONE = 65535
 
 
@@ -144,6 +149,42 @@ def encode_word(maps: Column, word: Column) -> Column:
                        lambda x: x.bitwiseAND(F.lit(65535)).cast("int"))
 
 
+class HeapMerge:
+    """Ranked merges of one long word: always the leftmost pair of lowest rank, from a heap."""
+
+    def __init__(self, ranks: str):
+        found = rank_map(ranks)
+        self.single, self.arrays = found["single"], [np.array(found[n], np.int32) for n in ("base", "owner", "merged")]
+
+    def __call__(self, word: bytes) -> list[int]:
+        base, owner, merged = self.arrays
+        ids: list[int] = [self.single[b] for b in word]
+        end = len(ids)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+
+        def rank(i: int) -> int:
+            j = after[i]
+            if j == end:
+                return NONE
+            slot = base[ids[i]] + ids[j]
+            return int(merged[slot]) if owner[slot] == ids[i] else NONE
+
+        heap = [(r, i) for i in range(end) if (r := rank(i)) != NONE]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            if ids[i] < 0 or rank(i) != r:
+                continue  # one of the two is another token by now
+            gone = after[i]
+            ids[i], ids[gone], after[i] = r, -1, after[gone]
+            if after[i] < end:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and (new := rank(k)) != NONE:
+                    heapq.heappush(heap, (new, k))
+        return [t for t in ids if t >= 0]
+
+
 def _memo(docs: DataFrame, maps: Column, memo_words: int, memo_docs: int
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted hashes of frequent pre-tokens, their ids end to end, and where each one's begin."""
@@ -171,8 +212,8 @@ def _memo(docs: DataFrame, maps: Column, memo_words: int, memo_docs: int
     count = docs.count()
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
     some = docs.filter(part < (1 << 20) * memo_docs // max(1, count)) if count > memo_docs else docs
-    counted = some.select(F.substring("text", 1, MEMO_CHARS).alias("text")) \
-        .mapInArrow(words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    counted = some.select("text").mapInArrow(words, "word binary, n long").filter(F.length("word") <= LONG) \
+        .groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
     counted = staged(counted, "bpe-words")
     # A threshold instead of a sort: the words that pass are at most memo_words.
     least = (counted.groupBy("n").agg(F.count("*").alias("words")).collect())  # few different counts
@@ -212,6 +253,7 @@ def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
     hashes, values, offsets = _memo(docs, maps, memo_words, memo_docs)
     context = docs.sparkSession.sparkContext
     memo, memo_ids = context.broadcast(hashes), context.broadcast((values, offsets))
+    merge = context.broadcast(HeapMerge(ranks))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = pretoken.Classes()
@@ -223,37 +265,42 @@ def encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
                 place = np.searchsorted(known, hashes)
                 old = np.zeros(len(hashes), bool)
                 old[place < len(known)] = known[place[place < len(known)]] == hashes[place < len(known)]
-                number = np.where(old, place, len(known) + np.cumsum(~old) - 1)
-                sizes = np.diff(at)[~old]
+                long = ~old & (np.diff(at) > LONG)
+                new = ~old & ~long
+                number = np.where(old, place, len(known) + np.cumsum(new) - 1)
+                number[long] = len(known) + new.sum() + np.arange(long.sum())
+                merged = [merge.value(data[a:b].tobytes()) for a, b in zip(at[:-1][long].tolist(), at[1:][long].tolist())]
+                sizes = np.diff(at)[new]
                 cuts = np.concatenate(([0], np.cumsum(sizes)))
-                pick = np.repeat(at[:-1][~old] - cuts[:-1], sizes) + np.arange(cuts[-1])
+                pick = np.repeat(at[:-1][new] - cuts[:-1], sizes) + np.arange(cuts[-1])
                 words = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(data[pick].view(np.int8)))
                 keys = batch.column(0).slice(lo, hi - lo).cast(pa.int64())
                 yield pa.record_batch(
                     [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
                      pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
                      pa.array([first.astype(np.int64).tobytes()], pa.binary()),
-                     pa.array([(number[codes] if len(codes) else codes).astype(np.int32).tobytes()], pa.binary())],
-                    ["words", "keys", "first", "codes"])
+                     pa.array([(number[codes] if len(codes) else codes).astype(np.int32).tobytes()], pa.binary()),
+                     pa.array([merged], pa.list_(pa.list_(pa.int32())))],
+                    ["words", "keys", "first", "codes", "long"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, offsets = memo_ids.value
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, keys = batch.column(0)[i].values, batch.column(1)[i].values
+                ids, keys, long = batch.column(0)[i].values, batch.column(1)[i].values, batch.column(4)[i].values
                 first = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
                 codes = np.frombuffer(batch.column(3)[i].as_py(), np.int32)
-                sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                own = ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint16) if len(ids) else values[:0]
-                flat, at = pretoken.expand(np.concatenate((values, own)),
+                sizes = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for x in (ids, long)])
+                own = [x.flatten().to_numpy(zero_copy_only=False).astype(np.uint16) if len(x) else values[:0] for x in (ids, long)]
+                flat, at = pretoken.expand(np.concatenate((values, *own)),
                                            np.concatenate((offsets, offsets[-1] + np.cumsum(sizes))), codes)
                 yield finish(keys, flat, at[first])
 
     chunks = docs.mapInArrow(
-        split, "words array<array<tinyint>>, keys array<long>, first binary, codes binary")
+        split, "words array<array<tinyint>>, keys array<long>, first binary, codes binary, long array<array<int>>")
     encoded = chunks.withColumn("ranks", maps).select(
         _let(F.col("ranks"), lambda m: F.transform("words", lambda w: encode_word(m, w))).alias("ids"),
-        "keys", "first", "codes")
+        "keys", "first", "codes", "long")
     return encoded.mapInArrow(assemble, schema)
 
 
