@@ -7,7 +7,9 @@
     python -m postflow.plans.jobs hydrate --path IDS --base OUT --output keyed
 
 The session comes from ``spark-submit`` (or ``SparkSession.builder`` defaults); the job never
-sets a master. ``--base`` is the folder of the keyed tables (the reference's keyspace).
+sets a master. ``--base`` is the folder of the keyed tables (the reference's keyspace). With
+``--namespace NAME`` the tables of ``stream``, ``ingest``, ``authors`` and ``hydrate`` are catalog tables of
+the database NAME, at ``--base`` (``sinks.tables``), and are read by name through ``spark.sql``.
 """
 
 from __future__ import annotations
@@ -20,10 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from postflow.functions import messages as msg
 from postflow.operators.enrich import hydrate as hydrate_ids
 from postflow.operators.posts import all_posts, author_counts, ranked, top_k
+from postflow.plans import table_jobs
 from postflow.sinks import keyed as kt
+from postflow.sinks import tables as tb
 from postflow.sinks.outputs import stream_writer, write, write_stream
 from postflow.sources.messages import read_id_files, read_messages
 from postflow.streaming import queries as sq
+from postflow.streaming import tables as st
 
 
 def _checkpoint(base: str, name: str) -> str:
@@ -190,6 +195,30 @@ def hydrate(spark: SparkSession, *, path: str, base: str, output: str = "keyed",
     return query
 
 
+def table_job(spark: SparkSession, job: str, namespace: str, base: str, *, source: str = "files",
+              k: int | None = None, payload: str = "json", path: str | None = None, trigger: dict | None = None,
+              timeout: float | None = None, **source_options) -> None:
+    """One of the jobs over the catalog tables of a database at ``base``, which is created if absent."""
+    tb.create_namespace(spark, namespace, base)
+    if job == "stream":
+        def source_of() -> DataFrame:
+            return read_messages(spark, source, path=path, **source_options)
+
+        sq.run_all([
+            lambda: st.start_posts(source_of(), namespace=namespace, checkpoint=_checkpoint(base, f"{namespace}-posts"), trigger=trigger),
+            lambda: st.start_hashtags(source_of(), namespace=namespace, checkpoint=_checkpoint(base, f"{namespace}-hashtags"),
+                                      trigger=trigger, payload=payload)], spark, timeout)
+    elif job == "ingest":
+        table_jobs.ingest(read_messages(spark, source, streaming=False, path=path, **source_options), namespace)
+    elif job == "authors":
+        top_k(table_jobs.authors(spark, namespace), k, "count", "author_id").show(k or 20)
+    elif job == "hydrate":
+        table_jobs.hydrate(spark, path=path, namespace=namespace, checkpoint=_checkpoint(base, f"{namespace}-hydrate"),
+                           trigger=trigger, limit=source_options.get("limit")).awaitTermination()
+    else:
+        raise ValueError(f"{job} keeps no tables")
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="postflow")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -224,6 +253,8 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     for name, sp in sub.choices.items():
         sp.add_argument("--base", default=None, help="folder of the keyed tables")
+        sp.add_argument("--namespace", default=None,
+                        help="keep the tables in this database of the catalog, at --base")
         sp.add_argument("--path", default=None, help="input folder (files source, id files)")
         sp.add_argument("--servers", default="localhost:9092")
         sp.add_argument("--topic", default=None)
@@ -236,7 +267,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     if getattr(args, "output", None) == "cassandra":
         # The reference's key-value store; here its tables are the keyed Parquet tables.
         args.output = "keyed"
-    needs_base = args.job in ("authors", "hydrate") or args.output in ("keyed", "kafka")
+    if args.namespace and args.job == "ids":
+        parser.error("ids keeps no tables: --namespace is of no use")
+    needs_base = args.job in ("authors", "hydrate") or args.output in ("keyed", "kafka") or args.namespace
     if needs_base and not args.base:
         parser.error(f"{args.job} with output {args.output} needs --base (the folder of the keyed tables)")
     if args.job in ("ids", "hydrate") and not args.path:
@@ -252,6 +285,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     trigger = {"availableNow": True} if getattr(args, "available_now", False) else None
     if args.job == "stream" or (args.job == "ingest" and args.incremental):
         opts["limit"] = args.limit
+    if args.namespace:
+        defaults = {"ingest": "getTweets"}
+        table_job(spark, args.job, args.namespace, args.base, source=getattr(args, "source", "files"),
+                  k=getattr(args, "k", None), payload=getattr(args, "payload", "json"), trigger=trigger,
+                  **{"topic": defaults.get(args.job, "covid19"), **opts, "limit": args.limit})
+        return
     if args.job == "stream":
         stream(spark, source=args.source, output=args.output, base=args.base,
                reset=args.del_checkpoint == "true", trigger=trigger, payload=args.payload,

@@ -161,3 +161,31 @@ def test_bounded_id_job_on_the_command_line(spark, tmp_base, capsys):
     with pytest.raises(SystemExit):
         jobs.main(["ids", "--path", f"{tmp_base}/ids", "--limit", "0"])
     assert "--limit" in capsys.readouterr().err
+
+
+def test_jobs_over_a_namespace_on_the_command_line(spark, tmp_base, capsys):
+    ns, base = "cli_" + os.path.basename(tmp_base).replace("-", "_"), f"{tmp_base}/tables"
+    _drop(spark, [_post(1, "#a #b", "ann"), _post(2, "#a", "bob"), _post(3, "#c", "ann"), "junk"], f"{tmp_base}/live")
+    value = '{"data":[{"id":"%s","author_id":"%s","created_at":"t","text":"%s"}]}'
+    _drop(spark, [value % (9, "bob", "x"), value % (1, "ann", "#a #b")], f"{tmp_base}/lookups")
+    os.makedirs(f"{tmp_base}/ids")
+    with open(f"{tmp_base}/ids/a.tsv", "w") as f:
+        f.write("tweet_id\tuser_id\n2\tu\n")
+    own = ["--namespace", ns, "--base", base]
+    jobs.main(["stream", "--source", "files", "--path", f"{tmp_base}/live", "--available_now", *own])
+    for query in spark.streams.active:
+        query.awaitTermination()
+    for _ in range(2):
+        jobs.main(["ingest", "--source", "files", "--path", f"{tmp_base}/lookups", *own])
+    jobs.main(["hydrate", "--path", f"{tmp_base}/ids", "--available_now", "--limit", "1", *own])
+    jobs.main(["authors", "--k", "1", *own])
+    sql = spark.newSession().sql
+    assert {r.id for r in sql(f"SELECT id FROM {ns}.stream_blob_tweets WHERE bucket >= 0").collect()} == {"1", "2", "3"}
+    assert [r.raw for r in sql(f"SELECT raw FROM {ns}.stream_blob_tweets WHERE bucket < 0").collect()] == ["junk"]
+    assert sorted(r.id for r in sql(f"SELECT id FROM {ns}.batch_tweets").collect()) == ["1", "2", "9"]
+    assert {r.hashtag: r["count"] for r in sql(f"SELECT * FROM {ns}.stream_hashtags").collect()} == {"#a": 2, "#b": 1, "#c": 1}
+    assert {r.author_id: r["count"] for r in sql(f"SELECT author_id, count FROM {ns}.topK_authors").collect()} == {"ann": 2, "bob": 2}
+    with pytest.raises(SystemExit):
+        jobs.main(["ids", "--path", "x", "--namespace", ns])
+    assert "ann" in capsys.readouterr().out
+    sql(f"DROP DATABASE {ns} CASCADE")
