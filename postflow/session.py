@@ -64,7 +64,7 @@ def work_dir(spark: SparkSession) -> str:
 
 
 _made: list[str] = []
-_named: list[str] = []
+_declared: list[str] = []  # statements that take out of the catalog what was declared for one run
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -81,14 +81,19 @@ def scratch_namespace(spark: SparkSession, label: str) -> str:
     path = scratch(spark, label)
     name = "postflow_" + path.rsplit("/", 1)[1].replace("-", "_")
     create_namespace(spark, name, path)
-    _named.append(name)
+    _declared.append(f"DROP DATABASE IF EXISTS {name} CASCADE")
     return name
 
 
+def scratch_table(name: str) -> None:
+    """Note a table that was declared over a scratch folder, to be taken out of the catalog with it."""
+    _declared.append(f"DROP TABLE IF EXISTS {name}")
+
+
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete the folders and databases that were given out in this process, once their results have
-    been used (results are read from them lazily)."""
-    while _named:
-        spark.sql(f"DROP DATABASE IF EXISTS {_named.pop()} CASCADE")
+    """Delete the folders, databases and tables that were given out in this process, once their results
+    have been used (results are read from them lazily)."""
+    while _declared:
+        spark.sql(_declared.pop())
     while _made:
         fs.delete(spark, _made.pop())

@@ -19,3 +19,14 @@ def test_scratch_folders_are_removed_on_request(spark):
     spark.range(3).write.parquet(path)
     drop_scratch(spark)
     assert not fs.exists(spark, path)
+
+
+def test_scratch_tables_leave_the_catalog(spark):
+    from postflow.session import drop_scratch, scratch_namespace, scratch_table
+    path = scratch(spark, "named")
+    spark.range(3).write.option("path", path).saveAsTable("postflow_scratch_test")
+    scratch_table("postflow_scratch_test")
+    name = scratch_namespace(spark, "names")
+    assert spark.catalog.tableExists("postflow_scratch_test") and spark.catalog.databaseExists(name)
+    drop_scratch(spark)
+    assert not spark.catalog.tableExists("postflow_scratch_test") and not spark.catalog.databaseExists(name)
