@@ -112,6 +112,8 @@ class _Stream:
     def take(self, n: int) -> bytes:
         while len(self.data) < n and self.more():
             pass
+        if len(self.data) < n:
+            raise ValueError(f"archive cut short: {n - len(self.data)} bytes of a record are missing")
         out = bytes(self.data[:n])
         del self.data[:n]
         return out
@@ -122,7 +124,7 @@ class _Stream:
             del self.data[:part]
             n -= part
             if n and not self.more():
-                return
+                raise ValueError(f"archive cut short: {n} bytes of a record are missing")
 
     def head(self) -> bytes | None:
         """The next record's header block, or None at the end."""
@@ -135,6 +137,8 @@ class _Stream:
                 del self.data[:end + 4]
                 return out
             if not self.more():
+                if self.data.strip(b"\r\n\0 "):
+                    raise ValueError("archive cut short: the header of a record has no end")
                 return None
 
 

@@ -83,6 +83,17 @@ def test_foreign_archive_without_offsets(spark, tmp_path, packed):
     assert [bytes(r.payload) for r in only] == [b"plain \r\n\r\n text"] and only[0].record_id is None
 
 
+@pytest.mark.parametrize("keep,fields", [(-3, "*"), (-3, "record_type"), (40, "*"), (200, "*")])
+def test_a_record_that_is_cut_short_is_refused(spark, tmp_path, keep, fields):
+    block = b"z" * 5000
+    record = (f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: http://a\r\nContent-Type: text/plain\r\n"
+              f"Content-Length: {len(block)}\r\n\r\n").encode() + block
+    (tmp_path / "x.warc").write_bytes(record[:keep])
+    register(spark)
+    with pytest.raises(Exception, match="cut short"):
+        spark.read.format("warc").load(f"file://{tmp_path}").select(fields).collect()
+
+
 def test_empty_table(spark, tmp_path):
     path = f"file://{tmp_path}/w"
     register(spark)
