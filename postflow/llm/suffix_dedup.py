@@ -56,7 +56,7 @@ from pyspark.sql import types as T
 
 from postflow.llm import textarrays as ta
 from postflow.llm.tables import staged, table
-from postflow.session import scratch
+from postflow.session import scratch, scratch_table
 
 LENGTH = 200
 GRAM = 32
@@ -561,6 +561,7 @@ def _numbered(df: DataFrame) -> DataFrame:
     name = "postflow_" + path.rsplit("/", 1)[1].replace("-", "_")
     (rows.repartition(n, "rid").write.bucketBy(n, "rid").format("parquet").option("path", path)
      .option("compression", "zstd").saveAsTable(name))
+    scratch_table(name)
     return spark.table(name)
 
 
