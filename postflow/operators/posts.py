@@ -35,9 +35,11 @@ def hashtag_counts(posts: DataFrame, text: str = "text") -> DataFrame:
     return hashtags(posts, text, keep=()).groupBy("hashtag").count()
 
 
-def author_counts(posts: DataFrame) -> DataFrame:
-    """AGG-2: posts per author (NULL author is a group) → ``author_id, count``."""
-    return posts.groupBy("author_id").count()
+def author_counts(posts: DataFrame, weight: str | None = None) -> DataFrame:
+    """AGG-2: posts per author (NULL author is a group) → ``author_id, count``; or ``author_id, <weight>``, the
+    sum of what each post counts for."""
+    by = posts.groupBy("author_id")
+    return by.count() if weight is None else by.agg(F.sum(weight).alias(weight))
 
 
 def ranked(df: DataFrame, by: str = "count", key: str | Sequence[str] | None = None) -> DataFrame:

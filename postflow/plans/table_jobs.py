@@ -59,9 +59,9 @@ def hydrate(spark: SparkSession, *, path: str, namespace: str, checkpoint: str,
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def _posts(spark: SparkSession, namespace: str, seen: dict, keys: DataFrame | None = None) -> DataFrame:
-    """Distinct posts of both tables as they were after the batches ``seen``, or those of some ids."""
-    return all_posts(*[tb.current(spark, namespace, t, keys, seen.get(t.name, {})) for t in POST_TABLES])
+def _posts(spark: SparkSession, namespace: str, seen: dict) -> DataFrame:
+    """Distinct posts of both tables as they were after the batches ``seen``."""
+    return all_posts(*[tb.current(spark, namespace, t, seen=seen.get(t.name, {})) for t in POST_TABLES])
 
 
 def _progress(spark: SparkSession, namespace: str) -> tuple[int, dict] | None:
@@ -70,8 +70,9 @@ def _progress(spark: SparkSession, namespace: str) -> tuple[int, dict] | None:
 
 
 def changed_ids(spark: SparkSession, namespace: str, seen: dict, marks: dict) -> DataFrame:
-    """Ids in batches after ``seen``: a filter on partition columns, other batches are not read."""
-    ids = [tb.versions(spark, namespace, t, seen=marks[t.name], unseen=seen.get(t.name, {})).select("id")
+    """Ids in batches after ``seen``: a filter on partition columns, other batches are not read. They stay in the
+    buckets of the tables, so neither their distinct nor a join of a table with them needs an exchange."""
+    ids = [tb.versions(spark, namespace, t, seen=marks[t.name], unseen=seen.get(t.name, {})).select(tb.key_of(t))
            for t in POST_TABLES]
     return ids[0].unionByName(ids[1]).distinct()
 
@@ -80,10 +81,10 @@ def author_deltas(spark: SparkSession, namespace: str, seen: dict, marks: dict)
     """``author_id, change``: by how much the posts per author differ between two states of the tables,
     from the posts in batches after ``seen`` alone: what they count for now, less what they counted for."""
     ids = changed_ids(spark, namespace, seen, marks)
-    more = author_counts(_posts(spark, namespace, marks, ids)).select("author_id", F.col("count").alias("change"))
-    less = author_counts(_posts(spark, namespace, seen, ids)).select("author_id", (-F.col("count")).alias("change"))
-    return more.unionByName(less).groupBy("author_id").agg(F.sum("change").alias("change")) \
-        .where("change <> 0 AND author_id IS NOT NULL")
+    states = [tb.fold_change(tb.for_keys(tb.versions(spark, namespace, t, seen=marks[t.name]), t, ids), t, seen.get(t.name, {}))
+              for t in POST_TABLES]
+    # Distinct with the state in the row: distinct posts of each state.
+    return author_counts(all_posts(*states), tb.CHANGE).where(F.col(tb.CHANGE) != 0).where("author_id IS NOT NULL")
 
 
 def authors(spark: SparkSession, namespace: str) -> DataFrame:
@@ -96,17 +97,23 @@ def authors(spark: SparkSession, namespace: str) -> DataFrame:
     gone = done is not None and any(w not in marks[t] for t, ws in done[1].items() for w in ws)
     if done is None or marks != done[1]:
         run = tb.now()
+        # One row per author; used more than once below, so kept for the run rather than counted again. By bucket, so
+        # that a write makes one file per bucket, however many parts the counts came in.
+        kept = lambda df: df.repartition(tb.AUTHOR_COUNTS.buckets, "author_id").persist()
         if done is None or gone:
-            counts = author_counts(_posts(spark, namespace, marks)).where("author_id IS NOT NULL")
+            counts = kept(author_counts(_posts(spark, namespace, marks)).where("author_id IS NOT NULL"))
             stored = _counts(spark, namespace, done)
             lost = stored.join(counts, "author_id", "left_anti").select("author_id", F.lit(0).cast("long").alias("count"))
-            tb.upsert(counts.unionByName(lost), namespace, tb.AUTHOR_COUNTS, AUTHORS, run)
+            new = counts.unionByName(lost)
         else:
-            deltas = author_deltas(spark, namespace, done[1], marks)
-            stored = _counts(spark, namespace, done, deltas)
-            tb.upsert(deltas.join(stored, "author_id", "left").select(
-                "author_id", (F.coalesce("count", F.lit(0)) + F.col("change")).alias("count")),
-                namespace, tb.AUTHOR_COUNTS, AUTHORS, run)
+            counts = kept(author_deltas(spark, namespace, done[1], marks))
+            stored = _counts(spark, namespace, done, counts)
+            new = counts.join(stored, "author_id", "left").select(
+                "author_id", (F.coalesce("count", F.lit(0)) + F.col("change")).alias("count"))
+        try:
+            tb.upsert(new, namespace, tb.AUTHOR_COUNTS, AUTHORS, run)
+        finally:
+            counts.unpersist()
         row = spark.createDataFrame([(str(run), json.dumps(marks))], PROGRESS.schema)
         tb.upsert(row, namespace, PROGRESS, AUTHORS, run)
         done = (run, marks)

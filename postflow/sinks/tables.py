@@ -38,6 +38,7 @@ from postflow.sinks.keyed import ORDER
 
 REJECTED = -1  # bucket of rows without a key
 RAW, REASON = "raw", "reason"  # of a rejected row: its message, and what was wrong with it
+CHANGE = "change"  # of a row of ``fold_change``: 1 in the later content, -1 in the earlier one
 AT = "_at"  # optional column of a batch: its number, the same in every row
 
 
@@ -166,14 +167,25 @@ def versions(spark: SparkSession, namespace: str, table: PostTable, seen: Mappin
     """Stored rows with a key, as written: all, those of batches up to ``seen`` (last ``seq`` per writer), or
     those of later ones than ``unseen``. Both are filters on partition columns: other batches are not read."""
     rows = spark.table(create_table(spark, namespace, table)).where("bucket >= 0")
-    for marks, keep in ((seen, True), (unseen, False)):
-        if marks is not None:
-            inside = [(F.col("writer") == w) & (F.col("seq") <= s) for w, s in marks.items()] or [F.lit(False)]
-            inside = reduce(lambda a, b: a | b, inside)
-            rows = rows.where(inside if keep else ~inside)
+    if seen is not None:
+        rows = rows.where(_within(seen))
+    if unseen is not None:
+        rows = rows.where(~_within(unseen))
     return rows.drop(RAW, REASON)
 
 
+def _within(marks: Mapping[str, int]) -> Column:
+    """Whether a stored row is of a batch up to ``marks`` (last ``seq`` per writer)."""
+    each = [(F.col("writer") == w) & (F.col("seq") <= s) for w, s in marks.items()] or [F.lit(False)]
+    return reduce(lambda a, b: a | b, each)
+
+
+def key_of(table: PostTable) -> Column:
+    """The key of stored rows, for a union that keeps their buckets. Under a name of its own: a union compares
+    the partitionings of its sides by their whole attributes, and those of a table carry the table's name."""
+    return F.col(table.key).alias(table.key, metadata={"key": True})
+
+
 def for_keys(rows: DataFrame, table: PostTable, keys: DataFrame) -> DataFrame:
     """The stored rows of some keys. The bucket numbers of the keys, at most one row per bucket of the
     table, are broadcast and prune the partitions that are read; the join by key then needs an exchange
@@ -192,10 +204,19 @@ def fold(rows: DataFrame, table: PostTable) -> DataFrame:
     """One row per key, that of the highest ``(seq, writer)``."""
     rest = [c for c in table.columns if c != table.key]
     best = rows.groupBy(table.key).agg(F.max(F.struct("seq", "writer", *rest)).alias("_best"))
-    # Under a name of its own: a union compares the partitionings of its sides by their whole attributes,
-    # and those of a table carry the table's name.
-    key = F.col(table.key).alias(table.key, metadata={"key": True})
-    return best.select(*[key if c == table.key else F.col("_best").getField(c).alias(c) for c in table.columns])
+    return best.select(*[key_of(table) if c == table.key else F.col("_best").getField(c).alias(c) for c in table.columns])
+
+
+def fold_change(rows: DataFrame, table: PostTable, then: Mapping[str, int]) -> DataFrame:
+    """``fold`` of all rows, with ``CHANGE`` 1, and of those of the batches up to ``then``, with ``CHANGE`` -1: two
+    contents of a table from one read of it."""
+    rest = [c for c in table.columns if c != table.key]
+    value = F.struct("seq", "writer", *rest)
+    best = rows.groupBy(table.key).agg(F.max(value).alias("_now"), F.max(F.when(_within(then), value)).alias("_then"))
+    states = F.array(*[F.struct(F.lit(n).alias(CHANGE), F.col(c).alias("_best")) for n, c in ((1, "_now"), (-1, "_then"))])
+    each = best.select(table.key, F.explode(states).alias("_state")).where("_state._best IS NOT NULL")
+    return each.select(*[key_of(table) if c == table.key else F.col("_state._best").getField(c).alias(c)
+                         for c in table.columns], F.col("_state").getField(CHANGE).alias(CHANGE))
 
 
 def current(spark: SparkSession, namespace: str, table: PostTable, keys: DataFrame | None = None,

@@ -200,6 +200,40 @@ def test_unchanged_posts_are_not_read(spark, ns):
     assert sum(_scans(deltas)) <= 8 < 200
 
 
+def test_author_changes_need_no_exchange_of_posts(spark, ns, sf_dir):
+    seen = {tb.STREAM_POSTS.name: {"w": tb.upsert(fx.stream_posts(spark, sf_dir), ns, tb.STREAM_POSTS, "w")}, tb.BATCH_POSTS.name: {}}
+    marks = {**seen, tb.BATCH_POSTS.name: {"w": tb.upsert(fx.batch_posts(spark, sf_dir), ns, tb.BATCH_POSTS, "w")}}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many new ids
+    try:
+        tree = _plan(tj.author_deltas(spark, ns, seen, marks)).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Partial sums per author, and bucket numbers for each of the two tables.
+    assert len(re.findall(r"\bExchange\b", tree)) == 3, tree
+    assert len(re.findall(r"\bSortMergeJoin\b", tree)) == 2, tree
+
+
+def test_a_run_counts_authors_once(spark, ns, monkeypatch):
+    upsert, leaves = tb.upsert, []
+
+    def noted(df, namespace, table, *rest, **how):
+        if table is tb.AUTHOR_COUNTS:
+            found = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+            found = [found.apply(i) for i in range(found.size())]
+            leaves.append([x.toString() for x in found if x.nodeName() != "InMemoryRelation"])
+        return upsert(df, namespace, table, *rest, **how)
+
+    monkeypatch.setattr(tb, "upsert", noted)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for author in ("a", "b"):
+        upsert(_posts(spark, [("1", author, "t", "x"), ("2", "c", "t", author)]), ns, tb.STREAM_POSTS, "s")
+        tj.authors(spark, ns)
+    assert len(leaves) == 2 and not [x for run in leaves for x in run if tb.STREAM_POSTS.name in x]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert {r.author_id: r["count"] for r in tj.authors(spark, ns).collect()} == {"b": 1, "c": 1}
+
+
 def test_writes_do_not_list_batches(spark, ns, monkeypatch):
     monkeypatch.setattr(fs, "list_names", lambda *_: pytest.fail("listed"))
     monkeypatch.setattr(fs, "glob_paths", lambda *_: pytest.fail("listed"))
