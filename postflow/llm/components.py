@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postflow.llm.tables import staged
+from postflow.llm.tables import merged, staged
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -18,12 +18,12 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     while True:
         both = ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(least, "u").filter("v > u")
+        large = (both.join(merged(least), "u").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").distinct())
         large = staged(large, label)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u")
+        small = (large.join(merged(least), "u")
                  .select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m")))
                          .alias("e"))
                  .select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from postflow.llm import textarrays as ta
 from postflow.llm.components import components
-from postflow.llm.tables import staged, table
+from postflow.llm.tables import merged, staged, table
 
 N = 32
 #: Chance that a pair exactly at the threshold agrees in fewer than ``t`` tokens.
@@ -106,7 +106,7 @@ def _signed(df: DataFrame, text: str, k: int, words: np.ndarray, n: int) -> Data
 
 def _shingled(signed: DataFrame, wanted: DataFrame, text: str, k: int, words: np.ndarray) -> DataFrame:
     """Full shingle sets of the wanted rows, ``(rid, set)``."""
-    texts = signed.select("rid", F.col("row").getField(text).alias("text")).join(wanted, "rid", "left_semi")
+    texts = signed.select("rid", F.col("row").getField(text).alias("text")).join(merged(wanted), "rid", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,32 +188,32 @@ def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words:
     posts = classes.filter("n_shingles > 0").select("rid", F.explode("tokens").alias("token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
     own = F.sort_array(F.collect_list(F.struct("c", "token")))  # at most n elements
-    posted = (posts.join(shared, "token").groupBy("rid").agg(own.alias("own"))
+    posted = (posts.join(merged(shared), "token").groupBy("rid").agg(own.alias("own"))
               .filter(F.size("own") >= t)
               .select("rid", F.slice("own.token", F.lit(1), F.size("own") - (t - 1)).alias("prefix")))
     posted = staged(posted, "near-posted")
     lists = posted.select("rid", F.explode("prefix").alias("token"))
     heads = lists.groupBy("token").agg(F.min("rid").alias("head"))
-    stars = lists.join(heads, "token").select(F.col("rid").alias("a"), F.col("head").alias("b"))
+    stars = lists.join(merged(heads), "token").select(F.col("rid").alias("a"), F.col("head").alias("b"))
     clusters = components(stars, "near-clusters").select(F.col("node").alias("rid"),
                                                          F.col("component").alias("cluster"))
     sets = staged(_shingled(signed, clusters.select("rid"), text, k, words), "near-sets")
     # Parts are settled on sizes alone, so that the sets are exchanged by row id and by pair only.
-    sized = clusters.join(classes.select("rid", "n_shingles"), "rid")
+    sized = clusters.join(merged(classes.select("rid", "n_shingles")), "rid")
     parts = sized.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") * 8 / part_bytes).alias("parts"))
-    dealt = (sized.join(parts, "cluster")
+    dealt = (sized.join(merged(parts), "cluster")
              .withColumn("part", F.pmod(F.xxhash64("rid"), "parts"))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
              .select(F.concat_ws("-", "cluster", F.least("part", "other"), F.greatest("part", "other")).alias("pair"),
                      "part", "rid")
-             .join(sets, "rid").join(classes.select("rid", "tokens"), "rid")
+             .join(merged(sets), "rid").join(merged(classes.select("rid", "tokens")), "rid")
              .select("pair", "part", "rid", "tokens", "set"))
     links = staged(_cluster_links(dealt, t, percent), "near-links")
     comps = components(links, "near-comp")
-    classes = (classes.join(comps, F.col("rid") == F.col("node"), "left")
+    classes = (classes.join(merged(comps), F.col("rid") == F.col("node"), "left")
                .select("digest", "n_shingles", "rid", "least", F.coalesce("component", "rid").alias("comp")))
     least = classes.groupBy("comp").agg(F.min("least").alias("least_of_comp"))
-    out = classes.join(least, "comp").select("digest", F.col("least_of_comp.key").alias("component_id"),
+    out = classes.join(merged(least), "comp").select("digest", F.col("least_of_comp.key").alias("component_id"),
                                              F.col("least_of_comp.rid").alias("keeper"))
     return signed, out
 
@@ -226,7 +226,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     some = signed.select(F.col("row").getField(key).alias("doc_id"), "n_shingles", "digest")
     empty = some.filter("n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    return (some.filter("n_shingles > 0").join(classes, "digest")
+    return (some.filter("n_shingles > 0").join(merged(classes), "digest")
             .select("doc_id", "n_shingles", "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
             .unionByName(empty))
@@ -237,7 +237,7 @@ def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
     """One row of each component (the smallest key; of repeated rows, one), all columns untouched;
     rows without words stay."""
     signed, classes = linked_rows(df, key, text, k, percent, words, n)
-    kept = signed.join(classes.select(F.col("keeper").alias("rid")).distinct(), "rid", "left_semi") \
+    kept = signed.join(merged(classes.select(F.col("keeper").alias("rid")).distinct()), "rid", "left_semi") \
         .filter("n_shingles > 0")
     return kept.unionByName(signed.filter("n_shingles = 0")).select("row.*")
 
