@@ -10,7 +10,12 @@
    one of their first ``n - t + 1`` (the prefix); only these are posted. The postings build
    clusters only; collisions are not counted by merging them.
 3. Classes that share a posting, directly or through others, form a cluster (components of the
-   stars posting list - smallest class, linear in the postings). A cluster's members are dealt by
+   stars posting list - smallest class, linear in the postings). In a large table single tokens chain
+   most classes to one cluster. A cluster of more than one part is therefore cut up again, by sets of
+   ``r`` tokens: the coordinates are dealt into so few groups that ``t`` equal ones put ``r`` into one
+   group, so two classes with ``t`` common tokens share a set and stay together. Members are posted
+   under the sets, at most ``MOST_SETS`` each, a larger ``r`` for clusters that remain large; a
+   member that shares no set is done. A cluster's members are dealt by
    hash into parts of about ``part_bytes`` of shingle sets, and every two parts meet in one task: each set
    is exchanged once per part of its cluster, ``B * B / part_bytes`` for a cluster of ``B`` bytes. The
    task compares the tokens of every two members, retains pairs with ``t`` or more, and confirms them on the full sets.
@@ -27,6 +32,7 @@ component id is null); an empty table gives an empty result; other columns are c
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -44,6 +50,8 @@ N = 32
 #: Chance that a pair exactly at the threshold agrees in fewer than ``t`` tokens.
 MISS = 1e-5
 PART_BYTES = 2 << 20
+#: Token sets under which a member of a large cluster is posted.
+MOST_SETS = 300
 
 _seeds = np.random.default_rng(9).integers(1, 2**63, (64, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -59,6 +67,20 @@ def least_matches(n: int, percent: int, miss: float = MISS) -> int:
     return max(1, t)
 
 
+def token_sets(n: int, t: int, r: int) -> np.ndarray:
+    """Coordinates of sets of ``r`` tokens, ``(sets, r)``; any ``t`` of ``n`` coordinates hold one of
+    them (``2 <= r <= t``): the groups are so few that ``r - 1`` from each are less than ``t``."""
+    groups = np.array_split(np.arange(n), (t - 1) // (r - 1))
+    return np.array([c for g in groups for c in itertools.combinations(g.tolist(), r)]).reshape(-1, r)
+
+
+def _refining(n: int, t: int) -> list[np.ndarray]:
+    """Token sets for large clusters: a first cut, and the largest sets that are few enough."""
+    fit = [r for r in range(2, t + 1) if sum(math.comb(len(g), r) for g in np.array_split(
+        np.arange(n), (t - 1) // (r - 1))) <= MOST_SETS]
+    return [token_sets(n, t, r) for r in sorted({min(3, max(fit)), max(fit)})] if fit else []
+
+
 def _shingle_sets(column: pa.Array, k: int, table_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per block of whole texts: shingle hashes and document offsets into them."""
     for _, _, raw, off in ta.blocks(column):
@@ -173,6 +195,54 @@ def _cluster_links(members: DataFrame, t: int, percent: int) -> DataFrame:
     return members.groupBy("pair").applyInArrow(run, "a long, b long")
 
 
+def _keyed(members: DataFrame, subsets: np.ndarray) -> DataFrame:
+    """``(rid, key)``: a hash of the cluster and the tokens of every subset of ``(rid, cluster, tokens)``.
+    Equal hashes of other tokens only keep members together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rids = batch.column(0).to_numpy()
+            tokens = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(rids), -1).view(np.uint64)
+            keys = np.repeat(batch.column(1).to_numpy().view(np.uint64)[:, None], len(subsets), 1)
+            for i in range(subsets.shape[1]):
+                keys = (keys ^ tokens[:, subsets[:, i]]) * _seeds[i, 1]
+                keys ^= keys >> np.uint64(32)
+            yield pa.record_batch([pa.array(np.repeat(rids, len(subsets))), pa.array(keys.ravel().view(np.int64))],
+                                  ["rid", "key"])
+
+    return members.select("rid", "cluster", "tokens").mapInArrow(run, "rid long, key long")
+
+
+def _parts(sized: DataFrame, part_bytes: int) -> DataFrame:
+    """``(cluster, parts)``; written, so that adaptive execution can split a join with a large cluster."""
+    return staged(sized.groupBy("cluster").agg(
+        F.ceil(F.sum("n_shingles") * 8 / part_bytes).alias("parts")), "near-parts")
+
+
+def sized_clusters(clusters: DataFrame, classes: DataFrame, n: int, t: int, part_bytes: int
+                   ) -> tuple[DataFrame, DataFrame]:
+    """``(rid, cluster, n_shingles)`` and ``(cluster, parts)`` for the clusters ``(rid, cluster)``, those
+    of more than one part cut up by token sets. Members with ``t`` common tokens stay together."""
+    sized = staged(clusters.join(merged(classes.select("rid", "n_shingles")), "rid")
+                   .select("rid", "cluster", "n_shingles"), "near-sized")
+    parts = _parts(sized, part_bytes)
+    for subsets in _refining(n, t):
+        large = parts.filter("parts > 1").select("cluster")
+        if large.isEmpty():
+            break
+        members = staged(sized.join(merged(large), "cluster", "left_semi")
+                         .join(merged(classes.select("rid", "tokens")), "rid"), "near-large")
+        keys = _keyed(members, subsets)
+        heads = staged(keys.groupBy("key").agg(F.min("rid").alias("head"), F.count("*").alias("c"))
+                       .filter("c > 1").select("key", "head"), "near-heads")
+        stars = keys.join(merged(heads), "key").select(F.col("rid").alias("a"), F.col("head").alias("b"))
+        cut = components(stars, "near-cut").select(F.col("node").alias("rid"), F.col("component").alias("cluster"))
+        sized = staged(sized.join(merged(large), "cluster", "left_anti").select("rid", "cluster", "n_shingles")
+                       .unionByName(cut.join(merged(members.select("rid", "n_shingles")), "rid")), "near-sized")
+        parts = _parts(sized, part_bytes)
+    return sized, parts
+
+
 def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words: np.ndarray,
                 n: int = N, part_bytes: int = PART_BYTES) -> tuple[DataFrame, DataFrame]:
     """``signed`` rows (see ``_signed``) and ``(digest, component_id, keeper)`` per class, where
@@ -197,10 +267,9 @@ def linked_rows(df: DataFrame, key: str, text: str, k: int, percent: int, words:
     stars = lists.join(merged(heads), "token").select(F.col("rid").alias("a"), F.col("head").alias("b"))
     clusters = components(stars, "near-clusters").select(F.col("node").alias("rid"),
                                                          F.col("component").alias("cluster"))
-    sets = staged(_shingled(signed, clusters.select("rid"), text, k, words), "near-sets")
     # Parts are settled on sizes alone, so that the sets are exchanged by row id and by pair only.
-    sized = clusters.join(merged(classes.select("rid", "n_shingles")), "rid")
-    parts = sized.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") * 8 / part_bytes).alias("parts"))
+    sized, parts = sized_clusters(clusters, classes, n, t, part_bytes)
+    sets = staged(_shingled(signed, sized.select("rid"), text, k, words), "near-sets")
     dealt = (sized.join(merged(parts), "cluster")
              .withColumn("part", F.pmod(F.xxhash64("rid"), "parts"))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
