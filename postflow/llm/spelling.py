@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postflow.llm.tables import staged, table, two_columns
+from postflow.llm.tables import merged, staged, table, two_columns
 
 #: Distinct words a task holds before it passes their counts on.
 HELD_WORDS = 200_000
@@ -111,7 +111,7 @@ def _trie(words: DataFrame, least: int, label: str) -> tuple[DataFrame, DataFram
         F.array_join(F.array_sort(F.collect_set("next")), "").alias("letters"),
         F.max(F.when(F.col("next").isNull(), F.struct("word", "n"))).alias("end"))
     nodes = nodes.filter((F.col("pos") == base) | F.col("end").isNotNull() | (F.length("letters") > 1))
-    paths = prefixes.select("word", "way", "pos", "node").join(nodes, ["node", "pos"]).groupBy("word", "way").agg(
+    paths = prefixes.select("word", "way", "pos", "node").join(merged(nodes), ["node", "pos"]).groupBy("word", "way").agg(
         F.array_sort(F.collect_list(F.struct("pos", "node", "letters", "end"))).alias("path"))
     paths = staged(paths, label + "-paths")
     steps = F.arrays_zip(F.slice("path", F.lit(1), F.size("path") - 1).alias("from"),
@@ -141,7 +141,7 @@ def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     is set, and the node is not, where the state has ended in a neighbour."""
     rest = F.substr("word", F.col("pos") + 1, F.length("word"))
     on_path = F.startswith("rest", F.col("label"))
-    met = states.withColumn("rest", rest).join(edges, "node").filter((F.col("edits") == 0) | on_path)
+    met = states.withColumn("rest", rest).join(merged(edges), "node").filter((F.col("edits") == 0) | on_path)
     met = met.withColumn("k", F.when(on_path, F.length("label")).otherwise(_common(F.col("label"), F.col("rest"))))
     k, size, left = F.col("k"), F.length("label"), F.length("rest")
 
@@ -197,20 +197,20 @@ def spelling_groups(words: DataFrame, least: int = 1, ratio: int = 5) -> DataFra
     best = F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("form")))
     near = neighbours(words, least).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     strong = -F.col("best.n") >= ratio * F.col("n")
-    forms = staged(words.join(near, "word", "left").select(
+    forms = staged(words.join(merged(near), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(strong, F.col("best.form")).alias("form"),
         F.when(strong, -F.col("best.n")).alias("form_n")), "spelling-forms")
     links = forms.filter("form IS NOT NULL").select("word", F.col("form").alias("root"))
     while True:
         on = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        doubled = staged(links.join(on, "root", "left").select(
+        doubled = staged(links.join(merged(on), "root", "left").select(
             "word", F.coalesce("further", "root").alias("root"),
             F.col("further").isNotNull().alias("moved")), "spelling-roots")
         links = doubled.select("word", "root")
         if doubled.filter("moved").isEmpty():
             break
-    return forms.join(links, "word", "left").select(
+    return forms.join(merged(links), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 from llm_cases import ODD, prose
-from postflow.llm import components, near_dedup
+from postflow.llm import components, near_dedup, spelling
 
 
 @pytest.fixture()
@@ -35,3 +35,9 @@ def near_rows():
 def test_near_duplicates(joins, documents):
     got = joins(lambda: near_dedup.near_duplicates(documents(near_rows()), k=3, percent=85), near_dedup, components)
     assert got == {"SortMergeJoin"}
+
+
+def test_spelling(joins, spark):
+    words = [(w + tail, 5 + len(tail) * 40) for w in ("common", "letters", "another") for tail in ("", "s", "sa", "x")]
+    df = spark.createDataFrame(words, "word string, n long")
+    assert joins(lambda: spelling.spelling_groups(df, 6), spelling) == {"SortMergeJoin"}
