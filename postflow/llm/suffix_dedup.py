@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postflow.llm import textarrays as ta
-from postflow.llm.tables import staged, table
+from postflow.llm.tables import merged, staged, table
 from postflow.session import scratch, scratch_table
 
 LENGTH = 200
@@ -497,12 +497,12 @@ def _dealt(rows: DataFrame, at: int, length: int, gram: int, heavy: int, bucket_
     found = staged(_anchor_rows(rows, at, length, gram), "repeat-anchors")
     # Written first: a join of plain scans is one whose hot grams adaptive execution can split.
     counts = staged(found.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"), "repeat-grams")
-    places = found.join(counts, "gram").groupBy("rid").agg(F.collect_list(F.struct(
+    places = found.join(merged(counts), "gram").groupBy("rid").agg(F.collect_list(F.struct(
         "pos", "gram", (F.col("c") > heavy).alias("heavy"))).alias("places"))
     places = staged(places, "repeat-places")
     kept = places.agg(F.sum(F.size("places")).alias("n"),
                       F.max(F.exists("places", lambda p: p["heavy"])).alias("heavy")).first()
-    texts = rows.select("rid", F.col("row").getField(text).alias("text")).join(places, "rid") \
+    texts = rows.select("rid", F.col("row").getField(text).alias("text")).join(merged(places), "rid") \
         .select("text", "rid", "places")
     crowded = _crowded(texts, length, gram, bucket_suffixes) if kept["heavy"] else frozenset()
     runs = _runs(texts, max(1, -(-(kept["n"] or 0) // bucket_suffixes)), length, gram, crowded)
@@ -526,7 +526,7 @@ def repeated_spans(rows: DataFrame, at: int, length: int = LENGTH, gram: int = G
     # Written, so that adaptive execution can split the strings of a hot hash.
     repeated = staged(strings.groupBy("hash").agg(F.sum("weight").alias("c")).filter("c > 1").select("hash"),
                       "repeat-strings")
-    counted = strings.join(repeated, "hash").groupBy("rid", "pos").agg(
+    counted = strings.join(merged(repeated), "hash").groupBy("rid", "pos").agg(
         (F.col("pos") - F.max("offset")).alias("start"),
         (F.col("pos") - F.min("offset") + length).alias("end"))
     spans = both.filter("kind = 0").select("rid", "start", "end") \
@@ -583,7 +583,7 @@ def measure_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", **op
                 columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()))],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return (rows.join(spans, "rid", "left").select("row.doc_id", "row.text", "spans")
+    return (rows.join(merged(spans), "rid", "left").select("row.doc_id", "row.text", "spans")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
@@ -611,7 +611,7 @@ def remove_repeats(df: DataFrame, text: str = "text", size: str | None = None, *
                 columns[i] = pa.array(sizes).cast(columns[i].type)
             yield pa.record_batch(columns, names)
 
-    return rows.join(spans, "rid", "left").select("row", "spans").mapInArrow(run, df.schema)
+    return rows.join(merged(spans), "rid", "left").select("row", "spans").mapInArrow(run, df.schema)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

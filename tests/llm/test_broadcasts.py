@@ -1,9 +1,10 @@
 """Tables that grow with the input are not sent to the driver, however small Spark takes them to be."""
 
+import corpus_pipeline
 import pytest
 
 from llm_cases import ODD, prose
-from postflow.llm import components, near_dedup, spelling
+from postflow.llm import components, near_dedup, spelling, suffix_dedup
 
 
 @pytest.fixture()
@@ -41,3 +42,9 @@ def test_spelling(joins, spark):
     words = [(w + tail, 5 + len(tail) * 40) for w in ("common", "letters", "another") for tail in ("", "s", "sa", "x")]
     df = spark.createDataFrame(words, "word string, n long")
     assert joins(lambda: spelling.spelling_groups(df, 6), spelling) == {"SortMergeJoin"}
+
+
+def test_stages_of_the_pipeline(joins, spark, documents):
+    df = documents(near_rows())
+    assert joins(lambda: corpus_pipeline.near_dedup(spark, df, ""), near_dedup, components) == {"SortMergeJoin"}
+    assert joins(lambda: corpus_pipeline.suffix_dedup(spark, df, ""), suffix_dedup) == {"SortMergeJoin"}
